@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.plans import marts, staging
+from ledgerlens.plans import customers, marts, staging
 from ledgerlens.sources.star import from_star
 
 # Fixed run parameters so every run is reproducible: "today" for recency
@@ -57,6 +57,11 @@ class Models:
                                self.stg_territories, RUN_TS)
 
 
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        return customers.dim_customers(self.stg_customers, self.fct, AS_OF, RUN_TS)
+
+
 def oracle_types(df: DataFrame, drop=("_transformed_at", "_updated_at", "_ingested_at")) -> DataFrame:
     """Cast to comparison-friendly types: decimal/float -> double,
     byte/short/int -> bigint; drop run-time lineage timestamps."""
@@ -80,7 +85,46 @@ def q_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oracle_types(marts.monthly_kpis(m.fct))
 
 
+def q_sales_performance_row(spark, sf_dir):
+    """Monthly KPIs with literal-LAG MoM/YoY growth (W4, W5, mode='row')."""
+    return oracle_types(marts.fct_sales_performance(Models(spark, sf_dir).fct, "row", RUN_TS))
+
+
+def q_sales_performance_calendar(spark, sf_dir):
+    """Monthly KPIs with calendar-exact MoM/YoY growth (mode='calendar')."""
+    return oracle_types(marts.fct_sales_performance(Models(spark, sf_dir).fct, "calendar", RUN_TS))
+
+
+def q_dim_customers(spark, sf_dir):
+    """RFM-segmented customer dimension (M6; W1-W3 distributed NTILE)."""
+    return oracle_types(Models(spark, sf_dir).dim_customers)
+
+
+def q_rfm_quantile(spark, sf_dir):
+    """Quantile RFM variant (M12; W7 exact qcut edges, P11)."""
+    return oracle_types(customers.rfm_quantile(Models(spark, sf_dir).fct, AS_OF))
+
+
+def q_segment_counts(spark, sf_dir):
+    """Segment value counts of the quantile RFM."""
+    rq = customers.rfm_quantile(Models(spark, sf_dir).fct, AS_OF)
+    return oracle_types(customers.segment_counts(rq, "segment"))
+
+
+def q_customer_segments(spark, sf_dir):
+    """Customers and lifetime value per RFM segment x lifetime tier."""
+    dim = Models(spark, sf_dir).dim_customers
+    return oracle_types(dim.groupBy("customer_segment", "lifetime_tier").agg(
+        F.count("*").alias("customers"), F.sum("lifetime_value").alias("lifetime_value")))
+
+
 def queries():
     return {
         "monthly_revenue": q_monthly_revenue,
+        "sales_performance_row": q_sales_performance_row,
+        "sales_performance_calendar": q_sales_performance_calendar,
+        "dim_customers": q_dim_customers,
+        "rfm_quantile": q_rfm_quantile,
+        "segment_counts": q_segment_counts,
+        "customer_segments": q_customer_segments,
     }

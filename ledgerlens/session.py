@@ -18,6 +18,7 @@ ENGINE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -49,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
