@@ -97,15 +97,16 @@ def utc_now() -> Column:
 # ---- arithmetic ------------------------------------------------------------
 
 def safe_divide(num, den, alt=None) -> Column:
-    """DIVIDE(a, b[, alt]): alt (default null) on a zero or null denominator.
+    """DIVIDE(a, b[, alt]): ``alt`` (default null = blank) when the
+    denominator is zero or blank; a blank numerator gives blank.
 
     Arguments are divided as doubles so the result type is stable and no
     ANSI divide-by-zero error can be raised.
     """
     n = col_or_lit(num).cast("double")
     d = col_or_lit(den).cast("double")
-    q = F.when(d != 0, n / d)
-    return q if alt is None else F.coalesce(q, F.lit(alt).cast("double"))
+    alt_c = F.lit(alt).cast("double")
+    return F.when(d.isNull() | (d == 0), alt_c).otherwise(n / d)
 
 
 def pct_of(num, den, scale: int = 2) -> Column:

@@ -313,6 +313,10 @@ rfm_q AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**_model_oracles(), **measure_oracles()}
+
+
+def _model_oracles() -> dict[str, str]:
     return {
         "monthly_revenue": _q_monthly_revenue(),
         "sales_performance_row": _perf("row"),
@@ -329,3 +333,196 @@ FROM rfm_q GROUP BY segment"""),
   CAST(sum(lifetime_value) AS DOUBLE) AS lifetime_value
 FROM dim_customers GROUP BY customer_segment, lifetime_tier"""),
     }
+
+
+# ---- semantic layer and measures -----------------------------------------------------
+
+def div_sql(n: str, d: str, alt: str = "NULL") -> str:
+    """DIVIDE(n, d, alt) with double division."""
+    return (f"(CASE WHEN ({d}) IS NULL OR ({d}) = 0 THEN CAST({alt} AS DOUBLE) "
+            f"ELSE CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) END)")
+
+
+def diff0_sql(a: str, b: str) -> str:
+    return f"(CASE WHEN ({a}) IS NULL AND ({b}) IS NULL THEN NULL ELSE COALESCE({a}, 0) - COALESCE({b}, 0) END)"
+
+
+VW_SALES = """
+vw AS (
+  SELECT sale_id, customer_id, product_id, territory_id, salesperson_id, order_date, ship_date,
+    date_diff('day', order_date, ship_date) AS days_to_ship, quantity, discount_pct, total_amount,
+    total_amount * (1 - discount_pct) AS net_revenue, currency, channel, status,
+    CAST(year(order_date) AS BIGINT) AS order_year, CAST(month(order_date) AS BIGINT) AS order_month,
+    CAST(quarter(order_date) AS BIGINT) AS order_quarter,
+    CAST(date_trunc('month', order_date) AS DATE) AS order_month_date,
+    gross_profit, gross_margin_pct, discount_amount, territory_region, territory_name, product_category
+  FROM fct_sales
+)"""
+
+BUDGET = """
+budget AS (
+  SELECT s.territory_id, p.category AS product_category,
+    make_date(CAST(year(s.order_month) + 1 AS INTEGER), CAST(month(s.order_month) AS INTEGER), 1) AS period_date,
+    CAST(ROUND(sum(s.net_revenue) * 1.1, 2) AS DECIMAL(18,2)) AS budget_amount,
+    CAST(year(s.order_month) + 1 AS BIGINT) AS fiscal_year, CAST(month(s.order_month) AS BIGINT) AS fiscal_month
+  FROM stg_sales s JOIN stg_products p ON s.product_id = p.product_id
+  WHERE s.status != 'cancelled' AND s.territory_id IS NOT NULL AND p.category IS NOT NULL
+  GROUP BY s.territory_id, p.category, year(s.order_month), month(s.order_month)
+)"""
+
+
+def _growth_sql(cur: str, prev: str) -> str:
+    return div_sql(diff0_sql(cur, prev), f"abs({prev})")
+
+
+def _q_base_measures() -> str:
+    return with_base(VW_SALES, body=f"""SELECT territory_region, order_year,
+  CAST(sum(net_revenue) AS DOUBLE) AS total_revenue,
+  CAST(sum(gross_profit) AS DOUBLE) AS total_gross_profit,
+  count(*) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_units_sold,
+  {div_sql("sum(net_revenue)", "count(*)", "0")} AS avg_order_value,
+  {div_sql("sum(gross_profit)", "sum(net_revenue)", "0")} AS gross_margin_pct,
+  CAST(sum(discount_amount) AS DOUBLE) AS total_discounts,
+  {div_sql("sum(discount_amount)", "sum(total_amount)", "0")} AS discount_rate_pct,
+  count(DISTINCT customer_id) AS total_customers,
+  {div_sql("sum(net_revenue)", "count(DISTINCT customer_id)", "0")} AS revenue_per_customer,
+  count(DISTINCT product_id) AS products_sold
+FROM vw GROUP BY territory_region, order_year""")
+
+
+def _q_period_to_date() -> str:
+    run = "ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return with_base(VW_SALES, """
+s AS (SELECT territory_region, order_date AS period, sum(net_revenue) AS revenue FROM vw
+      GROUP BY territory_region, order_date)""", body=f"""SELECT territory_region, period,
+  CAST(revenue AS DOUBLE) AS revenue,
+  CAST(sum(revenue) OVER (PARTITION BY territory_region, date_trunc('month', period) {run}) AS DOUBLE) AS revenue_mtd,
+  CAST(sum(revenue) OVER (PARTITION BY territory_region, date_trunc('quarter', period) {run}) AS DOUBLE) AS revenue_qtd,
+  CAST(sum(revenue) OVER (PARTITION BY territory_region, date_trunc('year', period) {run}) AS DOUBLE) AS revenue_ytd
+FROM s""")
+
+
+def _dense_sql(key: str, grain: str, source: str = "vw") -> list[str]:
+    step = {"month": "INTERVAL 1 MONTH", "year": "INTERVAL 1 YEAR"}[grain]
+    return [f"""
+s AS (SELECT {key}, CAST(date_trunc('{grain}', order_date) AS DATE) AS period,
+      sum(net_revenue) AS revenue FROM {source} GROUP BY ALL)""", f"""
+b AS (SELECT {key}, min(period) AS lo, max(period) AS hi FROM s GROUP BY ALL)""", f"""
+g AS (SELECT {key}, CAST(unnest(generate_series(lo, hi, {step})) AS DATE) AS period FROM b)""", f"""
+d AS (SELECT g.{key}, g.period, s.revenue FROM g LEFT JOIN s
+      ON g.{key} IS NOT DISTINCT FROM s.{key} AND g.period = s.period)"""]
+
+
+def _q_time_intelligence(key: str, grain: str) -> str:
+    per_year = 12 if grain == "month" else 1
+    run = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    mom = f"LAG(revenue, 1) OVER (PARTITION BY {key} ORDER BY period)" if grain == "month" else "NULL"
+    ctes = _dense_sql(key, grain) + [f"""
+y AS (SELECT *, sum(revenue) OVER (PARTITION BY {key}, date_trunc('year', period) ORDER BY period {run})
+      AS revenue_ytd FROM d)""", f"""
+t AS (SELECT *,
+      LAG(revenue_ytd, {per_year}) OVER (PARTITION BY {key} ORDER BY period) AS revenue_pytd,
+      {mom} AS pm,
+      LAG(revenue, {per_year}) OVER (PARTITION BY {key} ORDER BY period) AS py,
+      sum(revenue) OVER (PARTITION BY {key} ORDER BY period {run}) AS cumulative_revenue
+      FROM y)"""]
+    return with_base(VW_SALES, *ctes, body=f"""SELECT {key}, period, CAST(revenue AS DOUBLE) AS revenue,
+  CAST(revenue_ytd AS DOUBLE) AS revenue_ytd, CAST(revenue_pytd AS DOUBLE) AS revenue_pytd,
+  {_growth_sql("revenue", "pm")} AS revenue_mom_growth,
+  {_growth_sql("revenue", "py")} AS revenue_yoy_growth,
+  CAST(cumulative_revenue AS DOUBLE) AS cumulative_revenue
+FROM t""")
+
+
+def _q_customer_activity() -> str:
+    return with_base(VW_SALES, SALES_STATS, RFM, DIM_CUSTOMERS, """
+ca AS (
+  SELECT v.territory_region, CAST(date_trunc('month', v.order_date) AS DATE) AS period,
+    count(DISTINCT v.customer_id) AS total_customers,
+    count(DISTINCT CASE WHEN d.first_order_date >= CAST(date_trunc('month', v.order_date) AS DATE)
+                         AND d.first_order_date <= last_day(v.order_date) THEN v.customer_id END)
+      AS new_customers,
+    sum(v.net_revenue) AS revenue
+  FROM vw v LEFT JOIN dim_customers d ON v.customer_id = d.customer_id
+  GROUP BY ALL
+)""", body=f"""SELECT territory_region, period, total_customers, new_customers,
+  total_customers - new_customers AS returning_customers,
+  {div_sql("total_customers - new_customers", "total_customers", "0")} AS customer_retention_rate,
+  {div_sql("revenue", "total_customers", "0")} AS revenue_per_customer
+FROM ca""")
+
+
+def _q_budget_attainment() -> str:
+    att = div_sql("actual_revenue", "budget_amount")
+    return with_base(VW_SALES, BUDGET, """
+a AS (SELECT territory_id, CAST(date_trunc('month', order_date) AS DATE) AS period,
+      sum(net_revenue) AS actual_revenue FROM vw GROUP BY ALL)""", """
+bb AS (SELECT territory_id, CAST(date_trunc('month', period_date) AS DATE) AS period,
+       sum(budget_amount) AS budget_amount FROM budget GROUP BY ALL)""", """
+j AS (SELECT COALESCE(a.territory_id, bb.territory_id) AS territory_id,
+        COALESCE(a.period, bb.period) AS period, a.actual_revenue, bb.budget_amount
+      FROM a FULL JOIN bb ON a.territory_id IS NOT DISTINCT FROM bb.territory_id AND a.period = bb.period)""",
+                     body=f"""SELECT territory_id, period, CAST(actual_revenue AS DOUBLE) AS actual_revenue,
+  CAST(budget_amount AS DOUBLE) AS budget_amount,
+  {div_sql(diff0_sql("actual_revenue", "budget_amount"), "budget_amount")} AS revenue_vs_budget,
+  {att} AS revenue_target_attainment,
+  CASE WHEN {att} >= 1.0 THEN 'On Track' WHEN {att} >= 0.85 THEN 'At Risk' ELSE 'Behind' END AS kpi_status
+FROM j""")
+
+
+PRODUCT_REV = """
+pr AS (SELECT territory_region, product_id, sum(net_revenue) AS product_revenue FROM vw GROUP BY ALL)"""
+
+
+def _q_top_products() -> str:
+    return with_base(VW_SALES, PRODUCT_REV, body="""SELECT territory_region,
+  CAST(max(product_revenue) AS DOUBLE) AS top_product_revenue FROM pr GROUP BY territory_region""")
+
+
+def _q_top_products_ties() -> str:
+    return with_base(VW_SALES, PRODUCT_REV, body="""SELECT territory_region, product_id,
+  CAST(product_revenue AS DOUBLE) AS product_revenue, revenue_rank FROM (
+  SELECT *, rank() OVER (PARTITION BY territory_region ORDER BY product_revenue DESC NULLS LAST)
+    AS revenue_rank FROM pr) WHERE revenue_rank <= 3""")
+
+
+def _q_customer_measures() -> str:
+    return with_base(SALES_STATS, RFM, DIM_CUSTOMERS, body=f"""SELECT country,
+  count(*) AS customer_count,
+  {div_sql("count_if(customer_segment = 'Champions')", "count(*)", "0")} AS champions_pct,
+  count_if(customer_segment = 'At Risk') AS at_risk_customers
+FROM dim_customers GROUP BY country""")
+
+
+def _q_kpi_summary() -> str:
+    return with_base(RFM_QUANTILE, """
+done AS (SELECT * FROM fct_sales WHERE status != 'cancelled')""", f"""
+tot AS (SELECT CAST(sum(net_revenue) AS DOUBLE) AS total_revenue, count(*) AS total_orders,
+  count(DISTINCT customer_id) AS unique_customers,
+  {div_sql("sum(net_revenue)", "count(net_revenue)")} AS avg_order_value,
+  {div_sql("sum(gross_profit)", "sum(net_revenue)", "0")} AS gross_margin_pct FROM done)""", """
+mon AS (SELECT order_month AS period, sum(net_revenue) AS revenue FROM done GROUP BY order_month)""", """
+last AS (SELECT m.revenue AS cur,
+  (SELECT p.revenue FROM mon p WHERE p.period = m.period - INTERVAL 1 MONTH) AS pm,
+  (SELECT p.revenue FROM mon p WHERE p.period = m.period - INTERVAL 12 MONTH) AS py
+  FROM mon m WHERE m.period = (SELECT max(period) FROM mon))""", f"""
+ch AS (SELECT {div_sql("count_if(segment = 'Champions')", "count(*)", "0")} AS champions_pct FROM rfm_q)""",
+                     body=f"""SELECT tot.*, ch.champions_pct,
+  {_growth_sql("last.cur", "last.pm")} AS revenue_mom_growth,
+  {_growth_sql("last.cur", "last.py")} AS revenue_yoy_growth
+FROM tot CROSS JOIN ch CROSS JOIN last""")
+
+
+def measure_oracles() -> dict[str, str]:
+    return {
+        "base_measures": _q_base_measures(),
+        "period_to_date": _q_period_to_date(),
+        "time_intelligence_month": _q_time_intelligence("territory_region", "month"),
+        "time_intelligence_year": _q_time_intelligence("product_category", "year"),
+        "new_returning": _q_customer_activity(),
+        "budget_attainment": _q_budget_attainment(),
+        "top_products": _q_top_products(),
+        "top_products_ties": _q_top_products_ties(),
+        "customer_measures": _q_customer_measures(),
+        "kpi_summary": _q_kpi_summary(),
+    }

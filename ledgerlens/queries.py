@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.plans import customers, marts, staging
+from ledgerlens.plans import customers, demo, marts, measures, staging
 from ledgerlens.sources.star import from_star
 
 # Fixed run parameters so every run is reproducible: "today" for recency
@@ -62,6 +62,15 @@ class Models:
         return customers.dim_customers(self.stg_customers, self.fct, AS_OF, RUN_TS)
 
 
+    @cached_property
+    def view(self) -> DataFrame:
+        return marts.vw_sales_fact(self.fct)
+
+    @cached_property
+    def budget(self) -> DataFrame:
+        return staging.budget_periods(staging.star_budget(self.stg_sales, self.stg_products))
+
+
 def oracle_types(df: DataFrame, drop=("_transformed_at", "_updated_at", "_ingested_at")) -> DataFrame:
     """Cast to comparison-friendly types: decimal/float -> double,
     byte/short/int -> bigint; drop run-time lineage timestamps."""
@@ -118,8 +127,72 @@ def q_customer_segments(spark, sf_dir):
         F.count("*").alias("customers"), F.sum("lifetime_value").alias("lifetime_value")))
 
 
+def q_base_measures(spark, sf_dir):
+    """D1-D8, D17, D21, D25 by region x year in one aggregate."""
+    return oracle_types(measures.base_measures(Models(spark, sf_dir).view,
+                                               ["territory_region", "order_year"]))
+
+
+def q_period_to_date(spark, sf_dir):
+    """Revenue MTD / QTD / YTD per region x day."""
+    return oracle_types(measures.period_to_date(Models(spark, sf_dir).view, ["territory_region"], "day"))
+
+
+def q_time_intelligence_month(spark, sf_dir):
+    """D11-D14, D16 per region x month on the densified grid."""
+    return oracle_types(measures.time_intelligence(Models(spark, sf_dir).view, ["territory_region"], "month"))
+
+
+def q_time_intelligence_year(spark, sf_dir):
+    """Year-grain YTD / PYTD / YoY / cumulative per product category."""
+    return oracle_types(measures.time_intelligence(Models(spark, sf_dir).view, ["product_category"], "year"))
+
+
+def q_new_returning(spark, sf_dir):
+    """Total, new, returning customers and retention."""
+    m = Models(spark, sf_dir)
+    return oracle_types(measures.customer_activity(m.view, m.dim_customers, ["territory_region"], "month"))
+
+
+def q_budget_attainment(spark, sf_dir):
+    """Actual vs budget per territory x month."""
+    m = Models(spark, sf_dir)
+    return oracle_types(measures.budget_measures(m.view, m.budget, ["territory_id"], "month"))
+
+
+def q_top_products(spark, sf_dir):
+    """Top product revenue per region."""
+    return oracle_types(measures.top_product_revenue(Models(spark, sf_dir).view, ["territory_region"]))
+
+
+def q_top_products_ties(spark, sf_dir):
+    """T2 with ties: products ranked in the top 3 of their region."""
+    return oracle_types(measures.top_products(Models(spark, sf_dir).view, 3, ["territory_region"]))
+
+
+def q_customer_measures(spark, sf_dir):
+    """D22, D23, D28 per customer country (customer-table measures)."""
+    return oracle_types(measures.customer_segment_measures(Models(spark, sf_dir).dim_customers, ["country"]))
+
+
+def q_kpi_summary(spark, sf_dir):
+    """One-row KPI summary with computed margin and growth."""
+    m = Models(spark, sf_dir)
+    return oracle_types(demo.kpi_summary(m.fct, customers.rfm_quantile(m.fct, AS_OF)))
+
+
 def queries():
     return {
+        "base_measures": q_base_measures,
+        "period_to_date": q_period_to_date,
+        "time_intelligence_month": q_time_intelligence_month,
+        "time_intelligence_year": q_time_intelligence_year,
+        "new_returning": q_new_returning,
+        "budget_attainment": q_budget_attainment,
+        "top_products": q_top_products,
+        "top_products_ties": q_top_products_ties,
+        "customer_measures": q_customer_measures,
+        "kpi_summary": q_kpi_summary,
         "monthly_revenue": q_monthly_revenue,
         "sales_performance_row": q_sales_performance_row,
         "sales_performance_calendar": q_sales_performance_calendar,
