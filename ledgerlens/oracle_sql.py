@@ -313,7 +313,7 @@ rfm_q AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_model_oracles(), **measure_oracles()}
+    return {**_model_oracles(), **measure_oracles(), **more_oracles()}
 
 
 def _model_oracles() -> dict[str, str]:
@@ -526,3 +526,216 @@ def measure_oracles() -> dict[str, str]:
         "customer_measures": _q_customer_measures(),
         "kpi_summary": _q_kpi_summary(),
     }
+
+
+# ---- Silver / Gold tables, views, calendar, quality, incremental, single operators ----
+
+STG_SALES_COLS = """sale_id, customer_id, product_id, territory_id, salesperson_id, order_date, ship_date,
+  quantity, CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(total_amount AS DOUBLE) AS total_amount,
+  currency, channel, status, CAST(net_revenue AS DOUBLE) AS net_revenue,
+  CAST(discount_amount AS DOUBLE) AS discount_amount, days_to_ship, deal_size_tier, order_month,
+  order_quarter, order_year"""
+
+FCT_COLS = STG_SALES_COLS + """, customer_tier, customer_country, customer_region, customer_industry,
+  product_category, product_subcategory, product_brand, CAST(total_cost AS DOUBLE) AS total_cost,
+  CAST(gross_profit AS DOUBLE) AS gross_profit, CAST(gross_margin_pct AS DOUBLE) AS gross_margin_pct,
+  territory_name, territory_region, territory_country"""
+
+VW_COLS = """sale_id, customer_id, product_id, territory_id, salesperson_id, order_date, ship_date,
+  days_to_ship, quantity, CAST(discount_pct AS DOUBLE) AS discount_pct,
+  CAST(total_amount AS DOUBLE) AS total_amount, CAST(net_revenue AS DOUBLE) AS net_revenue, currency,
+  channel, status, order_year, order_month, order_quarter, order_month_date,
+  CAST(gross_profit AS DOUBLE) AS gross_profit, CAST(gross_margin_pct AS DOUBLE) AS gross_margin_pct,
+  CAST(discount_amount AS DOUBLE) AS discount_amount, territory_region, territory_name, product_category"""
+
+DIM_PARTS = (SALES_STATS, RFM, DIM_CUSTOMERS)
+
+
+def _quality_sql() -> str:
+    def row(check, table, col, failed, total):
+        return (f"SELECT '{check}' AS \"check\", '{table}' AS \"table\", '{col}' AS \"column\", "
+                f"CAST({failed} AS BIGINT) AS failed_rows, CAST({total} AS BIGINT) AS total_rows FROM {table}")
+
+    def uniq(table, col):
+        return (f"SELECT 'unique' AS \"check\", '{table}' AS \"table\", '{col}' AS \"column\", "
+                f"CAST(count_if(n > 1) AS BIGINT) AS failed_rows, CAST(COALESCE(sum(n), 0) AS BIGINT) AS total_rows "
+                f"FROM (SELECT {col}, count(*) AS n FROM {table} WHERE {col} IS NOT NULL GROUP BY {col})")
+    status = "'completed', 'pending', 'shipped', 'cancelled', 'returned'"
+    segs = ("'Champions', 'Loyal Customers', 'Recent Customers', 'Potential Loyalists', 'At Risk', "
+            "'Lost', 'Needs Attention'")
+    tiers = "'Platinum', 'Gold', 'Silver', 'Bronze'"
+    parts = [
+        row("not_null", "stg_sales", "sale_id", "count_if(sale_id IS NULL)", "count(*)"),
+        uniq("stg_sales", "sale_id"),
+        row("not_null", "stg_sales", "net_revenue", "count_if(net_revenue IS NULL)", "count(*)"),
+        row("accepted_range", "stg_sales", "net_revenue", "count_if(net_revenue < 0)", "count(*)"),
+        row("accepted_range", "stg_sales", "discount_pct",
+            "count_if(discount_pct < 0 OR discount_pct > 1)", "count(*)"),
+        row("accepted_values", "stg_sales", "status", f"count_if(status NOT IN ({status}))", "count(*)"),
+        row("not_future", "stg_sales", "order_date", f"count_if(order_date > {AS_OF_SQL})", "count(*)"),
+        row("expression_true", "stg_sales", "net_revenue_le_total",
+            "count_if(NOT COALESCE(net_revenue <= total_amount, false))", "count(*)"),
+        row("not_null", "fct_sales", "sale_id", "count_if(sale_id IS NULL)", "count(*)"),
+        uniq("fct_sales", "sale_id"),
+        row("not_null", "fct_sales", "net_revenue", "count_if(net_revenue IS NULL)", "count(*)"),
+        row("accepted_range", "fct_sales", "gross_margin_pct",
+            "count_if(gross_margin_pct < -100 OR gross_margin_pct > 100)", "count(*)"),
+        row("finite", "fct_sales", "gross_profit",
+            "count_if(gross_profit IS NULL OR isnan(CAST(gross_profit AS DOUBLE)) OR isinf(CAST(gross_profit AS DOUBLE)))",
+            "count(*)"),
+        row("not_null", "dim_customers", "customer_id", "count_if(customer_id IS NULL)", "count(*)"),
+        uniq("dim_customers", "customer_id"),
+        row("accepted_values", "dim_customers", "customer_segment",
+            f"count_if(customer_segment NOT IN ({segs}))", "count(*)"),
+        row("accepted_values", "dim_customers", "lifetime_tier",
+            f"count_if(lifetime_tier NOT IN ({tiers}))", "count(*)"),
+    ]
+    union = "\nUNION ALL ".join(parts)
+    return with_base(*DIM_PARTS, body=f"""SELECT *, failed_rows = 0 AS passed FROM (
+{union})""")
+
+
+def _upsert_sql() -> str:
+    cols = "sale_id, order_date, status, net_revenue, _ingested_at"
+    return with_base("""
+s AS (SELECT sale_id, order_date, status, net_revenue, _ingested_at, channel FROM stg_sales)""", """
+tgt AS (SELECT * FROM s WHERE order_date < DATE '2000-01-01')""", f"""
+batch AS (SELECT {cols} FROM s WHERE order_date >= DATE '1999-07-01'
+          UNION ALL
+          SELECT sale_id, order_date, 'returned', net_revenue, _ingested_at + INTERVAL 1 DAY
+          FROM s WHERE order_date >= DATE '1999-07-01' AND channel = 'online')""", """
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sale_id ORDER BY _ingested_at DESC) AS rn
+           FROM batch) WHERE rn = 1)""", body=f"""
+SELECT sale_id, order_date, status, CAST(net_revenue AS DOUBLE) AS net_revenue, _ingested_at
+FROM tgt WHERE sale_id NOT IN (SELECT sale_id FROM latest)
+UNION ALL
+SELECT sale_id, order_date, status, CAST(net_revenue AS DOUBLE) AS net_revenue, _ingested_at FROM latest""")
+
+
+def _running_total_sql() -> str:
+    return with_base(VW_SALES, """
+s AS (SELECT CAST(date_trunc('month', order_date) AS DATE) AS period, sum(net_revenue) AS revenue
+      FROM vw GROUP BY ALL)""", """
+g AS (SELECT CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM s)""",
+                     body="""SELECT g.period, CAST(s.revenue AS DOUBLE) AS revenue,
+  CAST(sum(s.revenue) OVER (ORDER BY g.period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+    AS cumulative_revenue
+FROM g LEFT JOIN s ON g.period = s.period""")
+
+
+def _dim_date_sql() -> str:
+    return with_base("""
+dd AS (SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY)) AS DATE) AS date_day
+       FROM stg_sales)""", body="""SELECT date_day, CAST(year(date_day) AS BIGINT) AS year,
+  CAST(quarter(date_day) AS BIGINT) AS quarter, CAST(month(date_day) AS BIGINT) AS month,
+  CAST(day(date_day) AS BIGINT) AS day, strftime(date_day, '%B') AS month_name,
+  strftime(date_day, '%A') AS day_name, isodow(date_day) <= 5 AS is_weekday,
+  CAST(year(date_day) AS BIGINT) AS fiscal_year, 'Q' || CAST(quarter(date_day) AS VARCHAR) AS fiscal_quarter,
+  CAST(month(date_day) AS BIGINT) AS fiscal_month,
+  CAST(date_trunc('month', date_day) AS DATE) AS month_start,
+  CAST(date_trunc('quarter', date_day) AS DATE) AS quarter_start,
+  CAST(date_trunc('year', date_day) AS DATE) AS year_start
+FROM dd""")
+
+
+def _tier_sql(expr: str, name: str, where: str = "") -> str:
+    return with_base(body=f"""SELECT {expr} AS {name}, count(*) AS n,
+  CAST(min(total_amount) AS DOUBLE) AS min_amount, CAST(max(total_amount) AS DOUBLE) AS max_amount
+FROM stg_sales {where} GROUP BY 1""")
+
+
+def more_oracles() -> dict[str, str]:
+    deal_bin = ("CASE WHEN total_amount <= 0 THEN NULL WHEN total_amount <= 100 THEN 'micro' "
+                "WHEN total_amount <= 1000 THEN 'smb' WHEN total_amount <= 10000 THEN 'mid_market' "
+                "WHEN total_amount > 10000 THEN 'enterprise' END")
+    return {
+        "stg_sales": with_base(body=f"SELECT {STG_SALES_COLS} FROM stg_sales"),
+        "stg_customers": with_base(body="SELECT * FROM stg_customers"),
+        "stg_products": with_base(body="""SELECT product_id, product_name, category, subcategory, brand,
+  CAST(cost_price AS DOUBLE) AS cost_price, CAST(list_price AS DOUBLE) AS list_price FROM stg_products"""),
+        "stg_territories": with_base(body="SELECT * FROM stg_territories"),
+        "budget_periods": with_base(BUDGET, body="""SELECT territory_id, product_category, fiscal_year,
+  fiscal_month, CAST(budget_amount AS DOUBLE) AS budget_amount, period_date FROM budget"""),
+        "fct_sales": with_base(body=f"SELECT {FCT_COLS} FROM fct_sales"),
+        "vw_sales_fact": with_base(VW_SALES, body=f"SELECT {VW_COLS} FROM vw"),
+        "vw_customer_dim": with_base(*DIM_PARTS, body="""SELECT customer_id, full_name, email, company,
+  industry, country, region, city, tier, signup_date, CAST(lifetime_value AS DOUBLE) AS lifetime_value,
+  total_orders, CAST(avg_order_value AS DOUBLE) AS avg_order_value, days_since_last_order,
+  customer_segment, is_active, lifetime_tier, first_order_date FROM dim_customers"""),
+        "dim_date": _dim_date_sql(),
+        "quality_report": _quality_sql(),
+        "freshness": with_base(body="""SELECT
+  (epoch(TIMESTAMP '2002-01-01 00:00:00') - epoch(max(_ingested_at))) / 3600.0 AS age_hours,
+  CASE WHEN max(_ingested_at) IS NULL THEN 'error'
+       WHEN (epoch(TIMESTAMP '2002-01-01 00:00:00') - epoch(max(_ingested_at))) / 3600.0 > 24 THEN 'error'
+       WHEN (epoch(TIMESTAMP '2002-01-01 00:00:00') - epoch(max(_ingested_at))) / 3600.0 > 6 THEN 'warn'
+       ELSE 'pass' END AS status
+FROM raw_sales"""),
+        "rls_region": with_base(VW_SALES, body=f"""SELECT territory_region, territory_name,
+  CAST(sum(net_revenue) AS DOUBLE) AS total_revenue,
+  CAST(sum(gross_profit) AS DOUBLE) AS total_gross_profit,
+  count(*) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_units_sold,
+  {div_sql("sum(net_revenue)", "count(*)", "0")} AS avg_order_value,
+  {div_sql("sum(gross_profit)", "sum(net_revenue)", "0")} AS gross_margin_pct,
+  CAST(sum(discount_amount) AS DOUBLE) AS total_discounts,
+  {div_sql("sum(discount_amount)", "sum(total_amount)", "0")} AS discount_rate_pct,
+  count(DISTINCT customer_id) AS total_customers,
+  {div_sql("sum(net_revenue)", "count(DISTINCT customer_id)", "0")} AS revenue_per_customer,
+  count(DISTINCT product_id) AS products_sold
+FROM vw WHERE territory_region = 'EUROPE' GROUP BY territory_region, territory_name"""),
+        "hwm_filter": with_base(body="""SELECT sale_id, customer_id, order_date,
+  CAST(total_amount AS DOUBLE) AS total_amount FROM raw_sales
+WHERE _ingested_at > (SELECT max(_ingested_at) FROM stg_sales WHERE order_date < DATE '2000-01-01')"""),
+        "events_after_hwm": """SELECT event_id, user_id, event_type, value FROM events
+WHERE ts > (SELECT max(ts) FROM events WHERE event_type = 'purchase')""",
+        "upsert_latest": _upsert_sql(),
+        "latest_per_customer": with_base(body="""SELECT customer_id, order_date, sale_id,
+  CAST(net_revenue AS DOUBLE) AS net_revenue FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, sale_id DESC) AS rn
+  FROM stg_sales) WHERE rn = 1"""),
+        "deal_tiers": _tier_sql("deal_size_tier", "deal_size_tier"),
+        "tier_bins_right_closed": _tier_sql(deal_bin, "deal_size_bin", "WHERE status != 'cancelled'"),
+        "lifetime_tiers": with_base(*DIM_PARTS, body="""SELECT lifetime_tier, count(*) AS n,
+  CAST(min(lifetime_value) AS DOUBLE) AS min_ltv, CAST(max(lifetime_value) AS DOUBLE) AS max_ltv
+FROM dim_customers GROUP BY lifetime_tier"""),
+        "not_cancelled": with_base(body="""SELECT status, count(*) AS n FROM stg_sales
+WHERE status != 'cancelled' GROUP BY status"""),
+        "left_join_dims": with_base(body="""SELECT 'fct_sales_left_joins' AS "check",
+  (SELECT count(*) FROM stg_sales) AS rows_before, (SELECT count(*) FROM fct_sales) AS rows_after,
+  (SELECT count(*) FROM stg_sales) = (SELECT count(*) FROM fct_sales) AS passed,
+  (SELECT count_if(customer_tier IS NULL) FROM fct_sales) AS no_customer,
+  (SELECT count_if(product_category IS NULL) FROM fct_sales) AS no_product,
+  (SELECT count_if(territory_name IS NULL) FROM fct_sales) AS no_territory"""),
+        "multi_distinct": with_base(body="""SELECT order_year, count(DISTINCT sale_id) AS orders,
+  count(DISTINCT customer_id) AS customers, count(DISTINCT product_id) AS products
+FROM fct_sales GROUP BY order_year"""),
+        "repeat_ratio": with_base(body=f"""SELECT count_if(n > 1) AS repeat_customers, count(*) AS customers,
+  {div_sql("count_if(n > 1)", "count(*)", "0")} AS repeat_ratio
+FROM (SELECT customer_id, count(*) AS n FROM stg_sales WHERE status != 'cancelled' GROUP BY customer_id)"""),
+        "global_month_growth": with_base(body="""SELECT order_month, CAST(total_amount AS DOUBLE) AS total_amount,
+  CAST(prev_amount AS DOUBLE) AS prev_amount,
+  (CAST(total_amount AS DOUBLE) - CAST(prev_amount AS DOUBLE)) / CAST(prev_amount AS DOUBLE) AS mom_growth
+FROM (SELECT order_month, total_amount, LAG(total_amount, 1) OVER (ORDER BY order_month) AS prev_amount
+      FROM (SELECT order_month, sum(total_amount) AS total_amount FROM stg_sales GROUP BY order_month))"""),
+        "running_total_month": _running_total_sql(),
+        "status_outside_allowed": with_base(body="""SELECT DISTINCT status FROM stg_sales
+WHERE status IS NOT NULL AND status NOT IN ('completed', 'pending', 'shipped', 'cancelled')"""),
+        "text_cleaning": with_base(body="""SELECT customer_id, first_name, last_name, full_name, email,
+  phone, industry, country, city FROM stg_customers"""),
+        "date_parts": with_base(VW_SALES, body="""SELECT s.sale_id, s.days_to_ship, s.order_month AS month_start,
+  s.order_quarter AS quarter_start, v.days_to_ship AS raw_days_to_ship, v.order_year, v.order_month,
+  v.order_quarter
+FROM stg_sales s JOIN vw v ON s.sale_id = v.sale_id"""),
+        "margin_math": with_base(body="""SELECT sale_id, quantity, CAST(net_revenue AS DOUBLE) AS net_revenue,
+  CAST(total_cost AS DOUBLE) AS total_cost, CAST(gross_profit AS DOUBLE) AS gross_profit,
+  CAST(gross_margin_pct AS DOUBLE) AS gross_margin_pct FROM fct_sales"""),
+        "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+        "range_violations": with_base(body="""SELECT sale_id, CAST(gross_margin_pct AS DOUBLE) AS gross_margin_pct
+FROM fct_sales WHERE gross_margin_pct < -100 OR gross_margin_pct > 100"""),
+        "monthly_summary": with_base(body=f"""SELECT order_month,
+  CAST(ROUND(sum(net_revenue), 2) AS DOUBLE) AS total_revenue, count(sale_id) AS order_count,
+  count(DISTINCT customer_id) AS unique_customers,
+  CAST({round_div_sql("sum(net_revenue)", "count(net_revenue)")} AS DOUBLE) AS avg_order_value
+FROM fct_sales WHERE status != 'cancelled' GROUP BY order_month"""),
+    }

@@ -182,6 +182,10 @@ def q_kpi_summary(spark, sf_dir):
 
 
 def queries():
+    return {**_core_queries(), **more_queries()}
+
+
+def _core_queries():
     return {
         "base_measures": q_base_measures,
         "period_to_date": q_period_to_date,
@@ -201,3 +205,333 @@ def queries():
         "segment_counts": q_segment_counts,
         "customer_segments": q_customer_segments,
     }
+
+
+# ---- Silver / Gold tables, views, calendar -------------------------------------------
+
+def q_stg_sales(spark, sf_dir):
+    """M1 Silver sales (F1, F2, X1-X6, X10-X14, X17, P5).  ``unit_price``
+    is a decimal quotient and is left out of the comparison."""
+    return oracle_types(Models(spark, sf_dir).stg_sales.drop("unit_price", "_source", "_file_name"))
+
+
+def q_stg_customers(spark, sf_dir):
+    """M2 Silver customers."""
+    return oracle_types(Models(spark, sf_dir).stg_customers)
+
+
+def q_stg_products(spark, sf_dir):
+    """M3 Silver products."""
+    return oracle_types(Models(spark, sf_dir).stg_products.drop("weight_kg", "is_active", "launched_date"))
+
+
+def q_stg_territories(spark, sf_dir):
+    """M4 Silver territories."""
+    return oracle_types(Models(spark, sf_dir).stg_territories.drop("manager_id", "quota_amount"))
+
+
+def q_budget_periods(spark, sf_dir):
+    """M14 budget with period_date (budget derived from prior-year revenue)."""
+    return oracle_types(Models(spark, sf_dir).budget.drop("budget_id"))
+
+
+def q_fct_sales(spark, sf_dir):
+    """M5 Gold sales fact."""
+    return oracle_types(Models(spark, sf_dir).fct.drop("unit_price", "cost_price"))
+
+
+def q_vw_sales_fact(spark, sf_dir):
+    """M8 semantic sales view."""
+    return oracle_types(Models(spark, sf_dir).view.drop("unit_price"))
+
+
+def q_vw_customer_dim(spark, sf_dir):
+    """M9 semantic customer view."""
+    return oracle_types(marts.vw_customer_dim(Models(spark, sf_dir).dim_customers))
+
+
+def q_dim_date(spark, sf_dir):
+    """Date dimension over the order-date range."""
+    from ledgerlens.plans.calendar import dim_date_of
+    return oracle_types(dim_date_of(Models(spark, sf_dir).stg_sales, "order_date"))
+
+
+# ---- quality, security, incremental ---------------------------------------------------
+
+def q_quality_report(spark, sf_dir):
+    """Q1-Q4, Q6, Q7, Q9 on Silver and Gold tables in one pass per table
+    (+ one aggregation per unique key)."""
+    from ledgerlens.functions.tiers import LIFETIME_TIER_VALUES, SEGMENTS, STATUS_VALUES
+    from ledgerlens.operators import quality as q
+    m = Models(spark, sf_dir)
+    parts = [
+        q.run_checks(m.stg_sales, "stg_sales", [
+            q.not_null("sale_id"), q.unique("sale_id"), q.not_null("net_revenue"),
+            q.accepted_range("net_revenue", 0, None), q.accepted_range("discount_pct", 0, 1),
+            q.accepted_values("status", STATUS_VALUES), q.not_future("order_date", AS_OF),
+            q.expression_true("net_revenue_le_total", F.col("net_revenue") <= F.col("total_amount")),
+        ]),
+        q.run_checks(m.fct, "fct_sales", [
+            q.not_null("sale_id"), q.unique("sale_id"), q.not_null("net_revenue"),
+            q.accepted_range("gross_margin_pct", -100, 100), q.finite("gross_profit"),
+        ]),
+        q.run_checks(m.dim_customers, "dim_customers", [
+            q.not_null("customer_id"), q.unique("customer_id"),
+            q.accepted_values("customer_segment", SEGMENTS),
+            q.accepted_values("lifetime_tier", LIFETIME_TIER_VALUES),
+        ]),
+    ]
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def q_freshness(spark, sf_dir):
+    """Q5: raw sales freshness at the run timestamp (warn 6 h, error 24 h)."""
+    from ledgerlens.operators.quality import freshness
+    return oracle_types(freshness(Models(spark, sf_dir).raw["sales"], "_ingested_at", RUN_TS),
+                        drop=("max_loaded_at",))
+
+
+def q_rls_region(spark, sf_dir):
+    """a RegionalManager for EUROPE sees only that region's rows."""
+    from ledgerlens.operators.security import secure
+    v = secure(Models(spark, sf_dir).view, "RegionalManager", "EUROPE")
+    return oracle_types(measures.base_measures(v, ["territory_region", "territory_name"]))
+
+
+# Previous load boundary for the incremental queries: the target holds
+# what was loaded before this date.
+PREVIOUS_LOAD = dt.date(2000, 1, 1)
+
+
+def q_hwm_filter(spark, sf_dir):
+    """Raw rows ingested after the target's high-water mark."""
+    from ledgerlens.operators.incremental import after_high_water_mark
+    m = Models(spark, sf_dir)
+    raw = m.raw["sales"]
+    target = m.stg_sales.filter(F.col("order_date") < F.lit(PREVIOUS_LOAD))
+    new = after_high_water_mark(raw, target, "_ingested_at")
+    return oracle_types(new.select("sale_id", "customer_id", "order_date", "total_amount"))
+
+
+def q_events_after_hwm(spark, sf_dir):
+    """F4 on the event stream: events newer than the last purchase event."""
+    from ledgerlens.operators.incremental import after_high_water_mark
+    from ledgerlens.sources.star import read_table
+    ev = read_table(spark, sf_dir, "events")
+    target = ev.filter(F.col("event_type") == "purchase")
+    return oracle_types(after_high_water_mark(ev, target, "ts").drop("ts", "props"))
+
+
+def _upsert_inputs(m: Models):
+    """Target = Silver rows loaded before PREVIOUS_LOAD; batch = rows from
+    six months earlier on (overlapping keys are updates), plus a re-sent,
+    later version of every 'online' row in the batch (status corrected)."""
+    s = m.stg_sales.drop("unit_price", "_source", "_file_name", "_transformed_at")
+    target = s.filter(F.col("order_date") < F.lit(PREVIOUS_LOAD))
+    batch = s.filter(F.col("order_date") >= F.lit(dt.date(1999, 7, 1)))
+    resent = batch.filter(F.col("channel") == "online").withColumns({
+        "status": F.lit("returned"),
+        "_ingested_at": F.col("_ingested_at") + F.expr("INTERVAL 1 DAY"),
+    })
+    return target, batch.unionByName(resent)
+
+
+def q_upsert_latest(spark, sf_dir):
+    """K4 + W11: the table a keyed upsert produces (target minus replaced
+    keys, plus the latest version of each incoming key)."""
+    from ledgerlens.operators.incremental import latest_per_key
+    target, batch = _upsert_inputs(Models(spark, sf_dir))
+    latest = latest_per_key(batch, "sale_id", "_ingested_at")
+    merged = target.join(latest.select("sale_id"), "sale_id", "left_anti").unionByName(latest)
+    return oracle_types(merged.select("sale_id", "order_date", "status", "net_revenue", "_ingested_at"),
+                        drop=())
+
+
+def q_latest_per_customer(spark, sf_dir):
+    """Each customer's latest sale by (order_date, sale_id)."""
+    from ledgerlens.operators.incremental import latest_per_key
+    s = Models(spark, sf_dir).stg_sales.select("customer_id", "order_date", "sale_id", "net_revenue")
+    return oracle_types(latest_per_key(s, "customer_id", ["order_date", "sale_id"]))
+
+
+# ---- single-operator checks ---------------------------------------------------------
+
+def q_deal_tiers(spark, sf_dir):
+    """P5: SQL deal-size ladder (lower bounds inclusive)."""
+    s = Models(spark, sf_dir).stg_sales
+    return oracle_types(s.groupBy("deal_size_tier").agg(
+        F.count(F.lit(1)).alias("n"), F.min("total_amount").alias("min_amount"),
+        F.max("total_amount").alias("max_amount")))
+
+
+def q_tier_bins_right_closed(spark, sf_dir):
+    """Right-closed bins (0,100], (100,1000], ... on completed sales."""
+    from ledgerlens.functions.tiers import deal_size_bin
+    s = Models(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
+    return oracle_types(s.groupBy(deal_size_bin(F.col("total_amount")).alias("deal_size_bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("total_amount").alias("min_amount"),
+        F.max("total_amount").alias("max_amount")))
+
+
+def q_lifetime_tiers(spark, sf_dir):
+    """Lifetime tiers of the customer dimension."""
+    d = Models(spark, sf_dir).dim_customers
+    return oracle_types(d.groupBy("lifetime_tier").agg(
+        F.count(F.lit(1)).alias("n"), F.min("lifetime_value").alias("min_ltv"),
+        F.max("lifetime_value").alias("max_ltv")))
+
+
+def q_not_cancelled(spark, sf_dir):
+    """status != 'cancelled' (SQL semantics) - rows per remaining status."""
+    s = Models(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
+    return oracle_types(s.groupBy("status").agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_left_join_dims(spark, sf_dir):
+    """Left joins keep every sale; unmatched-dimension counts."""
+    from ledgerlens.operators.quality import row_count_preserved
+    m = Models(spark, sf_dir)
+    kept = row_count_preserved(m.stg_sales, m.fct, "fct_sales_left_joins")
+    unmatched = m.fct.agg(
+        F.count_if(F.col("customer_tier").isNull()).alias("no_customer"),
+        F.count_if(F.col("product_category").isNull()).alias("no_product"),
+        F.count_if(F.col("territory_name").isNull()).alias("no_territory"))
+    both = kept.unionByName(unmatched, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in kept.columns + unmatched.columns])
+
+
+def q_multi_distinct(spark, sf_dir):
+    """A4: three distinct counts in one group-by."""
+    f = Models(spark, sf_dir).fct
+    return oracle_types(f.groupBy("order_year").agg(
+        F.count_distinct("sale_id").alias("orders"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.count_distinct("product_id").alias("products")))
+
+
+def q_repeat_ratio(spark, sf_dir):
+    """Share of customers with more than one completed sale."""
+    s = Models(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
+    per = s.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    from ledgerlens.functions.scalar import safe_divide
+    return per.agg(F.count_if(F.col("n") > 1).alias("repeat_customers"),
+                   F.count(F.lit(1)).alias("customers"),
+                   safe_divide(F.count_if(F.col("n") > 1), F.count(F.lit(1)), 0).alias("repeat_ratio"))
+
+
+def q_global_month_growth(spark, sf_dir):
+    """Month-over-month growth of total amount over the month series
+    (window over the monthly aggregate, at most one row per month)."""
+    from pyspark.sql import Window
+    s = Models(spark, sf_dir).stg_sales
+    mon = s.groupBy(F.col("order_month")).agg(F.sum("total_amount").alias("total_amount"))
+    prev = F.lag("total_amount", 1).over(Window.orderBy("order_month"))
+    out = mon.withColumn("prev_amount", prev).withColumn(
+        "mom_growth", (F.col("total_amount").cast("double") - F.col("prev_amount").cast("double"))
+        / F.col("prev_amount").cast("double"))
+    return oracle_types(out)
+
+
+def q_running_total_month(spark, sf_dir):
+    """Cumulative revenue over all months (no keys)."""
+    t = measures.time_intelligence(Models(spark, sf_dir).view, [], "month")
+    return oracle_types(t.select("period", "revenue", "cumulative_revenue"))
+
+
+def q_status_outside_allowed(spark, sf_dir):
+    """Status values outside the demo's allowed set (left anti join)."""
+    from ledgerlens.operators.quality import values_outside
+    s = Models(spark, sf_dir).stg_sales
+    return values_outside(s, "status", ["completed", "pending", "shipped", "cancelled"])
+
+
+def q_text_cleaning(spark, sf_dir):
+    """trim/case, null-propagating concatenation, phone cleanup."""
+    c = Models(spark, sf_dir).stg_customers
+    return c.select("customer_id", "first_name", "last_name", "full_name", "email", "phone",
+                    "industry", "country", "city")
+
+
+def q_date_parts(spark, sf_dir):
+    """Day differences, month/quarter truncation, year/month/quarter."""
+    v = Models(spark, sf_dir).view
+    s = Models(spark, sf_dir).stg_sales
+    a = s.select("sale_id", "days_to_ship", F.col("order_month").alias("month_start"),
+                 F.col("order_quarter").alias("quarter_start"))
+    b = v.select("sale_id", F.col("days_to_ship").alias("raw_days_to_ship"), "order_year",
+                 "order_month", "order_quarter")
+    return oracle_types(a.join(b, "sale_id", "inner"))
+
+
+def q_margin_math(spark, sf_dir):
+    """Total cost, gross profit and margin % per sale."""
+    f = Models(spark, sf_dir).fct
+    return oracle_types(f.select("sale_id", "quantity", "net_revenue", "total_cost", "gross_profit",
+                                 "gross_margin_pct"))
+
+
+def q_duplicate_keys(spark, sf_dir):
+    """(order, line number) pairs that occur more than once."""
+    from ledgerlens.operators.quality import duplicate_keys
+    from ledgerlens.sources.star import read_table
+    return duplicate_keys(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def q_range_violations(spark, sf_dir):
+    """Q3: sales whose margin is outside -100..100 (nulls pass)."""
+    f = Models(spark, sf_dir).fct
+    bad = F.coalesce((F.col("gross_margin_pct") < -100) | (F.col("gross_margin_pct") > 100), F.lit(False))
+    return oracle_types(f.filter(bad).select("sale_id", "gross_margin_pct"))
+
+
+def q_dataset_stats(spark, sf_dir):
+    """K7: per-table row count, size and last change (rows-only check)."""
+    from ledgerlens.sources.sinks import dataset_stats
+    from ledgerlens.sources.star import STAR_TABLES
+    tables = {t: ("RAW" if t in ("orders", "lineitem", "events") else "REFERENCE",
+                  f"{sf_dir.rstrip('/')}/{t}.parquet") for t in STAR_TABLES}
+    return dataset_stats(spark, tables).drop("last_altered")
+
+
+def q_monthly_summary(spark, sf_dir):
+    """The demo's monthly KPIs (sum, count, distinct, mean; 2 decimals)."""
+    return oracle_types(demo.monthly_summary(Models(spark, sf_dir).fct))
+
+
+def more_queries():
+    return {
+        "stg_sales": q_stg_sales,
+        "stg_customers": q_stg_customers,
+        "stg_products": q_stg_products,
+        "stg_territories": q_stg_territories,
+        "budget_periods": q_budget_periods,
+        "fct_sales": q_fct_sales,
+        "vw_sales_fact": q_vw_sales_fact,
+        "vw_customer_dim": q_vw_customer_dim,
+        "dim_date": q_dim_date,
+        "quality_report": q_quality_report,
+        "freshness": q_freshness,
+        "rls_region": q_rls_region,
+        "hwm_filter": q_hwm_filter,
+        "events_after_hwm": q_events_after_hwm,
+        "upsert_latest": q_upsert_latest,
+        "latest_per_customer": q_latest_per_customer,
+        "deal_tiers": q_deal_tiers,
+        "tier_bins_right_closed": q_tier_bins_right_closed,
+        "lifetime_tiers": q_lifetime_tiers,
+        "not_cancelled": q_not_cancelled,
+        "left_join_dims": q_left_join_dims,
+        "multi_distinct": q_multi_distinct,
+        "repeat_ratio": q_repeat_ratio,
+        "global_month_growth": q_global_month_growth,
+        "running_total_month": q_running_total_month,
+        "status_outside_allowed": q_status_outside_allowed,
+        "text_cleaning": q_text_cleaning,
+        "date_parts": q_date_parts,
+        "margin_math": q_margin_math,
+        "duplicate_keys": q_duplicate_keys,
+        "range_violations": q_range_violations,
+        "dataset_stats": q_dataset_stats,
+        "monthly_summary": q_monthly_summary,
+    }
