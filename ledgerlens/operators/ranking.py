@@ -2,36 +2,41 @@
 single-partition window.
 
 ``Window.orderBy(...)`` with no partition key moves every row to one task.
-Instead:
-
-1. ``repartitionByRange`` on the full order (value, then a unique
-   tie-break key) spreads rows over P range partitions.  Bounds are sampled
-   on the composite key, so a value shared by a third of all rows is still
-   split across many partitions.
-2. ``sortWithinPartitions`` on the same order, then a reliable
-   ``checkpoint()`` into the shared checkpoint directory.  From here the
-   layout is fixed: recomputation after an executor loss re-reads the same
-   partitions instead of re-sampling new range bounds.
-3. Inside a partition the row's position is the low 33 bits of
+Instead, for one or several sort keys at once:
+
+1. The keys are stacked into one narrow frame ``(id, metric, null_rank,
+   key)`` (descending keys are negated), and ``repartitionByRange`` on
+   ``(metric, null_rank, key, id)`` spreads it over P range partitions.
+   Range bounds are sampled on the whole composite, so a value shared by a
+   third of all rows is still split across partitions by ``id``.
+2. ``sortWithinPartitions`` on the same (unique) order fixes each row's
+   position inside its partition: the low 33 bits of
    ``monotonically_increasing_id`` (documented layout: partition id in the
-   upper bits, record number in the lower 33).  Partition sizes (P numbers)
-   give each partition's global offset, passed back as a P-long array
-   literal.  Global 0-based rank = offset[partition] + position.
-4. NTILE(k) and exact quantile edges are pure arithmetic on that rank.
+   upper 31 bits, record number in the lower 33).
+3. Row counts per (partition, metric) - at most P x metrics rows - give
+   each partition's offset through two tiny windows; they are broadcast
+   back (a size bounded by the partition count, not by the data).  Both
+   branches read the same range exchange, which Spark reuses, so counts
+   and positions come from one and the same partitioning.  After a lost
+   executor, recomputed partitions hold the same rows in the same (unique)
+   sort order, so ranks are stable without a checkpoint.
+4. NTILE(k) and exact quantile edges are arithmetic on (rank, count).
 """
 
 from __future__ import annotations
 
 from decimal import Decimal, localcontext
 from fractions import Fraction
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.session import ensure_checkpoint_dir
 
 _LOW_BITS = 1 << 33
-# Upper bound on range partitions, so the offsets literal stays small.
+# Upper bound on range partitions, so the broadcast offsets stay small.
 MAX_RANGE_PARTITIONS = 20000
 
 
@@ -42,50 +47,110 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return max(1, min(n, MAX_RANGE_PARTITIONS))
 
 
-def with_global_rank(df: DataFrame, order: list[Column], rank_col: str = "_rank",
-                     num_partitions: int | None = None) -> tuple[DataFrame, int]:
-    """Add a 0-based global rank in ``order`` (which must be a total order:
-    end it with a unique key).  Returns ``(frame, row_count)``."""
-    ensure_checkpoint_dir(df.sparkSession)
-    p = _partitions(df, num_partitions)
-    ranged = df.repartitionByRange(p, *order).sortWithinPartitions(*order)
-    ranged = ranged.checkpoint(eager=True)
+def _common_key_type(df: DataFrame, cols) -> T.DataType:
+    """Exact common numeric type for the stacked sort key."""
+    scale, int_digits = 0, 1
+    for c in cols:
+        t = df.schema[c].dataType
+        if isinstance(t, T.DecimalType):
+            scale = max(scale, t.scale)
+            int_digits = max(int_digits, t.precision - t.scale)
+        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            int_digits = max(int_digits, 19)
+        elif isinstance(t, (T.FloatType, T.DoubleType)):
+            return T.DoubleType()
+        else:
+            raise TypeError(f"rank key {c!r} must be numeric, got {t.simpleString()}")
+    if int_digits + scale > 38:
+        scale = max(0, 38 - int_digits)
+    return T.DecimalType(min(38, int_digits + scale), scale)
+
+
+def global_ranks(df: DataFrame, id_col: str, specs, num_partitions: int | None = None) -> DataFrame:
+    """0-based ranks of every row under each sort spec.
+
+    ``specs``: list of ``(key_col, ascending, nulls_first)``.  ``id_col``
+    must be unique in ``df``; it breaks ties (ascending).  Returns a long
+    frame ``(_id, _m, _key, _rank, _n)``: one row per input row and spec,
+    with the spec index ``_m``, the sign-adjusted key, the rank and the
+    spec's row count.
+    """
+    key_type = _common_key_type(df, [s[0] for s in specs])
+    entries = []
+    for i, (key, asc, nulls_first) in enumerate(specs):
+        k = F.col(key).cast(key_type)
+        null_rank = F.when(k.isNull(), F.lit(0 if nulls_first else 2)).otherwise(F.lit(1))
+        entries.append(F.struct(F.lit(i).alias("_m"), null_rank.alias("_nr"),
+                                (k if asc else -k).alias("_key")))
+    # One pass over the input emits one row per spec (no union, so the
+    # upstream plan is not repeated per spec).
+    stacked = df.select(F.col(id_col).alias("_id"), F.inline(F.array(*entries)))
+    order = [F.col("_m"), F.col("_nr"), F.col("_key"), F.col("_id")]
+    ranged = stacked.repartitionByRange(_partitions(df, num_partitions), *order) \
+        .sortWithinPartitions(*order)
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # Without exchange reuse the two branches below would sample range
+        # bounds separately; pin one partitioning in the shared checkpoint
+        # directory instead.
+        ensure_checkpoint_dir(df.sparkSession)
+        ranged = ranged.checkpoint(eager=True)
     pid = F.spark_partition_id()
     positioned = ranged.select(
-        "*",
-        pid.alias("_pid"),
-        (F.monotonically_increasing_id() - pid.cast("bigint") * F.lit(_LOW_BITS)).alias("_pos"),
-    )
-    # One row per non-empty partition: bounded by p, not by the data.
-    sizes = {r["_pid"]: r["n"] for r in positioned.groupBy("_pid").agg(F.count("*").alias("n")).collect()}
-    offsets, acc = [], 0
-    for i in range(p):
-        offsets.append(acc)
-        acc += sizes.get(i, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_pid") + 1)
-    out = positioned.withColumn(rank_col, offset + F.col("_pos")).drop("_pid", "_pos")
-    return out, acc
-
-
-def ntile_of_rank(rank: Column, n_rows: int, k: int) -> Column:
-    """NTILE(k) bucket (1-based) for a 0-based rank among n_rows rows: the
-    first n mod k buckets hold one extra row, as in SQL."""
+        "_id", "_m", "_key", pid.alias("_pid"),
+        (F.monotonically_increasing_id() - pid.cast("bigint") * F.lit(_LOW_BITS)).alias("_pos"))
+    counts = positioned.groupBy("_pid", "_m").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.unboundedPreceding, -1
+    w_m = Window.partitionBy("_m").orderBy("_pid")
+    w_p = Window.partitionBy("_pid").orderBy("_m")
+    offsets = counts.select(
+        "_pid", "_m",
+        (F.coalesce(F.sum("_c").over(w_m.rowsBetween(*before)), F.lit(0))
+         - F.coalesce(F.sum("_c").over(w_p.rowsBetween(*before)), F.lit(0))).alias("_off"),
+        F.sum("_c").over(Window.partitionBy("_m")).alias("_n"))
+    j = positioned.join(F.broadcast(offsets), ["_pid", "_m"], "inner")
+    return j.select("_id", "_m", "_key", (F.col("_pos") + F.col("_off")).alias("_rank"), "_n")
+
+
+def ntile_expr(rank: Column, n: Column, k: int) -> Column:
+    """NTILE(k) (1-based) for a 0-based rank among n rows: the first n mod k
+    buckets hold one extra row, as in SQL."""
     if k <= 0:
         raise ValueError("k must be positive")
-    q, r = divmod(n_rows, k)
+    q = F.floor(n / F.lit(k))
+    r = n - q * F.lit(k)
     big = r * (q + 1)
-    if q == 0:
-        return (rank + 1).cast("int")
-    return F.when(rank < F.lit(big), F.floor(rank / F.lit(q + 1)) + 1) \
-        .otherwise(F.lit(r) + F.floor((rank - F.lit(big)) / F.lit(q)) + 1).cast("int")
-
-
-def add_ntile(df: DataFrame, order: list[Column], k: int, out_col: str,
+    return (F.when(q == 0, rank + 1)
+            .when(rank < big, F.floor(rank / (q + 1)) + 1)
+            .otherwise(r + F.floor((rank - big) / q) + 1)).cast("int")
+
+
+def add_ntiles(df: DataFrame, id_col: str, specs, k: int,
+               num_partitions: int | None = None) -> DataFrame:
+    """Add ``NTILE(k) OVER (ORDER BY key [DESC], id)`` columns for several
+    sort keys in one distributed pass.
+
+    ``specs``: list of ``(out_col, key_col, ascending, nulls_first)``.  The
+    scores are pivoted back per id (one shuffle of narrow rows) and joined
+    to ``df`` on ``id_col``.
+    """
+    ranks = global_ranks(df, id_col, [(s[1], s[2], s[3]) for s in specs], num_partitions)
+    tiles = ranks.select("_id", "_m", ntile_expr(F.col("_rank"), F.col("_n"), k).alias("_t"))
+    wide = tiles.groupBy("_id").agg(*[F.max(F.when(F.col("_m") == i, F.col("_t"))).alias(s[0])
+                                      for i, s in enumerate(specs)])
+    wide = wide.withColumnRenamed("_id", id_col)
+    return df.join(wide, id_col, "left")
+
+
+def add_ntile(df: DataFrame, id_col: str, out_col: str, key_col: str, k: int,
+              ascending: bool = True, nulls_first: bool | None = None,
               num_partitions: int | None = None) -> DataFrame:
-    """``NTILE(k) OVER (ORDER BY order)`` as a distributed plan."""
-    ranked, n = with_global_rank(df, order, "_ntile_rank", num_partitions)
-    return ranked.withColumn(out_col, ntile_of_rank(F.col("_ntile_rank"), n, k)).drop("_ntile_rank")
+    """Single-key form of :func:`add_ntiles` (Spark's default null order:
+    first for ascending, last for descending)."""
+    nf = ascending if nulls_first is None else nulls_first
+    return add_ntiles(df, id_col, [(out_col, key_col, ascending, nf)], k, num_partitions)
+
 
+# ---- quantile bins (qcut) ---------------------------------------------------------
 
 def _linear_edge(values: dict[int, object], h: Fraction):
     lo = h.numerator // h.denominator
@@ -97,26 +162,35 @@ def _linear_edge(values: dict[int, object], h: Fraction):
     return v_lo + frac * (v_hi - v_lo)
 
 
-def quantile_edges(df: DataFrame, value_col: str, tie_key: str, q: int,
-                   num_partitions: int | None = None) -> list[Fraction]:
-    """Exact linear-interpolated quantile edges at i/q, i = 0..q (the rule of
-    pandas ``qcut``).  Only the <= 2(q+1) rows at the needed ranks reach the
-    driver; the sort itself is distributed."""
-    ranked, n = with_global_rank(df.select(value_col, tie_key).filter(F.col(value_col).isNotNull()),
-                                 [F.col(value_col).asc_nulls_last(), F.col(tie_key).asc_nulls_last()],
-                                 "_qrank", num_partitions)
-    if n == 0:
-        return []
-    hs = [Fraction(n - 1) * Fraction(i, q) for i in range(q + 1)]
-    need = set()
-    for h in hs:
-        lo = h.numerator // h.denominator
-        need.add(lo)
-        if h != lo:
-            need.add(lo + 1)
-    rows = ranked.filter(F.col("_qrank").isin(sorted(need))).select("_qrank", value_col).collect()
-    values = {r["_qrank"]: r[value_col] for r in rows}
-    return [_linear_edge(values, h) for h in hs]
+def quantile_edges(df: DataFrame, id_col: str, value_cols, q: int,
+                   num_partitions: int | None = None) -> dict[str, list[Fraction]]:
+    """Exact linear-interpolated quantile edges at i/q, i = 0..q, for each
+    column (the rule of pandas ``qcut``; nulls ignored).  One job: the ranks
+    are distributed, and only the <= 2(q+1) rows per column at the needed
+    ranks reach the driver."""
+    value_cols = list(value_cols)
+    # Nulls sort last, so ranks 0..n_nonnull-1 are the non-null values.
+    ranks = global_ranks(df, id_col, [(c, True, False) for c in value_cols], num_partitions)
+    nn = ranks.groupBy("_m").agg(F.count("_key").alias("_nn"))
+    ranks = ranks.filter(F.col("_key").isNotNull()).join(F.broadcast(nn), "_m")
+    n1 = F.col("_nn") - 1
+    conds = []
+    for i in range(q + 1):
+        lo = F.floor(n1 * F.lit(i) / F.lit(q))
+        conds.append((F.col("_rank") == lo) | (F.col("_rank") == lo + 1))
+    picked = ranks.filter(reduce(lambda a, b: a | b, conds)) \
+        .select("_m", "_rank", "_key", "_nn").collect()
+    out: dict[str, list[Fraction]] = {}
+    for m, c in enumerate(value_cols):
+        rows = [r for r in picked if r["_m"] == m]
+        if not rows:
+            out[c] = []
+            continue
+        n = rows[0]["_nn"]
+        values = {r["_rank"]: r["_key"] for r in rows}
+        hs = [Fraction(n - 1) * Fraction(i, q) for i in range(q + 1)]
+        out[c] = [_linear_edge(values, h) for h in hs]
+    return out
 
 
 def _lit_edge(e: Fraction) -> Column:
@@ -128,23 +202,26 @@ def _lit_edge(e: Fraction) -> Column:
     return F.lit(d)
 
 
-def qcut(df: DataFrame, value_col: str, tie_key: str, q: int, out_col: str,
-         duplicates: str = "raise", num_partitions: int | None = None) -> DataFrame:
-    """Quantile bins 1..q like pandas ``qcut(x, q, labels=1..q)``: right-closed
-    bins with the minimum in bin 1.  Duplicate edges raise (pandas default)
-    or, with ``duplicates='drop'``, are merged."""
-    edges = quantile_edges(df, value_col, tie_key, q, num_partitions)
+def bin_by_edges(value: Column, edges: list[Fraction], duplicates: str = "raise") -> Column:
+    """Right-closed bins 1..len(edges)-1 with the minimum in bin 1."""
     if not edges:
-        return df.withColumn(out_col, F.lit(None).cast("int"))
+        return F.lit(None).cast("int")
     uniq = sorted(set(edges))
     if len(uniq) != len(edges) and duplicates == "raise":
         raise ValueError(f"Bin edges must be unique: {[float(e) for e in edges]}")
-    inner = uniq[1:-1]
-    v = F.col(value_col)
     expr = None
-    for i, e in enumerate(inner, start=1):
-        cond = v <= _lit_edge(e)
+    for i, e in enumerate(uniq[1:-1], start=1):
+        cond = value <= _lit_edge(e)
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
     top = len(uniq) - 1
     expr = F.lit(top) if expr is None else expr.otherwise(F.lit(top))
-    return df.withColumn(out_col, F.when(v.isNotNull(), expr).cast("int"))
+    return F.when(value.isNotNull(), expr).cast("int")
+
+
+def qcut(df: DataFrame, id_col: str, specs, q: int, duplicates: str = "raise",
+         num_partitions: int | None = None) -> DataFrame:
+    """Quantile bins 1..q like pandas ``qcut(x, q, labels=1..q)`` for several
+    columns: ``specs`` = list of ``(value_col, out_col)``.  Duplicate edges
+    raise (pandas default) or, with ``duplicates='drop'``, are merged."""
+    edges = quantile_edges(df, id_col, [s[0] for s in specs], q, num_partitions)
+    return df.withColumns({out: bin_by_edges(F.col(v), edges[v], duplicates) for v, out in specs})

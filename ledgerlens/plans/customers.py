@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import as_date_lit, as_ts_lit, days_between
 from ledgerlens.functions.tiers import lifetime_tier, rfm_segment, score_segment
-from ledgerlens.operators.ranking import add_ntile, qcut
+from ledgerlens.operators.ranking import add_ntiles, qcut
 
 
 def customer_sales_stats(fct: DataFrame, as_of=None) -> DataFrame:
@@ -42,16 +42,13 @@ def customer_sales_stats(fct: DataFrame, as_of=None) -> DataFrame:
 
 def rfm_scores(stats: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """NTILE(5) recency (days DESC), frequency (orders) and monetary (value)
-    scores, tie-broken by customer_id, computed by the distributed ranking
-    operator (no single-partition window)."""
-    cid = F.col("customer_id").asc()
-    s = add_ntile(stats, [F.col("days_since_last_order").desc_nulls_last(), cid], 5,
-                  "recency_score", num_partitions)
-    s = add_ntile(s, [F.col("total_orders").asc_nulls_first(), cid], 5,
-                  "frequency_score", num_partitions)
-    s = add_ntile(s, [F.col("lifetime_value").asc_nulls_first(), cid], 5,
-                  "monetary_score", num_partitions)
-    return s
+    scores, tie-broken by customer_id, all three from one distributed
+    ranking pass (no single-partition window)."""
+    return add_ntiles(stats, "customer_id", [
+        ("recency_score", "days_since_last_order", False, False),
+        ("frequency_score", "total_orders", True, True),
+        ("monetary_score", "lifetime_value", True, True),
+    ], 5, num_partitions)
 
 
 def dim_customers(customers: DataFrame, fct: DataFrame, as_of=None, run_ts=None,
@@ -97,8 +94,9 @@ def rfm_quantile(fct: DataFrame, as_of=None, duplicates: str = "raise",
         F.sum("net_revenue").alias("lifetime_value"),
         F.max("order_date").alias("last_order"),
     ).withColumn("days_since", days_between(F.col("last_order"), as_date_lit(as_of)))
-    s = qcut(stats, "total_orders", "customer_id", 5, "total_orders_score", duplicates, num_partitions)
-    s = qcut(s, "lifetime_value", "customer_id", 5, "lifetime_value_score", duplicates, num_partitions)
+    s = qcut(stats, "customer_id", [("total_orders", "total_orders_score"),
+                                    ("lifetime_value", "lifetime_value_score")], 5, duplicates,
+             num_partitions)
     score = F.col("total_orders_score") + F.col("lifetime_value_score")
     return s.withColumn("rfm_score", score).withColumn("segment", score_segment(score))
 
