@@ -86,7 +86,11 @@ def as_ts_lit(ts) -> Column:
         return F.current_timestamp().cast("timestamp_ntz")
     if isinstance(ts, str):
         ts = dt.datetime.fromisoformat(ts)
-    return F.lit(ts).cast("timestamp_ntz")
+    if isinstance(ts, dt.date) and not isinstance(ts, dt.datetime):
+        ts = dt.datetime.combine(ts, dt.time())
+    # Through ISO text: a Python datetime literal would be read in the
+    # process time zone and shifted by the session zone on the cast.
+    return F.lit(ts.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def utc_now() -> Column:

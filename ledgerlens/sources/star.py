@@ -24,6 +24,8 @@ STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 
 # Declared schemas of the star tables: the scan needs no footer inference,
 # and a file with drifted types fails loudly instead of silently widening.
+# The files store wall-clock timestamps (no zone), hence timestamp_ntz: dates
+# derived from them do not depend on the session time zone.
 STAR_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -32,11 +34,11 @@ STAR_SCHEMAS = {
     "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
              "p_retailprice double"),
     "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-               "o_orderdate timestamp, o_orderpriority string"),
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
     "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
                  "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
-                 "l_returnflag string, l_linestatus string, l_shipdate timestamp"),
-    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
 _READ_CACHE: dict[tuple, DataFrame] = {}
