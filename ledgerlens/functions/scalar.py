@@ -95,7 +95,8 @@ def as_ts_lit(ts) -> Column:
 
 def utc_now() -> Column:
     """CONVERT_TIMEZONE('UTC', CURRENT_TIMESTAMP())::TIMESTAMP_NTZ."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    # Source zone omitted = the session zone the wall-clock cast used.
+    return F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
 
 
 # ---- arithmetic ------------------------------------------------------------

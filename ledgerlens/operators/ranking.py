@@ -223,5 +223,10 @@ def qcut(df: DataFrame, id_col: str, specs, q: int, duplicates: str = "raise",
     """Quantile bins 1..q like pandas ``qcut(x, q, labels=1..q)`` for several
     columns: ``specs`` = list of ``(value_col, out_col)``.  Duplicate edges
     raise (pandas default) or, with ``duplicates='drop'``, are merged."""
+    # The edges are a separate job: pin the input once in the shared
+    # checkpoint directory so its upstream plan is not computed twice (and
+    # its lineage is cut).
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     edges = quantile_edges(df, id_col, [s[0] for s in specs], q, num_partitions)
     return df.withColumns({out: bin_by_edges(F.col(v), edges[v], duplicates) for v, out in specs})

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import as_ts_lit, days_between, pct_of
+from ledgerlens.operators.joins import checked_broadcast
 
 PERF_KEYS = ["period_date", "period_type", "territory_id", "territory_name",
              "territory_region", "product_category", "channel", "customer_tier"]
@@ -16,21 +17,25 @@ LAG_ORDER = ["period_date", "channel", "customer_tier", "territory_name", "terri
 
 
 def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
-              territories: DataFrame, run_ts=None) -> DataFrame:
+              territories: DataFrame, run_ts=None, dim_row_bounds: dict | None = None) -> DataFrame:
     """Central sales fact (M5): three left joins that never drop a sale.
 
     Only the dimension columns the fact needs are selected, so each
-    dimension scan reads a handful of columns.  Strategy is left to AQE:
-    small dimensions become broadcast joins after their size is measured,
-    large ones sort-merge, and a hot key on the fact side is split by the
-    skew-join rule.
+    dimension scan reads a handful of columns.  ``dim_row_bounds`` (upper
+    bounds on the rows of 'customers', 'products', 'territories') lets a
+    small dimension be broadcast after a checked size; any other dimension
+    stays a shuffle join, which AQE may still convert after measuring it,
+    and whose hot fact-side keys the skew-join rule splits.
     """
-    c = customers.select("customer_id", "tier", "country", "region", "industry")
-    p = products.select("product_id", "category", "subcategory", "brand", "cost_price",
-                        "list_price")
-    t = territories.select("territory_id", "territory_name",
-                           F.col("region").alias("territory_region"),
-                           F.col("country").alias("territory_country"))
+    bounds = dim_row_bounds or {}
+    c = checked_broadcast(customers.select("customer_id", "tier", "country", "region", "industry"),
+                          bounds.get("customers"))
+    p = checked_broadcast(products.select("product_id", "category", "subcategory", "brand",
+                                          "cost_price", "list_price"), bounds.get("products"))
+    t = checked_broadcast(territories.select("territory_id", "territory_name",
+                                             F.col("region").alias("territory_region"),
+                                             F.col("country").alias("territory_country")),
+                          bounds.get("territories"))
     j = (sales.join(c, "customer_id", "left")
          .join(p, "product_id", "left")
          .join(t, "territory_id", "left"))

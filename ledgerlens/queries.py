@@ -24,6 +24,9 @@ AS_OF = dt.date(2001, 12, 31)
 RUN_TS = dt.datetime(2002, 1, 1, 0, 0, 0)
 
 
+_BOUNDS: dict[tuple, dict] = {}
+
+
 class Models:
     """Lazily built pipeline models over one star directory."""
 
@@ -51,10 +54,22 @@ class Models:
     def stg_territories(self) -> DataFrame:
         return staging.stg_territories(self.raw["territories"])
 
+    @cached_property
+    def dim_row_bounds(self) -> dict:
+        """Upper bounds on dimension rows from the source tables' footers
+        (the driver's tables are read-only, so once per session and folder)."""
+        from ledgerlens.operators.joins import source_row_counts
+        key = (id(self.spark), self.sf_dir)
+        if key not in _BOUNDS:
+            src = {"customers": "customer", "products": "part", "territories": "nation"}
+            _BOUNDS[key] = source_row_counts(self.spark, {k: f"{self.sf_dir.rstrip('/')}/{v}.parquet"
+                                                          for k, v in src.items()})
+        return _BOUNDS[key]
+
     @cached_property
     def fct(self) -> DataFrame:
         return marts.fct_sales(self.stg_sales, self.stg_customers, self.stg_products,
-                               self.stg_territories, RUN_TS)
+                               self.stg_territories, RUN_TS, self.dim_row_bounds)
 
 
     @cached_property
