@@ -313,7 +313,7 @@ rfm_q AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_model_oracles(), **measure_oracles(), **more_oracles()}
+    return {**_model_oracles(), **measure_oracles(), **more_oracles(), **extra_oracles()}
 
 
 def _model_oracles() -> dict[str, str]:
@@ -413,7 +413,7 @@ d AS (SELECT g.{key}, g.period, s.revenue FROM g LEFT JOIN s
       ON g.{key} IS NOT DISTINCT FROM s.{key} AND g.period = s.period)"""]
 
 
-def _q_time_intelligence(key: str, grain: str) -> str:
+def _q_time_intelligence(key: str, grain: str, abs_den: bool = True, cumulative: str = "all") -> str:
     per_year = 12 if grain == "month" else 1
     run = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     mom = f"LAG(revenue, 1) OVER (PARTITION BY {key} ORDER BY period)" if grain == "month" else "NULL"
@@ -426,11 +426,13 @@ t AS (SELECT *,
       LAG(revenue, {per_year}) OVER (PARTITION BY {key} ORDER BY period) AS py,
       sum(revenue) OVER (PARTITION BY {key} ORDER BY period {run}) AS cumulative_revenue
       FROM y)"""]
+    growth = _growth_sql if abs_den else (lambda c, p: div_sql(diff0_sql(c, p), p))
+    cum = "cumulative_revenue" if cumulative == "all" else "revenue_ytd"
     return with_base(VW_SALES, *ctes, body=f"""SELECT {key}, period, CAST(revenue AS DOUBLE) AS revenue,
   CAST(revenue_ytd AS DOUBLE) AS revenue_ytd, CAST(revenue_pytd AS DOUBLE) AS revenue_pytd,
-  {_growth_sql("revenue", "pm")} AS revenue_mom_growth,
-  {_growth_sql("revenue", "py")} AS revenue_yoy_growth,
-  CAST(cumulative_revenue AS DOUBLE) AS cumulative_revenue
+  {growth("revenue", "pm")} AS revenue_mom_growth,
+  {growth("revenue", "py")} AS revenue_yoy_growth,
+  CAST({cum} AS DOUBLE) AS cumulative_revenue
 FROM t""")
 
 
@@ -739,3 +741,68 @@ FROM fct_sales WHERE gross_margin_pct < -100 OR gross_margin_pct > 100"""),
   CAST({round_div_sql("sum(net_revenue)", "count(net_revenue)")} AS DOUBLE) AS avg_order_value
 FROM fct_sales WHERE status != 'cancelled' GROUP BY order_month"""),
     }
+
+
+def _measure_evaluate_sql() -> str:
+    k = "product_category"
+    att = div_sql("actual_revenue", "budget_amount")
+    ctes = [VW_SALES, BUDGET, f"""
+e_base AS (SELECT {k}, CAST(date_trunc('month', order_date) AS DATE) AS period,
+  sum(net_revenue) AS total_revenue, count(*) AS total_orders,
+  {div_sql("sum(net_revenue)", "count(*)", "0")} AS avg_order_value FROM vw GROUP BY ALL)""", f"""
+e_top AS (SELECT {k}, period, max(pr) AS top_product_revenue FROM (
+  SELECT {k}, CAST(date_trunc('month', order_date) AS DATE) AS period, product_id, sum(net_revenue) AS pr
+  FROM vw GROUP BY ALL) GROUP BY ALL)"""] + _dense_sql(k, "month") + [f"""
+e_time AS (SELECT {k}, period,
+  sum(revenue) OVER (PARTITION BY {k}, date_trunc('year', period) ORDER BY period
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS revenue_ytd,
+  {_growth_sql("revenue", f"LAG(revenue, 1) OVER (PARTITION BY {k} ORDER BY period)")} AS revenue_mom_growth
+  FROM d)""", f"""
+first_order AS (SELECT customer_id, min(order_date) AS first_order_date FROM fct_sales
+  WHERE status != 'cancelled' GROUP BY customer_id)""", f"""
+e_act AS (SELECT {k}, period, new_customers,
+  {div_sql("total_customers - new_customers", "total_customers", "0")} AS customer_retention_rate FROM (
+  SELECT v.{k}, CAST(date_trunc('month', v.order_date) AS DATE) AS period,
+    count(DISTINCT v.customer_id) AS total_customers,
+    count(DISTINCT CASE WHEN f.first_order_date >= CAST(date_trunc('month', v.order_date) AS DATE)
+                         AND f.first_order_date <= last_day(v.order_date) THEN v.customer_id END) AS new_customers
+  FROM vw v LEFT JOIN first_order f ON v.customer_id = f.customer_id GROUP BY ALL))""", f"""
+e_a AS (SELECT {k}, CAST(date_trunc('month', order_date) AS DATE) AS period, sum(net_revenue) AS actual_revenue
+  FROM vw GROUP BY ALL)""", f"""
+e_b AS (SELECT {k}, CAST(date_trunc('month', period_date) AS DATE) AS period, sum(budget_amount) AS budget_amount
+  FROM budget GROUP BY ALL)""", f"""
+e_bud AS (SELECT COALESCE(a.{k}, b.{k}) AS {k}, COALESCE(a.period, b.period) AS period,
+  {div_sql(diff0_sql("a.actual_revenue", "b.budget_amount"), "b.budget_amount")} AS revenue_vs_budget,
+  CASE WHEN {div_sql("a.actual_revenue", "b.budget_amount")} >= 1.0 THEN 'On Track'
+       WHEN {div_sql("a.actual_revenue", "b.budget_amount")} >= 0.85 THEN 'At Risk' ELSE 'Behind' END AS kpi_status
+  FROM e_a a FULL JOIN e_b b ON a.{k} IS NOT DISTINCT FROM b.{k} AND a.period = b.period)"""]
+    del att
+    parts = ["e_base", "e_top", "e_time", "e_act", "e_bud"]
+    sql = f"SELECT * FROM {parts[0]}"
+    for i, p in enumerate(parts[1:], start=1):
+        sql = (f"SELECT COALESCE(l.{k}, r.{k}) AS {k}, COALESCE(l.period, r.period) AS period, "
+               f"l.* EXCLUDE ({k}, period), r.* EXCLUDE ({k}, period) FROM ({sql}) l FULL JOIN {p} r "
+               f"ON l.{k} IS NOT DISTINCT FROM r.{k} AND l.period IS NOT DISTINCT FROM r.period")
+    return with_base(*ctes, body=f"""SELECT {k}, period, CAST(total_revenue AS DOUBLE) AS total_revenue,
+  total_orders, avg_order_value, CAST(revenue_ytd AS DOUBLE) AS revenue_ytd, revenue_mom_growth,
+  new_customers, customer_retention_rate, CAST(top_product_revenue AS DOUBLE) AS top_product_revenue,
+  revenue_vs_budget, kpi_status FROM ({sql})""")
+
+
+def extra_oracles() -> dict[str, str]:
+    return {
+        "time_intelligence_alt": _q_time_intelligence("product_category", "month", abs_den=False,
+                                                      cumulative="ytd"),
+        "measure_evaluate": _measure_evaluate_sql(),
+        "dates_with_sales": with_base("""
+dd AS (SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY)) AS DATE) AS date_day
+       FROM stg_sales)""", body="""SELECT date_day, CAST(year(date_day) AS BIGINT) AS year,
+  CAST(month(date_day) AS BIGINT) AS month, isodow(date_day) <= 5 AS is_weekday
+FROM dd WHERE date_day IN (SELECT order_date FROM stg_sales)"""),
+        "summarize_defaults": with_base(VW_SALES, body="""SELECT territory_region,
+  CAST(sum(net_revenue) AS DOUBLE) AS net_revenue, CAST(sum(gross_profit) AS DOUBLE) AS gross_profit,
+  CAST(sum(quantity) AS BIGINT) AS quantity,
+  CAST(sum(gross_margin_pct) AS DOUBLE) / NULLIF(count(gross_margin_pct), 0) AS gross_margin_pct,
+  CAST(sum(discount_pct) AS DOUBLE) / NULLIF(count(discount_pct), 0) AS discount_pct
+FROM vw GROUP BY territory_region"""),
+    }

@@ -82,10 +82,15 @@ def base_measures(sales: DataFrame, by=(), filters: Column | None = None) -> Dat
     )
 
 
+def _mean(c: str) -> Column:
+    """Mean skipping nulls: exact decimal sum / count, as double."""
+    return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0)).cast("double")
+
+
 def default_aggregations(columns: dict[str, str]) -> dict[str, Column]:
     """``summarize_by`` defaults: {'net_revenue': 'sum', 'gross_margin_pct':
     'average', ...} -> aggregate columns (A15)."""
-    fns = {"sum": F.sum, "average": F.avg, "avg": F.avg, "min": F.min, "max": F.max,
+    fns = {"sum": F.sum, "average": _mean, "avg": _mean, "min": F.min, "max": F.max,
            "count": F.count, "distinctcount": F.count_distinct}
     return {c: fns[how.lower()](c).alias(c) for c, how in columns.items()}
 
@@ -301,6 +306,11 @@ def evaluate(sales: DataFrame, measures, by=(), grain: str | None = None,
     given).  Each measure group is computed at that grain on its own plan
     and the groups meet in null-safe equi-joins on the output keys."""
     by = list(by)
+    illegal = [c for c in by if c not in sales.columns]
+    if illegal:
+        # Sales -> Customers is single-direction: customer attributes reach
+        # sales measures only once joined onto the sales frame.
+        raise ValueError(f"cannot group sales measures by {illegal}: not columns of the sales frame")
     df = sales if filters is None else sales.filter(filters)
     wanted = list(measures)
     keys = by + (["period"] if grain else [])

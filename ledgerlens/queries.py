@@ -166,7 +166,11 @@ def q_time_intelligence_year(spark, sf_dir):
 def q_new_returning(spark, sf_dir):
     """Total, new, returning customers and retention."""
     m = Models(spark, sf_dir)
-    return oracle_types(measures.customer_activity(m.view, m.dim_customers, ["territory_region"], "month"))
+    # first_order_date of the customer dimension is the per-customer minimum
+    # non-cancelled order date; the light aggregate carries the same values
+    # without the RFM ranking plan.
+    first = customers.customer_sales_stats(m.fct, AS_OF).select("customer_id", "first_order_date")
+    return oracle_types(measures.customer_activity(m.view, first, ["territory_region"], "month"))
 
 
 def q_budget_attainment(spark, sf_dir):
@@ -514,8 +518,50 @@ def q_monthly_summary(spark, sf_dir):
     return oracle_types(demo.monthly_summary(Models(spark, sf_dir).fct))
 
 
+def q_time_intelligence_alt(spark, sf_dir):
+    """Alternate measure definitions: growth divided by the signed previous
+    value, cumulative revenue = YTD (per product category x month)."""
+    t = measures.time_intelligence(Models(spark, sf_dir).view, ["product_category"], "month",
+                                   abs_denominator=False, cumulative="ytd")
+    return oracle_types(t)
+
+
+def q_measure_evaluate(spark, sf_dir):
+    """The generic entry point: several measure groups for one grouping,
+    joined null-safely on (keys, period)."""
+    m = Models(spark, sf_dir)
+    first = customers.customer_sales_stats(m.fct, AS_OF).select("customer_id", "first_order_date")
+    out = measures.evaluate(
+        m.view, ["total_revenue", "total_orders", "avg_order_value", "revenue_ytd",
+                 "revenue_mom_growth", "new_customers", "customer_retention_rate",
+                 "top_product_revenue", "revenue_vs_budget", "kpi_status"],
+        by=["product_category"], grain="month", customers=first, budget=m.budget)
+    return oracle_types(out)
+
+
+def q_dates_with_sales(spark, sf_dir):
+    """Date rows cross-filtered by Sales (left semi join)."""
+    from ledgerlens.plans.calendar import dates_with_sales, dim_date_of
+    s = Models(spark, sf_dir).stg_sales
+    d = dim_date_of(s, "order_date")
+    return oracle_types(dates_with_sales(d, s).select("date_day", "year", "month", "is_weekday"))
+
+
+def q_summarize_defaults(spark, sf_dir):
+    """Column default aggregations (sum / average) by region."""
+    v = Models(spark, sf_dir).view
+    aggs = measures.default_aggregations({"net_revenue": "sum", "gross_profit": "sum",
+                                          "quantity": "sum", "gross_margin_pct": "average",
+                                          "discount_pct": "average"})
+    return oracle_types(v.groupBy("territory_region").agg(*aggs.values()))
+
+
 def more_queries():
     return {
+        "time_intelligence_alt": q_time_intelligence_alt,
+        "measure_evaluate": q_measure_evaluate,
+        "dates_with_sales": q_dates_with_sales,
+        "summarize_defaults": q_summarize_defaults,
         "stg_sales": q_stg_sales,
         "stg_customers": q_stg_customers,
         "stg_products": q_stg_products,
