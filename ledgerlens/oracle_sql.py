@@ -293,11 +293,11 @@ q_edges AS (
 ),
 q_scored AS (
   SELECT s.*,
-    CASE WHEN total_orders <= fo[1] THEN 1 WHEN total_orders <= fo[2] THEN 2
-         WHEN total_orders <= fo[3] THEN 3 WHEN total_orders <= fo[4] THEN 4 ELSE 5 END
+    CAST(CASE WHEN total_orders <= fo[1] THEN 1 WHEN total_orders <= fo[2] THEN 2
+         WHEN total_orders <= fo[3] THEN 3 WHEN total_orders <= fo[4] THEN 4 ELSE 5 END AS BIGINT)
       AS total_orders_score,
-    CASE WHEN lifetime_value <= mo[1] THEN 1 WHEN lifetime_value <= mo[2] THEN 2
-         WHEN lifetime_value <= mo[3] THEN 3 WHEN lifetime_value <= mo[4] THEN 4 ELSE 5 END
+    CAST(CASE WHEN lifetime_value <= mo[1] THEN 1 WHEN lifetime_value <= mo[2] THEN 2
+         WHEN lifetime_value <= mo[3] THEN 3 WHEN lifetime_value <= mo[4] THEN 4 ELSE 5 END AS BIGINT)
       AS lifetime_value_score
   FROM q_stats s CROSS JOIN q_edges
 ),
@@ -492,7 +492,7 @@ def _q_customer_measures() -> str:
     return with_base(SALES_STATS, RFM, DIM_CUSTOMERS, body=f"""SELECT country,
   count(*) AS customer_count,
   {div_sql("count_if(customer_segment = 'Champions')", "count(*)", "0")} AS champions_pct,
-  count_if(customer_segment = 'At Risk') AS at_risk_customers
+  CAST(count_if(customer_segment = 'At Risk') AS BIGINT) AS at_risk_customers
 FROM dim_customers GROUP BY country""")
 
 
@@ -705,13 +705,13 @@ WHERE status != 'cancelled' GROUP BY status"""),
         "left_join_dims": with_base(body="""SELECT 'fct_sales_left_joins' AS "check",
   (SELECT count(*) FROM stg_sales) AS rows_before, (SELECT count(*) FROM fct_sales) AS rows_after,
   (SELECT count(*) FROM stg_sales) = (SELECT count(*) FROM fct_sales) AS passed,
-  (SELECT count_if(customer_tier IS NULL) FROM fct_sales) AS no_customer,
-  (SELECT count_if(product_category IS NULL) FROM fct_sales) AS no_product,
-  (SELECT count_if(territory_name IS NULL) FROM fct_sales) AS no_territory"""),
+  CAST((SELECT count_if(customer_tier IS NULL) FROM fct_sales) AS BIGINT) AS no_customer,
+  CAST((SELECT count_if(product_category IS NULL) FROM fct_sales) AS BIGINT) AS no_product,
+  CAST((SELECT count_if(territory_name IS NULL) FROM fct_sales) AS BIGINT) AS no_territory"""),
         "multi_distinct": with_base(body="""SELECT order_year, count(DISTINCT sale_id) AS orders,
   count(DISTINCT customer_id) AS customers, count(DISTINCT product_id) AS products
 FROM fct_sales GROUP BY order_year"""),
-        "repeat_ratio": with_base(body=f"""SELECT count_if(n > 1) AS repeat_customers, count(*) AS customers,
+        "repeat_ratio": with_base(body=f"""SELECT CAST(count_if(n > 1) AS BIGINT) AS repeat_customers, count(*) AS customers,
   {div_sql("count_if(n > 1)", "count(*)", "0")} AS repeat_ratio
 FROM (SELECT customer_id, count(*) AS n FROM stg_sales WHERE status != 'cancelled' GROUP BY customer_id)"""),
         "global_month_growth": with_base(body="""SELECT order_month, CAST(total_amount AS DOUBLE) AS total_amount,

@@ -40,3 +40,17 @@ def test_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(s_rows) == len(d_rows)
     assert Counter(s_rows) == Counter(d_rows)
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_column_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    rel = con.sql(SQL[name])
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert s_types == d_types
