@@ -25,6 +25,7 @@ RUN_TS = dt.datetime(2002, 1, 1, 0, 0, 0)
 
 
 _BOUNDS: dict[tuple, dict] = {}
+_MODELS: dict[tuple, "Models"] = {}
 
 
 class Models:
@@ -34,6 +35,16 @@ class Models:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Models":
+        """Shared per session and (read-only) folder.  Only logical plans are
+        shared - every query still scans the tables when it runs."""
+        key = (id(spark), sf_dir)
+        m = _MODELS.get(key)
+        if m is None or m.spark is not spark:
+            m = _MODELS[key] = cls(spark, sf_dir)
+        return m
+
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
         return from_star(self.spark, self.sf_dir)
@@ -105,67 +116,67 @@ def oracle_types(df: DataFrame, drop=("_transformed_at", "_updated_at", "_ingest
 
 def q_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship slice: star -> stg_sales -> fct_sales -> monthly KPI group-by."""
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return oracle_types(marts.monthly_kpis(m.fct))
 
 
 def q_sales_performance_row(spark, sf_dir):
     """Monthly KPIs with literal-LAG MoM/YoY growth (W4, W5, mode='row')."""
-    return oracle_types(marts.fct_sales_performance(Models(spark, sf_dir).fct, "row", RUN_TS))
+    return oracle_types(marts.fct_sales_performance(Models.of(spark, sf_dir).fct, "row", RUN_TS))
 
 
 def q_sales_performance_calendar(spark, sf_dir):
     """Monthly KPIs with calendar-exact MoM/YoY growth (mode='calendar')."""
-    return oracle_types(marts.fct_sales_performance(Models(spark, sf_dir).fct, "calendar", RUN_TS))
+    return oracle_types(marts.fct_sales_performance(Models.of(spark, sf_dir).fct, "calendar", RUN_TS))
 
 
 def q_dim_customers(spark, sf_dir):
     """RFM-segmented customer dimension (M6; W1-W3 distributed NTILE)."""
-    return oracle_types(Models(spark, sf_dir).dim_customers)
+    return oracle_types(Models.of(spark, sf_dir).dim_customers)
 
 
 def q_rfm_quantile(spark, sf_dir):
     """Quantile RFM variant (M12; W7 exact qcut edges, P11)."""
-    return oracle_types(customers.rfm_quantile(Models(spark, sf_dir).fct, AS_OF))
+    return oracle_types(customers.rfm_quantile(Models.of(spark, sf_dir).fct, AS_OF))
 
 
 def q_segment_counts(spark, sf_dir):
     """Segment value counts of the quantile RFM."""
-    rq = customers.rfm_quantile(Models(spark, sf_dir).fct, AS_OF)
+    rq = customers.rfm_quantile(Models.of(spark, sf_dir).fct, AS_OF)
     return oracle_types(customers.segment_counts(rq, "segment"))
 
 
 def q_customer_segments(spark, sf_dir):
     """Customers and lifetime value per RFM segment x lifetime tier."""
-    dim = Models(spark, sf_dir).dim_customers
+    dim = Models.of(spark, sf_dir).dim_customers
     return oracle_types(dim.groupBy("customer_segment", "lifetime_tier").agg(
         F.count("*").alias("customers"), F.sum("lifetime_value").alias("lifetime_value")))
 
 
 def q_base_measures(spark, sf_dir):
     """D1-D8, D17, D21, D25 by region x year in one aggregate."""
-    return oracle_types(measures.base_measures(Models(spark, sf_dir).view,
+    return oracle_types(measures.base_measures(Models.of(spark, sf_dir).view,
                                                ["territory_region", "order_year"]))
 
 
 def q_period_to_date(spark, sf_dir):
     """Revenue MTD / QTD / YTD per region x day."""
-    return oracle_types(measures.period_to_date(Models(spark, sf_dir).view, ["territory_region"], "day"))
+    return oracle_types(measures.period_to_date(Models.of(spark, sf_dir).view, ["territory_region"], "day"))
 
 
 def q_time_intelligence_month(spark, sf_dir):
     """D11-D14, D16 per region x month on the densified grid."""
-    return oracle_types(measures.time_intelligence(Models(spark, sf_dir).view, ["territory_region"], "month"))
+    return oracle_types(measures.time_intelligence(Models.of(spark, sf_dir).view, ["territory_region"], "month"))
 
 
 def q_time_intelligence_year(spark, sf_dir):
     """Year-grain YTD / PYTD / YoY / cumulative per product category."""
-    return oracle_types(measures.time_intelligence(Models(spark, sf_dir).view, ["product_category"], "year"))
+    return oracle_types(measures.time_intelligence(Models.of(spark, sf_dir).view, ["product_category"], "year"))
 
 
 def q_new_returning(spark, sf_dir):
     """Total, new, returning customers and retention."""
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     # first_order_date of the customer dimension is the per-customer minimum
     # non-cancelled order date; the light aggregate carries the same values
     # without the RFM ranking plan.
@@ -175,28 +186,28 @@ def q_new_returning(spark, sf_dir):
 
 def q_budget_attainment(spark, sf_dir):
     """Actual vs budget per territory x month."""
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return oracle_types(measures.budget_measures(m.view, m.budget, ["territory_id"], "month"))
 
 
 def q_top_products(spark, sf_dir):
     """Top product revenue per region."""
-    return oracle_types(measures.top_product_revenue(Models(spark, sf_dir).view, ["territory_region"]))
+    return oracle_types(measures.top_product_revenue(Models.of(spark, sf_dir).view, ["territory_region"]))
 
 
 def q_top_products_ties(spark, sf_dir):
     """T2 with ties: products ranked in the top 3 of their region."""
-    return oracle_types(measures.top_products(Models(spark, sf_dir).view, 3, ["territory_region"]))
+    return oracle_types(measures.top_products(Models.of(spark, sf_dir).view, 3, ["territory_region"]))
 
 
 def q_customer_measures(spark, sf_dir):
     """D22, D23, D28 per customer country (customer-table measures)."""
-    return oracle_types(measures.customer_segment_measures(Models(spark, sf_dir).dim_customers, ["country"]))
+    return oracle_types(measures.customer_segment_measures(Models.of(spark, sf_dir).dim_customers, ["country"]))
 
 
 def q_kpi_summary(spark, sf_dir):
     """One-row KPI summary with computed margin and growth."""
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return oracle_types(demo.kpi_summary(m.fct, customers.rfm_quantile(m.fct, AS_OF)))
 
 
@@ -231,48 +242,48 @@ def _core_queries():
 def q_stg_sales(spark, sf_dir):
     """M1 Silver sales (F1, F2, X1-X6, X10-X14, X17, P5).  ``unit_price``
     is a decimal quotient and is left out of the comparison."""
-    return oracle_types(Models(spark, sf_dir).stg_sales.drop("unit_price", "_source", "_file_name"))
+    return oracle_types(Models.of(spark, sf_dir).stg_sales.drop("unit_price", "_source", "_file_name"))
 
 
 def q_stg_customers(spark, sf_dir):
     """M2 Silver customers."""
-    return oracle_types(Models(spark, sf_dir).stg_customers)
+    return oracle_types(Models.of(spark, sf_dir).stg_customers)
 
 
 def q_stg_products(spark, sf_dir):
     """M3 Silver products."""
-    return oracle_types(Models(spark, sf_dir).stg_products.drop("weight_kg", "is_active", "launched_date"))
+    return oracle_types(Models.of(spark, sf_dir).stg_products.drop("weight_kg", "is_active", "launched_date"))
 
 
 def q_stg_territories(spark, sf_dir):
     """M4 Silver territories."""
-    return oracle_types(Models(spark, sf_dir).stg_territories.drop("manager_id", "quota_amount"))
+    return oracle_types(Models.of(spark, sf_dir).stg_territories.drop("manager_id", "quota_amount"))
 
 
 def q_budget_periods(spark, sf_dir):
     """M14 budget with period_date (budget derived from prior-year revenue)."""
-    return oracle_types(Models(spark, sf_dir).budget.drop("budget_id"))
+    return oracle_types(Models.of(spark, sf_dir).budget.drop("budget_id"))
 
 
 def q_fct_sales(spark, sf_dir):
     """M5 Gold sales fact."""
-    return oracle_types(Models(spark, sf_dir).fct.drop("unit_price", "cost_price"))
+    return oracle_types(Models.of(spark, sf_dir).fct.drop("unit_price", "cost_price"))
 
 
 def q_vw_sales_fact(spark, sf_dir):
     """M8 semantic sales view."""
-    return oracle_types(Models(spark, sf_dir).view.drop("unit_price"))
+    return oracle_types(Models.of(spark, sf_dir).view.drop("unit_price"))
 
 
 def q_vw_customer_dim(spark, sf_dir):
     """M9 semantic customer view."""
-    return oracle_types(marts.vw_customer_dim(Models(spark, sf_dir).dim_customers))
+    return oracle_types(marts.vw_customer_dim(Models.of(spark, sf_dir).dim_customers))
 
 
 def q_dim_date(spark, sf_dir):
     """Date dimension over the order-date range."""
     from ledgerlens.plans.calendar import dim_date_of
-    return oracle_types(dim_date_of(Models(spark, sf_dir).stg_sales, "order_date"))
+    return oracle_types(dim_date_of(Models.of(spark, sf_dir).stg_sales, "order_date"))
 
 
 # ---- quality, security, incremental ---------------------------------------------------
@@ -282,7 +293,7 @@ def q_quality_report(spark, sf_dir):
     (+ one aggregation per unique key)."""
     from ledgerlens.functions.tiers import LIFETIME_TIER_VALUES, SEGMENTS, STATUS_VALUES
     from ledgerlens.operators import quality as q
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     parts = [
         q.run_checks(m.stg_sales, "stg_sales", [
             q.not_null("sale_id"), q.unique("sale_id"), q.not_null("net_revenue"),
@@ -307,14 +318,14 @@ def q_quality_report(spark, sf_dir):
 def q_freshness(spark, sf_dir):
     """Q5: raw sales freshness at the run timestamp (warn 6 h, error 24 h)."""
     from ledgerlens.operators.quality import freshness
-    return oracle_types(freshness(Models(spark, sf_dir).raw["sales"], "_ingested_at", RUN_TS),
+    return oracle_types(freshness(Models.of(spark, sf_dir).raw["sales"], "_ingested_at", RUN_TS),
                         drop=("max_loaded_at",))
 
 
 def q_rls_region(spark, sf_dir):
     """a RegionalManager for EUROPE sees only that region's rows."""
     from ledgerlens.operators.security import secure
-    v = secure(Models(spark, sf_dir).view, "RegionalManager", "EUROPE")
+    v = secure(Models.of(spark, sf_dir).view, "RegionalManager", "EUROPE")
     return oracle_types(measures.base_measures(v, ["territory_region", "territory_name"]))
 
 
@@ -326,7 +337,7 @@ PREVIOUS_LOAD = dt.date(2000, 1, 1)
 def q_hwm_filter(spark, sf_dir):
     """Raw rows ingested after the target's high-water mark."""
     from ledgerlens.operators.incremental import after_high_water_mark
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     raw = m.raw["sales"]
     target = m.stg_sales.filter(F.col("order_date") < F.lit(PREVIOUS_LOAD))
     new = after_high_water_mark(raw, target, "_ingested_at")
@@ -360,7 +371,7 @@ def q_upsert_latest(spark, sf_dir):
     """K4 + W11: the table a keyed upsert produces (target minus replaced
     keys, plus the latest version of each incoming key)."""
     from ledgerlens.operators.incremental import latest_per_key
-    target, batch = _upsert_inputs(Models(spark, sf_dir))
+    target, batch = _upsert_inputs(Models.of(spark, sf_dir))
     latest = latest_per_key(batch, "sale_id", "_ingested_at")
     merged = target.join(latest.select("sale_id"), "sale_id", "left_anti").unionByName(latest)
     return oracle_types(merged.select("sale_id", "order_date", "status", "net_revenue", "_ingested_at"),
@@ -370,7 +381,7 @@ def q_upsert_latest(spark, sf_dir):
 def q_latest_per_customer(spark, sf_dir):
     """Each customer's latest sale by (order_date, sale_id)."""
     from ledgerlens.operators.incremental import latest_per_key
-    s = Models(spark, sf_dir).stg_sales.select("customer_id", "order_date", "sale_id", "net_revenue")
+    s = Models.of(spark, sf_dir).stg_sales.select("customer_id", "order_date", "sale_id", "net_revenue")
     return oracle_types(latest_per_key(s, "customer_id", ["order_date", "sale_id"]))
 
 
@@ -378,7 +389,7 @@ def q_latest_per_customer(spark, sf_dir):
 
 def q_deal_tiers(spark, sf_dir):
     """P5: SQL deal-size ladder (lower bounds inclusive)."""
-    s = Models(spark, sf_dir).stg_sales
+    s = Models.of(spark, sf_dir).stg_sales
     return oracle_types(s.groupBy("deal_size_tier").agg(
         F.count(F.lit(1)).alias("n"), F.min("total_amount").alias("min_amount"),
         F.max("total_amount").alias("max_amount")))
@@ -387,7 +398,7 @@ def q_deal_tiers(spark, sf_dir):
 def q_tier_bins_right_closed(spark, sf_dir):
     """Right-closed bins (0,100], (100,1000], ... on completed sales."""
     from ledgerlens.functions.tiers import deal_size_bin
-    s = Models(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
+    s = Models.of(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
     return oracle_types(s.groupBy(deal_size_bin(F.col("total_amount")).alias("deal_size_bin")).agg(
         F.count(F.lit(1)).alias("n"), F.min("total_amount").alias("min_amount"),
         F.max("total_amount").alias("max_amount")))
@@ -395,7 +406,7 @@ def q_tier_bins_right_closed(spark, sf_dir):
 
 def q_lifetime_tiers(spark, sf_dir):
     """Lifetime tiers of the customer dimension."""
-    d = Models(spark, sf_dir).dim_customers
+    d = Models.of(spark, sf_dir).dim_customers
     return oracle_types(d.groupBy("lifetime_tier").agg(
         F.count(F.lit(1)).alias("n"), F.min("lifetime_value").alias("min_ltv"),
         F.max("lifetime_value").alias("max_ltv")))
@@ -403,14 +414,14 @@ def q_lifetime_tiers(spark, sf_dir):
 
 def q_not_cancelled(spark, sf_dir):
     """status != 'cancelled' (SQL semantics) - rows per remaining status."""
-    s = Models(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
+    s = Models.of(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
     return oracle_types(s.groupBy("status").agg(F.count(F.lit(1)).alias("n")))
 
 
 def q_left_join_dims(spark, sf_dir):
     """Left joins keep every sale; unmatched-dimension counts."""
     from ledgerlens.operators.quality import row_count_preserved
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     kept = row_count_preserved(m.stg_sales, m.fct, "fct_sales_left_joins")
     unmatched = m.fct.agg(
         F.count_if(F.col("customer_tier").isNull()).alias("no_customer"),
@@ -422,7 +433,7 @@ def q_left_join_dims(spark, sf_dir):
 
 def q_multi_distinct(spark, sf_dir):
     """A4: three distinct counts in one group-by."""
-    f = Models(spark, sf_dir).fct
+    f = Models.of(spark, sf_dir).fct
     return oracle_types(f.groupBy("order_year").agg(
         F.count_distinct("sale_id").alias("orders"),
         F.count_distinct("customer_id").alias("customers"),
@@ -431,7 +442,7 @@ def q_multi_distinct(spark, sf_dir):
 
 def q_repeat_ratio(spark, sf_dir):
     """Share of customers with more than one completed sale."""
-    s = Models(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
+    s = Models.of(spark, sf_dir).stg_sales.filter(F.col("status") != "cancelled")
     per = s.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
     from ledgerlens.functions.scalar import safe_divide
     return per.agg(F.count_if(F.col("n") > 1).alias("repeat_customers"),
@@ -443,7 +454,7 @@ def q_global_month_growth(spark, sf_dir):
     """Month-over-month growth of total amount over the month series
     (window over the monthly aggregate, at most one row per month)."""
     from pyspark.sql import Window
-    s = Models(spark, sf_dir).stg_sales
+    s = Models.of(spark, sf_dir).stg_sales
     mon = s.groupBy(F.col("order_month")).agg(F.sum("total_amount").alias("total_amount"))
     prev = F.lag("total_amount", 1).over(Window.orderBy("order_month"))
     out = mon.withColumn("prev_amount", prev).withColumn(
@@ -454,28 +465,28 @@ def q_global_month_growth(spark, sf_dir):
 
 def q_running_total_month(spark, sf_dir):
     """Cumulative revenue over all months (no keys)."""
-    t = measures.time_intelligence(Models(spark, sf_dir).view, [], "month")
+    t = measures.time_intelligence(Models.of(spark, sf_dir).view, [], "month")
     return oracle_types(t.select("period", "revenue", "cumulative_revenue"))
 
 
 def q_status_outside_allowed(spark, sf_dir):
     """Status values outside the demo's allowed set (left anti join)."""
     from ledgerlens.operators.quality import values_outside
-    s = Models(spark, sf_dir).stg_sales
+    s = Models.of(spark, sf_dir).stg_sales
     return values_outside(s, "status", ["completed", "pending", "shipped", "cancelled"])
 
 
 def q_text_cleaning(spark, sf_dir):
     """trim/case, null-propagating concatenation, phone cleanup."""
-    c = Models(spark, sf_dir).stg_customers
+    c = Models.of(spark, sf_dir).stg_customers
     return c.select("customer_id", "first_name", "last_name", "full_name", "email", "phone",
                     "industry", "country", "city")
 
 
 def q_date_parts(spark, sf_dir):
     """Day differences, month/quarter truncation, year/month/quarter."""
-    v = Models(spark, sf_dir).view
-    s = Models(spark, sf_dir).stg_sales
+    v = Models.of(spark, sf_dir).view
+    s = Models.of(spark, sf_dir).stg_sales
     a = s.select("sale_id", "days_to_ship", F.col("order_month").alias("month_start"),
                  F.col("order_quarter").alias("quarter_start"))
     b = v.select("sale_id", F.col("days_to_ship").alias("raw_days_to_ship"), "order_year",
@@ -485,7 +496,7 @@ def q_date_parts(spark, sf_dir):
 
 def q_margin_math(spark, sf_dir):
     """Total cost, gross profit and margin % per sale."""
-    f = Models(spark, sf_dir).fct
+    f = Models.of(spark, sf_dir).fct
     return oracle_types(f.select("sale_id", "quantity", "net_revenue", "total_cost", "gross_profit",
                                  "gross_margin_pct"))
 
@@ -499,7 +510,7 @@ def q_duplicate_keys(spark, sf_dir):
 
 def q_range_violations(spark, sf_dir):
     """Q3: sales whose margin is outside -100..100 (nulls pass)."""
-    f = Models(spark, sf_dir).fct
+    f = Models.of(spark, sf_dir).fct
     bad = F.coalesce((F.col("gross_margin_pct") < -100) | (F.col("gross_margin_pct") > 100), F.lit(False))
     return oracle_types(f.filter(bad).select("sale_id", "gross_margin_pct"))
 
@@ -515,13 +526,13 @@ def q_dataset_stats(spark, sf_dir):
 
 def q_monthly_summary(spark, sf_dir):
     """The demo's monthly KPIs (sum, count, distinct, mean; 2 decimals)."""
-    return oracle_types(demo.monthly_summary(Models(spark, sf_dir).fct))
+    return oracle_types(demo.monthly_summary(Models.of(spark, sf_dir).fct))
 
 
 def q_time_intelligence_alt(spark, sf_dir):
     """Alternate measure definitions: growth divided by the signed previous
     value, cumulative revenue = YTD (per product category x month)."""
-    t = measures.time_intelligence(Models(spark, sf_dir).view, ["product_category"], "month",
+    t = measures.time_intelligence(Models.of(spark, sf_dir).view, ["product_category"], "month",
                                    abs_denominator=False, cumulative="ytd")
     return oracle_types(t)
 
@@ -529,7 +540,7 @@ def q_time_intelligence_alt(spark, sf_dir):
 def q_measure_evaluate(spark, sf_dir):
     """The generic entry point: several measure groups for one grouping,
     joined null-safely on (keys, period)."""
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     first = customers.customer_sales_stats(m.fct, AS_OF).select("customer_id", "first_order_date")
     out = measures.evaluate(
         m.view, ["total_revenue", "total_orders", "avg_order_value", "revenue_ytd",
@@ -542,14 +553,14 @@ def q_measure_evaluate(spark, sf_dir):
 def q_dates_with_sales(spark, sf_dir):
     """Date rows cross-filtered by Sales (left semi join)."""
     from ledgerlens.plans.calendar import dates_with_sales, dim_date_of
-    s = Models(spark, sf_dir).stg_sales
+    s = Models.of(spark, sf_dir).stg_sales
     d = dim_date_of(s, "order_date")
     return oracle_types(dates_with_sales(d, s).select("date_day", "year", "month", "is_weekday"))
 
 
 def q_summarize_defaults(spark, sf_dir):
     """Column default aggregations (sum / average) by region."""
-    v = Models(spark, sf_dir).view
+    v = Models.of(spark, sf_dir).view
     aggs = measures.default_aggregations({"net_revenue": "sum", "gross_profit": "sum",
                                           "quantity": "sum", "gross_margin_pct": "average",
                                           "discount_pct": "average"})
