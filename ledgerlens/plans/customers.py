@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.scalar import as_date_lit, as_ts_lit, days_between
 from ledgerlens.functions.tiers import lifetime_tier, rfm_segment, score_segment
 from ledgerlens.operators.ranking import add_ntiles, qcut
+from ledgerlens.session import ensure_checkpoint_dir
 
 
 def customer_sales_stats(fct: DataFrame, as_of=None) -> DataFrame:
@@ -59,7 +60,13 @@ def dim_customers(customers: DataFrame, fct: DataFrame, as_of=None, run_ts=None,
     stats once (one left join instead of two).  Customers without sales get
     the documented defaults: scores 1/1/1, total 3, days 9999, Lost, Bronze.
     """
-    stats = rfm_scores(customer_sales_stats(fct, as_of), num_partitions)
+    # The stats feed both the ranking and the final join, and column pruning
+    # would give the two branches different aggregates (no exchange reuse):
+    # pin them once in the shared checkpoint directory so the fact plan runs
+    # once (customer-sized, and the lineage is cut).
+    ensure_checkpoint_dir(fct.sparkSession)
+    stats = customer_sales_stats(fct, as_of).checkpoint(eager=True)
+    stats = rfm_scores(stats, num_partitions)
     j = customers.join(stats, "customer_id", "left")
     r = F.coalesce(F.col("recency_score"), F.lit(1))
     f = F.coalesce(F.col("frequency_score"), F.lit(1))

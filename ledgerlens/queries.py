@@ -37,8 +37,10 @@ class Models:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Models":
-        """Shared per session and (read-only) folder.  Only logical plans are
-        shared - every query still scans the tables when it runs."""
+        """Shared per session and (read-only) folder.  Only lazy logical plans
+        are cached on it - anything that materializes data (checkpointed
+        customer stats, qcut inputs) is rebuilt per query, so every query
+        still reads and computes its whole input when it runs."""
         key = (id(spark), sf_dir)
         m = _MODELS.get(key)
         if m is None or m.spark is not spark:
@@ -83,8 +85,10 @@ class Models:
                                self.stg_territories, RUN_TS, self.dim_row_bounds)
 
 
-    @cached_property
+    @property
     def dim_customers(self) -> DataFrame:
+        # Not cached: building it materializes (checkpoints) the customer
+        # stats, and each query must pay for its own data.
         return customers.dim_customers(self.stg_customers, self.fct, AS_OF, RUN_TS)
 
 
