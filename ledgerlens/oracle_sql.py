@@ -745,7 +745,6 @@ FROM fct_sales WHERE status != 'cancelled' GROUP BY order_month"""),
 
 def _measure_evaluate_sql() -> str:
     k = "product_category"
-    att = div_sql("actual_revenue", "budget_amount")
     ctes = [VW_SALES, BUDGET, f"""
 e_base AS (SELECT {k}, CAST(date_trunc('month', order_date) AS DATE) AS period,
   sum(net_revenue) AS total_revenue, count(*) AS total_orders,
@@ -776,7 +775,6 @@ e_bud AS (SELECT COALESCE(a.{k}, b.{k}) AS {k}, COALESCE(a.period, b.period) AS
   CASE WHEN {div_sql("a.actual_revenue", "b.budget_amount")} >= 1.0 THEN 'On Track'
        WHEN {div_sql("a.actual_revenue", "b.budget_amount")} >= 0.85 THEN 'At Risk' ELSE 'Behind' END AS kpi_status
   FROM e_a a FULL JOIN e_b b ON a.{k} IS NOT DISTINCT FROM b.{k} AND a.period = b.period)"""]
-    del att
     parts = ["e_base", "e_top", "e_time", "e_act", "e_bud"]
     sql = f"SELECT * FROM {parts[0]}"
     for i, p in enumerate(parts[1:], start=1):

@@ -315,7 +315,6 @@ def evaluate(sales: DataFrame, measures, by=(), grain: str | None = None,
     wanted = list(measures)
     keys = by + (["period"] if grain else [])
     parts: list[DataFrame] = []
-    g_by = by + ([_period("order_date", grain).alias("period")] if grain else [])
 
     def need(group):
         return [m for m in wanted if m in MEASURE_GROUPS[group]]
@@ -342,7 +341,6 @@ def evaluate(sales: DataFrame, measures, by=(), grain: str | None = None,
     unknown = [m for m in wanted if not any(m in v for v in MEASURE_GROUPS.values())]
     if unknown:
         raise ValueError(f"unknown measures {unknown}")
-    del g_by
 
     def combine(a: DataFrame, b: DataFrame) -> DataFrame:
         j = a.alias("l").join(b.alias("r"), _null_safe_on("l", "r", keys), "full")

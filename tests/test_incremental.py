@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerlens.operators.incremental import after_high_water_mark, latest_per_key, merge_upsert
 from ledgerlens.sources import schemas
