@@ -63,21 +63,56 @@ def latest_month_growth(fct: DataFrame) -> DataFrame:
 def kpi_summary(fct: DataFrame, segmented: DataFrame, segment_col: str = "segment") -> DataFrame:
     """One-row KPI summary: revenue, orders, customers, mean order value,
     gross margin, Champions share and latest-month growth - all computed,
-    none hard-coded.  The one-row parts are stacked with ``unionByName``
-    and folded by a global ``max`` (no cross join)."""
+    none hard-coded.
+
+    The fact is aggregated once: ``rollup(order_month)`` yields the monthly
+    rows and the grand total (whose distinct customer count cannot be
+    rebuilt from months) in one pass; a window over that small frame finds
+    the previous months and one global aggregate folds it to a row.  The
+    Champions share comes from the segmented customers; the one-row parts
+    are stacked with ``unionByName`` and folded by ``max`` (no cross join).
+    """
     done = completed_sales(fct)
-    rev = F.sum("net_revenue")
-    tot = done.agg(
-        rev.cast("double").alias("total_revenue"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        safe_divide(rev, F.count("net_revenue")).alias("avg_order_value"),
-        safe_divide(F.sum("gross_profit"), rev, 0).alias("gross_margin_pct"),
+    r = done.rollup("order_month").agg(
+        F.sum("net_revenue").alias("rev"),
+        F.count(F.lit(1)).alias("n"),
+        F.count("net_revenue").alias("nn"),
+        F.count_distinct("customer_id").alias("uc"),
+        F.sum("gross_profit").alias("gp"),
+        F.grouping_id().alias("_g"),
+    )
+    month = F.col("_g") == 0
+    idx = F.when(month, F.year("order_month") * 12 + F.month("order_month"))
+    w = Window.orderBy(idx)          # months of one series: calendar-bounded
+    r = r.withColumns({
+        "pm": F.max(F.when(month, F.col("rev"))).over(w.rangeBetween(-1, -1)),
+        "py": F.max(F.when(month, F.col("rev"))).over(w.rangeBetween(-12, -12)),
+    })
+    total = ~month
+    latest = F.max_by(F.when(month, F.struct("rev", "pm", "py")), F.when(month, F.col("order_month")))
+    folded = r.agg(
+        F.max(F.when(total, F.col("rev"))).alias("_rev"),
+        F.max(F.when(total, F.col("n"))).alias("total_orders"),
+        F.max(F.when(total, F.col("nn"))).alias("_nn"),
+        F.max(F.when(total, F.col("uc"))).alias("unique_customers"),
+        F.max(F.when(total, F.col("gp"))).alias("_gp"),
+        latest.alias("_last"),
+    )
+    cur, pm, py = F.col("_last.rev"), F.col("_last.pm"), F.col("_last.py")
+    tot = folded.select(
+        F.col("_rev").cast("double").alias("total_revenue"),
+        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
+        F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
+        safe_divide("_rev", "_nn").alias("avg_order_value"),
+        safe_divide("_gp", "_rev", 0).alias("gross_margin_pct"),
+        safe_divide(_diff0(cur, pm), F.abs(pm)).alias("revenue_mom_growth"),
+        safe_divide(_diff0(cur, py), F.abs(py)).alias("revenue_yoy_growth"),
     )
     champions = segmented.agg(
         safe_divide(F.count_if(F.col(segment_col) == "Champions"), F.count(F.lit(1)), 0)
         .alias("champions_pct"))
-    parts = [tot, champions, latest_month_growth(fct)]
+    parts = [tot, champions]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    cols = [c for p in parts for c in p.columns]
+    cols = ["total_revenue", "total_orders", "unique_customers", "avg_order_value",
+            "gross_margin_pct", "champions_pct", "revenue_mom_growth", "revenue_yoy_growth"]
     return stacked.agg(*[F.max(c).alias(c) for c in cols])
