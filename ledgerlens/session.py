@@ -38,13 +38,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint directory.
 
     The cluster names it in ``spark.checkpoint.dir``; we only invent one
     (a fresh temp folder) when nothing is configured, as in local tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
