@@ -64,3 +64,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for materialized intermediates under the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "ledgerlens-scratch", name)
+
+
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                     max_partitions: int = 100_000) -> dict:
+    """Suggested settings for a run reading ``input_bytes``.
+
+    Shuffle partitions are sized so one partition is ~``target_partition_bytes``
+    before AQE coalesces small ones (advisory size) and splits skewed ones,
+    which keeps a task's shuffle read within executor memory instead of
+    spilling.  Scan splits match the same size.
+    """
+    parts = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
