@@ -789,6 +789,16 @@ e_bud AS (SELECT COALESCE(a.{k}, b.{k}) AS {k}, COALESCE(a.period, b.period) AS
 
 def extra_oracles() -> dict[str, str]:
     return {
+        "csv_roundtrip": with_base(body="""SELECT count(*) AS rows_loaded,
+  CAST(sum(total_amount) AS DOUBLE) AS total_amount, CAST(sum(discount_pct) AS DOUBLE) AS discount_pct,
+  count(DISTINCT sale_id) AS sales, min(order_date) AS first_order, max(ship_date) AS last_ship,
+  count(*) AS with_source, CAST(0 AS BIGINT) AS errors
+FROM raw_sales"""),
+        "jsonl_roundtrip": """SELECT count(*) AS rows_loaded,
+  count(DISTINCT lower(c_name) || '@example.com') AS emails,
+  min(DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER)) AS first_signup,
+  count(c_mktsegment) AS with_tier, CAST(0 AS BIGINT) AS with_attributes, CAST(0 AS BIGINT) AS errors
+FROM customer""",
         "time_intelligence_alt": _q_time_intelligence("product_category", "month", abs_den=False,
                                                       cumulative="ytd"),
         "measure_evaluate": _measure_evaluate_sql(),

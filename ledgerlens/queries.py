@@ -571,8 +571,58 @@ def q_summarize_defaults(spark, sf_dir):
     return oracle_types(v.groupBy("territory_region").agg(*aggs.values()))
 
 
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from ledgerlens.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """S2, S7, S8, S10, S12, S13 on a whole table: raw sales are written as
+    CSV with reordered, differently cased headers, then loaded back through
+    the permissive reader; totals must survive the round trip."""
+    from ledgerlens.sources.readers import read_permissive
+    raw = Models.of(spark, sf_dir).raw["sales"]
+    cols = list(reversed(raw.columns))
+    landed = raw.select(*[F.col(c).alias(c.upper() if i % 2 else c.title()) for i, c in enumerate(cols)])
+    path = _scratch(spark, "csv-landing")
+    landed.write.option("header", "true").csv(path)
+    good, bad = read_permissive(spark, path, "sales", "csv", load_ts=RUN_TS, source="landing")
+    g = good.agg(F.count(F.lit(1)).alias("rows_loaded"),
+                 F.sum("total_amount").alias("total_amount"),
+                 F.sum("discount_pct").alias("discount_pct"),
+                 F.count_distinct("sale_id").alias("sales"),
+                 F.min("order_date").alias("first_order"), F.max("ship_date").alias("last_ship"),
+                 F.count_if(F.col("_source") == "landing").alias("with_source"),
+                 F.lit(None).cast("bigint").alias("errors"))
+    b = bad.agg(F.count(F.lit(1)).alias("errors"))
+    both = g.unionByName(b, allowMissingColumns=True)
+    return oracle_types(both.agg(*[F.max(c).alias(c) for c in g.columns]))
+
+
+def q_jsonl_roundtrip(spark, sf_dir):
+    """S3, S7, S8 on a whole table: raw customers written as JSON lines with
+    upper-case keys, loaded back case-insensitively."""
+    from ledgerlens.sources.readers import read_permissive
+    raw = Models.of(spark, sf_dir).raw["customers"]
+    path = _scratch(spark, "jsonl-landing")
+    raw.select(*[F.col(c).alias(c.upper()) for c in raw.columns]).write.json(path)
+    good, bad = read_permissive(spark, path, "customers", "jsonl", load_ts=RUN_TS)
+    g = good.agg(F.count(F.lit(1)).alias("rows_loaded"),
+                 F.count_distinct("email").alias("emails"),
+                 F.min("signup_date").alias("first_signup"),
+                 F.count("tier").alias("with_tier"),
+                 F.count("attributes").alias("with_attributes"),
+                 F.lit(None).cast("bigint").alias("errors"))
+    b = bad.agg(F.count(F.lit(1)).alias("errors"))
+    both = g.unionByName(b, allowMissingColumns=True)
+    return oracle_types(both.agg(*[F.max(c).alias(c) for c in g.columns]))
+
+
 def more_queries():
     return {
+        "csv_roundtrip": q_csv_roundtrip,
+        "jsonl_roundtrip": q_jsonl_roundtrip,
         "time_intelligence_alt": q_time_intelligence_alt,
         "measure_evaluate": q_measure_evaluate,
         "dates_with_sales": q_dates_with_sales,
