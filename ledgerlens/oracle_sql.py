@@ -789,6 +789,9 @@ e_bud AS (SELECT COALESCE(a.{k}, b.{k}) AS {k}, COALESCE(a.period, b.period) AS
 
 def extra_oracles() -> dict[str, str]:
     return {
+        "quarantine_rows": with_base(body="""SELECT CASE WHEN status = 'cancelled' THEN 'type:order_date'
+         ELSE 'loaded' END AS reason, count(*) AS rows, count(DISTINCT sale_id) AS sales
+FROM raw_sales GROUP BY 1"""),
         "csv_roundtrip": with_base(body="""SELECT count(*) AS rows_loaded,
   CAST(sum(total_amount) AS DOUBLE) AS total_amount, CAST(sum(discount_pct) AS DOUBLE) AS discount_pct,
   count(DISTINCT sale_id) AS sales, min(order_date) AS first_order, max(ship_date) AS last_ship,

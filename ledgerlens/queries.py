@@ -619,8 +619,28 @@ def q_jsonl_roundtrip(spark, sf_dir):
     return oracle_types(both.agg(*[F.max(c).alias(c) for c in g.columns]))
 
 
+def q_quarantine_rows(spark, sf_dir):
+    """S8 / S10 at full scale: raw sales landed as CSV where every cancelled
+    sale carries an unparseable order date (derived from the data, not made
+    up); the loader must quarantine exactly those rows, with the reason, and
+    load the rest."""
+    from ledgerlens.sources.readers import read_permissive
+    raw = Models.of(spark, sf_dir).raw["sales"]
+    landed = raw.withColumn("order_date", F.when(F.col("status") == "cancelled", F.lit("cancelled"))
+                            .otherwise(F.col("order_date").cast("string")))
+    path = _scratch(spark, "csv-quarantine")
+    landed.write.option("header", "true").csv(path)
+    good, bad = read_permissive(spark, path, "sales", "csv", load_ts=RUN_TS)
+    per_reason = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"),
+                                          F.count_distinct("sale_id").alias("sales"))
+    loaded = good.agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("rows"),
+                      F.count_distinct("sale_id").alias("sales"))
+    return per_reason.unionByName(loaded)
+
+
 def more_queries():
     return {
+        "quarantine_rows": q_quarantine_rows,
         "csv_roundtrip": q_csv_roundtrip,
         "jsonl_roundtrip": q_jsonl_roundtrip,
         "time_intelligence_alt": q_time_intelligence_alt,
