@@ -10,6 +10,13 @@ from ledgerlens.functions.tiers import lifetime_tier, rfm_segment, score_segment
 from ledgerlens.operators.ranking import add_ntiles, qcut
 from ledgerlens.session import ensure_checkpoint_dir
 
+# Defaults for a customer without (non-cancelled) sales, and
+# the number of RFM buckets.
+NO_SALES_DAYS = 9999
+NO_SALES_SCORE = 1
+NO_SALES_RFM_TOTAL = 3
+RFM_BUCKETS = 5
+
 
 def customer_sales_stats(fct: DataFrame, as_of=None) -> DataFrame:
     """Per-customer order stats over non-cancelled sales (A1, A2).
@@ -49,7 +56,7 @@ def rfm_scores(stats: DataFrame, num_partitions: int | None = None) -> DataFrame
         ("recency_score", "days_since_last_order", False, False),
         ("frequency_score", "total_orders", True, True),
         ("monetary_score", "lifetime_value", True, True),
-    ], 5, num_partitions)
+    ], RFM_BUCKETS, num_partitions)
 
 
 def dim_customers(customers: DataFrame, fct: DataFrame, as_of=None, run_ts=None,
@@ -68,9 +75,9 @@ def dim_customers(customers: DataFrame, fct: DataFrame, as_of=None, run_ts=None,
     stats = customer_sales_stats(fct, as_of).checkpoint(eager=True)
     stats = rfm_scores(stats, num_partitions)
     j = customers.join(stats, "customer_id", "left")
-    r = F.coalesce(F.col("recency_score"), F.lit(1))
-    f = F.coalesce(F.col("frequency_score"), F.lit(1))
-    m = F.coalesce(F.col("monetary_score"), F.lit(1))
+    r = F.coalesce(F.col("recency_score"), F.lit(NO_SALES_SCORE))
+    f = F.coalesce(F.col("frequency_score"), F.lit(NO_SALES_SCORE))
+    m = F.coalesce(F.col("monetary_score"), F.lit(NO_SALES_SCORE))
     zero = F.lit(0)
     return j.select(
         *[F.col(c) for c in customers.columns],
@@ -78,12 +85,12 @@ def dim_customers(customers: DataFrame, fct: DataFrame, as_of=None, run_ts=None,
         F.coalesce(F.col("lifetime_value"), zero.cast("decimal(28,4)")).alias("lifetime_value"),
         F.coalesce(F.col("avg_order_value"), zero.cast("decimal(18,2)")).alias("avg_order_value"),
         "first_order_date", "last_order_date",
-        F.coalesce(F.col("days_since_last_order"), F.lit(9999).cast("bigint")).alias("days_since_last_order"),
+        F.coalesce(F.col("days_since_last_order"), F.lit(NO_SALES_DAYS).cast("bigint")).alias("days_since_last_order"),
         F.coalesce(F.col("unique_products_bought"), zero).cast("bigint").alias("unique_products_bought"),
         F.coalesce(F.col("total_gross_profit"), zero.cast("decimal(32,4)")).alias("total_gross_profit"),
         r.alias("recency_score"), f.alias("frequency_score"), m.alias("monetary_score"),
         F.coalesce(F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score"),
-                   F.lit(3)).alias("rfm_total"),
+                   F.lit(NO_SALES_RFM_TOTAL)).alias("rfm_total"),
         rfm_segment(r, f, m).alias("customer_segment"),
         lifetime_tier(F.col("lifetime_value")).alias("lifetime_tier"),
         (F.coalesce(F.col("total_orders"), zero) > 0).alias("is_active"),

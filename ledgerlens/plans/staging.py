@@ -19,6 +19,12 @@ from ledgerlens.functions.scalar import (
 )
 from ledgerlens.functions.tiers import deal_size_tier
 
+# Silver-layer defaults.
+DEFAULT_CURRENCY = "USD"
+DEFAULT_TIER = "standard"
+SHIP_DAYS_IF_UNKNOWN = 3
+
+
 def _zero_discount():
     return F.lit(Decimal("0.0000")).cast("decimal(5,4)")
 
@@ -41,7 +47,7 @@ def stg_sales(raw: DataFrame, run_ts=None) -> DataFrame:
         F.round(F.abs("unit_price"), 4).cast("decimal(18,4)").alias("unit_price"),
         F.coalesce(F.col("discount_pct").cast("decimal(5,4)"), _zero_discount()).alias("discount_pct"),
         F.round(F.abs("total_amount"), 4).cast("decimal(18,4)").alias("total_amount"),
-        F.upper(F.coalesce(F.col("currency"), F.lit("USD"))).alias("currency"),
+        F.upper(F.coalesce(F.col("currency"), F.lit(DEFAULT_CURRENCY))).alias("currency"),
         clean_lower("channel").alias("channel"),
         clean_lower("status").alias("status"),
         "_ingested_at", "_source", "_file_name",
@@ -51,7 +57,8 @@ def stg_sales(raw: DataFrame, run_ts=None) -> DataFrame:
         "*",
         F.round(total * (F.lit(1) - disc), 4).cast("decimal(18,4)").alias("net_revenue"),
         F.round(total * disc, 4).cast("decimal(18,4)").alias("discount_amount"),
-        days_between(od, F.coalesce(F.col("ship_date"), F.date_add(od, 3))).alias("days_to_ship"),
+        days_between(od, F.coalesce(F.col("ship_date"), F.date_add(od, SHIP_DAYS_IF_UNKNOWN)))
+        .alias("days_to_ship"),
         deal_size_tier(total).alias("deal_size_tier"),
         month_start(od).alias("order_month"),
         quarter_start(od).alias("order_quarter"),
@@ -76,7 +83,7 @@ def stg_customers(raw: DataFrame, as_of=None, run_ts=None) -> DataFrame:
         clean_upper("country").alias("country"),
         F.trim("region").alias("region"),
         clean_title("city").alias("city"),
-        F.lower(F.coalesce(F.col("tier"), F.lit("standard"))).alias("tier"),
+        F.lower(F.coalesce(F.col("tier"), F.lit(DEFAULT_TIER))).alias("tier"),
         F.col("signup_date").cast("date").alias("signup_date"),
         days_between(F.col("signup_date").cast("date"), as_date_lit(as_of)).alias("days_since_signup"),
         "_ingested_at",
