@@ -608,10 +608,12 @@ batch AS (SELECT {cols} FROM s WHERE order_date >= DATE '1999-07-01'
           FROM s WHERE order_date >= DATE '1999-07-01' AND channel = 'online')""", """
 latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sale_id ORDER BY _ingested_at DESC) AS rn
            FROM batch) WHERE rn = 1)""", body=f"""
-SELECT sale_id, order_date, status, CAST(net_revenue AS DOUBLE) AS net_revenue, _ingested_at
+SELECT sale_id, order_date, status, CAST(net_revenue AS DOUBLE) AS net_revenue,
+  CAST(_ingested_at AS VARCHAR) AS _ingested_at
 FROM tgt WHERE sale_id NOT IN (SELECT sale_id FROM latest)
 UNION ALL
-SELECT sale_id, order_date, status, CAST(net_revenue AS DOUBLE) AS net_revenue, _ingested_at FROM latest""")
+SELECT sale_id, order_date, status, CAST(net_revenue AS DOUBLE) AS net_revenue,
+  CAST(_ingested_at AS VARCHAR) AS _ingested_at FROM latest""")
 
 
 def _running_total_sql() -> str:

@@ -378,7 +378,10 @@ def q_upsert_latest(spark, sf_dir):
     target, batch = _upsert_inputs(Models.of(spark, sf_dir))
     latest = latest_per_key(batch, "sale_id", "_ingested_at")
     merged = target.join(latest.select("sale_id"), "sale_id", "left_anti").unionByName(latest)
-    return oracle_types(merged.select("sale_id", "order_date", "status", "net_revenue", "_ingested_at"),
+    # The version timestamp is returned as ISO text, so any value hashing
+    # compares it exactly.
+    return oracle_types(merged.select("sale_id", "order_date", "status", "net_revenue",
+                                      F.col("_ingested_at").cast("string").alias("_ingested_at")),
                         drop=())
 
 
