@@ -48,3 +48,35 @@ def checked_broadcast(dim: DataFrame, row_bound: int | None, max_rows: int | Non
         return dim
     limit = max_rows if max_rows is not None else max_broadcast_rows(dim.sparkSession)
     return F.broadcast(dim) if row_bound <= limit else dim
+
+
+def hot_keys(fact: DataFrame, key: str, hot_fraction: float = 0.01, sample_fraction: float = 0.01,
+             seed: int = 7) -> list:
+    """Keys holding at least ``hot_fraction`` of a sample of ``fact``.  The
+    sample only decides which keys to salt (no row is dropped).  Two small
+    jobs over the key column: the sample's size, then its most frequent
+    keys (a top-k of at most 1 / hot_fraction keys, never the full list)."""
+    sample = fact.select(key).sample(fraction=sample_fraction, seed=seed)
+    total = sample.count()
+    if total == 0:
+        return []
+    k = max(1, int(1 / hot_fraction))
+    top = (sample.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+           .orderBy(F.col("_n").desc()).limit(k).collect())
+    return [r[0] for r in top if r["_n"] >= hot_fraction * total]
+
+
+def salted_left_join(fact: DataFrame, dim: DataFrame, key: str, salts: int = 16,
+                     keys_to_salt: list | None = None, **hot_opts) -> DataFrame:
+    """Left join that splits hot keys without relying on AQE: fact rows of a
+    hot key get one of ``salts`` salt values, and only the dimension rows of
+    hot keys are replicated ``salts`` times.  Each fact row still meets
+    exactly one dimension row, so the result equals the plain left join."""
+    hot = hot_keys(fact, key, **hot_opts) if keys_to_salt is None else list(keys_to_salt)
+    if not hot:
+        return fact.join(dim, key, "left")
+    is_hot = F.col(key).isin(hot)
+    f = fact.withColumn("_salt", F.when(is_hot, (F.rand(11) * salts).cast("int")).otherwise(F.lit(0)))
+    replicas = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    d = dim.withColumn("_salt", F.explode(replicas))
+    return f.join(d, [key, "_salt"], "left").drop("_salt")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import as_ts_lit, days_between, pct_of
-from ledgerlens.operators.joins import checked_broadcast
+from ledgerlens.operators.joins import checked_broadcast, max_broadcast_rows, salted_left_join
 
 PERF_KEYS = ["period_date", "period_type", "territory_id", "territory_name",
              "territory_region", "product_category", "channel", "customer_tier"]
@@ -17,7 +17,8 @@ LAG_ORDER = ["period_date", "channel", "customer_tier", "territory_name", "terri
 
 
 def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
-              territories: DataFrame, run_ts=None, dim_row_bounds: dict | None = None) -> DataFrame:
+              territories: DataFrame, run_ts=None, dim_row_bounds: dict | None = None,
+              salt_hot_keys: bool = True) -> DataFrame:
     """Central sales fact (M5): three left joins that never drop a sale.
 
     Only the dimension columns the fact needs are selected, so each
@@ -28,17 +29,28 @@ def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
     and whose hot fact-side keys the skew-join rule splits.
     """
     bounds = dim_row_bounds or {}
-    c = checked_broadcast(customers.select("customer_id", "tier", "country", "region", "industry"),
-                          bounds.get("customers"))
-    p = checked_broadcast(products.select("product_id", "category", "subcategory", "brand",
-                                          "cost_price", "list_price"), bounds.get("products"))
+    limit = max_broadcast_rows(sales.sparkSession)
+    c = customers.select("customer_id", "tier", "country", "region", "industry")
+    p = products.select("product_id", "category", "subcategory", "brand", "cost_price", "list_price")
     t = checked_broadcast(territories.select("territory_id", "territory_name",
                                              F.col("region").alias("territory_region"),
                                              F.col("country").alias("territory_country")),
                           bounds.get("territories"))
-    j = (sales.join(c, "customer_id", "left")
-         .join(p, "product_id", "left")
-         .join(t, "territory_id", "left"))
+
+    def join_dim(left, dim, key, bound):
+        # Small (checked) dimension: broadcast.  Known-large dimension: a
+        # shuffle join whose hot keys (a customer with a third of all sales)
+        # are salted, so no single task receives them; unknown size: left
+        # to AQE (which measures, converts or splits skew at run time).
+        if bound is not None and bound <= limit:
+            return left.join(checked_broadcast(dim, bound, limit), key, "left")
+        if bound is not None and salt_hot_keys:
+            return salted_left_join(left, dim, key)
+        return left.join(dim, key, "left")
+
+    j = join_dim(sales, c, "customer_id", bounds.get("customers"))
+    j = join_dim(j, p, "product_id", bounds.get("products"))
+    j = j.join(t, "territory_id", "left")
     qty, cost, net = F.col("quantity"), F.col("cost_price"), F.col("net_revenue")
     unit_cost = qty * cost
     return j.select(

@@ -85,3 +85,19 @@ def test_top_products_hot_region(spark, skewed):
     pr["rk"] = pr.groupby("territory_region")["net_revenue"].rank(method="min", ascending=False)
     exp = sorted(map(tuple, pr[pr["rk"] <= 2][["territory_region", "product_id"]].values))
     assert got == exp
+
+
+def test_salted_left_join_equals_plain_join(spark, skewed):
+    from ledgerlens.operators.joins import hot_keys, salted_left_join
+    df, pdf = skewed
+    dim = spark.createDataFrame([(c, f"tier-{c[-1]}") for c in sorted(set(pdf["customer_id"]))] + [("NOPE", "x")],
+                                "customer_id string, tier string")
+    hot = hot_keys(df, "customer_id", hot_fraction=0.2, sample_fraction=0.5)
+    assert hot == ["HOT"]
+    salted = salted_left_join(df.select("sale_id", "customer_id"), dim, "customer_id", salts=8,
+                              hot_fraction=0.2, sample_fraction=0.5)
+    plain = df.select("sale_id", "customer_id").join(dim, "customer_id", "left")
+    assert salted.count() == plain.count() == len(pdf)
+    assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
+    # the join key includes the salt, so a hot key's rows spread over join partitions
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()

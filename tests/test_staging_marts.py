@@ -132,3 +132,19 @@ def test_views_add_semantic_columns(spark):
         assert col in v.columns
     r = v.filter("sale_id = 'S1'").first()
     assert r["order_month"] == 1 and r["order_quarter"] == 1 and r["days_to_ship"] is None
+
+
+def test_fct_sales_large_dimension_path(spark):
+    """Dimensions over the broadcast bound take the salted shuffle join; the
+    fact is the same."""
+    s, c, p, t = _model(spark)
+    small = marts.fct_sales(s, c, p, t, dim_row_bounds={"customers": 1, "products": 2, "territories": 1})
+    spark.conf.set("ledgerlens.broadcast.maxRows", "0")
+    try:
+        large = marts.fct_sales(s, c, p, t, dim_row_bounds={"customers": 10**9, "products": 10**9,
+                                                            "territories": 1})
+        cols = [x for x in small.columns if x not in ("_updated_at", "_transformed_at")]
+        assert large.select(*cols).exceptAll(small.select(*cols)).count() == 0
+        assert large.count() == small.count()
+    finally:
+        spark.conf.unset("ledgerlens.broadcast.maxRows")
