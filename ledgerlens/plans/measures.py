@@ -110,10 +110,12 @@ def densify(series: DataFrame, by=(), grain: str = "month", period: str = "perio
     bounds = series.groupBy(*by).agg(F.min(period).alias("_lo"), F.max(period).alias("_hi"))
     grid = bounds.select(*by, F.explode(F.sequence("_lo", "_hi", F.expr(_STEP[grain]))).alias(period))
     vals = [c for c in series.columns if c not in by and c != period]
-    on = _null_safe_on("g", "v", by + [period])
-    return grid.alias("g").join(series.alias("v"), on, "left").select(
-        *[F.col(f"g.{k}").alias(k) for k in by + [period]],
-        *[F.col(f"v.{c}").alias(c) for c in vals])
+    # Grid and values meet in one aggregation (a single exchange) instead of
+    # a join that shuffles both sides: each key x period has at most one
+    # value row, and grouping treats null keys as equal, like '<=>'.
+    blank = grid.select(*by, period, *[F.lit(None).cast(series.schema[c].dataType).alias(c) for c in vals])
+    stacked = blank.unionByName(series.select(*by, period, *vals))
+    return stacked.groupBy(*by, period).agg(*[F.max(c).alias(c) for c in vals])
 
 
 def _ordered(by) -> Window:
