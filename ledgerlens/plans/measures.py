@@ -103,19 +103,28 @@ def period_series(sales: DataFrame, by=(), grain: str = "month", value: str = "n
     return sales.groupBy(*by, _period(date_col, grain).alias("period")).agg(F.sum(value).alias(out))
 
 
+_BACK_ONE = {"day": lambda c: F.date_sub(c, 1), "month": lambda c: F.add_months(c, -1),
+             "quarter": lambda c: F.add_months(c, -3), "year": lambda c: F.add_months(c, -12)}
+
+
 def densify(series: DataFrame, by=(), grain: str = "month", period: str = "period") -> DataFrame:
     """Give every key a row for each period between its own first and last
-    period; missing values stay null (blank)."""
+    period; missing values stay null (blank).
+
+    One pass over the (sparse) series: each row looks at its key's next
+    period (``lead``) and also emits the missing periods up to it.  The
+    window is partitioned by the keys, which also serves the later
+    per-key windows without another exchange, and the series is consumed
+    once (a separate min/max 'bounds' branch would make Spark compute the
+    fact aggregate twice)."""
     by = list(by)
-    bounds = series.groupBy(*by).agg(F.min(period).alias("_lo"), F.max(period).alias("_hi"))
-    grid = bounds.select(*by, F.explode(F.sequence("_lo", "_hi", F.expr(_STEP[grain]))).alias(period))
     vals = [c for c in series.columns if c not in by and c != period]
-    # Grid and values meet in one aggregation (a single exchange) instead of
-    # a join that shuffles both sides: each key x period has at most one
-    # value row, and grouping treats null keys as equal, like '<=>'.
-    blank = grid.select(*by, period, *[F.lit(None).cast(series.schema[c].dataType).alias(c) for c in vals])
-    stacked = blank.unionByName(series.select(*by, period, *vals))
-    return stacked.groupBy(*by, period).agg(*[F.max(c).alias(c) for c in vals])
+    with_next = series.withColumn("_next", F.lead(period).over(Window.partitionBy(*by).orderBy(period)))
+    last = F.coalesce(_BACK_ONE[grain](F.col("_next")), F.col(period))
+    spread = with_next.withColumn("_p", F.explode(F.sequence(F.col(period), last, F.expr(_STEP[grain]))))
+    own = F.col("_p") == F.col(period)
+    return spread.select(*by, F.col("_p").alias(period),
+                         *[F.when(own, F.col(c)).alias(c) for c in vals])
 
 
 def _ordered(by) -> Window:
