@@ -74,3 +74,29 @@ def test_streaming_ingest_only_new_files(spark, tmp_dir):
                   transform=lambda b: stg_sales(b))
     out = {r["sale_id"]: r["order_month"] for r in spark.read.parquet(target).collect()}
     assert out == {"S1": dt.date(2024, 1, 1), "S2": dt.date(2024, 2, 1), "S3": dt.date(2024, 2, 1)}
+
+
+def test_csv_stream_validates_header(spark, tmp_dir):
+    import pytest as _pytest
+    from pyspark.sql import types as T
+
+    from ledgerlens.streaming.ingest import file_stream
+    schema = T.StructType([T.StructField("sale_id", T.StringType()), T.StructField("amount", T.StringType())])
+    good_dir, bad_dir = os.path.join(tmp_dir, "good"), os.path.join(tmp_dir, "bad")
+    os.makedirs(good_dir)
+    os.makedirs(bad_dir)
+    with open(os.path.join(good_dir, "a.csv"), "w") as f:
+        f.write("sale_id,amount\nS1,10\nS2,20\n")
+    with open(os.path.join(bad_dir, "b.csv"), "w") as f:
+        f.write("amount,sale_id\n10,S1\n")
+
+    def run(path, name):
+        q = (file_stream(spark, path, schema, "csv").writeStream.format("memory").queryName(name)
+             .option("checkpointLocation", os.path.join(tmp_dir, f"ck_{name}"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return spark.sql(f"select * from {name}").collect()
+
+    assert sorted(r["sale_id"] for r in run(good_dir, "csv_good")) == ["S1", "S2"]
+    with _pytest.raises(Exception):
+        run(bad_dir, "csv_bad")
