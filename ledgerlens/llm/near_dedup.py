@@ -23,8 +23,6 @@ text, and a repeated row (same id and text) has the same result each time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -76,24 +74,21 @@ def region_keys(shingles: np.ndarray) -> np.ndarray:
     return np.array(keys, np.uint64).view(np.int64)
 
 
+@F.pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("set_key", T.StringType()),
+                            T.StructField("regions", T.ArrayType(T.LongType()))]))
+def _sketch(texts: pd.Series) -> pd.DataFrame:
+    rows = []
+    for text in texts:
+        s = shingle_set(text)
+        rows.append((len(s), xxhash.xxh3_128_hexdigest(s.tobytes()), region_keys(s)) if len(s) else (0, None, None))
+    return pd.DataFrame(rows, columns=["n", "set_key", "regions"])
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """(id, fp, n, set_key, regions) of each document; set_key and regions are null without words."""
-    schema = "id long, fp long, n long, set_key string, regions array<bigint>"
-
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at:at + 512]
-                ns, keys, regions = [], [], []
-                for text in part["text"]:
-                    s = shingle_set(text)
-                    ns.append(len(s))
-                    keys.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
-                    regions.append(region_keys(s) if len(s) else None)
-                yield pd.DataFrame({"id": part["id"], "fp": part["fp"], "n": ns, "set_key": keys, "regions": regions})
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("fp"), "text")
-    return rows.mapInPandas(sketch, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("fp"),
+                       _sketch("text").alias("sketch"))
+    return rows.select("id", "fp", "sketch.n", "sketch.set_key", "sketch.regions")
 
 
 @F.pandas_udf(T.BooleanType())

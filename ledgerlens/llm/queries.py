@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import line_dedup, mixing, near_dedup, segmentation, toxicity
+from ledgerlens.llm import (
+    ann,
+    chat,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_rules,
+    segmentation,
+    sharding,
+    toxicity,
+)
 
 #: Sources up to which their table of targets is broadcast; beyond, it is joined by shuffle.
 BROADCAST_SOURCES = 100_000
@@ -18,6 +29,32 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _tool_conversations(rows: DataFrame) -> DataFrame:
+    """The conversations as tool traffic: an assistant turn calls ``answer``,
+    after the call two turns before, and a user turn is the result of the call
+    one turn before (there may be none)."""
+    turn = F.col("turn")
+    call = F.struct(F.array(F.struct(
+        F.concat(F.lit("c"), turn).alias("id"), F.lit("answer").alias("name"),
+        F.struct("turn", "text").alias("arguments"),
+        F.array(F.concat(F.lit("c"), turn - 2)).alias("after"))).alias("tool_calls"))
+    result = F.struct(F.concat(F.lit("c"), turn - 1).alias("tool_call_id"), F.col("text").alias("content"))
+    role = F.col("role")
+    return rows.select(
+        "conv_id", "turn", F.when(role == "user", "tool").otherwise(role).alias("role"),
+        F.when(role == "assistant", F.to_json(call)).when(role == "user", F.to_json(result)).otherwise(F.col("text"))
+        .alias("text"))
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked, ordered, checked and serialised messages of each conversation."""
+    schemas = spark.createDataFrame([("answer", "text", "string", True), ("answer", "turn", "integer", True)],
+                                    "name string, field string, type string, required boolean")
+    rows = _tool_conversations(_read(spark, sf_dir, "conversations"))
+    out = chat.format_chat(spark, rows, schemas)
+    return out.select("conv_id", "position", "turn", "role", "kind", "call_id", "linked", "valid", "json")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     pieces, placed, sources = mixing.mix(spark, _read(spark, sf_dir, "documents"), with_text=False)
@@ -38,6 +75,18 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of each document."""
+    return license_scan.findings(spark, _read(spark, sf_dir, "documents"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of each document."""
+    out = sharding.interleave(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated toxicity of each document."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,12 +100,25 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentation.encode(_read(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest neighbours of every hundredth vector."""
+    return ann.neighbours(spark, _read(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without lines that repeat an earlier window of three."""
     out = line_dedup.line_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), "text")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of each document."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality_rules(docs, with_text=False).select("doc_id", "__verdict.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query."""
-    return {f.__name__: f for f in (op2_mixing, op3_near_dedup, op6_toxicity, op7_sentencepiece, op9_line_dedup)}
+    return {f.__name__: f for f in (
+        op1_chat_formatting, op2_mixing, op3_near_dedup, op4_license_scan, op5_sharding, op6_toxicity,
+        op7_sentencepiece, op8_nearest_neighbours, op9_line_dedup, op10_quality_rules)}

@@ -366,7 +366,7 @@ def _ids(lat: Lattices, path: np.ndarray, voc: Vocabulary) -> np.ndarray:
     return ids.astype(np.int32)
 
 
-SCHEMA = ("doc_id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, "
+SCHEMA = ("doc_id string, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, "
           "ids array<int>")
 
 
@@ -391,9 +391,9 @@ def encode(docs: DataFrame, k: int = SAMPLES, alpha: float = ALPHA, model: str =
                 yield _frame(group, k, voc, alpha)
 
     rows = docs.where(F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").cast("string").alias("doc_id"),  # pandas has no long that can be null
         F.xxhash64(F.lit("segmentation"), F.col("doc_id"), F.col("text")).alias("seed"), "text")
-    return rows.mapInPandas(run, SCHEMA)
+    return rows.mapInPandas(run, SCHEMA).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _frame(group: list[tuple], k: int, voc: Vocabulary, alpha: float) -> pd.DataFrame:
@@ -401,7 +401,7 @@ def _frame(group: list[tuple], k: int, voc: Vocabulary, alpha: float) -> pd.Data
     rows = [(i, n, len(ids), p, g, inc, ids) for (i, _, _), ss in zip(group, samples, strict=True)
             for n, (ids, p, g, inc) in enumerate(ss, 1)]
     out = pd.DataFrame(rows, columns=["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids"])
-    return out.astype({"doc_id": "Int64", "log_inclusion": "Float64"})
+    return out.astype({"log_inclusion": "Float64"})
 
 
 def decode(samples: DataFrame, column: str = "ids", model: str = MODEL) -> DataFrame:
