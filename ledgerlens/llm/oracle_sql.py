@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerlens.llm import license_scan, quality_rules
+
 # Windows of three lines over all documents; the text hash of a document is replaced by the text itself.
 OP9 = r"""
 WITH docs AS (
@@ -29,6 +31,126 @@ FROM docs d LEFT JOIN gone g USING (r)
 """
 
 
+_UPPER = "".join(map(chr, range(65, 91)))
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _text(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+# Conversations read as tool traffic, as the query reads them: links are one turn away.
+OP1 = """
+WITH m AS (
+    SELECT conv_id, turn, text,
+           CASE role WHEN 'user' THEN 'tool' ELSE role END AS role,
+           CASE role WHEN 'assistant' THEN 'call' WHEN 'user' THEN 'result' ELSE 'message' END AS kind,
+           CASE role WHEN 'assistant' THEN 'c' || turn WHEN 'user' THEN 'c' || (turn - 1) END AS call_id
+    FROM conversations)
+SELECT m.conv_id, row_number() OVER (PARTITION BY m.conv_id ORDER BY m.turn) - 1 AS position, m.turn, m.role, m.kind,
+       m.call_id, o.call_id IS NOT NULL AS linked, CASE WHEN m.kind = 'call' THEN m.text IS NOT NULL END AS valid,
+       CASE m.kind
+           WHEN 'call' THEN '{"arguments":{"text":' || to_json(m.text) || ',"turn":' || m.turn || '},"call_id":"'
+               || m.call_id || '","name":"answer","role":"assistant","turn":' || m.turn || '}'
+           WHEN 'result' THEN '{"call_id":"' || m.call_id || '","content":' || to_json(m.text)
+               || ',"role":"tool","turn":' || m.turn || '}'
+           ELSE '{"content":' || to_json(m.text) || ',"role":"' || m.role || '","turn":' || m.turn || '}'
+       END AS json
+FROM m LEFT JOIN m o ON o.conv_id = m.conv_id AND o.call_id = m.call_id AND o.kind <> m.kind
+"""
+
+
+def _op4() -> str:
+    rows = []
+    templates = [(label, phrase, True) for phrase, label in license_scan.BASE]
+    templates += [(label, text, False) for label, text in license_scan.NOTICES]
+    for number, (label, phrase, base) in enumerate(templates):
+        ws = phrase.split()
+        k = min(license_scan.GRAM, len(ws))
+        rows += [f"({number}, '{label}', {base}, {len(ws)}, {k}, {q}, {_text(ws[q])}, {_text(ws[q + 1])}, "
+                 f"{_text(ws[q + 2] if k > 2 else None)})" for q in range(len(ws) - k + 1)]
+    return f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+    FROM documents),
+grams(tid, label, base, len, k, q, w0, w1, w2) AS (VALUES {", ".join(rows)}),
+places AS (
+    SELECT r, p, ws[p + 1] AS a0, ws[p + 2] AS a1, ws[p + 3] AS a2
+    FROM docs, LATERAL (SELECT unnest(range(len(ws) - 1)) AS p) AS t),
+diagonals AS (
+    SELECT r, tid, label, base, len, k, p - q AS d, list(DISTINCT q) AS qs
+    FROM places JOIN grams ON a0 = w0 AND a1 = w1 AND (w2 IS NULL OR a2 = w2)
+    GROUP BY ALL HAVING NOT base OR count(DISTINCT q) = len - k + 1),
+far AS (
+    SELECT *, CASE WHEN base OR d - coalesce(lag(d) OVER (PARTITION BY r, tid ORDER BY d), -1000000)
+                             > {license_scan.SLACK} THEN 1 ELSE 0 END AS new
+    FROM diagonals),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY r, tid ORDER BY d) AS span FROM far),
+spans AS (
+    SELECT r, label, base, len, min(d + list_min(qs)) AS first,
+           len(list_distinct(flatten(list(flatten([range(q, q + k) FOR q IN qs]))))) AS covered
+    FROM numbered GROUP BY r, tid, label, base, len, k, span),
+found AS (
+    SELECT r, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word,
+           max(first) FILTER (base) AS last_word, max(covered / len) AS score,
+           array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+           array_to_string(list_sort(list(DISTINCT label) FILTER (base OR 100 * covered >= {license_scan.COVERED} * len)),
+                           ',') AS labels
+    FROM spans GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM docs LEFT JOIN found USING (r)
+"""
+
+
+def _op10() -> str:
+    q = quality_rules
+    lower = f"translate(bare, '{_UPPER}', '{_UPPER.lower()}')"
+    return f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS lines,
+           regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws
+    FROM documents),
+lines AS (
+    SELECT r, i, lines[i] AS line, trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+    FROM docs, LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i) AS u),
+judged AS (
+    SELECT r, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again,
+           length(array_to_string(regexp_extract_all(bare, '{_WORD}'), '')) AS chars,
+           100 * len(regexp_extract_all(bare, {_text(q.LINE_SYMBOLS)})) > {q.LINE_SYMBOL_SHARE} * length(bare)
+           OR (len(regexp_extract_all(bare, '{_WORD}')) < {q.SHORT_LINE}
+               AND (NOT regexp_matches(bare, {_text(q.ENDS)}) OR regexp_matches({lower}, {_text(q.NAVIGATION)})
+                    OR regexp_matches({lower}, {_text(q.BARS)})))
+           OR regexp_matches({lower}, {_text(q.BOILERPLATE)}) AS fails
+    FROM lines WHERE bare <> ''),
+per_line AS (
+    SELECT r, count(*) FILTER (again) AS n_dup_lines, count(*) FILTER (fails) AS n_failed_lines,
+           coalesce(sum(chars) FILTER (fails), 0)::BIGINT AS lost_chars
+    FROM judged GROUP BY r),
+windows AS (
+    SELECT r, p, ws[p:p + {q.WINDOW - 1}] AS w
+    FROM docs, LATERAL (SELECT unnest(range(1, len(ws) - {q.WINDOW - 2})) AS p) AS u),
+repeated AS (SELECT r, p FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
+covered AS (
+    SELECT r, count(DISTINCT x) AS n_repeat_words
+    FROM (SELECT r, unnest(range(p, p + {q.WINDOW})) AS x FROM repeated) GROUP BY r),
+base AS (
+    SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+           len(regexp_extract_all(t, '[{q.SYMBOLS}]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_failed_lines, 0) AS n_failed_lines,
+           coalesce(lost_chars, 0) AS lost_chars
+    FROM docs LEFT JOIN per_line USING (r) LEFT JOIN covered USING (r))
+SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.REPEATED_SHARE} * n_words AS base_failed,
+       NOT (n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.REPEATED_SHARE} * n_words)
+       AND 100 * lost_chars <= {q.LOST_SHARE} * word_chars AS kept
+FROM base
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Name of a query to its SQL."""
-    return {"op9_line_dedup": OP9}
+    return {"op1_chat_formatting": OP1, "op4_license_scan": _op4(), "op9_line_dedup": OP9,
+            "op10_quality_rules": _op10()}

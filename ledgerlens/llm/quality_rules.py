@@ -49,7 +49,7 @@ REPEATED_SHARE = 30
 _WORD = re.compile(WORD)
 _BLANKS = " \t\n\r\x0b\x0c"
 _LINE_SYMBOLS, _ENDS, _NAVIGATION, _BARS, _BOILERPLATE = map(
-    re.compile, (LINE_SYMBOLS, ENDS, NAVIGATION, BARS, BOILERPLATE))
+    lambda p: re.compile(p, re.ASCII), (LINE_SYMBOLS, ENDS, NAVIGATION, BARS, BOILERPLATE))
 
 
 def lower(text: str) -> str:
