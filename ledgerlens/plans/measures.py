@@ -7,10 +7,10 @@ in a difference where exactly one side is blank, blank counts as 0.
 
 Additive measures share one ``groupBy().agg()``.  Distinct counts are
 recomputed at each grain, never summed.  Time intelligence first reduces
-the fact to keys x period, then densifies each key's own min..max period
-range (no keys x calendar cross product), so window frames and lags see
-every period; those windows are partitioned by the keys and hold at most
-one row per period.
+the fact to keys x period, then gives every key all periods from its first
+to the last of the data (as over a date table: a key whose sales stop still
+has its later periods), so window frames and lags see every period; those
+windows are partitioned by the keys and hold at most one row per period.
 """
 
 from __future__ import annotations
@@ -107,9 +107,15 @@ _BACK_ONE = {"day": lambda c: F.date_sub(c, 1), "month": lambda c: F.add_months(
              "quarter": lambda c: F.add_months(c, -3), "year": lambda c: F.add_months(c, -12)}
 
 
-def densify(series: DataFrame, by=(), grain: str = "month", period: str = "period") -> DataFrame:
-    """Give every key a row for each period between its own first and last
-    period; missing values stay null (blank).
+def last_period(sales: DataFrame, grain: str, date_col: str = "order_date") -> Column:
+    """The last period of the data, as a scalar subquery (it reads one column)."""
+    return sales.agg(F.max(_period(date_col, grain)).alias("_last")).scalar()
+
+
+def densify(series: DataFrame, by=(), grain: str = "month", period: str = "period",
+            last: Column | None = None) -> DataFrame:
+    """Give every key a row for each period between its own first period and
+    ``last`` (its own last one, if not given); missing values stay null (blank).
 
     One pass over the (sparse) series: each row looks at its key's next
     period (``lead``) and also emits the missing periods up to it.  The
@@ -120,7 +126,8 @@ def densify(series: DataFrame, by=(), grain: str = "month", period: str = "perio
     by = list(by)
     vals = [c for c in series.columns if c not in by and c != period]
     with_next = series.withColumn("_next", F.lead(period).over(Window.partitionBy(*by).orderBy(period)))
-    last = F.coalesce(_BACK_ONE[grain](F.col("_next")), F.col(period))
+    end = F.col(period) if last is None else F.greatest(last, F.col(period))
+    last = F.coalesce(_BACK_ONE[grain](F.col("_next")), end)
     spread = with_next.withColumn("_p", F.explode(F.sequence(F.col(period), last, F.expr(_STEP[grain]))))
     own = F.col("_p") == F.col(period)
     return spread.select(*by, F.col("_p").alias(period),
@@ -139,12 +146,13 @@ def period_to_date(sales: DataFrame, by=(), grain: str = "day") -> DataFrame:
     At day grain the value on a day is the running sum since the start of
     its month/quarter/year.  At month grain MTD is the month itself, QTD and
     YTD sum the months of the quarter/year so far (the value on the
-    period's last calendar day).  All three windows partition by the keys
-    and the year first, so one exchange serves them."""
+    period's last calendar day).  Days or months without sales have a row as
+    well: the running values hold on them, the revenue is blank.  All three
+    windows partition by the keys and the year first."""
     if grain not in ("day", "month"):
         raise ValueError("period_to_date supports grain 'day' or 'month'")
     by = list(by)
-    s = period_series(sales, by, grain)
+    s = densify(period_series(sales, by, grain), by, grain, last=last_period(sales, grain))
     y, q, m = F.trunc("period", "year"), F.trunc("period", "quarter"), F.trunc("period", "month")
     run = Window.unboundedPreceding, Window.currentRow
     wy = Window.partitionBy(*by, y).orderBy("period").rowsBetween(*run)
@@ -161,17 +169,19 @@ def period_to_date(sales: DataFrame, by=(), grain: str = "day") -> DataFrame:
 def time_intelligence(sales: DataFrame, by=(), grain: str = "month",
                       abs_denominator: bool = True, cumulative: str = "all") -> DataFrame:
     """YTD, PYTD, MoM / YoY growth and cumulative revenue on the dense
-    keys x period grid (grain 'month' or 'year').
+    keys x period grid (grain 'day', 'month' or 'year').
 
     PYTD is YTD of the same period one year earlier; growth is
     DIVIDE(cur - prev, ABS(prev)) (``abs_denominator=False``: divide by
     prev); cumulative is the running total over all earlier periods
     (``cumulative='ytd'``: the YTD definition).
     """
-    if grain not in ("month", "year"):
-        raise ValueError("time_intelligence supports grain 'month' or 'year'")
+    if grain not in ("day", "month", "year"):
+        raise ValueError("time_intelligence supports grain 'day', 'month' or 'year'")
     by = list(by)
-    dense = densify(period_series(sales, by, grain), by, grain)
+    dense = densify(period_series(sales, by, grain), by, grain, last=last_period(sales, grain))
+    if grain == "day":
+        return _daily_intelligence(dense, by, abs_denominator, cumulative)
     per_year = 12 if grain == "month" else 1
     w = _ordered(by)
     wy = Window.partitionBy(*by, F.trunc("period", "year")).orderBy("period") \
@@ -199,30 +209,67 @@ def time_intelligence(sales: DataFrame, by=(), grain: str = "month",
                     "cumulative_revenue")
 
 
+def _daily_intelligence(dense: DataFrame, by: list, abs_denominator: bool, cumulative: str) -> DataFrame:
+    """The day grain: the compared days are the same dates one month and one
+    year earlier (the last of that month where it is shorter), found by an
+    equi-join of the key x day grid with itself."""
+    run = Window.unboundedPreceding, Window.currentRow
+    wy = Window.partitionBy(*by, F.trunc("period", "year")).orderBy("period").rowsBetween(*run)
+    d = dense.withColumn("revenue_ytd", F.sum("revenue").over(wy))
+    d = d.withColumn("cumulative_revenue", F.sum("revenue").over(_ordered(by).rowsBetween(*run))
+                     if cumulative == "all" else F.col("revenue_ytd"))
+    d = d.withColumns({"_month": F.add_months("period", -1), "_year": F.add_months("period", -12)})
+
+    def earlier(frame: DataFrame, at: str, **columns: str) -> DataFrame:
+        then = d.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], F.col("period").alias("_p"),
+                        *[F.col(c).alias(name) for name, c in columns.items()])
+        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(by)],
+                    F.col(at) == F.col("_p"))
+        return frame.join(then, on, "left").drop("_p", *[f"_k{i}" for i in range(len(by))])
+
+    d = earlier(earlier(d, "_month", _prev_m="revenue"), "_year", _prev_y="revenue", revenue_pytd="revenue_ytd")
+
+    def growth(prev: str) -> Column:
+        den = F.abs(F.col(prev)) if abs_denominator else F.col(prev)
+        return safe_divide(_diff_blank_as_zero(F.col("revenue"), F.col(prev)), den)
+
+    return d.select(*by, "period", "revenue", "revenue_ytd", "revenue_pytd",
+                    growth("_prev_m").alias("revenue_mom_growth"),
+                    growth("_prev_y").alias("revenue_yoy_growth"), "cumulative_revenue")
+
+
 # ---- D17-D21 -----------------------------------------------------------------------
 
-def customer_activity(sales: DataFrame, customers: DataFrame, by=(), grain: str = "month") -> DataFrame:
+def customer_activity(sales: DataFrame, customers: DataFrame, by=(), grain: str | None = "month") -> DataFrame:
     """Total / new / returning customers, retention rate and revenue per
     customer per keys x period.  New = distinct customers whose
     ``first_order_date`` (from the customer dimension) falls inside the
-    period."""
+    period; without a grain, inside the dates of the data."""
     by = list(by)
+    keys = by + (["period"] if grain else [])
     c = customers.select("customer_id", "first_order_date")
-    j = sales.join(c, "customer_id", "left")
-    p = _period("order_date", grain)
-    if grain == "day":
-        end = p
+    # One row for each key, period and customer before the join: a customer
+    # with a third of all sales is a handful of rows there, and the distinct
+    # counts become plain ones.
+    period = {"period": _period("order_date", grain)} if grain else {}
+    each = (sales.withColumns(period) if grain else sales).groupBy(*keys, "customer_id").agg(
+        F.sum("net_revenue").alias("revenue"), F.min("order_date").alias("_from"), F.max("order_date").alias("_to"))
+    j = each.join(c, "customer_id", "left")
+    if not grain:
+        start, end = sales.agg(F.min("order_date")).scalar(), sales.agg(F.max("order_date")).scalar()
+    elif grain == "day":
+        start = end = F.col("period")
     else:
         step = {"month": 1, "quarter": 3, "year": 12}[grain]
-        end = F.date_sub(F.add_months(p, step), 1)
-    is_new = (F.col("first_order_date") >= F.col("_p")) & (F.col("first_order_date") <= F.col("_pend"))
-    agg = j.withColumns({"_p": p, "_pend": end}).groupBy(*by, F.col("_p").alias("period")).agg(
-        F.count_distinct("customer_id").alias("total_customers"),
-        F.count_distinct(F.when(is_new, F.col("customer_id"))).alias("new_customers"),
-        F.sum("net_revenue").alias("revenue"),
+        start, end = F.col("period"), F.date_sub(F.add_months("period", step), 1)
+    is_new = F.col("first_order_date").between(start, end)
+    agg = j.withColumn("_new", F.col("customer_id").isNotNull() & is_new).groupBy(*keys).agg(
+        F.count("customer_id").alias("total_customers"),
+        F.count_if("_new").alias("new_customers"),
+        F.sum("revenue").alias("revenue"),
     )
     returning = F.col("total_customers") - F.col("new_customers")
-    return agg.select(*by, "period", "total_customers", "new_customers",
+    return agg.select(*keys, "total_customers", "new_customers",
                       returning.alias("returning_customers"),
                       safe_divide(returning, "total_customers", 0).alias("customer_retention_rate"),
                       safe_divide("revenue", "total_customers", 0).alias("revenue_per_customer"))
@@ -268,7 +315,7 @@ def top_products(sales: DataFrame, n: int, by=()) -> DataFrame:
 
 # ---- D15, D26, D27 ------------------------------------------------------------------
 
-def budget_measures(sales: DataFrame, budget: DataFrame, by=(), grain: str = "month") -> DataFrame:
+def budget_measures(sales: DataFrame, budget: DataFrame, by=(), grain: str | None = "month") -> DataFrame:
     """Actual vs budget at keys x period; keys must be budget keys.
 
     Each side is aggregated to the common grain first, then the two small
@@ -277,13 +324,15 @@ def budget_measures(sales: DataFrame, budget: DataFrame, by=(), grain: str = "mo
     bad = [k for k in by if k not in BUDGET_KEYS]
     if bad:
         raise ValueError(f"budget measures can only group by {BUDGET_KEYS}, got {bad}")
-    if grain not in ("month", "quarter", "year"):
+    if grain not in (None, "month", "quarter", "year"):
         raise ValueError("budget grain must be month, quarter or year")
-    act = sales.groupBy(*by, _period("order_date", grain).alias("period")).agg(
-        F.sum("net_revenue").alias("actual_revenue"))
-    bud = budget.groupBy(*by, _period("period_date", grain).alias("period")).agg(
-        F.sum("budget_amount").alias("budget_amount"))
-    keys = by + ["period"]
+
+    def at(date_col: str) -> list:
+        return [_period(date_col, grain).alias("period")] if grain else []
+
+    act = sales.groupBy(*by, *at("order_date")).agg(F.sum("net_revenue").alias("actual_revenue"))
+    bud = budget.groupBy(*by, *at("period_date")).agg(F.sum("budget_amount").alias("budget_amount"))
+    keys = by + (["period"] if grain else [])
     j = act.alias("a").join(bud.alias("b"), _null_safe_on("a", "b", keys), "full")
     out = j.select(*[F.coalesce(F.col(f"a.{k}"), F.col(f"b.{k}")).alias(k) for k in keys],
                    F.col("a.actual_revenue"), F.col("b.budget_amount"))
@@ -312,19 +361,41 @@ MEASURE_GROUPS = {
 
 def evaluate(sales: DataFrame, measures, by=(), grain: str | None = None,
              customers: DataFrame | None = None, budget: DataFrame | None = None,
-             filters: Column | None = None) -> DataFrame:
+             filters: Column | None = None, dates: tuple | None = None) -> DataFrame:
     """Evaluate named measures for ``by`` (plus ``period`` when ``grain`` is
     given).  Each measure group is computed at that grain on its own plan
-    and the groups meet in null-safe equi-joins on the output keys."""
+    and the groups meet in null-safe equi-joins on the output keys.
+
+    ``filters`` restricts sales by anything but dates; ``dates`` (first, last,
+    inclusive) is the date filter.  Time intelligence looks back beyond it:
+    its values are computed on all dates and shown for the periods inside.
+    Without a grain there is one row for each key, and time intelligence has
+    the values of the last month in range.
+    """
     by = list(by)
     illegal = [c for c in by if c not in sales.columns]
     if illegal:
         # Sales -> Customers is single-direction: customer attributes reach
         # sales measures only once joined onto the sales frame.
         raise ValueError(f"cannot group sales measures by {illegal}: not columns of the sales frame")
-    df = sales if filters is None else sales.filter(filters)
+    every = sales if filters is None else sales.filter(filters)
+    df = every if dates is None else every.filter(F.col("order_date").between(*[F.lit(x) for x in dates]))
+    if dates is not None and budget is not None:
+        budget = budget.filter(F.col("period_date").between(*[F.lit(x) for x in dates]))
     wanted = list(measures)
     keys = by + (["period"] if grain else [])
+
+    def shown(frame: DataFrame, columns: list[str]) -> DataFrame:
+        """The periods that the date filter and the grain ask for."""
+        at = grain or "month"
+        if grain is None:
+            last = last_period(df, at)
+            frame = frame.filter(F.col("period") == last)
+        elif dates is not None:
+            first, until = (F.trunc(F.lit(x).cast("date"), at) if at != "day" else F.lit(x).cast("date") for x in dates)
+            frame = frame.filter(F.col("period").between(first, until))
+        return frame.select(*keys, *columns)
+
     parts: list[DataFrame] = []
 
     def need(group):
@@ -338,22 +409,24 @@ def evaluate(sales: DataFrame, measures, by=(), grain: str | None = None,
         parts.append(top_product_revenue(
             df.withColumn("period", _period("order_date", grain)) if grain else df, keys))
     if need("time"):
-        parts.append(time_intelligence(df, by, grain or "month").select(*keys, *need("time")))
+        parts.append(shown(time_intelligence(every, by, grain or "month"), need("time")))
     if need("ptd"):
-        parts.append(period_to_date(df, by, grain or "month").select(*keys, *need("ptd")))
+        parts.append(shown(period_to_date(every, by, grain or "month"), need("ptd")))
     if need("activity"):
         if customers is None:
             raise ValueError("customer measures need the customer table")
-        parts.append(customer_activity(df, customers, by, grain or "month").select(*keys, *need("activity")))
+        parts.append(customer_activity(df, customers, by, grain).select(*keys, *need("activity")))
     if need("budget"):
         if budget is None:
             raise ValueError("budget measures need the budget table")
-        parts.append(budget_measures(df, budget, by, grain or "month").select(*keys, *need("budget")))
+        parts.append(budget_measures(df, budget, by, grain).select(*keys, *need("budget")))
     unknown = [m for m in wanted if not any(m in v for v in MEASURE_GROUPS.values())]
     if unknown:
         raise ValueError(f"unknown measures {unknown}")
 
     def combine(a: DataFrame, b: DataFrame) -> DataFrame:
+        if not keys:                         # one row on each side
+            return a.join(F.broadcast(b), how="cross")
         j = a.alias("l").join(b.alias("r"), _null_safe_on("l", "r", keys), "full")
         return j.select(*[F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys],
                         *[F.col(f"l.{c}").alias(c) for c in a.columns if c not in keys],

@@ -22,13 +22,14 @@ def _months(start: dt.date, n: int):
 
 
 def _brute(rows):
-    """Per key: dense months between first and last sale; blank rules."""
+    """Per key: all months from its first sale to the last of the data; blank rules."""
     df = pd.DataFrame(rows, columns=["k", "d", "v"])
     df["p"] = df["d"].map(lambda d: dt.date(d.year, d.month, 1))
     out = {}
+    end = df["p"].max()
     for k, g in df.groupby("k"):
         sums = g.groupby("p")["v"].sum().to_dict()
-        months = _months(min(sums), 1 + (max(sums).year - min(sums).year) * 12 + max(sums).month - min(sums).month)
+        months = _months(min(sums), 1 + (end.year - min(sums).year) * 12 + end.month - min(sums).month)
         idx = {p: i for i, p in enumerate(months)}
         for p in months:
             rev = sums.get(p)
