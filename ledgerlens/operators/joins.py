@@ -14,15 +14,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows above which a dimension is never broadcast (a narrow dimension row is
-# ~100 bytes, so the default keeps a broadcast under ~50 MB).  Override with
-# the session conf key below.
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
-CONF_KEY = "ledgerlens.broadcast.maxRows"
+# Bytes above which a dimension is never broadcast: an upper bound on its rows
+# times the width of the columns that are joined.  Override with the session
+# conf key below.
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+CONF_KEY = "ledgerlens.broadcast.maxBytes"
 
+# What a value is taken to occupy, where its type does not say.
+_TEXT_BYTES = 40
 
-def max_broadcast_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(CONF_KEY, str(DEFAULT_MAX_BROADCAST_ROWS)))
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated bytes of a row of ``df`` in memory."""
+    wide = {"string": _TEXT_BYTES, "binary": _TEXT_BYTES, "map": 400, "array": 400, "struct": 400}
+    return 16 + sum(wide.get(f.dataType.typeName(), 16) for f in df.schema.fields)
+
+
+def max_broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(CONF_KEY, str(DEFAULT_MAX_BROADCAST_BYTES)))
+
+
+def fits_broadcast(dim: DataFrame, row_bound: int | None, max_bytes: int | None = None) -> bool:
+    """Whether ``row_bound`` (an upper bound on the rows) is known and within the limit."""
+    limit = max_bytes if max_bytes is not None else max_broadcast_bytes(dim.sparkSession)
+    return row_bound is not None and row_bound * row_bytes(dim) <= limit
 
 
 def source_row_count(spark: SparkSession, path: str) -> int:
@@ -41,42 +56,40 @@ def source_row_counts(spark: SparkSession, paths: dict[str, str]) -> dict[str, i
     return out
 
 
-def checked_broadcast(dim: DataFrame, row_bound: int | None, max_rows: int | None = None) -> DataFrame:
+def checked_broadcast(dim: DataFrame, row_bound: int | None, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(dim)`` when ``row_bound`` (an upper bound on its rows) is
-    known and within ``max_rows``; the dimension unchanged otherwise."""
-    if row_bound is None:
-        return dim
-    limit = max_rows if max_rows is not None else max_broadcast_rows(dim.sparkSession)
-    return F.broadcast(dim) if row_bound <= limit else dim
-
-
-def hot_keys(fact: DataFrame, key: str, hot_fraction: float = 0.01, sample_fraction: float = 0.01,
-             seed: int = 7) -> list:
-    """Keys holding at least ``hot_fraction`` of a sample of ``fact``.  The
-    sample only decides which keys to salt (no row is dropped).  Two small
-    jobs over the key column: the sample's size, then its most frequent
-    keys (a top-k of at most 1 / hot_fraction keys, never the full list)."""
-    sample = fact.select(key).sample(fraction=sample_fraction, seed=seed)
-    total = sample.count()
-    if total == 0:
-        return []
-    k = max(1, int(1 / hot_fraction))
-    top = (sample.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .orderBy(F.col("_n").desc()).limit(k).collect())
-    return [r[0] for r in top if r["_n"] >= hot_fraction * total]
-
-
-def salted_left_join(fact: DataFrame, dim: DataFrame, key: str, salts: int = 16,
-                     keys_to_salt: list | None = None, **hot_opts) -> DataFrame:
+    known and its bytes within the limit; the dimension unchanged otherwise."""
+    return F.broadcast(dim) if fits_broadcast(dim, row_bound, max_bytes) else dim
+
+
+#: Keys salted at most: the list of hot keys is broadcast.
+MAX_HOT_KEYS = 1000
+
+
+def hot_keys(fact: DataFrame, key: str, hot_fraction: float = 0.01) -> DataFrame:
+    """The keys that hold at least ``hot_fraction`` of ``fact``'s rows, as a
+    lazy one-column frame ``_hot`` (there are 1 / hot_fraction of them at most).
+    It reads the key column alone, and counts before the shuffle."""
+    counts = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.orderBy(F.col("_n").desc(), key).limit(min(MAX_HOT_KEYS, max(1, int(1 / hot_fraction))))
+    rows = fact.agg(F.count(F.lit(1))).scalar()
+    return top.filter(F.col("_n") >= hot_fraction * rows).select(F.col(key).alias("_hot"))
+
+
+def salted_left_join(fact: DataFrame, dim: DataFrame, key: str, row_id: str, salts: int = 16,
+                     hot: DataFrame | None = None, hot_fraction: float = 0.01) -> DataFrame:
     """Left join that splits hot keys without relying on AQE: fact rows of a
-    hot key get one of ``salts`` salt values, and only the dimension rows of
-    hot keys are replicated ``salts`` times.  Each fact row still meets
-    exactly one dimension row, so the result equals the plain left join."""
-    hot = hot_keys(fact, key, **hot_opts) if keys_to_salt is None else list(keys_to_salt)
-    if not hot:
-        return fact.join(dim, key, "left")
-    is_hot = F.col(key).isin(hot)
-    f = fact.withColumn("_salt", F.when(is_hot, (F.rand(11) * salts).cast("int")).otherwise(F.lit(0)))
-    replicas = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    d = dim.withColumn("_salt", F.explode(replicas))
+    hot key get one of ``salts`` salts, a hash of ``row_id``, so a task that
+    runs again deals every row as before; only the dimension rows of hot keys
+    are replicated ``salts`` times.  Each fact row still meets exactly one
+    dimension row, so the result equals the plain left join.  Nothing runs
+    before the plan does: ``hot`` (a frame with the column ``_hot``, by default
+    :func:`hot_keys` of the fact) is part of it."""
+    hot = F.broadcast(hot if hot is not None else hot_keys(fact, key, hot_fraction))
+    f = fact.join(hot, fact[key] == hot["_hot"], "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
+        .otherwise(F.lit(0))).drop("_hot")
+    d = dim.join(hot, dim[key] == hot["_hot"], "left")
+    replicas = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    d = d.withColumn("_salt", F.explode(replicas)).drop("_hot")
     return f.join(d, [key, "_salt"], "left").drop("_salt")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import as_ts_lit, days_between, pct_of
-from ledgerlens.operators.joins import checked_broadcast, max_broadcast_rows, salted_left_join
+from ledgerlens.operators.joins import checked_broadcast, fits_broadcast, hot_keys, salted_left_join
 
 PERF_KEYS = ["period_date", "period_type", "territory_id", "territory_name",
              "territory_region", "product_category", "channel", "customer_tier"]
@@ -29,7 +29,6 @@ def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
     and whose hot fact-side keys the skew-join rule splits.
     """
     bounds = dim_row_bounds or {}
-    limit = max_broadcast_rows(sales.sparkSession)
     c = customers.select("customer_id", "tier", "country", "region", "industry")
     p = products.select("product_id", "category", "subcategory", "brand", "cost_price", "list_price")
     t = checked_broadcast(territories.select("territory_id", "territory_name",
@@ -42,10 +41,10 @@ def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
         # shuffle join whose hot keys (a customer with a third of all sales)
         # are salted, so no single task receives them; unknown size: left
         # to AQE (which measures, converts or splits skew at run time).
-        if bound is not None and bound <= limit:
-            return left.join(checked_broadcast(dim, bound, limit), key, "left")
+        if fits_broadcast(dim, bound):
+            return left.join(checked_broadcast(dim, bound), key, "left")
         if bound is not None and salt_hot_keys:
-            return salted_left_join(left, dim, key)
+            return salted_left_join(left, dim, key, "sale_id", hot=hot_keys(sales, key))
         return left.join(dim, key, "left")
 
     j = join_dim(sales, c, "customer_id", bounds.get("customers"))
@@ -87,20 +86,15 @@ def monthly_kpis(fct: DataFrame, sale_id_unique: bool = True) -> DataFrame:
     row count; ``sale_id_unique=True`` uses ``count`` and saves one Expand
     leg of the multi-distinct plan.
 
-    ``territory_name`` and ``territory_region`` come from the territory
-    dimension, which is unique by ``territory_id`` (a checked quality rule),
-    so they are fixed within a territory: they are carried as ``max``
-    aggregates instead of grouping keys.  The groups are the same, and the
-    rows the distinct-count Expand copies three times are narrower.
+    All seven keys are grouping keys: text among the aggregates would turn
+    every level of the distinct counts into a sort aggregate.
     """
     base = fct.filter(F.col("status") != "cancelled")
     orders = F.count("sale_id") if sale_id_unique else F.count_distinct("sale_id")
     agg = base.groupBy(
         F.col("order_month").alias("period_date"),
-        "territory_id", "product_category", "channel", "customer_tier",
+        "territory_id", "territory_name", "territory_region", "product_category", "channel", "customer_tier",
     ).agg(
-        F.max("territory_name").alias("territory_name"),
-        F.max("territory_region").alias("territory_region"),
         orders.alias("order_count"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("product_id").alias("unique_products"),

@@ -139,7 +139,7 @@ def test_fct_sales_large_dimension_path(spark):
     fact is the same."""
     s, c, p, t = _model(spark)
     small = marts.fct_sales(s, c, p, t, dim_row_bounds={"customers": 1, "products": 2, "territories": 1})
-    spark.conf.set("ledgerlens.broadcast.maxRows", "0")
+    spark.conf.set("ledgerlens.broadcast.maxBytes", "0")
     try:
         large = marts.fct_sales(s, c, p, t, dim_row_bounds={"customers": 10**9, "products": 10**9,
                                                             "territories": 1})
@@ -147,4 +147,4 @@ def test_fct_sales_large_dimension_path(spark):
         assert large.select(*cols).exceptAll(small.select(*cols)).count() == 0
         assert large.count() == small.count()
     finally:
-        spark.conf.unset("ledgerlens.broadcast.maxRows")
+        spark.conf.unset("ledgerlens.broadcast.maxBytes")
