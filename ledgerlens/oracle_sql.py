@@ -393,8 +393,12 @@ FROM vw GROUP BY territory_region, order_year""")
 def _q_period_to_date() -> str:
     run = "ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     return with_base(VW_SALES, """
-s AS (SELECT territory_region, order_date AS period, sum(net_revenue) AS revenue FROM vw
-      GROUP BY territory_region, order_date)""", body=f"""SELECT territory_region, period,
+sold AS (SELECT territory_region, order_date AS period, sum(net_revenue) AS revenue FROM vw
+      GROUP BY territory_region, order_date)""", """
+days AS (SELECT territory_region, CAST(unnest(generate_series(lo, (SELECT max(period) FROM sold), INTERVAL 1 DAY)) AS DATE)
+         AS period FROM (SELECT territory_region, min(period) AS lo FROM sold GROUP BY territory_region))""", """
+s AS (SELECT d.territory_region, d.period, sold.revenue FROM days d LEFT JOIN sold
+      ON d.territory_region IS NOT DISTINCT FROM sold.territory_region AND d.period = sold.period)""", body=f"""SELECT territory_region, period,
   CAST(revenue AS DOUBLE) AS revenue,
   CAST(sum(revenue) OVER (PARTITION BY territory_region, date_trunc('month', period) {run}) AS DOUBLE) AS revenue_mtd,
   CAST(sum(revenue) OVER (PARTITION BY territory_region, date_trunc('quarter', period) {run}) AS DOUBLE) AS revenue_qtd,
@@ -407,7 +411,7 @@ def _dense_sql(key: str, grain: str, source: str = "vw") -> list[str]:
     return [f"""
 s AS (SELECT {key}, CAST(date_trunc('{grain}', order_date) AS DATE) AS period,
       sum(net_revenue) AS revenue FROM {source} GROUP BY ALL)""", f"""
-b AS (SELECT {key}, min(period) AS lo, max(period) AS hi FROM s GROUP BY ALL)""", f"""
+b AS (SELECT {key}, min(period) AS lo, (SELECT max(period) FROM s) AS hi FROM s GROUP BY {key})""", f"""
 g AS (SELECT {key}, CAST(unnest(generate_series(lo, hi, {step})) AS DATE) AS period FROM b)""", f"""
 d AS (SELECT g.{key}, g.period, s.revenue FROM g LEFT JOIN s
       ON g.{key} IS NOT DISTINCT FROM s.{key} AND g.period = s.period)"""]
@@ -789,6 +793,56 @@ e_bud AS (SELECT COALESCE(a.{k}, b.{k}) AS {k}, COALESCE(a.period, b.period) AS
   revenue_vs_budget, kpi_status FROM ({sql})""")
 
 
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+              "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def _measure_evaluate_total_sql() -> str:
+    """No grain: totals of each category, year to date and month growth at the last month of the data."""
+    k = "product_category"
+    return with_base(VW_SALES, BUDGET, f"""
+span AS (SELECT min(order_date) AS lo, max(order_date) AS hi FROM vw)""", """
+first_order AS (SELECT customer_id, min(order_date) AS first_order_date FROM fct_sales
+  WHERE status != 'cancelled' GROUP BY customer_id)""", f"""
+m AS (SELECT {k}, date_trunc('month', order_date) AS mo, sum(net_revenue) AS revenue FROM vw GROUP BY ALL)""", f"""
+t AS (SELECT {k}, sum(net_revenue) AS total_revenue, count(*) AS total_orders,
+  sum(CASE WHEN year(order_date) = (SELECT year(hi) FROM span) THEN net_revenue END) AS revenue_ytd,
+  count(DISTINCT CASE WHEN f.first_order_date BETWEEN (SELECT lo FROM span) AND (SELECT hi FROM span)
+                      THEN v.customer_id END) AS new_customers
+  FROM vw v LEFT JOIN first_order f USING (customer_id) GROUP BY {k})""", f"""
+bud AS (SELECT {k}, sum(budget_amount) AS budget_amount FROM budget GROUP BY {k})""", f"""
+g AS (SELECT t.*, bud.budget_amount,
+  (SELECT revenue FROM m WHERE m.{k} IS NOT DISTINCT FROM t.{k}
+     AND mo = (SELECT date_trunc('month', hi) FROM span)) AS cur,
+  (SELECT revenue FROM m WHERE m.{k} IS NOT DISTINCT FROM t.{k}
+     AND mo = (SELECT date_trunc('month', hi) - INTERVAL 1 MONTH FROM span)) AS prev
+  FROM t FULL JOIN bud ON t.{k} IS NOT DISTINCT FROM bud.{k})""", body=f"""SELECT {k},
+  CAST(total_revenue AS DOUBLE) AS total_revenue, total_orders, CAST(revenue_ytd AS DOUBLE) AS revenue_ytd,
+  {_growth_sql("cur", "prev")} AS revenue_mom_growth, new_customers,
+  {div_sql(diff0_sql("total_revenue", "budget_amount"), "budget_amount")} AS revenue_vs_budget FROM g""")
+
+
+def _time_intelligence_day_sql() -> str:
+    """Day grain: the same date a month and a year earlier (the month's last day where it is shorter)."""
+    k = "territory_region"
+    run = "ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    back = "least(last_day(CAST(date_trunc('month', period) - INTERVAL {n} MONTH AS DATE)), CAST(period - INTERVAL {n} MONTH AS DATE))"
+    return with_base(VW_SALES, f"""
+sold AS (SELECT {k}, order_date AS period, sum(net_revenue) AS revenue FROM vw GROUP BY ALL)""", f"""
+days AS (SELECT {k}, CAST(unnest(generate_series(lo, (SELECT max(period) FROM sold), INTERVAL 1 DAY)) AS DATE)
+         AS period FROM (SELECT {k}, min(period) AS lo FROM sold GROUP BY {k}))""", f"""
+d AS (SELECT days.*, sold.revenue,
+      sum(sold.revenue) OVER (PARTITION BY days.{k}, year(days.period) {run.replace("period", "days.period")}) AS ytd,
+      sum(sold.revenue) OVER (PARTITION BY days.{k} {run.replace("period", "days.period")}) AS cum
+      FROM days LEFT JOIN sold ON days.{k} IS NOT DISTINCT FROM sold.{k} AND days.period = sold.period)""", f"""
+b AS (SELECT *, {back.format(n=1)} AS pm, {back.format(n=12)} AS py FROM d)""", body=f"""SELECT b.{k}, b.period,
+  CAST(b.revenue AS DOUBLE) AS revenue, CAST(b.ytd AS DOUBLE) AS revenue_ytd, CAST(y.ytd AS DOUBLE) AS revenue_pytd,
+  {_growth_sql("b.revenue", "m.revenue")} AS revenue_mom_growth,
+  {_growth_sql("b.revenue", "y.revenue")} AS revenue_yoy_growth, CAST(b.cum AS DOUBLE) AS cumulative_revenue
+FROM b LEFT JOIN d m ON m.{k} IS NOT DISTINCT FROM b.{k} AND m.period = b.pm
+LEFT JOIN d y ON y.{k} IS NOT DISTINCT FROM b.{k} AND y.period = b.py""")
+
+
 def extra_oracles() -> dict[str, str]:
     return {
         "quarantine_rows": with_base(body="""SELECT CASE WHEN status = 'cancelled' THEN 'type:order_date'
@@ -807,6 +861,12 @@ FROM customer""",
         "time_intelligence_alt": _q_time_intelligence("product_category", "month", abs_den=False,
                                                       cumulative="ytd"),
         "measure_evaluate": _measure_evaluate_sql(),
+        "measure_evaluate_total": _measure_evaluate_total_sql(),
+        "time_intelligence_day": _time_intelligence_day_sql(),
+        "fct_sales_salted": with_base(body=f"SELECT {FCT_COLS} FROM fct_sales"),
+        "pipeline_fact": with_base(body=f"SELECT {FCT_COLS} FROM fct_sales"),
+        "dataset_stats": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ALL_TABLES),
         "dates_with_sales": with_base("""
 dd AS (SELECT CAST(unnest(generate_series(min(order_date), max(order_date), INTERVAL 1 DAY)) AS DATE) AS date_day
        FROM stg_sales)""", body="""SELECT date_day, CAST(year(date_day) AS BIGINT) AS year,

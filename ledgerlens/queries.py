@@ -274,6 +274,46 @@ def q_fct_sales(spark, sf_dir):
     return oracle_types(Models.of(spark, sf_dir).fct.drop("unit_price", "cost_price"))
 
 
+def q_fct_sales_salted(spark, sf_dir):
+    """M5 with customers and products taken for too large to broadcast: the
+    salted shuffle joins give the same fact."""
+    m = Models.of(spark, sf_dir)
+    large = {"customers": 1 << 50, "products": 1 << 50, "territories": m.dim_row_bounds["territories"]}
+    fct = marts.fct_sales(m.stg_sales, m.stg_customers, m.stg_products, m.stg_territories, RUN_TS, large)
+    return oracle_types(fct.drop("unit_price", "cost_price"))
+
+
+def q_pipeline_fact(spark, sf_dir):
+    """The daily pipeline over landing files cut from the tables: a day of
+    dimensions with an outdated product list, sales with the list sent again,
+    then a late file of that day and a backfill of the day before.  The fact
+    must be the batch fact."""
+    from ledgerlens.plans.pipeline import run_pipeline
+    from ledgerlens.sources.readers import daily_path
+    raw = Models.of(spark, sf_dir).raw
+    base = _scratch(spark, "pipeline")
+    land, wh = f"{base}/landing", f"{base}/warehouse"
+    days = [dt.date(1998, 1, 1) + dt.timedelta(days=i) for i in range(2)]
+
+    def put(table: str, df: DataFrame, day: dt.date, name: str) -> None:
+        df.write.parquet(f"{daily_path(f'{land}/{table}', day)}/{name}")
+
+    part = F.pmod(F.xxhash64("sale_id"), F.lit(4))
+    old = raw["products"].withColumn("cost_price", (F.col("cost_price") * 2).cast(raw["products"].schema["cost_price"].dataType))
+    put("products", old, days[0], "a")
+    put("customers", raw["customers"], days[0], "a")
+    put("territories", raw["territories"], days[0], "a")
+    run_pipeline(spark, land, wh, days[0], as_of=AS_OF)
+    put("products", raw["products"], days[1], "a")
+    put("sales", raw["sales"].filter((part == 0) | (part == 3)), days[1], "a")
+    run_pipeline(spark, land, wh, days[1], as_of=AS_OF)
+    put("sales", raw["sales"].filter(part == 1), days[1], "late")
+    run_pipeline(spark, land, wh, days[1], as_of=AS_OF)
+    put("sales", raw["sales"].filter(part == 2), days[0], "backfill")
+    run_pipeline(spark, land, wh, days[0], as_of=AS_OF)
+    return oracle_types(spark.read.parquet(f"{wh}/marts/fct_sales").drop("unit_price", "cost_price"))
+
+
 def q_vw_sales_fact(spark, sf_dir):
     """M8 semantic sales view."""
     return oracle_types(Models.of(spark, sf_dir).view.drop("unit_price"))
@@ -372,12 +412,14 @@ def _upsert_inputs(m: Models):
 
 
 def q_upsert_latest(spark, sf_dir):
-    """K4 + W11: the table a keyed upsert produces (target minus replaced
-    keys, plus the latest version of each incoming key)."""
-    from ledgerlens.operators.incremental import latest_per_key
+    """K4 + W11: the table that two keyed upserts write, read back (target minus
+    replaced keys, plus the latest version of each incoming key)."""
+    from ledgerlens.operators.incremental import merge_upsert
     target, batch = _upsert_inputs(Models.of(spark, sf_dir))
-    latest = latest_per_key(batch, "sale_id", "_ingested_at")
-    merged = target.join(latest.select("sale_id"), "sale_id", "left_anti").unionByName(latest)
+    path = _scratch(spark, "upsert")
+    merge_upsert(spark, path, target, "sale_id", "_ingested_at", "order_month")
+    merge_upsert(spark, path, batch, "sale_id", "_ingested_at", "order_month")
+    merged = spark.read.parquet(path)
     # The version timestamp is returned as ISO text, so any value hashing
     # compares it exactly.
     return oracle_types(merged.select("sale_id", "order_date", "status", "net_revenue",
@@ -492,13 +534,13 @@ def q_text_cleaning(spark, sf_dir):
 
 def q_date_parts(spark, sf_dir):
     """Day differences, month/quarter truncation, year/month/quarter."""
-    v = Models.of(spark, sf_dir).view
-    s = Models.of(spark, sf_dir).stg_sales
-    a = s.select("sale_id", "days_to_ship", F.col("order_month").alias("month_start"),
-                 F.col("order_quarter").alias("quarter_start"))
-    b = v.select("sale_id", F.col("days_to_ship").alias("raw_days_to_ship"), "order_year",
-                 "order_month", "order_quarter")
-    return oracle_types(a.join(b, "sale_id", "inner"))
+    from ledgerlens.functions.scalar import days_between
+    od = F.col("order_date")
+    return oracle_types(Models.of(spark, sf_dir).stg_sales.select(
+        "sale_id", "days_to_ship", F.col("order_month").alias("month_start"),
+        F.col("order_quarter").alias("quarter_start"),
+        days_between(od, F.col("ship_date")).alias("raw_days_to_ship"),
+        F.year(od).alias("order_year"), F.month(od).alias("order_month"), F.quarter(od).alias("order_quarter")))
 
 
 def q_margin_math(spark, sf_dir):
@@ -523,12 +565,13 @@ def q_range_violations(spark, sf_dir):
 
 
 def q_dataset_stats(spark, sf_dir):
-    """K7: per-table row count, size and last change (rows-only check)."""
+    """K7: row count of every table of the folder (sizes and change times
+    differ between copies of the data and are left out)."""
+    from ledgerlens.oracle_sql import ALL_TABLES
     from ledgerlens.sources.sinks import dataset_stats
-    from ledgerlens.sources.star import STAR_TABLES
     tables = {t: ("RAW" if t in ("orders", "lineitem", "events") else "REFERENCE",
-                  f"{sf_dir.rstrip('/')}/{t}.parquet") for t in STAR_TABLES}
-    return dataset_stats(spark, tables).drop("last_altered")
+                  f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ALL_TABLES}
+    return dataset_stats(spark, tables).select("table_name", "row_count")
 
 
 def q_monthly_summary(spark, sf_dir):
@@ -557,6 +600,20 @@ def q_measure_evaluate(spark, sf_dir):
     return oracle_types(out)
 
 
+def q_measure_evaluate_total(spark, sf_dir):
+    """The generic entry point without a grain: one row for each key."""
+    m = Models.of(spark, sf_dir)
+    first = customers.customer_sales_stats(m.fct, AS_OF).select("customer_id", "first_order_date")
+    return oracle_types(measures.evaluate(
+        m.view, ["total_revenue", "total_orders", "revenue_ytd", "revenue_mom_growth", "new_customers",
+                 "revenue_vs_budget"], by=["product_category"], customers=first, budget=m.budget))
+
+
+def q_time_intelligence_day(spark, sf_dir):
+    """D11-D14, D16 per region x day."""
+    return oracle_types(measures.time_intelligence(Models.of(spark, sf_dir).view, ["territory_region"], "day"))
+
+
 def q_dates_with_sales(spark, sf_dir):
     """Date rows cross-filtered by Sales (left semi join)."""
     from ledgerlens.plans.calendar import dates_with_sales, dim_date_of
@@ -648,6 +705,10 @@ def more_queries():
         "jsonl_roundtrip": q_jsonl_roundtrip,
         "time_intelligence_alt": q_time_intelligence_alt,
         "measure_evaluate": q_measure_evaluate,
+        "measure_evaluate_total": q_measure_evaluate_total,
+        "time_intelligence_day": q_time_intelligence_day,
+        "fct_sales_salted": q_fct_sales_salted,
+        "pipeline_fact": q_pipeline_fact,
         "dates_with_sales": q_dates_with_sales,
         "summarize_defaults": q_summarize_defaults,
         "stg_sales": q_stg_sales,
