@@ -44,5 +44,5 @@ def test_defined_cases(spark):
     assert got[9].labels == "cc-by,cc-by-nc,reserved" and got[9].n_base == 3
     assert (got[1].n_words, got[1].labels, got[1].score) == (0, "", 0.0)
     assert [r for r in rows if r.doc_id == 5][0] == [r for r in rows if r.doc_id == 5][1]
-    assert got[7].n_words == 7 and got[3].n_words == 0
+    assert got[7].n_words == 9 and got[3].n_words == 0
     assert L.findings(spark, empty(spark)).count() == 0

@@ -27,7 +27,7 @@ def test_line_rules():
 
 
 def test_verdicts(spark):
-    clean = "\n".join(f"This is plain sentence number {i} of a clean document." for i in range(10))
+    clean = "\n".join(f"This {i} is plain a{i} sentence b{i} of a c{i} clean document." for i in range(10))
     menu = "\n".join(["Home | News | Shop"] * 9) + "\nThis is the only sentence of the page and it is not so very long at all."
     rows = [(1, clean, "en", "s"), (2, menu, "en", "s"), (3, clean + "\nHome | News", "en", "s"), (4, "Too short.", "en", "s"),
             (5, "the same eight words are here again now " * 9, "en", "s")]
