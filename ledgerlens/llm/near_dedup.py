@@ -9,11 +9,12 @@ neighbours by longest common prefix and candidates for a link.
 
 Candidates are confirmed on the full shingle sets in two steps.  First every
 class is compared with the first class of each of its regions.  Then, in
-regions that still hold several groups, all pairs of classes of different
-groups are compared, but for pairs inside the region's largest group side by
-side: links inside one group cannot change the result, and no pair across
-groups is left out.  So a region of thousands of near copies costs one
-comparison for each, not one for each pair.
+regions that still hold several groups, the pairs of classes of different
+groups are compared: links inside one group cannot change the result, and no
+pair across groups is left out unless an upper bound of its similarity is too
+low.  In a crowded region the bound counts what each class shares with the
+region's most typical class, and what else of it recurs in the region.  So
+thousands of near copies cost a few comparisons each, not one for each pair.
 
 Defined cases: a document without words (or with null text) has no shingles
 and stands alone; a row with a null doc_id is linked with nothing and its
@@ -43,6 +44,8 @@ TREES = 16
 DEPTHS = (4, 6, 8, 12)
 #: Classes in a region above which it is split.
 REGION = 16
+#: Documents whose ids are broadcast to the scan of the texts; more are joined by shuffle.
+BROADCAST_IDS = 200_000
 
 _ROWS = 2048
 
@@ -103,15 +106,57 @@ def _linked(one: pd.Series, other: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="bool")
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _shingles(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: shingle_set(t).view(np.int64), na_action=None)
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, fp, text) of the documents in ``wanted`` (distinct id, fp).  Few of
+    them are sent to the scan, so that only their texts move; many are joined."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("fp"), "text")
+    few = wanted.count() <= BROADCAST_IDS
+    return texts.join(F.broadcast(wanted) if few else wanted, ["id", "fp"], "left_semi")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, fa, b, fb) whose full shingle sets reach the similarity, as (a, b)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("fp"), "text")
+    ends = pairs.select(F.col("a").alias("id"), F.col("fa").alias("fp")).unionByName(
+        pairs.select(F.col("b").alias("id"), F.col("fb").alias("fp"))).distinct().checkpoint()
+    texts = _texts(docs, ends)
     one = texts.select(F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("text").alias("x"))
     other = texts.select(F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("text").alias("y"))
     return (pairs.join(one, ["a", "fa"]).join(other, ["b", "fb"])
             .where(_linked("x", "y")).select("a", "b"))
 
 
+def _against_pivots(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` (region, id, fp, ...) with ``common`` and ``other``: how many of a
+    class's shingles its region's pivot has, and how many of the rest occur in
+    the region a second time.
+
+    The pivot is the class whose shingles are the most frequent in the region.
+    Two classes share at most the smaller ``common`` of the pivot's shingles and
+    the smaller ``other`` of the rest, which bounds their similarity without
+    comparing them.
+    """
+    sets = _texts(docs, rows.select("id", "fp").distinct().checkpoint()).select(
+        "id", "fp", _shingles("text").alias("s")).dropDuplicates(["id", "fp"])
+    each = rows.select("region", "id", "fp").join(sets, ["id", "fp"]).select(
+        "region", "id", "fp", F.explode("s").alias("s"))
+    often = each.groupBy("region", "s").agg(F.count(F.lit(1)).alias("d"))
+    each = each.join(often, ["region", "s"]).checkpoint()
+    pivots = (each.groupBy("region", "id", "fp").agg(F.avg("d").alias("mean"))
+              .groupBy("region").agg(F.max(F.struct("mean", "id", "fp")).alias("p"))
+              .select(F.col("region").alias("pr"), F.col("p.id").alias("pi"), F.col("p.fp").alias("pf")))
+    held = each.join(pivots, (F.col("region") == F.col("pr")) & (F.col("id") == F.col("pi")) & (F.col("fp") == F.col("pf")))
+    held = held.select(F.col("region").alias("hr"), F.col("s").alias("hs"))
+    split = each.join(held, (F.col("region") == F.col("hr")) & (F.col("s") == F.col("hs")), "left")
+    known = split.groupBy("region", "id", "fp").agg(
+        F.count("hs").alias("common"), F.count_if(F.col("hs").isNull() & (F.col("d") > 1)).alias("other"))
+    return rows.join(known, ["region", "id", "fp"])
+
+
 def _regions(reps: DataFrame) -> DataFrame:
     """(region, id, fp, n): the final region of each class in each tree; regions of one class are left out."""
     depths = len(DEPTHS)
@@ -132,9 +177,9 @@ def _regions(reps: DataFrame) -> DataFrame:
     return done
 
 
-def _sizes_fit(one, other):
-    """Sets whose sizes differ more than the similarity allows cannot be linked."""
-    return 100 * F.least(one, other) >= SIMILARITY * F.greatest(one, other)
+def _can_link(n, m, shared):
+    """Whether sets of n and m shingles that share at most ``shared`` can be similar enough."""
+    return 100 * shared >= SIMILARITY * (n + m - shared)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -150,28 +195,34 @@ def near_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     first = regions.groupBy("region").agg(F.min(F.struct("id", "fp", "n")).alias("f"))
     star = (regions.join(first.withColumnRenamed("region", "r"), F.col("region") == F.col("r"))
-            .where((F.col("id") != F.col("f.id")) & _sizes_fit(F.col("n"), F.col("f.n")))
+            .where((F.col("id") != F.col("f.id")) & _can_link(F.col("n"), F.col("f.n"), F.least("n", "f.n")))
             .select(F.col("f.id").alias("a"), F.col("f.fp").alias("fa"), F.col("id").alias("b"),
-                    F.col("fp").alias("fb")).distinct())
+                    F.col("fp").alias("fb")).distinct().checkpoint())
     links = _confirmed(star, docs).checkpoint()
     groups = components(spark, links)
 
     placed = (regions.join(groups, F.col("id") == F.col("node"), "left")
               .select("region", "id", "fp", "n", F.coalesce("component", "id").alias("g")))
     sizes = placed.groupBy("region", "g").agg(F.count(F.lit(1)).alias("m"))
-    split = (sizes.groupBy("region").agg(F.max(F.struct("m", "g")).alias("top"), F.count(F.lit(1)).alias("c"))
-             .where("c > 1").select(F.col("region").alias("r"), F.col("top.g").alias("main")))
-    open_rows = placed.join(split, F.col("region") == F.col("r")).drop("r").checkpoint()
-    rest = open_rows.where("g <> main").select(
+    split = (sizes.groupBy("region").agg(F.max(F.struct("m", "g")).alias("top"), F.count(F.lit(1)).alias("c"),
+                                         F.sum("m").alias("members"))
+             .where("c > 1").select(F.col("region").alias("r"), F.col("top.g").alias("main"), "members"))
+    still = placed.join(split, F.col("region") == F.col("r")).drop("r").checkpoint()
+    crowded = still.where(F.col("members") > REGION)
+    still_open = still.where(F.col("members") <= REGION).withColumns({"common": F.col("n"), "other": F.lit(0)})
+    if not crowded.isEmpty():
+        still_open = still_open.unionByName(_against_pivots(crowded, docs).select(still_open.columns)).checkpoint()
+    rest = still_open.where("g <> main").select(
         F.col("region").alias("r"), F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("n").alias("nb"),
-        F.col("g").alias("gb"))
-    across = (open_rows.join(rest, (F.col("region") == F.col("r")) & (F.col("g") != F.col("gb"))
-                             & ((F.col("g") == F.col("main")) | (F.col("id") < F.col("b")))
-                             & _sizes_fit(F.col("n"), F.col("nb")))
+        F.col("g").alias("gb"), F.col("common").alias("cb"), F.col("other").alias("ob"))
+    shared = F.least("common", "cb") + F.least("other", "ob")
+    across = (still_open.join(rest, (F.col("region") == F.col("r")) & (F.col("g") != F.col("gb"))
+                              & ((F.col("g") == F.col("main")) | (F.col("id") < F.col("b")))
+                              & _can_link(F.col("n"), F.col("nb"), shared))
               .select(F.col("id").alias("a"), F.col("fp").alias("fa"), "b", "fb").distinct())
     tried = star.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
     across = across.join(tried, (F.least("a", "b") == F.col("ta")) & (F.greatest("a", "b") == F.col("tb")),
-                         "left_anti")
+                         "left_anti").checkpoint()
     more = _confirmed(across, docs)
 
     groups = components(spark, links.unionByName(more))
