@@ -601,6 +601,42 @@ def _quality_sql() -> str:
 {union})""")
 
 
+def _quality_declared_sql() -> str:
+    """One row for each rule: (table, column, rule, failing condition)."""
+    status = "'completed', 'pending', 'shipped', 'cancelled', 'returned'"
+    segments = ("'Champions', 'Loyal Customers', 'Recent Customers', 'Potential Loyalists', 'At Risk', "
+                "'Lost', 'Needs Attention'")
+    tiers = "'Platinum', 'Gold', 'Silver', 'Bronze'"
+    keys = [("raw_sales", "sale_id"), ("raw_customers", "customer_id"), ("raw_products", "product_id"),
+            ("raw_territories", "territory_id"), ("raw_budget", "budget_id"), ("stg_sales", "sale_id"),
+            ("stg_customers", "customer_id"), ("fct_sales", "sale_id"), ("dim_customers", "customer_id")]
+    present = keys + [("raw_sales", "customer_id"), ("raw_sales", "total_amount"), ("raw_customers", "email"),
+                      ("stg_sales", "net_revenue"), ("stg_customers", "email"), ("fct_sales", "net_revenue"),
+                      ("perf_rows", "total_revenue"), ("perf_rows", "order_count")]
+    rules = [(t, c, "not_null", f"{c} IS NULL") for t, c in present]
+    rules += [("raw_sales", "total_amount", "accepted_range", "total_amount < 0 OR total_amount > 10000000"),
+              ("stg_sales", "net_revenue", "accepted_range", "net_revenue < 0"),
+              ("stg_sales", "discount_pct", "accepted_range", "discount_pct < 0 OR discount_pct > 1"),
+              ("stg_sales", "status", "accepted_values", f"status NOT IN ({status})"),
+              ("fct_sales", "gross_margin_pct", "accepted_range", "gross_margin_pct < -100 OR gross_margin_pct > 100"),
+              ("dim_customers", "customer_segment", "accepted_values", f"customer_segment NOT IN ({segments})"),
+              ("dim_customers", "lifetime_tier", "accepted_values", f"lifetime_tier NOT IN ({tiers})")]
+    parts = [f"SELECT '{rule}' AS \"check\", '{t}' AS \"table\", '{c}' AS \"column\", "
+             f"CAST(count_if({bad}) AS BIGINT) AS failed_rows, count(*) AS total_rows FROM {t}" for t, c, rule, bad in rules]
+    parts += [f"SELECT 'unique', '{t}', '{c}', CAST(count_if(n > 1) AS BIGINT), CAST(coalesce(sum(n), 0) AS BIGINT) "
+              f"FROM (SELECT count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c})" for t, c in keys]
+    union = "\nUNION ALL ".join(parts)
+    return with_base(*DIM_PARTS, MONTHLY, BUDGET, """
+raw_customers AS (SELECT c_custkey AS customer_id, lower(c_name) || '@example.com' AS email FROM customer)""", """
+raw_products AS (SELECT p_partkey AS product_id FROM part)""", """
+raw_territories AS (SELECT n_nationkey AS territory_id FROM nation)""", """
+raw_budget AS (SELECT concat_ws('-', territory_id, product_category, CAST(fiscal_year AS VARCHAR),
+                                CAST(fiscal_month AS VARCHAR)) AS budget_id FROM budget)""", """
+perf_rows AS (SELECT total_revenue, order_count FROM monthly)""", body=f"""
+SELECT "check", CASE "table" WHEN 'perf_rows' THEN 'fct_sales_performance' ELSE "table" END AS "table", "column",
+  failed_rows, total_rows, failed_rows = 0 AS passed FROM ({union})""")
+
+
 def _upsert_sql() -> str:
     cols = "sale_id, order_date, status, net_revenue, _ingested_at"
     return with_base("""
@@ -863,6 +899,7 @@ FROM customer""",
         "measure_evaluate": _measure_evaluate_sql(),
         "measure_evaluate_total": _measure_evaluate_total_sql(),
         "time_intelligence_day": _time_intelligence_day_sql(),
+        "quality_report_declared": _quality_declared_sql(),
         "fct_sales_salted": with_base(body=f"SELECT {FCT_COLS} FROM fct_sales"),
         "pipeline_fact": with_base(body=f"SELECT {FCT_COLS} FROM fct_sales"),
         "dataset_stats": " UNION ALL ".join(
