@@ -14,9 +14,10 @@ pairs exist only inside tasks; each block returns at most k rows for a query.
 
 Defined cases: vectors that are null or zero, hold null or non-finite
 components, or have another dimension than most vectors take no part, neither
-do null ids; ties go to the smaller id; an id on several rows counts once, with
-its nearest vector, and never as its own neighbour; with fewer candidates than
-``k`` all are returned.
+do null ids; equal vectors are one point with its smallest ids, so a vector that
+a third of all rows have is one point too; ties go to the smaller id; an id on
+several rows counts once, with its nearest vector, and never as its own
+neighbour; with fewer candidates than ``k`` all are returned.
 """
 
 from __future__ import annotations
@@ -75,12 +76,20 @@ def _frames(dimension: int, curves: int, seed: int) -> list[tuple[np.ndarray, np
 
 
 def usable(vectors: DataFrame, identity: str, column: str) -> DataFrame:
-    """(id, fp, v): the vectors that take part, equal rows once."""
+    """(id, fp, v): the rows that take part; fp is the vector's hash."""
     v = F.col(column)
     whole = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = (vectors.select(F.col(identity).cast("long").alias("id"), v.cast("array<float>").alias("v"), whole.alias("w"))
             .where("id is not null and w").where(F.exists("v", lambda x: x != 0)))
-    return (rows.groupBy("id", F.xxhash64("v").alias("fp")).agg(F.first("v").alias("v")))
+    return rows.select("id", F.xxhash64("v").alias("fp"), "v")
+
+
+def _distinct(rows: DataFrame, ids: int) -> DataFrame:
+    """(fp, v, ids): each vector once with the smallest of its ids, ``ids`` at
+    most (each task forwards no more of a vector that many rows have)."""
+    order = Window.partitionBy("fp").orderBy("id")
+    heads = rows.dropDuplicates(["fp", "id"]).withColumn("n", F.row_number().over(order)).where(F.col("n") <= ids)
+    return heads.groupBy("fp").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids"))
 
 
 def neighbours(spark: SparkSession, vectors: DataFrame, is_query, k: int = NEIGHBOURS, curves: int = CURVES,
@@ -90,9 +99,10 @@ def neighbours(spark: SparkSession, vectors: DataFrame, is_query, k: int = NEIGH
     function of the id column, holds; all usable rows are candidates."""
     ensure_checkpoint_dir(spark)
     ship(spark)
-    rows = usable(vectors, identity, column).checkpoint()
+    every = usable(vectors, identity, column)
+    rows = _distinct(every, k + 1).checkpoint()
     dimensions = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    schema = "query_id long, vec_id long, score double"
+    schema = "q long, c long, score double"
     if dimensions is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d = dimensions["d"]
@@ -115,39 +125,46 @@ def neighbours(spark: SparkSession, vectors: DataFrame, is_query, k: int = NEIGH
             out[:, c] = hilbert((at / 2 * (1 << BITS)).clip(0, (1 << BITS) - 1), BITS)
         return pd.Series(list(out))
 
-    orders = (rows.select("id", "fp", F.posexplode(keys("v")).alias("curve", "key"))
-              .repartitionByRange("curve", "key", "id").withColumn("run", F.spark_partition_id()).checkpoint())
+    orders = (rows.select("fp", F.posexplode(keys("v")).alias("curve", "key"))
+              .repartitionByRange("curve", "key", "fp").withColumn("run", F.spark_partition_id()).checkpoint())
     half = max(least, int(np.ceil(share * count)))
-    places = ranked(orders, ["curve"], "run", ["key", "id", "fp"]).select("id", "fp", "curve", "__rank")
-    placed = places.join(rows, ["id", "fp"])
+    places = ranked(orders, ["curve"], "run", ["key", "fp"]).select("fp", "curve", "__rank")
+    placed = places.join(rows.select("fp", "v"), "fp")
     parts = max(1, -(-(2 * half + BLOCK) // (100 * QUERIES)))
     every_part = F.sequence(F.lit(0), F.lit(parts - 1))
-    blocks = placed.select("id", "v", "curve", F.floor(F.col("__rank") / BLOCK).cast("long").alias("block"),
+    blocks = placed.select("fp", "v", "curve", F.floor(F.col("__rank") / BLOCK).cast("long").alias("block"),
                            F.explode(every_part).alias("part"))
     touched = F.sequence(F.floor(F.greatest(F.col("__rank") - half, F.lit(0)) / BLOCK).cast("long"),
                          F.floor(F.least(F.col("__rank") + half, F.lit(count - 1)) / BLOCK).cast("long"))
-    asked = placed.where(is_query(F.col("id"))).select(
-        F.col("id").alias("q"), F.col("v").alias("u"), F.col("curve").alias("q_curve"), F.explode(touched).alias("q_block"),
-        F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("q_part"))
+    queries = every.where(is_query(F.col("id"))).select(F.col("id").alias("query_id"), F.col("fp").alias("query_fp"))
+    queries = queries.distinct().checkpoint()
+    asked = placed.join(queries.select(F.col("query_fp").alias("fp")).distinct(), "fp", "left_semi").select(
+        F.col("fp").alias("q"), F.col("v").alias("u"), F.col("curve").alias("q_curve"), F.explode(touched).alias("q_block"),
+        F.pmod("fp", F.lit(parts)).cast("int").alias("q_part"))
 
     def nearest(block: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(block) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids = block["id"].to_numpy()
+            return pd.DataFrame({"q": [], "c": [], "score": []})
+        names = block["fp"].to_numpy()
         points = np.array(block["v"].tolist(), np.float64)
+        wanted = min(k + 1, len(names))
         found = []
         for q, u in zip(queries["q"], queries["u"], strict=True):
             far = np.sqrt(np.square(points - np.asarray(u, np.float64)).sum(axis=1))
-            far[ids == q] = np.inf
-            edge = np.partition(far, min(k, len(far)) - 1)[min(k, len(far)) - 1]
-            near = np.flatnonzero(far <= edge)
-            near = near[np.lexsort((ids[near], far[near]))][:k]
-            found += [(q, ids[i], far[i]) for i in near if far[i] < np.inf]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+            # All at the edge are kept: which of equally far ones counts depends on their ids.
+            near = np.flatnonzero(far <= np.partition(far, wanted - 1)[wanted - 1])
+            found += [(q, names[i], far[i]) for i in near]
+        return pd.DataFrame(found, columns=["q", "c", "score"])
 
     best = (blocks.groupBy("curve", "block", "part").cogroup(asked.groupBy("q_curve", "q_block", "q_part"))
-            .applyInPandas(nearest, schema)
-            .groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
+            .applyInPandas(nearest, schema).distinct())
+    # From vectors to the rows that have them: of each vector the k + 1 smallest ids are enough.
+    named = best.join(rows.select(F.col("fp").alias("c"), F.explode("ids").alias("vec_id")), "c")
+    named = named.groupBy("q", "vec_id").agg(F.min("score").alias("score"))
+    order = Window.partitionBy("q").orderBy("score", "vec_id")
+    named = named.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
+    pairs = queries.join(named, F.col("query_fp") == F.col("q")).where(F.col("query_id") != F.col("vec_id"))
+    pairs = pairs.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return (pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

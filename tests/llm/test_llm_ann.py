@@ -73,3 +73,16 @@ def test_defined_cases(spark):
     assert sorted(got[100]) == [(1, 0, 1.0), (2, 1, 1.0), (3, 2, 2.061553)]
     assert ann.neighbours(spark, df.where("false"), lambda i: i % 100 == 0).count() == 0
     assert ann.neighbours(spark, df.where("vec_id = 3"), lambda i: i % 100 == 0).count() == 0
+
+
+def test_a_vector_that_many_rows_have(spark):
+    """Copies beyond a window's size: the nearest are the smallest ids, whatever lies between."""
+    rng = np.random.default_rng(9)
+    same = [float(x) for x in np.float32(rng.normal(size=12))]
+    rows = [(i, same if i % 3 == 0 else [float(x) for x in np.float32(rng.normal(size=12))]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = ann.neighbours(spark, df, lambda i: i % 100 == 0, curves=4, share=0.01, least=64).collect()
+    copies = [i for i in range(3000) if i % 3 == 0]
+    for q in range(0, 3000, 300):
+        mine = [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q]
+        assert mine == [i for i in copies if i != q][:10]
