@@ -45,7 +45,8 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
                  "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+# pipeline_fact has the columns of fct_sales and takes several pipeline runs.
+@pytest.mark.parametrize("name", sorted(set(SQL) - {"pipeline_fact"}))
 def test_column_types_match_oracle(spark, con, name):
     df = queries()[name](spark, SF_SMALL)
     s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
