@@ -131,30 +131,30 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _against_pivots(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """``rows`` (region, id, fp, ...) with ``common`` and ``other``: how many of a
-    class's shingles its region's pivot has, and how many of the rest occur in
-    the region a second time.
-
-    The pivot is the class whose shingles are the most frequent in the region.
-    Two classes share at most the smaller ``common`` of the pivot's shingles and
-    the smaller ``other`` of the rest, which bounds their similarity without
-    comparing them.
+    """``rows`` (region, id, fp, main, ...) with ``common`` and ``other``: how many
+    of a class's shingles the pivot has, and how many of the rest occur a second time.
+
+    Regions whose largest group is the same, ``main``, hold much the same classes
+    and are measured together.  Their pivot is the class whose shingles are the
+    most frequent among them.  Two classes share at most the smaller ``common`` of
+    the pivot's shingles and the smaller ``other`` of the rest, which bounds their
+    similarity without comparing them.
     """
-    sets = _texts(docs, rows.select("id", "fp").distinct().checkpoint()).select(
+    members = rows.select("main", "id", "fp").distinct().checkpoint()
+    sets = _texts(docs, members.select("id", "fp").distinct()).select(
         "id", "fp", _shingles("text").alias("s")).dropDuplicates(["id", "fp"])
-    each = rows.select("region", "id", "fp").join(sets, ["id", "fp"]).select(
-        "region", "id", "fp", F.explode("s").alias("s"))
-    often = each.groupBy("region", "s").agg(F.count(F.lit(1)).alias("d"))
-    each = each.join(often, ["region", "s"]).checkpoint()
-    pivots = (each.groupBy("region", "id", "fp").agg(F.avg("d").alias("mean"))
-              .groupBy("region").agg(F.max(F.struct("mean", "id", "fp")).alias("p"))
-              .select(F.col("region").alias("pr"), F.col("p.id").alias("pi"), F.col("p.fp").alias("pf")))
-    held = each.join(pivots, (F.col("region") == F.col("pr")) & (F.col("id") == F.col("pi")) & (F.col("fp") == F.col("pf")))
-    held = held.select(F.col("region").alias("hr"), F.col("s").alias("hs"))
-    split = each.join(held, (F.col("region") == F.col("hr")) & (F.col("s") == F.col("hs")), "left")
-    known = split.groupBy("region", "id", "fp").agg(
+    each = members.join(sets, ["id", "fp"]).select("main", "id", "fp", F.explode("s").alias("s"))
+    often = each.groupBy("main", "s").agg(F.count(F.lit(1)).alias("d"))
+    each = each.join(often, ["main", "s"]).checkpoint()
+    pivots = (each.groupBy("main", "id", "fp").agg(F.avg("d").alias("mean"))
+              .groupBy("main").agg(F.max(F.struct("mean", "id", "fp")).alias("p"))
+              .select(F.col("main").alias("pm"), F.col("p.id").alias("pi"), F.col("p.fp").alias("pf")))
+    held = each.join(pivots, (F.col("main") == F.col("pm")) & (F.col("id") == F.col("pi")) & (F.col("fp") == F.col("pf")))
+    held = held.select(F.col("main").alias("hm"), F.col("s").alias("hs"))
+    split = each.join(held, (F.col("main") == F.col("hm")) & (F.col("s") == F.col("hs")), "left")
+    known = split.groupBy("main", "id", "fp").agg(
         F.count("hs").alias("common"), F.count_if(F.col("hs").isNull() & (F.col("d") > 1)).alias("other"))
-    return rows.join(known, ["region", "id", "fp"])
+    return rows.join(known, ["main", "id", "fp"])
 
 
 def _regions(reps: DataFrame) -> DataFrame:
