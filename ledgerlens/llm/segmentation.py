@@ -40,6 +40,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,10 +51,12 @@ from ledgerlens.llm.text import mixed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 0.0005
-BATCH_CHARS = 500_000
+BATCH_CHARS = 250_000
 BLANK = "▁"
+#: Words whose open nodes are looked at first.
+EARLY_WORDS = 6
 
-_UNIT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
+_UNIT = re.compile(r" +[^ ]*|[^ ]+")
 
 
 class Vocabulary:
@@ -103,6 +106,8 @@ class Vocabulary:
                 h = (h + 1) & int(self.mask)
             self.keys[h], self.targets[h] = k, t
         self.ids = np.array(ids, np.int64)
+        self.start = np.full(self.width + 1, -1, np.int64)  # children of the root, the last for no character
+        self.start[[at[c] for c in nodes[0]]] = list(nodes[0].values())
         self.scores = scores
 
     def child(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -161,7 +166,7 @@ class Lattices:
         degree = np.zeros(total, np.int64)
         single = np.zeros(total, bool)
         while len(at):
-            node = voc.child(node, codes[at + step])
+            node = voc.child(node, codes[at + step]) if step else voc.start[codes[at]]
             alive = node >= 0
             at, node, step = at[alive], node[alive], step + 1
             piece = voc.ids[node]
@@ -213,6 +218,36 @@ def _ragged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return np.arange(int(n.sum())) - starts[owner] + lo[owner], starts, owner
 
 
+def _words(text: str) -> list[str]:
+    """The words whose lattices make up the text's, with a blank put before it.
+    A word after one blank is given without it, any other after a mark."""
+    if not text:
+        return []
+    out: list[str] = []
+    for n, line in enumerate(text.split("\n")):
+        if n:
+            out.append(_LINE_END)
+            if not line:
+                continue
+        found = line.split(" ")
+        if "" in found or _MARK in line:  # several blanks together, or at an end
+            whole = line if n else " " + line
+            out += [u[1:] if u[0] == " " and u[1:2] not in ("", " ", _MARK) else _MARK + u for u in _UNIT.findall(whole)]
+        else:
+            if n:
+                found[0] = _MARK + found[0]
+            out += found
+    return out
+
+
+def _spelled(word: str) -> str:
+    return word[1:] if word[0] == _MARK else " " + word
+
+
+_MARK = "\x00"
+_LINE_END = _MARK + "\n"
+
+
 def _gumbel(key: np.ndarray) -> np.ndarray:
     """Standard Gumbel noise, a function of a 64-bit key."""
     u = (mixed(key) >> np.uint64(11)).astype(np.float64)
@@ -220,48 +255,69 @@ def _gumbel(key: np.ndarray) -> np.ndarray:
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_TURN = np.uint64(0xD1B54A32D192ED03)
+
+
+def _edges(lat: Lattices, node: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All edges of the nodes: (edge, its perturbed log probability, number of its node, where each node begins)."""
+    lo = lat.first[node]
+    n = lat.first[node + 1] - lo
+    starts = np.cumsum(n) - n
+    owner = np.repeat(np.arange(len(n)), n)
+    local = np.arange(len(owner)) - starts[owner]
+    edges = local + lo[owner]
+    return edges, lat.logp[edges] + _gumbel(key[owner] + local.astype(np.uint64) * _STEP), owner, starts
+
+
+def _best(value: np.ndarray, top: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Of each node the edge of greatest value, the first of equal ones."""
+    best = np.flatnonzero(value == top[owner])
+    return best if len(best) == len(top) else best[np.unique(owner[best], return_index=True)[1]]
 
 
 def _complete(lat: Lattices, node: np.ndarray, unit: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
     """Follow, from each node, the edges of greatest perturbed probability to
     the end of its word.  All words go one edge on at a time.
 
-    Returns for the edges taken (unit, edge), in the order of the path, and
-    for all edges seen (number of the taken edge beside it, edge, noisy value,
-    greatest value beside it).
+    Returns, in the order of the path, (unit, edge, key, greatest value, second
+    greatest value) of each node passed.
     """
-    taken_unit, taken_edge, beside, edges_seen, values, tops = [], [], [], [], [], []
-    count, step = 0, 0
+    parts = []
     while True:
         alive = ~lat.final[node]
         node, unit, key = node[alive], unit[alive], key[alive]
         if not len(node):
             break
-        edges, starts, owner = _ragged(lat.first[node], lat.first[node + 1])
-        local = (np.arange(len(edges)) - starts[owner] + 1).astype(np.uint64)
-        value = lat.logp[edges] + _gumbel((key + np.uint64(step * 0xD1B54A32D192ED03 % (1 << 64)))[owner] + local * _STEP)
+        edges, value, owner, starts = _edges(lat, node, key)
         top = np.maximum.reduceat(value, starts)
-        best = np.flatnonzero(value == top[owner])
-        if len(best) > len(node):  # equal values: the first
-            best = best[np.unique(owner[best], return_index=True)[1]]
-        taken_unit.append(unit)
-        taken_edge.append(edges[best])
-        other = np.ones(len(edges), bool)
-        other[best] = False
-        beside.append(owner[other] + count)
-        edges_seen.append(edges[other])
-        values.append(value[other])
-        tops.append(top[owner[other]])
-        node, count, step = lat.head[edges[best]], count + len(node), step + 1
-    if not taken_unit:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, np.zeros(0), np.zeros(0)
-    unit, edge = np.concatenate(taken_unit), np.concatenate(taken_edge)
-    order = np.argsort(unit, kind="stable")  # steps of one word are in order already
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return (unit[order], edge[order], place[np.concatenate(beside)], np.concatenate(edges_seen),
-            np.concatenate(values), np.concatenate(tops))
+        best = _best(value, top, owner)
+        taken = edges[best]
+        value[best] = -np.inf
+        parts.append((unit, taken, key, top, np.maximum.reduceat(value, starts)))
+        node, key = lat.head[taken], key + _TURN
+    if not parts:
+        whole = np.zeros(0, np.int64)
+        return whole, whole, whole.astype(np.uint64), np.zeros(0), np.zeros(0)
+    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    order = np.argsort(columns[0], kind="stable")  # steps of one word are in order already
+    return tuple(c[order] for c in columns)
+
+
+def _behind(value: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """What orders the values beside a path: they stay below the path's own, the greatest."""
+    return value - np.log(-np.expm1(value - top))
+
+
+def _open_nodes(lat: Lattices, path: tuple, at: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Edges beside the path's nodes ``at``: (place in the path, edge, what orders their perturbed values)."""
+    if not len(at):
+        return at, at, np.zeros(0)
+    _, edge, key, top, _ = path
+    edges, value, owner, starts = _edges(lat, lat.tail[edge[at]], key[at])
+    other = np.ones(len(edges), bool)
+    other[_best(value, top[at], owner)] = False
+    owner = owner[other]
+    return at[owner], edges[other], before[at[owner]] + _behind(value[other], top[at[owner]])
 
 
 def _kth_largest(group: np.ndarray, value: np.ndarray, chosen: np.ndarray, k: int, groups: int) -> np.ndarray:
@@ -284,11 +340,11 @@ def sample_batch(texts: list[str], seeds: list[int], k: int, voc: Vocabulary, al
     """For each text its samples, best first: (ids, log_prob, perturbed, log_inclusion)."""
     number: defaultdict[str, int] = defaultdict()
     number.default_factory = number.__len__
-    words = [_UNIT.findall(" " + t) if t else [] for t in texts]
+    words = [_words(t) for t in texts]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     end = np.cumsum(sizes)
     flat = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
-    lat = Lattices(list(number), voc, alpha)
+    lat = Lattices([_spelled(w) for w in number], voc, alpha)
     seed = mixed(np.array(seeds, np.uint64))
     # What is expanded next: perturbed value, log probability so far, edges so far, last word, its node.
     now = [(float(g), 0.0, np.zeros(0, np.int64), int(e - n) - 1, -1)
@@ -311,19 +367,21 @@ def sample_batch(texts: list[str], seeds: list[int], k: int, voc: Vocabulary, al
         owner = np.repeat(np.array(todo, np.int64), length)
         base = end[owner] - sizes[owner]
         key = seed[owner] + mixed((units - base).astype(np.uint64) * np.uint64(k + 1) + np.uint64(turn + 1))
-        unit, edge, beside, other, value, top = _complete(lat, node, units, key)
+        done = _complete(lat, node, units, key)
+        unit, edge, _, top, second = done
         logp = np.concatenate([[0.0], np.cumsum(lat.logp[edge])])
         bounds = np.searchsorted(unit, [lo for lo, _ in starts]), np.searchsorted(unit, [hi for _, hi in starts])
-        number_of = np.searchsorted(bounds[1], np.arange(len(edge)), side="right")  # text of each edge taken
-        before = logp[:-1] + np.array([now[d][1] for d in todo])[number_of] - logp[bounds[0]][number_of]
-        # Of each text the open nodes that can be among the next ones: with noise kept below the path's
-        # value, order is as by ``free``, which the values of the first words bound from below.
+        text_at = np.searchsorted(bounds[1], np.arange(len(edge)), side="right")  # text of each edge taken
+        before = logp[:-1] + np.array([now[d][1] for d in todo])[text_at] - logp[bounds[0]][text_at]
+        # The next ones are the open nodes that come first in that order.  Each node's best is known; the best of
+        # the first words bound from below what can be among as many as are wanted.
         left = k - turn
-        text_of, free = number_of[beside], before[beside] + value - np.log(-np.expm1(value - top))
-        cut = _kth_largest(text_of, free, unit[beside] - units[first[text_of]] < 6, left, len(todo))
-        near = np.flatnonzero(free >= cut[text_of])
-        near = near[np.lexsort((-free[near], text_of[near]))]
-        sides = np.searchsorted(text_of[near], np.arange(len(todo) + 1))
+        reach = before + _behind(second, top)
+        early = unit < np.array([lo for lo, _ in starts])[text_at] + EARLY_WORDS
+        cut = _kth_largest(text_at, reach, early & (second > -np.inf), left, len(todo))
+        beside, other, free = _open_nodes(lat, done, np.flatnonzero((reach >= cut[text_at]) & (second > -np.inf)), before)
+        near = np.lexsort((-free, text_at[beside]))
+        sides = np.searchsorted(text_at[beside[near]], np.arange(len(todo) + 1))
         for i, d in enumerate(todo):
             g, so_far, path = now[d][:3]
             lo, hi = bounds[0][i], bounds[1][i]
@@ -366,42 +424,45 @@ def _ids(lat: Lattices, path: np.ndarray, voc: Vocabulary) -> np.ndarray:
     return ids.astype(np.int32)
 
 
-SCHEMA = ("doc_id string, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, "
+SCHEMA = ("doc_id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, "
           "ids array<int>")
 
 
 def encode(docs: DataFrame, k: int = SAMPLES, alpha: float = ALPHA, model: str = MODEL) -> DataFrame:
     """Up to ``k`` distinct sampled segmentations of each document's whole
     text, the most probable after noise first (sample 1)."""
-
     ship(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(model)
         for batch in batches:
-            group: list[tuple] = []
-            chars = 0
-            for row in batch.itertuples(index=False):
-                group.append((row[0], row[1], row[2]))
-                chars += len(row[2])
-                if chars >= BATCH_CHARS:
-                    yield _frame(group, k, voc, alpha)
-                    group, chars = [], 0
-            if group:
-                yield _frame(group, k, voc, alpha)
+            ids, seeds, texts = (batch.column(i).to_pylist() for i in range(3))
+            begin = chars = 0
+            for i, text in enumerate(texts):
+                chars += len(text)
+                if chars >= BATCH_CHARS or i + 1 == len(texts):
+                    part = slice(begin, i + 1)
+                    yield _rows(ids[part], seeds[part], texts[part], k, voc, alpha)
+                    begin, chars = i + 1, 0
 
     rows = docs.where(F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("string").alias("doc_id"),  # pandas has no long that can be null
+        F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(F.lit("segmentation"), F.col("doc_id"), F.col("text")).alias("seed"), "text")
-    return rows.mapInPandas(run, SCHEMA).withColumn("doc_id", F.col("doc_id").cast("long"))
-
-
-def _frame(group: list[tuple], k: int, voc: Vocabulary, alpha: float) -> pd.DataFrame:
-    samples = sample_batch([t for _, _, t in group], [s % (1 << 64) for _, s, _ in group], k, voc, alpha)
-    rows = [(i, n, len(ids), p, g, inc, ids) for (i, _, _), ss in zip(group, samples, strict=True)
-            for n, (ids, p, g, inc) in enumerate(ss, 1)]
-    out = pd.DataFrame(rows, columns=["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids"])
-    return out.astype({"log_inclusion": "Float64"})
+    return rows.mapInArrow(run, SCHEMA)
+
+
+def _rows(ids: list, seeds: list, texts: list[str], k: int, voc: Vocabulary, alpha: float) -> pa.RecordBatch:
+    samples = sample_batch(texts, [s % (1 << 64) for s in seeds], k, voc, alpha)
+    flat = [(i, n, *sample) for i, of in zip(ids, samples, strict=True) for n, sample in enumerate(of, 1)]
+    pieces = [row[2] for row in flat]
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    values = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
+    columns = [pa.array([row[0] for row in flat], pa.int64()), pa.array([row[1] for row in flat], pa.int32()),
+               pa.array(lengths), *[pa.array([row[j] for row in flat], pa.float64()) for j in (3, 4, 5)],
+               pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
+    names = ["doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def decode(samples: DataFrame, column: str = "ids", model: str = MODEL) -> DataFrame:
