@@ -1,20 +1,25 @@
-"""Near-duplicate groups by a MinHash LSH forest.
-
-Documents with equal shingle sets form one class.  Each class has several
-MinHash orders (trees); in a tree, classes whose signatures agree on their
-first values lie in one region of the sorted order.  A region that holds more
-than ``REGION`` classes is split at the next, deeper prefix, so the depth
-adapts to how crowded the order is there; classes in one final region are
-neighbours by longest common prefix and candidates for a link.
-
-Candidates are confirmed on the full shingle sets in two steps.  First every
-class is compared with the first class of each of its regions.  Then, in
-regions that still hold several groups, the pairs of classes of different
-groups are compared: links inside one group cannot change the result, and no
-pair across groups is left out unless an upper bound of its similarity is too
-low.  In a crowded region the bound counts what each class shares with the
-region's most typical class, and what else of it recurs in the region.  So
-thousands of near copies cost a few comparisons each, not one for each pair.
+"""Near-duplicate groups by MinHash LSH at growing depth.
+
+Documents with equal shingle sets form one class, with one MinHash signature.
+At a depth d, each of several trees reads d values of the signature; classes
+that agree on all of them lie in one region of the tree.  There are as many
+trees as two classes at the threshold need to share a region in all but
+``MISS`` of cases, so the deeper the prefix, the more trees.
+
+Every class is compared with the first class of each of its regions, on the
+full shingle sets.  Then, in regions that still hold several groups, the pairs
+of classes of different groups are compared: links inside one group cannot
+change the result, and no pair across groups is left out unless an upper bound
+of its similarity is too low.  In a crowded region the bound counts what each
+class shares with the region's most typical class, and what else of it recurs
+in the region.  So thousands of near copies cost a few comparisons each, not
+one for each pair.
+
+A region with more than ``REGION`` classes outside its largest group is left
+to the next depth, which all its classes enter together with all trees of that
+depth; nothing of it is dropped, and the last depth compares every region.  So
+a pair is missed by chance at no more than ``MISS`` for each depth, however
+crowded its regions are and however large the table is.
 
 Defined cases: a document without words (or with null text) has no shingles
 and stands alone; a row with a null doc_id is linked with nothing and its
@@ -24,6 +29,8 @@ text, and a repeated row (same id and text) has the same result each time.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -38,11 +45,13 @@ from ledgerlens.session import ensure_checkpoint_dir
 
 #: Jaccard similarity of a link, in hundredths.
 SIMILARITY = 85
-#: Two sets at the threshold miss each other in all trees with probability (1 - .85^4)^16 = 8e-6.
-TREES = 16
-#: Depths of the prefixes: a crowded region goes to the next.
+#: MinHash values of a class.
+VALUES = 192
+#: Values that a tree reads: crowded regions go to the next depth.
 DEPTHS = (4, 6, 8, 12)
-#: Classes in a region above which it is split.
+#: Share of the pairs at the threshold that may miss each other in all trees of a depth.
+MISS = 1e-5
+#: Classes outside the largest group of a region above which the region goes to the next depth.
 REGION = 16
 #: Documents whose ids are broadcast to the scan of the texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
@@ -56,7 +65,7 @@ def _coefficients(count: int) -> tuple[np.ndarray, np.ndarray]:
     return (rng.integers(1, high, count, np.uint64) | np.uint64(1), rng.integers(0, high, count, np.uint64))
 
 
-_MUL, _ADD = _coefficients(TREES * DEPTHS[-1])
+_MUL, _ADD = _coefficients(VALUES)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -67,43 +76,62 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def region_keys(shingles: np.ndarray) -> np.ndarray:
-    """For each tree the hashes of the signature's prefixes, by depth, one after another."""
-    values = signature(shingles).reshape(TREES, DEPTHS[-1])
-    keys = []
-    for tree, row in enumerate(values):
-        data = row.tobytes()
-        keys += [xxhash.xxh3_64_intdigest(data[:4 * d], tree) for d in DEPTHS]
+def tree_count(depth: int, similarity: int) -> int:
+    """Trees of ``depth`` values drawn from a signature that two sets at the
+    similarity need to miss each other in all with probability ``MISS`` or less."""
+    p = similarity / 100
+    agree = np.array([comb(VALUES, x) * p**x * (1 - p) ** (VALUES - x) for x in range(VALUES + 1)])
+    apart = 1 - np.array([comb(x, depth) / comb(VALUES, depth) for x in range(VALUES + 1)])
+    count = 1
+    while (agree * apart**count).sum() > MISS:
+        count += 1
+    return count
+
+
+def _trees(depth: int, similarity: int) -> np.ndarray:
+    """Positions in the signature that each tree reads."""
+    rng = np.random.Generator(np.random.PCG64(depth))
+    return np.array([rng.choice(VALUES, depth, replace=False) for _ in range(tree_count(depth, similarity))])
+
+
+def region_keys(values: np.ndarray, trees: np.ndarray) -> np.ndarray:
+    """For each tree the hash of the values that it reads."""
+    keys = [xxhash.xxh3_64_intdigest(row.tobytes(), tree) for tree, row in enumerate(values[trees])]
     return np.array(keys, np.uint64).view(np.int64)
 
 
 @F.pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("set_key", T.StringType()),
-                            T.StructField("regions", T.ArrayType(T.LongType()))]))
+                            T.StructField("signature", T.BinaryType())]))
 def _sketch(texts: pd.Series) -> pd.DataFrame:
     rows = []
     for text in texts:
         s = shingle_set(text)
-        rows.append((len(s), xxhash.xxh3_128_hexdigest(s.tobytes()), region_keys(s)) if len(s) else (0, None, None))
-    return pd.DataFrame(rows, columns=["n", "set_key", "regions"])
+        rows.append((len(s), xxhash.xxh3_128_hexdigest(s.tobytes()), signature(s).tobytes()) if len(s)
+                    else (0, None, None))
+    return pd.DataFrame(rows, columns=["n", "set_key", "signature"])
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, fp, n, set_key, regions) of each document; set_key and regions are null without words."""
+    """(id, fp, n, set_key, signature) of each document; set_key and signature are null without words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("fp"),
                        _sketch("text").alias("sketch"))
-    return rows.select("id", "fp", "sketch.n", "sketch.set_key", "sketch.regions")
+    return rows.select("id", "fp", "sketch.n", "sketch.set_key", "sketch.signature")
+
 
+def _linked(similarity: int):
+    """Function of two texts: whether their shingle sets reach the similarity."""
+    @F.pandas_udf(T.BooleanType())
+    def linked(one: pd.Series, other: pd.Series) -> pd.Series:
+        last, left, out = object(), None, []
+        for x, y in zip(one, other, strict=True):
+            if x is not last and x != last:
+                last, left = x, shingle_set(x)
+            right = shingle_set(y)
+            both = len(np.intersect1d(left, right, assume_unique=True))
+            out.append(100 * both >= similarity * (len(left) + len(right) - both))
+        return pd.Series(out, dtype="bool")
 
-@F.pandas_udf(T.BooleanType())
-def _linked(one: pd.Series, other: pd.Series) -> pd.Series:
-    last, left, out = object(), None, []
-    for x, y in zip(one, other, strict=True):
-        if x is not last and x != last:
-            last, left = x, shingle_set(x)
-        right = shingle_set(y)
-        both = len(np.intersect1d(left, right, assume_unique=True))
-        out.append(100 * both >= SIMILARITY * (len(left) + len(right) - both))
-    return pd.Series(out, dtype="bool")
+    return linked
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -119,7 +147,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(wanted) if few else wanted, ["id", "fp"], "left_semi")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, fa, b, fb) whose full shingle sets reach the similarity, as (a, b)."""
     ends = pairs.select(F.col("a").alias("id"), F.col("fa").alias("fp")).unionByName(
         pairs.select(F.col("b").alias("id"), F.col("fb").alias("fp"))).distinct().checkpoint()
@@ -127,7 +155,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     one = texts.select(F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("text").alias("x"))
     other = texts.select(F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("text").alias("y"))
     return (pairs.join(one, ["a", "fa"]).join(other, ["b", "fb"])
-            .where(_linked("x", "y")).select("a", "b"))
+            .where(_linked(similarity)("x", "y")).select("a", "b"))
 
 
 def _against_pivots(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -157,57 +185,63 @@ def _against_pivots(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.join(known, ["main", "id", "fp"])
 
 
-def _regions(reps: DataFrame) -> DataFrame:
-    """(region, id, fp, n): the final region of each class in each tree; regions of one class are left out."""
-    depths = len(DEPTHS)
-    trees = F.sequence(F.lit(0), F.lit(TREES - 1))
-    rows = (reps.select("id", "fp", "n", "regions", F.explode(trees).alias("tree"))
-            .select("id", "fp", "n", F.slice("regions", F.col("tree") * depths + 1, depths).alias("path")))
-    done = None
-    for level in range(len(DEPTHS)):
-        key = F.col("path")[level]
-        size = rows.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        rows = rows.join(size, key == F.col("k")).select("id", "fp", "n", "path", F.col("k").alias("region"), "m")
-        if level == 0:
-            rows = rows.checkpoint()
-        last = level == len(DEPTHS) - 1
-        final = (rows if last else rows.where(F.col("m") <= REGION)).select("region", "id", "fp", "n")
-        done = final if done is None else done.unionByName(final)
-        rows = rows.where(F.col("m") > REGION).select("id", "fp", "n", "path")
-    return done
-
-
-def _can_link(n, m, shared):
+def _regions(reps: DataFrame, depth: int, similarity: int) -> DataFrame:
+    """(region, id, fp, n): the region of each class in each tree of the depth; regions of one class are left out."""
+    trees = _trees(depth, similarity)
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def keys(signatures: pd.Series) -> pd.Series:
+        return signatures.map(lambda x: region_keys(np.frombuffer(x, np.uint32), trees))
+
+    rows = reps.select("id", "fp", "n", F.explode(keys("signature")).alias("region"))
+    shared = rows.groupBy(F.col("region").alias("k")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    return rows.join(shared, F.col("region") == F.col("k")).select("region", "id", "fp", "n")
+
+
+def _can_link(n, m, shared, similarity: int):
     """Whether sets of n and m shingles that share at most ``shared`` can be similar enough."""
-    return 100 * shared >= SIMILARITY * (n + m - shared)
+    return 100 * shared >= similarity * (n + m - shared)
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, __fp, n_shingles, component_id) of each row; __fp is the hash of its text."""
-    ensure_checkpoint_dir(spark)
-    ship(spark)
-    found = sketches(docs).checkpoint()
-    place = F.struct("id", "fp")
-    classes = (found.where("set_key is not null and id is not null").groupBy("set_key")
-               .agg(F.min(place).alias("rep"), F.first("n").alias("n"), F.first("regions").alias("regions")))
-    reps = classes.select(F.col("rep.id").alias("id"), F.col("rep.fp").alias("fp"), "n", "regions")
-    regions = _regions(reps).checkpoint()
+def _grouped(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """``rows`` with ``g``, the group of each class: its own id where nothing is linked to it."""
+    if groups is None:
+        return rows.withColumn("g", F.col("id"))
+    return (rows.join(groups, F.col("id") == F.col("node"), "left")
+            .withColumn("g", F.coalesce("component", "id")).drop("node", "component"))
+
+
+def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """Distinct ``pairs`` (a, fa, b, fb), smaller id first, without those compared before."""
+    pairs = pairs.distinct()
+    if tried is not None:
+        old = tried.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
+        pairs = pairs.join(old, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti")
+    return pairs.checkpoint()
+
 
-    first = regions.groupBy("region").agg(F.min(F.struct("id", "fp", "n")).alias("f"))
-    star = (regions.join(first.withColumnRenamed("region", "r"), F.col("region") == F.col("r"))
-            .where((F.col("id") != F.col("f.id")) & _can_link(F.col("n"), F.col("f.n"), F.least("n", "f.n")))
+def _with_first(regions: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of each class with the first class of each of its regions, if they are of two groups."""
+    first = regions.groupBy(F.col("region").alias("r")).agg(F.min(F.struct("id", "fp", "n", "g")).alias("f"))
+    return (regions.join(first, F.col("region") == F.col("r"))
+            .where((F.col("g") != F.col("f.g")) & _can_link(F.col("n"), F.col("f.n"), F.least("n", "f.n"), similarity))
             .select(F.col("f.id").alias("a"), F.col("f.fp").alias("fa"), F.col("id").alias("b"),
-                    F.col("fp").alias("fb")).distinct().checkpoint())
-    links = _confirmed(star, docs).checkpoint()
-    groups = components(spark, links)
+                    F.col("fp").alias("fb")))
 
-    placed = (regions.join(groups, F.col("id") == F.col("node"), "left")
-              .select("region", "id", "fp", "n", F.coalesce("component", "id").alias("g")))
+
+def _several_groups(placed: DataFrame) -> DataFrame:
+    """The rows of regions that hold several groups, with ``main``, the largest
+    of them, and how many classes the region has (``members``), and outside it (``others``)."""
     sizes = placed.groupBy("region", "g").agg(F.count(F.lit(1)).alias("m"))
     split = (sizes.groupBy("region").agg(F.max(F.struct("m", "g")).alias("top"), F.count(F.lit(1)).alias("c"),
                                          F.sum("m").alias("members"))
-             .where("c > 1").select(F.col("region").alias("r"), F.col("top.g").alias("main"), "members"))
-    still = placed.join(split, F.col("region") == F.col("r")).drop("r").checkpoint()
+             .where("c > 1").select(F.col("region").alias("r"), F.col("top.g").alias("main"), "members",
+                                    (F.col("members") - F.col("top.m")).alias("others")))
+    return placed.join(split, F.col("region") == F.col("r")).drop("r")
+
+
+def _across(still: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of classes of different groups of a region that can be similar enough."""
     crowded = still.where(F.col("members") > REGION)
     still_open = still.where(F.col("members") <= REGION).withColumns({"common": F.col("n"), "other": F.lit(0)})
     if not crowded.isEmpty():
@@ -216,16 +250,46 @@ def near_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.col("region").alias("r"), F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("n").alias("nb"),
         F.col("g").alias("gb"), F.col("common").alias("cb"), F.col("other").alias("ob"))
     shared = F.least("common", "cb") + F.least("other", "ob")
-    across = (still_open.join(rest, (F.col("region") == F.col("r")) & (F.col("g") != F.col("gb"))
-                              & ((F.col("g") == F.col("main")) | (F.col("id") < F.col("b")))
-                              & _can_link(F.col("n"), F.col("nb"), shared))
-              .select(F.col("id").alias("a"), F.col("fp").alias("fa"), "b", "fb").distinct())
-    tried = star.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
-    across = across.join(tried, (F.least("a", "b") == F.col("ta")) & (F.greatest("a", "b") == F.col("tb")),
-                         "left_anti").checkpoint()
-    more = _confirmed(across, docs)
-
-    groups = components(spark, links.unionByName(more))
+    pairs = (still_open.join(rest, (F.col("region") == F.col("r")) & (F.col("g") != F.col("gb"))
+                             & ((F.col("g") == F.col("main")) | (F.col("id") < F.col("b")))
+                             & _can_link(F.col("n"), F.col("nb"), shared, similarity))
+             .select(F.struct("id", "fp").alias("x"), F.struct(F.col("b").alias("id"), F.col("fb").alias("fp")).alias("y")))
+    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return pairs.select(F.col("x.id").alias("a"), F.col("x.fp").alias("fa"), F.col("y.id").alias("b"),
+                        F.col("y.fp").alias("fb"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """(doc_id, __fp, n_shingles, component_id) of each row; __fp is the hash of
+    its text.  Classes of at least ``similarity`` (in hundredths) are linked."""
+    ensure_checkpoint_dir(spark)
+    ship(spark)
+    found = sketches(docs).checkpoint()
+    place = F.struct("id", "fp")
+    classes = (found.where("set_key is not null and id is not null").groupBy("set_key")
+               .agg(F.min(place).alias("rep"), F.first("n").alias("n"), F.first("signature").alias("signature")))
+    reps = classes.select(F.col("rep.id").alias("id"), F.col("rep.fp").alias("fp"), "n", "signature")
+
+    links = groups = tried = None
+    for depth in DEPTHS:
+        regions = _regions(reps, depth, similarity).checkpoint()
+        star = _untried(_with_first(_grouped(regions, groups), similarity), tried)
+        tried = star if tried is None else tried.unionByName(star)
+        new = _confirmed(star, docs, similarity).checkpoint()
+        links = new if links is None else links.unionByName(new)
+        groups = components(spark, links)
+
+        still = _several_groups(_grouped(regions, groups)).checkpoint()
+        compared = still if depth == DEPTHS[-1] else still.where(F.col("others") <= REGION)
+        across = _untried(_across(compared, docs, similarity), tried)
+        tried = tried.unionByName(across)
+        links = links.unionByName(_confirmed(across, docs, similarity).checkpoint())
+        groups = components(spark, links)
+        deeper = still.where(F.col("others") > REGION).select("id", "fp").distinct()
+        if depth == DEPTHS[-1] or deeper.isEmpty():
+            break
+        reps = reps.join(deeper, ["id", "fp"], "left_semi").checkpoint()
+
     of_class = (found.join(classes.select("set_key", F.col("rep.id").alias("rep")), "set_key", "left")
                 .join(groups, F.col("rep") == F.col("node"), "left"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))

@@ -39,6 +39,26 @@ def test_hot_group_of_near_copies(spark):
     assert found(near_dedup.near_dedup(spark, docs)) == near_components(texts)
 
 
+def test_pairs_in_regions_that_are_crowded_at_every_depth(spark):
+    """All texts share a passage that alone is not enough for a link (100 of
+    120 shingles); two and two share enough besides it (102 of 118)."""
+    passage = [f"p{i}" for i in range(104)]
+    texts = {}
+    for i in range(200):
+        for j in (2 * i, 2 * i + 1):
+            texts[j] = " ".join([*passage, f"both{i}", f"same{i}", *(f"own{j}.{x}" for x in range(8))])
+    docs = frame(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    assert found(near_dedup.near_dedup(spark, docs)) == {i: (110, i - i % 2) for i in texts}
+
+
+def test_trees_suffice_at_every_depth():
+    for similarity in (80, 85):
+        counts = [near_dedup.tree_count(d, similarity) for d in near_dedup.DEPTHS]
+        assert counts == sorted(counts)
+        for d, count in zip(near_dedup.DEPTHS, counts, strict=True):
+            assert (1 - (similarity / 100) ** d) ** count <= 1e-5
+
+
 def test_defined_cases(spark):
     rows = near_dedup.near_dedup(spark, frame(spark, clashing=True)).collect()
     assert len(rows) == len(ROWS)
