@@ -18,6 +18,10 @@ from ledgerlens.llm import line_dedup, mixing, near_dedup, segmentation, toxicit
 from ledgerlens.session import ensure_checkpoint_dir
 
 
+#: Jaccard similarity, in hundredths, from which documents are near copies of each other.
+SIMILARITY = 80
+
+
 def _with_text(docs: DataFrame, rows: DataFrame, value) -> DataFrame:
     """The columns of ``docs`` from ``rows``, with another text and its length."""
     length = F.when(value.isNotNull(), F.length(value)).cast("long")
@@ -41,7 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document, the one of the smallest doc_id, of each near-duplicate
     group.  A row equal to another in doc_id and text stays once; rows without
     a doc_id stay."""
-    kept = (near_dedup.near_dedup(spark, docs)
+    kept = (near_dedup.near_dedup(spark, docs, SIMILARITY)
             .where("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("__fp")).distinct())
     keyed = docs.withColumn("__text", F.xxhash64("text"))
     same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.col("__text") == F.col("__fp"))

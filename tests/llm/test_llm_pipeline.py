@@ -52,3 +52,12 @@ def test_awkward_rows(spark, name, stage):
         assert sorted(str(r.doc_id) for r in rows) == sorted({str(r[0]) for r in ROWS} - {"11", "6"} | (
             {"6"} if near_components({5: ROWS[5][1], 6: ROWS[7][1]})[6][1] == 6 else set()))
     assert stage(spark, empty(spark), SF).count() == 0
+
+
+def test_copies_between_the_thresholds_go(spark):
+    """Similar by 100 of 120 shingles, below op3's 0.85, and by 100 of 130, below 0.8."""
+    passage = [f"p{i}" for i in range(104)]
+    texts = [(1, " ".join(passage + [f"a{i}" for i in range(10)])), (2, " ".join(passage + [f"b{i}" for i in range(10)])),
+             (3, " ".join(passage + [f"c{i}" for i in range(20)]))]
+    docs = frame(spark, [(i, t, "en", "s") for i, t in texts])
+    assert {r.doc_id for r in P.drop_near_copies(spark, docs, SF).collect()} == {1, 3}
