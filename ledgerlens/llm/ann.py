@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by shifted space-filling curves.
 
 For each of several curves the vectors are projected on a few random
-orthonormal directions, laid on a grid with a random shift, and numbered along
-a Hilbert curve.  Each order is range-partitioned in Spark and ranked; a query
+orthonormal directions, laid by the share of vectors below them along each on
+a grid with a random shift, and numbered along a Hilbert curve.  So a dense
+group takes as much of the grid as it has vectors, and is ordered within itself
+however close they are.  Each order is range-partitioned in Spark and ranked; a query
 is compared by exact distance with all vectors in the window around its own
 rank, and the best of all curves are merged and ranked again.
 
@@ -38,6 +40,8 @@ CURVES = 24
 AXES, BITS = 8, 5
 #: Half a window, as a share of all vectors, and at least so many.
 WINDOW_SHARE, WINDOW_LEAST = 0.025, 256
+#: Vectors from which the shares along an axis are estimated, about, and the steps of the estimate.
+SAMPLE, KNOTS = 8192, 256
 BLOCK = 1024
 QUERIES = 4096
 
@@ -107,21 +111,23 @@ def neighbours(spark: SparkSession, vectors: DataFrame, is_query, k: int = NEIGH
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d = dimensions["d"]
     rows = rows.where(F.size("v") == d)
-    # Mean and spread of all components: d small rows.
-    moments = (rows.select(F.posexplode("v").alias("i", "x")).groupBy("i")
-               .agg(F.avg(F.col("x").cast("double")).alias("m"), F.var_pop(F.col("x").cast("double")).alias("s"),
-                    F.count(F.lit(1)).alias("n")).orderBy("i").collect())
-    mean, count = np.array([r["m"] for r in moments]), moments[0]["n"]
-    spread = float(np.sqrt(sum(r["s"] for r in moments) / d)) or 1.0
-    frames = _frames(d, curves, seed)
+    count = rows.count()
+    # fp is a hash: the same sample each time, of rows spread over the table.
+    step = max(1, count // SAMPLE)
+    sample = rows.where(F.pmod("fp", F.lit(step)) == 0).select("v").collect() or rows.limit(1).select("v").collect()
+    sample = np.array([r["v"] for r in sample], np.float64)
+    frames = [(axes, shift, np.quantile(sample @ axes, np.linspace(0, 1, KNOTS), axis=0))
+              for axes, shift in _frames(d, curves, seed)]
+    del sample
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def keys(v: pd.Series) -> pd.Series:
-        x = np.array(v.tolist(), np.float64).reshape(len(v), d) - mean
+        x = np.array(v.tolist(), np.float64).reshape(len(v), d)
         out = np.empty((len(x), curves), np.int64)
-        for c, (axes, shift) in enumerate(frames):
-            # Three deviations to each side take half the grid; the shift moves them within all of it.
-            at = ((x @ axes) / (6 * spread) + 0.5).clip(0, 1) + shift
+        for c, (axes, shift, knots) in enumerate(frames):
+            # The share of the vectors below along each axis takes half the grid; the shift moves it within all of it.
+            below = [np.searchsorted(k, a) / KNOTS for k, a in zip(knots.T, (x @ axes).T, strict=True)]
+            at = np.stack(below, axis=1) + shift
             out[:, c] = hilbert((at / 2 * (1 << BITS)).clip(0, (1 << BITS) - 1), BITS)
         return pd.Series(list(out))
 

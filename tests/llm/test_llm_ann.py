@@ -86,3 +86,23 @@ def test_a_vector_that_many_rows_have(spark):
     for q in range(0, 3000, 300):
         mine = [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q]
         assert mine == [i for i in copies if i != q][:10]
+
+
+@pytest.mark.parametrize("noise", [0.0001, 0.001])
+def test_a_tight_group_of_distinct_vectors(spark, noise):
+    """A third of all rows lie near one vector: their neighbours are found within the group."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(20_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[::3] = x[0] + noise * rng.normal(size=x[::3].shape)
+    x = np.float32(x)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.neighbours(spark, df, lambda i: i % 600 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q in range(0, 20_000, 600):
+        far = np.square(x.astype(np.float64) - x[q]).sum(axis=1)
+        far[q] = np.inf
+        hit += len(got[q] & set(np.argsort(far)[:10].tolist()))
+    assert hit / (10 * len(got)) >= 0.9
