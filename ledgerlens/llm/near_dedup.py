@@ -148,14 +148,16 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, fa, b, fb) whose full shingle sets reach the similarity, as (a, b)."""
+    """The pairs (a, fa, b, fb) whose full shingle sets reach the similarity, as (a, b) of (id, fp)."""
     ends = pairs.select(F.col("a").alias("id"), F.col("fa").alias("fp")).unionByName(
         pairs.select(F.col("b").alias("id"), F.col("fb").alias("fp"))).distinct().checkpoint()
     texts = _texts(docs, ends)
     one = texts.select(F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("text").alias("x"))
     other = texts.select(F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("text").alias("y"))
     return (pairs.join(one, ["a", "fa"]).join(other, ["b", "fb"])
-            .where(_linked(similarity)("x", "y")).select("a", "b"))
+            .where(_linked(similarity)("x", "y"))
+            .select(F.struct(F.col("a").alias("id"), F.col("fa").alias("fp")).alias("a"),
+                    F.struct(F.col("b").alias("id"), F.col("fb").alias("fp")).alias("b")))
 
 
 def _against_pivots(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -204,20 +206,18 @@ def _can_link(n, m, shared, similarity: int):
 
 
 def _grouped(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """``rows`` with ``g``, the group of each class: its own id where nothing is linked to it."""
+    """``rows`` with ``g``, the group of each class by its (id, fp): the class itself where nothing is linked to it."""
+    place = F.struct("id", "fp")
     if groups is None:
-        return rows.withColumn("g", F.col("id"))
-    return (rows.join(groups, F.col("id") == F.col("node"), "left")
-            .withColumn("g", F.coalesce("component", "id")).drop("node", "component"))
+        return rows.withColumn("g", place)
+    return (rows.join(groups, place == F.col("node"), "left")
+            .withColumn("g", F.coalesce("component", place)).drop("node", "component"))
 
 
 def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
-    """Distinct ``pairs`` (a, fa, b, fb), smaller id first, without those compared before."""
+    """Distinct ``pairs`` (a, fa, b, fb), smaller place first, without those compared before."""
     pairs = pairs.distinct()
-    if tried is not None:
-        old = tried.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
-        pairs = pairs.join(old, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti")
-    return pairs.checkpoint()
+    return (pairs if tried is None else pairs.join(tried, ["a", "fa", "b", "fb"], "left_anti")).checkpoint()
 
 
 def _with_first(regions: DataFrame, similarity: int) -> DataFrame:
@@ -251,7 +251,7 @@ def _across(still: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
         F.col("g").alias("gb"), F.col("common").alias("cb"), F.col("other").alias("ob"))
     shared = F.least("common", "cb") + F.least("other", "ob")
     pairs = (still_open.join(rest, (F.col("region") == F.col("r")) & (F.col("g") != F.col("gb"))
-                             & ((F.col("g") == F.col("main")) | (F.col("id") < F.col("b")))
+                             & ((F.col("g") == F.col("main")) | (F.struct("id", "fp") < F.struct("b", "fb")))
                              & _can_link(F.col("n"), F.col("nb"), shared, similarity))
              .select(F.struct("id", "fp").alias("x"), F.struct(F.col("b").alias("id"), F.col("fb").alias("fp")).alias("y")))
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
@@ -290,8 +290,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, similarity: int = SIMILARIT
             break
         reps = reps.join(deeper, ["id", "fp"], "left_semi").checkpoint()
 
-    of_class = (found.join(classes.select("set_key", F.col("rep.id").alias("rep")), "set_key", "left")
+    of_class = (found.join(classes.select("set_key", "rep"), "set_key", "left")
                 .join(groups, F.col("rep") == F.col("node"), "left"))
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component.id", "rep.id", "id"))
     return of_class.select(F.col("id").alias("doc_id"), F.col("fp").alias("__fp"), F.col("n").alias("n_shingles"),
                            component.alias("component_id"))

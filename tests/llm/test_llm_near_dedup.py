@@ -59,6 +59,16 @@ def test_trees_suffice_at_every_depth():
             assert (1 - (similarity / 100) ** d) ** count <= 1e-5
 
 
+def test_one_id_on_different_texts(spark):
+    base = [f"t{i}" for i in range(120)]
+    other = " ".join(f"u{i}" for i in range(60))
+    docs = frame(spark, [(3, " ".join(base), "en", "s"), (5, " ".join(base[:118]), "en", "s"), (5, other, "en", "s"),
+                         (8, other + " end", "en", "s")])
+    rows = near_dedup.near_dedup(spark, docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == [
+        (3, 116, 3), (5, 56, 5), (5, 114, 3), (8, 57, 5)]
+
+
 def test_defined_cases(spark):
     rows = near_dedup.near_dedup(spark, frame(spark, clashing=True)).collect()
     assert len(rows) == len(ROWS)
