@@ -1,5 +1,5 @@
 """Operators for preparing training data for language models.
 
-Ten operators, one module each, plus ``queries`` (what ``__spark_entry__``
+Thirteen operators, one module each, plus ``queries`` (what ``__spark_entry__``
 registers) and ``oracle_sql``.  Nothing outside this package imports it.
 """

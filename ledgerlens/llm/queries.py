@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import (
     ann,
     chat,
+    conversation_repair,
     license_scan,
     line_dedup,
     mixing,
@@ -18,7 +19,9 @@ from ledgerlens.llm import (
     quality_rules,
     segmentation,
     sharding,
+    spelling,
     toxicity,
+    url_filter,
 )
 
 #: Sources up to which their table of targets is broadcast; beyond, it is joined by shuffle.
@@ -117,8 +120,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, with_text=False).select("doc_id", "__verdict.*")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of each damaged conversation."""
+    return conversation_repair.repair(spark, conversation_repair.damaged(_read(spark, sf_dir, "conversations")))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of each page's url."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.url_filter(spark, pages, url_filter.default_rules(spark))
+    return judged.select("page_id", "__url.*")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart, and the frequent form of each."""
+    found = spelling.spelling_variants(spark, _read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query."""
     return {f.__name__: f for f in (
         op1_chat_formatting, op2_mixing, op3_near_dedup, op4_license_scan, op5_sharding, op6_toxicity,
-        op7_sentencepiece, op8_nearest_neighbours, op9_line_dedup, op10_quality_rules)}
+        op7_sentencepiece, op8_nearest_neighbours, op9_line_dedup, op10_quality_rules, op11_conversation_repair,
+        op12_url_filter, op13_spelling_variants)}
