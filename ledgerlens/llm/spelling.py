@@ -6,23 +6,23 @@ times among the words: frequent grams are grown by one character, rare ones are
 not.  From each position a word reads the shortest gram that is not frequent,
 or one of the longest length, and a gram that lies inside the one before is
 left out.  This decomposition has a property that keeps the bounds small: an
-edit at a position changes only the grams that hold the position, and the one
-that starts right after it.  The largest such number over all positions is the
-word's count of affected grams, so a word of ``g`` grams shares at least
-``g - affected`` with any word one edit apart.
-
-The inverted lists are merged by a join on grams.  A word enters the lists of
-its ``affected + 1`` rarest grams only: two words that share as many grams as
-they must, share one of those.  Words of one length share grams at the same
-place, so the place is part of their list; words of two lengths share the
-n-th occurrence of a gram.  Lists longer than ``LIST`` are cut by a salt of
-one side, and the other side enters every cut.  A pair of a list passes if the
+edit at a position affects only the grams that hold the position, and the one
+that starts right after it.
+
+The inverted lists are merged by a join on grams.  Every word stands in the
+lists of all its grams, but asks only some of them: the rarest of its grams
+that outnumber those among them which one edit can affect.  Usually two grams apart from
+each other do, of which an edit affects one at most.  Any word one edit apart holds one of
+the grams asked, at the same place, or one further where it is longer and
+the edit lies before; so place and length are part of a list's key.  Lists of
+grams that occur more than ``LIST`` times are cut by a salt of the asking
+side, and the other side stands in every cut.  A pair passes if the
 parities of its letters and letter pairs differ by no more than one edit
-allows, and if its edit distance is one.  Words with no gram that must be shared are
-compared with each other through the words left by deleting one character.
+allows, and if its edit distance is one.  Words without enough grams to ask are
+compared with each other, and with all shorter and longer words, through the words left by deleting one character.
 
-The longest gram is about half the length of a word, so that some grams must be
-shared; words of lengths n and n + 1 meet with the longest gram of n.
+The longest gram is about half the length of a word, so that two grams can be
+apart; words of lengths n and n + 1 meet with the longest gram of n.
 
 The dictionary is broadcast: it holds ``MAX_GRAMS`` grams at most, since the count
 above which a gram is frequent is raised until it fits.  That changes
@@ -35,8 +35,6 @@ gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.shipping import ship
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.llm.tables import Tables
 
 #: Code points of the shortest word.
 SHORTEST = 7
@@ -58,8 +56,8 @@ GRAM = (2, 6)
 RARE = 64
 #: Grams in the dictionary, at most.
 MAX_GRAMS = 500_000
-#: Words of an uncut list.
-LIST = 4096
+#: Occurrences of a gram up to which its lists are not cut.
+LIST = 65_536
 
 LETTERS = r"A-Za-zÀ-ÿ"
 _UPPER = "".join(map(chr, range(65, 91)))
@@ -97,10 +95,10 @@ def gram_counts(words: DataFrame) -> DataFrame:
     return padded.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
 
 
-def dictionary(words: DataFrame, rare: int = RARE, max_grams: int = MAX_GRAMS) -> dict[str, int]:
+def dictionary(words: DataFrame, tables: Tables, rare: int = RARE, max_grams: int = MAX_GRAMS) -> dict[str, int]:
     """The frequent grams and their counts, ``max_grams`` at most: beyond that
     the count above which a gram is frequent doubles until they fit."""
-    counts = gram_counts(words).where(F.col("c") > rare).checkpoint()
+    counts = tables.write(gram_counts(words).where(F.col("c") > rare))
     doublings = F.floor(F.log2((F.col("c") - 1) / F.lit(float(rare)))).cast("int")
     by_size = {r["d"]: r["count"] for r in counts.groupBy(doublings.alias("d")).count().collect()}
     level = next(d for d in range(66) if sum(n for k, n in by_size.items() if k >= d) <= max_grams)
@@ -112,8 +110,8 @@ def longest_gram(length: int) -> int:
     return max(GRAM[0], min(GRAM[1], (length + 1) // 2))
 
 
-def decompose(word: str, longest: int, frequent: dict[str, int]) -> tuple[list[tuple[int, str]], int]:
-    """The (place, gram) of a word, and how many of them one edit affects at most."""
+def decompose(word: str, longest: int, frequent: dict[str, int]) -> list[tuple[int, str]]:
+    """The (place, gram) of a word, in order."""
     s = f"^{word}$"
     spans, last = [], 0
     for a in range(len(s) - GRAM[0] + 1):
@@ -121,115 +119,135 @@ def decompose(word: str, longest: int, frequent: dict[str, int]) -> tuple[list[t
         while b < len(s) and b - a < longest and s[a:b] in frequent:
             b += 1
         if b > last:
-            spans.append((a, b))
+            spans.append((a, s[a:b]))
             last = b
-    hit = [0] * (len(s) + 1)
-    for a, b in spans:
-        for i in range(a, b):
-            hit[i] += 1
-        if a:
-            hit[a - 1] += 1
-    return [(a, s[a:b]) for a, b in spans], max(hit[1:len(s) - 1])
+    return spans
 
 
-def _lists(word: str, longest: int, frequent: dict[str, int]) -> tuple[list[tuple[int, int, str, int]], bool]:
-    """(place, occurrence, gram, cuts) of the lists that a word enters, and whether it must share no gram."""
-    grams, affected = decompose(word, longest, frequent)
-    seen: Counter[str] = Counter()
-    rows = []
+def affected(grams: list[tuple[int, str]], length: int) -> int:
+    """How many of the (place, gram) of a word of ``length`` one edit affects at most."""
+    hit = [0] * (length + 2)
     for place, gram in grams:
-        seen[gram] += 1
-        rows.append((frequent.get(gram, 0), gram, place, seen[gram]))
-    rows.sort()
-    return ([(place, nth, gram, c // LIST + 1) for c, gram, place, nth in rows[:affected + 1]],
-            len(grams) <= affected)
+        for i in range(max(place - 1, 0), place + len(gram)):
+            hit[i] += 1
+    return max(hit[1:length + 1])
 
 
-def _key(kind: str, length: int, number: int, cut: int, gram: str) -> int:
-    h = xxhash.xxh3_64_intdigest(f"{kind}{length} {number} {cut} {gram}")
+def asked(grams: list[tuple[int, str]], length: int, frequent: dict[str, int]) -> list[tuple[int, str]]:
+    """Rare grams of a word that one edit cannot all affect: two that are apart, else all; none if all are not enough."""
+    cost = [frequent.get(g, 0) for _, g in grams]
+    best = None
+    for i, (place, gram) in enumerate(grams):
+        for j in range(i + 1, len(grams)):
+            if grams[j][0] > place + len(gram) and (best is None or cost[i] + cost[j] < best[0]):
+                best = (cost[i] + cost[j], i, j)
+    if best:
+        return [grams[best[1]], grams[best[2]]]
+    return grams if len(grams) > affected(grams, length) else []
+
+
+def _key(length: int, longest: int, place: int, cut: int, gram: str) -> int:
+    h = xxhash.xxh3_64_intdigest(f"{length} {longest} {place} {cut} {gram}")
     return h - (1 << 64) if h >> 63 else h
 
 
-def _parity(units) -> int:
+def _parity(word: str) -> int:
+    """Parities of the letters (32 bits) and of the letter pairs (32 bits) of a word."""
+    codes = [ord(c) for c in word]
     bits = 0
-    for u in units:
-        bits ^= 1 << u % 64
+    for c in codes:
+        bits ^= 1 << c % 32
+    for a, b in zip(codes, codes[1:], strict=False):
+        bits ^= 1 << 32 + (a * 31 + b) % 32
     return bits - (1 << 64) if bits >> 63 else bits
 
 
-def entry(word: str, frequent: dict[str, int]) -> tuple[int, int, list[int], list[int], bool]:
-    """(parity of letters, parity of letter pairs, lists on the left side, lists on
-    the right side, weak): pairs of one length meet in both, a longer word is on the right."""
+def entry(word: str, frequent: dict[str, int]) -> tuple[int, list[int], list[int], bool]:
+    """(parities, lists that the word asks, lists that it stands in, whether it has too few grams to ask).
+
+    It asks for words of its own length and for those one longer."""
     n = len(word)
     salt = xxhash.xxh3_64_intdigest(word)
-    same, weak = _lists(word, longest_gram(n), frequent)
-    above, weak_above = _lists(word, longest_gram(n - 1), frequent)
-    left, right = [], []
-    for place, nth, gram, cuts in same:
-        left += [_key("=", n, place, salt % cuts, gram), _key("+", n, nth, salt % cuts, gram)]
-        right += [_key("=", n, place, cut, gram) for cut in range(cuts)]
-    for _, nth, gram, cuts in above:
-        right += [_key("+", n - 1, nth, cut, gram) for cut in range(cuts)]
-    codes = [ord(c) for c in word]
-    pairs = [a * 31 + b for a, b in zip(codes, codes[1:], strict=False)]
-    return _parity(codes), _parity(pairs), left, right, weak or weak_above
-
-
-_ENTRY = T.StructType([T.StructField("letters", T.LongType()), T.StructField("pairs", T.LongType()),
-                       T.StructField("left", T.ArrayType(T.LongType())),
-                       T.StructField("right", T.ArrayType(T.LongType())), T.StructField("weak", T.BooleanType())])
+    cuts = lambda gram: frequent.get(gram, 0) // LIST + 1
+    own = longest_gram(n)
+    grams = decompose(word, own, frequent)
+    ask, weak = [], False
+    rare = asked(grams, n, frequent)
+    for place, gram in rare:
+        cut = salt % cuts(gram)
+        ask += [_key(n, own, place, cut, gram), _key(n + 1, own, place, cut, gram), _key(n + 1, own, place + 1, cut, gram)]
+    stand = [_key(n, own, place, cut, gram) for place, gram in grams for cut in range(cuts(gram))]
+    if longest_gram(n - 1) != own:
+        below = longest_gram(n - 1)
+        stand += [_key(n, below, place, cut, gram) for place, gram in decompose(word, below, frequent)
+                  for cut in range(cuts(gram))]
+    return _parity(word), ask, stand, not rare
+
+
+_ENTRY = T.StructType([T.StructField("parity", T.LongType()), T.StructField("ask", T.ArrayType(T.LongType())),
+                       T.StructField("stand", T.ArrayType(T.LongType())), T.StructField("weak", T.BooleanType())])
 
 
 def _near_in_lists(index: DataFrame) -> DataFrame:
-    """Pairs of words one edit apart that share a list."""
-    left = index.select(F.explode("left").alias("k"), "word", "n", "letters", "pairs")
-    right = index.select(F.explode("right").alias("k2"), F.col("word").alias("word2"), F.col("n").alias("n2"),
-                         F.col("letters").alias("letters2"), F.col("pairs").alias("pairs2"))
+    """Pairs of words one edit apart of which the first asks a list that the second stands in."""
+    left = index.select(F.explode("ask").alias("k"), "word", "n", "parity")
+    right = index.select(F.explode("stand").alias("k2"), F.col("word").alias("word2"), F.col("n").alias("n2"),
+                         F.col("parity").alias("parity2"))
     longer = F.length("word2") - F.length("word")
+    differ = F.col("parity").bitwiseXOR(F.col("parity2"))
     return (left.hint("merge").join(right, (F.col("k") == F.col("k2"))
-            & (F.bit_count(F.col("letters").bitwiseXOR(F.col("letters2"))) <= 2 - longer)
-            & (F.bit_count(F.col("pairs").bitwiseXOR(F.col("pairs2"))) <= 4)
+            & (F.bit_count(differ.bitwiseAND(F.lit(0xFFFFFFFF))) <= 2 - longer)
+            & (F.bit_count(F.shiftrightunsigned(differ, 32)) <= 4 - longer)
             & ((longer > 0) | (F.col("word") < F.col("word2")))
             & (F.levenshtein("word", "word2", 1) == 1))
             .select("word", "n", "word2", "n2"))
 
 
 def _near_of_weak(index: DataFrame) -> DataFrame:
-    """Pairs of weak words one edit apart: they are equal after deleting one character of one or both."""
-    cuts = F.expr("array_union(array(word), transform(sequence(1, length(word)), "
-                  "i -> concat(substring(word, 1, i - 1), substring(word, i + 1))))")
-    rows = index.where("weak").select("word", "n", F.explode(cuts).alias("rest"))
-    other = rows.select(F.col("word").alias("word2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"))
+    """Pairs of a weak word and a word one edit apart that is as long or longer: they are equal after
+    deleting a character of the longer or of both."""
+    cuts = "transform(sequence(1, length(word)), i -> concat(substring(word, 1, i - 1), substring(word, i + 1)))"
+    lengths = index.where("weak").select(F.length("word").alias("len")).distinct()
+    lengths = {r["len"] for r in lengths.collect()}
+    weak = index.where("weak").select("word", "n", F.explode(F.expr(f"array_union(array(word), {cuts})")).alias("rest"))
+    reach = index.where(F.length("word").isin([*lengths, *(x + 1 for x in lengths)]))
+    other = reach.select(F.col("word").alias("word2"), F.col("n").alias("n2"), F.explode(F.expr(cuts)).alias("rest2"))
     longer = F.length("word2") - F.length("word")
-    return (rows.hint("merge").join(other, (F.col("rest") == F.col("rest2"))
-            & ((longer > 0) | ((longer == 0) & (F.col("word") < F.col("word2"))))
-            & (F.levenshtein("word", "word2", 1) == 1))
-            .select("word", "n", "word2", "n2"))
+    return (weak.hint("merge").join(other, (F.col("rest") == F.col("rest2")) & (F.col("word") != F.col("word2"))
+            & (longer >= 0) & (F.levenshtein("word", "word2", 1) == 1))
+            .select(F.when(longer > 0, F.col("word")).otherwise(F.least("word", "word2")).alias("word"),
+                    F.when((longer > 0) | (F.col("word") < F.col("word2")), F.col("n")).otherwise(F.col("n2")).alias("n"),
+                    F.when(longer > 0, F.col("word2")).otherwise(F.greatest("word", "word2")).alias("word2"),
+                    F.when((longer > 0) | (F.col("word") < F.col("word2")), F.col("n2")).otherwise(F.col("n")).alias("n2")))
 
 
 def near_words(spark: SparkSession, words: DataFrame, rare: int = RARE, max_grams: int = MAX_GRAMS) -> DataFrame:
     """(word, n, word2, n2): every pair of ``words`` (word, n) one edit apart, once."""
-    ensure_checkpoint_dir(spark)
     ship(spark)
-    frequent = spark.sparkContext.broadcast(dictionary(words, rare, max_grams))
+    tables = Tables(spark, "spelling")
+    frequent = spark.sparkContext.broadcast(dictionary(words, tables, rare, max_grams))
 
     @F.pandas_udf(_ENTRY)
     def indexed(word: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([entry(w, frequent.value) for w in word], columns=_ENTRY.names)
 
-    index = words.select("word", "n", indexed("word").alias("e")).select("word", "n", "e.*").checkpoint()
-    return _near_in_lists(index).unionByName(_near_of_weak(index)).distinct()
+    index = tables.write(words.select("word", "n", indexed("word").alias("e")).select("word", "n", "e.*"))
+    pairs = _near_in_lists(index)
+    if not index.where("weak").isEmpty():
+        pairs = pairs.unionByName(_near_of_weak(index))
+    pairs = tables.write(pairs.distinct())
+    tables.drop_all_but(pairs)
+    return pairs
 
 
-def _roots(forms: DataFrame) -> DataFrame:
+def _roots(forms: DataFrame, tables: Tables) -> DataFrame:
     """(word, root) for words (word, form): forms are followed to the last.  A form is ten times as
     frequent as its word, so chains are short; each round doubles how far they are followed."""
-    hops = forms.select("word", F.col("form").alias("root")).checkpoint()
+    hops = forms.select("word", F.col("form").alias("root"))
     while True:
         on = hops.select(F.col("word").alias("at"), F.col("root").alias("on"))
         further = hops.join(on, F.col("root") == F.col("at"), "left")
-        further = further.select("word", F.coalesce("on", "root").alias("root"), F.col("on").isNotNull().alias("moved"))
-        further = further.checkpoint()
+        further = tables.write(further.select("word", F.coalesce("on", "root").alias("root"), F.col("on").isNotNull().alias("moved")))
         hops = further.select("word", "root")
         if further.where("moved").isEmpty():
             return hops
@@ -237,22 +255,22 @@ def _roots(forms: DataFrame) -> DataFrame:
 
 def variants(spark: SparkSession, words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """(word, n, n_near, form, form_n, root) of each of ``words`` (word, n)."""
-    pairs = near_words(spark, words).checkpoint()
+    tables = Tables(spark, "spelling-forms")
+    pairs = near_words(spark, words)
     both = pairs.unionByName(pairs.select(F.col("word2").alias("word"), F.col("n2").alias("n"),
                                           F.col("word").alias("word2"), F.col("n").alias("n2")))
     best = (both.groupBy(F.col("word").alias("w")).agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n2")).alias("m"), F.col("word2").alias("f"))).alias("top")))
     rows = words.join(best, F.col("word") == F.col("w"), "left")
     is_form = -F.col("top.m") >= ratio * F.col("n")
-    rows = rows.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-                       F.when(is_form, F.col("top.f")).alias("form"),
-                       F.when(is_form, -F.col("top.m")).alias("form_n")).checkpoint()
-    roots = _roots(rows.where("form is not null")).select(F.col("word").alias("w"), "root")
+    rows = tables.write(rows.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+                                    F.when(is_form, F.col("top.f")).alias("form"),
+                                    F.when(is_form, -F.col("top.m")).alias("form_n")))
+    roots = _roots(rows.where("form is not null"), tables).select(F.col("word").alias("w"), "root")
     return (rows.join(roots, F.col("word") == F.col("w"), "left")
             .withColumn("root", F.coalesce("root", "word")).drop("w"))
 
 
 def spelling_variants(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The words of ``docs`` after the damage rule, with their near words, forms and roots."""
-    ensure_checkpoint_dir(spark)
-    return variants(spark, vocabulary(damaged_words(docs)).checkpoint())
+    return variants(spark, Tables(spark, "vocabulary").write(vocabulary(damaged_words(docs))))
