@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm import license_scan, quality_rules
+from ledgerlens.llm import license_scan, quality_rules, url_filter
 
 # Windows of three lines over all documents; the text hash of a document is replaced by the text itself.
 OP9 = r"""
@@ -150,7 +150,150 @@ FROM base
 """
 
 
+# crc32 of a list of bytes, as a table of 256 values (CTE ``crc``) and an expression over it.
+_CRC_TABLE = """crc AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) AS r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    points = (f"flatten(list_transform(string_split({text}, ''), lambda x: CASE WHEN unicode(x) < 128 "
+              "THEN [unicode(x)::BIGINT] ELSE [(192 + (unicode(x) >> 6))::BIGINT, (128 + (unicode(x) & 63))::BIGINT] END))")
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {points}), "
+            "lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)")
+
+
+def _longer(path: str, cost: str, letter: str) -> str:
+    return f"printf('%09d', left({path}, 9)::INT + {cost}) || substr({path}, 10) || '{letter}'"
+
+
+# A path is its cost in nine digits and its audit, so the least text is the cheapest path with the least
+# audit.  Inserting (5) is never part of it: deleting a message beside the inserted one costs 2, and the pattern holds.
+OP11 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32("k")} % 20 AS h
+    FROM (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations), crc),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+           CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM keyed, LATERAL (SELECT unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END))) AS copies
+    WHERE h <> 0),
+ordered AS (
+    SELECT *, left(role, 1) AS c,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth
+    FROM damaged),
+judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+    FROM ordered),
+coded AS (
+    SELECT *, fault IN ('', 'truncated') AS may_stay, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more,
+           lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS step
+    FROM judged),
+conv AS (SELECT DISTINCT conv_id FROM conversations),
+path AS (
+    SELECT conv_id, 0::BIGINT AS i, '000000000' AS p0, NULL::VARCHAR AS p1, NULL::VARCHAR AS p2, NULL::VARCHAR AS p3
+    FROM conv
+    UNION ALL
+    SELECT p.conv_id, r.i, {_longer("p0", "2", "D")},
+           least({_longer("p1", "2", "D")}, CASE WHEN may_stay AND c = 's' THEN {_longer("p0", "more", "K")} END),
+           least({_longer("p2", "2", "D")},
+                 CASE WHEN may_stay AND c = 'u' THEN {_longer("least(p0, p1, p3)", "more", "K")} END,
+                 CASE WHEN may_stay THEN {_longer("least(p0, p1, p3)", "1 + more", "R")} END),
+           least({_longer("p3", "2", "D")}, CASE WHEN may_stay AND c = 'a' THEN {_longer("p2", "more", "K")} END,
+                 CASE WHEN may_stay THEN {_longer("p2", "1 + more", "R")} END)
+    FROM path p JOIN coded r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1),
+best AS (
+    SELECT conv_id, left(arg_max(least(p0, p3), i), 9)::BIGINT AS cost, substr(arg_max(least(p0, p3), i), 10) AS audit
+    FROM path GROUP BY conv_id),
+stay AS (
+    SELECT r.*, substr(b.audit, r.i::INT, 1) AS edit,
+           row_number() OVER (PARTITION BY r.conv_id ORDER BY r.i) AS k,
+           first_value(c = 's' AND substr(b.audit, r.i::INT, 1) = 'K') OVER (PARTITION BY r.conv_id ORDER BY r.i) AS headed
+    FROM coded r JOIN best b ON r.conv_id IS NOT DISTINCT FROM b.conv_id
+    WHERE substr(b.audit, r.i::INT, 1) <> 'D'),
+repaired AS (
+    SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (k - headed::INT) % 2 = 1 THEN 'user'
+                                    ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS lines
+    FROM stay GROUP BY conv_id),
+counts AS (
+    SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count_if(fault = 'blank') AS blank,
+           count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+           count_if(step IS NOT NULL AND step NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM coded GROUP BY conv_id)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, cost, audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM best b LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN repaired l ON l.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+
+def _op12() -> str:
+    rules = ", ".join(f"('{action}', '{rule}')" for action, rule in url_filter.RULES)
+    labels = ", ".join(f"'{label}'" for label in url_filter.LABELS)
+    return rf"""
+WITH rules AS (
+    SELECT action, rule, split_part(rule, '/', 1) AS rh, substr(rule, strpos(rule, '/')) AS rp
+    FROM (VALUES {rules}) AS v(action, rule)),
+parsed AS (
+    SELECT page_id, row_number() OVER () AS r,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{_UPPER}', '{_UPPER.lower()}') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages),
+best AS (
+    SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+    FROM parsed JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+    GROUP BY r)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN list_has_any(string_split(host, '.'), [{labels}]) THEN 'block' ELSE 'allow' END) AS verdict
+FROM parsed LEFT JOIN best USING (r)
+"""
+
+
+# Two words of one length are near if they are equal without the characters of one place.
+OP13 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+           unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[A-Za-zÀ-ÿ]{{7,}}')) AS run
+    FROM documents),
+hashed AS (
+    SELECT run, m, {_crc32("k")} AS h
+    FROM (SELECT run, id || ':' || run AS k, count(*) AS m FROM runs GROUP BY ALL), crc),
+damaged AS (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, m
+    FROM hashed),
+words AS (SELECT word, sum(m)::BIGINT AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING sum(m) >= 2),
+cuts AS (
+    SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest
+    FROM words, LATERAL (SELECT unnest(range(length(word))) AS i) AS places),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT w.word, c.word, c.n FROM words w JOIN cuts c ON c.rest = w.word
+    UNION SELECT c.word, w.word, w.n FROM words w JOIN cuts c ON c.rest = w.word),
+best AS (
+    SELECT word, count(*) AS n_near, max(n) AS other_n FROM near GROUP BY word),
+least_best AS (
+    SELECT b.word, min(x.other) AS other FROM best b JOIN near x ON x.word = b.word AND x.n = b.other_n GROUP BY b.word),
+formed AS (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 10 * w.n THEN l.other END AS form,
+           CASE WHEN b.other_n >= 10 * w.n THEN b.other_n END AS form_n
+    FROM words w LEFT JOIN best b USING (word) LEFT JOIN least_best l USING (word)),
+chain AS (
+    SELECT word, word AS at, 0 AS steps FROM formed
+    UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near::BIGINT AS n_near, f.form_n
+FROM formed f JOIN (SELECT word, arg_max(at, steps) AS root FROM chain GROUP BY word) r USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Name of a query to its SQL."""
     return {"op1_chat_formatting": OP1, "op4_license_scan": _op4(), "op9_line_dedup": OP9,
-            "op10_quality_rules": _op10()}
+            "op10_quality_rules": _op10(), "op11_conversation_repair": OP11, "op12_url_filter": _op12(),
+            "op13_spelling_variants": OP13}
