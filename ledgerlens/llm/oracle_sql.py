@@ -285,10 +285,10 @@ formed AS (
            CASE WHEN b.other_n >= 10 * w.n THEN b.other_n END AS form_n
     FROM words w LEFT JOIN best b USING (word) LEFT JOIN least_best l USING (word)),
 chain AS (
-    SELECT word, word AS at, 0 AS steps FROM formed
-    UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL)
+    SELECT word, word AS last_word, 0 AS steps FROM formed
+    UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN formed f ON f.word = c.last_word WHERE f.form IS NOT NULL)
 SELECT f.word, f.form, r.root, f.n, f.n_near::BIGINT AS n_near, f.form_n
-FROM formed f JOIN (SELECT word, arg_max(at, steps) AS root FROM chain GROUP BY word) r USING (word)
+FROM formed f JOIN (SELECT word, arg_max(last_word, steps) AS root FROM chain GROUP BY word) r USING (word)
 """
 
 
