@@ -258,10 +258,10 @@ def repair(spark: SparkSession, rows: DataFrame) -> DataFrame:
     # One shuffle: the window's groups lie within a conversation.
     alike = Window.partitionBy("conv_id", "live", "role", "text").orderBy(F.col("turn").asc_nulls_first())
     end = F.regexp_extract("text", rf"([^{BLANKS}])[{BLANKS}]*\z", 1)
-    fault = (F.when(end == "", BLANK).when(F.row_number().over(alike) > 1, DUPLICATE)
+    fault = (F.when(end == "", BLANK).when(F.col("nth") > 1, DUPLICATE)
              .when(~end.isin(".", "!", "?"), CUT).otherwise(SOUND))
-    ordered = (spaced.repartition("conv_id").withColumn("fault", fault)
-               .sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text"))
+    ordered = (spaced.repartition("conv_id").withColumn("nth", F.row_number().over(alike)).withColumn("fault", fault)
+               .sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text", "nth"))
     kinds = {pa.int64(): T.LongType(), pa.string(): T.StringType()}
     schema = T.StructType([T.StructField("conv_id", rows.schema["conv_id"].dataType),
                            *(T.StructField(n, kinds[t]) for n, t in _FOUND)])

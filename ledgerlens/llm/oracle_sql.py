@@ -183,13 +183,13 @@ damaged AS (
     WHERE h <> 0),
 ordered AS (
     SELECT *, left(role, 1) AS c,
-           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
     FROM damaged),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM ordered),
 judged AS (
     SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
                    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
-    FROM ordered),
+    FROM numbered),
 coded AS (
     SELECT *, fault IN ('', 'truncated') AS may_stay, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more,
            lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS step
