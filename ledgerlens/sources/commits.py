@@ -13,7 +13,7 @@ ledger of one load), so they cannot disagree after a crash.
 
 :func:`read_table` follows the commit: where moves are still missing it reads the
 new files where they are.  Plain readers of the folder see the old or new files
-of each partition, as with any partition overwrite.
+of each partition, as with any partition overwrite; appended rows show as their files are moved.
 
 A table has one writer at a time.  All file work goes through the session's
 Hadoop file system; renaming a file must not overwrite silently on it, and on
@@ -137,7 +137,7 @@ class Commit:
 
     def replace_partitions(self, df: DataFrame, path: str, partition_col: str, touched: list) -> None:
         """The partitions ``touched`` become what ``df`` holds of them; those it holds nothing of go."""
-        step = self._stage(df.hint("rebalance", F.col(partition_col)), PARTITIONS, path, [partition_col])
+        step = self._stage(df, PARTITIONS, path, [partition_col])
         new = {name for name, folder in self.files.children(step["staged"]) if folder and is_data(name)}
         values = {value_text(v) for v in touched}
         step["gone"] = [name for name, folder in self.files.children(step["path"])

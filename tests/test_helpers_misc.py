@@ -48,7 +48,7 @@ def test_checked_broadcast_and_counts(spark, tmp_dir):
 def test_new_files_and_apply_schema(spark, tmp_dir):
     spark.createDataFrame([("S1", "c1", "p1", "2024-01-01", "5.5")],
                           "SALE_ID string, customer_id string, Product_Id string, order_date string, "
-                          "total_amount string").write.parquet(f"{tmp_dir}/land/a")
+                          "total_amount string").coalesce(1).write.parquet(f"{tmp_dir}/land/a")
     listed = readers.new_files(spark, f"{tmp_dir}/land", since_hours=1, path_glob="*.parquet").collect()
     assert len(listed) == 1 and listed[0]["bytes"] > 0
     assert readers.new_files(spark, f"{tmp_dir}/land", since_hours=1,
