@@ -1,25 +1,31 @@
-"""Near-duplicate groups by MinHash LSH at growing depth.
+"""Near-duplicate groups by an LSH forest over MinHash signatures.
 
 Documents with equal shingle sets form one class, with one MinHash signature.
-At a depth d, each of several trees reads d values of the signature; classes
-that agree on all of them lie in one region of the tree.  There are as many
-trees as two classes at the threshold need to share a region in all but
-``MISS`` of cases, so the deeper the prefix, the more trees.
-
-Every class is compared with the first class of each of its regions, on the
-full shingle sets.  Then, in regions that still hold several groups, the pairs
-of classes of different groups are compared: links inside one group cannot
-change the result, and no pair across groups is left out unless an upper bound
-of its similarity is too low.  In a crowded region the bound counts what each
-class shares with the region's most typical class, and what else of it recurs
-in the region.  So thousands of near copies cost a few comparisons each, not
-one for each pair.
-
-A region with more than ``REGION`` classes outside its largest group is left
-to the next depth, which all its classes enter together with all trees of that
-depth; nothing of it is dropped, and the last depth compares every region.  So
-a pair is missed by chance at no more than ``MISS`` for each depth, however
-crowded its regions are and however large the table is.
+Each tree of the forest is an order: it reads the values of the signature in a
+fixed sequence of its own, and sorts the classes by them.  A region of a tree
+is a prefix, at depth 4, 6 or 8; a longer prefix of the same sequence
+divides it.
+
+In each region the classes stand in the tree's order, so the class before is
+one with the longest common prefix; every class is compared with it, on the
+full shingle sets.  That links the near copies of a family in chains.  Long runs
+are cut by a salt into several chains, whose heads are compared
+with the region's first.  Then, in regions that still hold several groups,
+the classes of different groups are compared; links inside a group cannot
+change the result.  Where a region has more than ``REGION`` classes, the
+comparison goes through the rarest shingles: two sets at the threshold share
+one of them (prefix filter), and what is left of both sets after it must be
+large enough (position filter).  So nothing is left out, and thousands of near copies
+cost no pair each.
+
+The depth adapts to the region: one with more than ``REGION`` classes outside its
+largest group is divided by the next depth's prefix.  As two sets agree on a
+longer prefix more rarely, all classes of such a region enter that depth with more trees, as many as two
+classes at the threshold need to share a region in all but ``MISS`` of cases.  The last
+depth compares every region through the rarest shingles.
+
+Before texts are read, a pair whose signatures agree in fewer places than all but 2e-8 of the pairs at
+the threshold do is left out.
 
 Defined cases: a document without words (or with null text) has no shingles
 and stands alone; a row with a null doc_id is linked with nothing and its
@@ -34,13 +40,14 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.components import components
 from ledgerlens.llm.shipping import ship
-from ledgerlens.llm.text import shingle_set
+from ledgerlens.llm.tables import Tables
+from ledgerlens.llm.text import mixed, shingle_set
 from ledgerlens.session import ensure_checkpoint_dir
 
 #: Jaccard similarity of a link, in hundredths.
@@ -48,11 +55,15 @@ SIMILARITY = 85
 #: MinHash values of a class.
 VALUES = 192
 #: Values that a tree reads: crowded regions go to the next depth.
-DEPTHS = (4, 6, 8, 12)
+DEPTHS = (4, 6, 8)
 #: Share of the pairs at the threshold that may miss each other in all trees of a depth.
 MISS = 1e-5
 #: Classes outside the largest group of a region above which the region goes to the next depth.
 REGION = 16
+#: Classes of one chain, or of one part of a region, in a task.
+RUN = 4096
+#: Standard deviations below the threshold at which too few values of two signatures agree.
+DEVIATIONS = 5.5
 #: Documents whose ids are broadcast to the scan of the texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
 
@@ -69,11 +80,11 @@ _MUL, _ADD = _coefficients(VALUES)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash values of a set, 32 bits each."""
+    """MinHash values of a set, 16 bits each."""
     least = np.full(len(_MUL), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), _ROWS):
         np.minimum(least, (shingles[i:i + _ROWS, None] * _MUL + _ADD).min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+    return (least >> np.uint64(48)).astype(np.uint16)
 
 
 def tree_count(depth: int, similarity: int) -> int:
@@ -88,16 +99,24 @@ def tree_count(depth: int, similarity: int) -> int:
     return count
 
 
-def _trees(depth: int, similarity: int) -> np.ndarray:
-    """Positions in the signature that each tree reads."""
-    rng = np.random.Generator(np.random.PCG64(depth))
-    return np.array([rng.choice(VALUES, depth, replace=False) for _ in range(tree_count(depth, similarity))])
+def sequences(count: int) -> np.ndarray:
+    """The sequence of positions in the signature that each tree reads."""
+    return np.array([np.random.Generator(np.random.PCG64(tree)).choice(VALUES, DEPTHS[-1], replace=False)
+                     for tree in range(count)])
 
 
-def region_keys(values: np.ndarray, trees: np.ndarray) -> np.ndarray:
-    """For each tree the hash of the values that it reads."""
-    keys = [xxhash.xxh3_64_intdigest(row.tobytes(), tree) for tree, row in enumerate(values[trees])]
-    return np.array(keys, np.uint64).view(np.int64)
+def region_keys(values: np.ndarray, trees: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each signature (row of ``values``) and tree the hash of its prefix of ``depth`` values,
+    and the values after it, as one number in their order."""
+    read = values[:, trees].astype(np.uint64)
+    key = np.arange(len(trees), dtype=np.uint64) * np.uint64(DEPTHS[-1] + 1) + np.uint64(depth)
+    key = np.broadcast_to(key, read.shape[:2])
+    for i in range(depth):
+        key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + read[:, :, i])
+    rest = np.zeros(read.shape[:2], np.uint64)
+    for i in range(depth, min(depth + 3, trees.shape[1])):
+        rest = (rest << np.uint64(16)) | read[:, :, i]
+    return key.view(np.int64), rest.view(np.int64)
 
 
 @F.pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("set_key", T.StringType()),
@@ -147,57 +166,66 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(wanted) if few else wanted, ["id", "fp"], "left_semi")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, fa, b, fb) whose full shingle sets reach the similarity, as (a, b) of (id, fp)."""
-    ends = pairs.select(F.col("a").alias("id"), F.col("fa").alias("fp")).unionByName(
-        pairs.select(F.col("b").alias("id"), F.col("fb").alias("fp"))).distinct().checkpoint()
-    texts = _texts(docs, ends)
-    one = texts.select(F.col("id").alias("a"), F.col("fp").alias("fa"), F.col("text").alias("x"))
-    other = texts.select(F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("text").alias("y"))
-    return (pairs.join(one, ["a", "fa"]).join(other, ["b", "fb"])
-            .where(_linked(similarity)("x", "y"))
-            .select(F.struct(F.col("a").alias("id"), F.col("fa").alias("fp")).alias("a"),
-                    F.struct(F.col("b").alias("id"), F.col("fb").alias("fp")).alias("b")))
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id"), F.col("fa").alias("fp")).unionByName(
+        pairs.select(F.col("b").alias("id"), F.col("fb").alias("fp"))).distinct()
 
 
-def _against_pivots(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """``rows`` (region, id, fp, main, ...) with ``common`` and ``other``: how many
-    of a class's shingles the pivot has, and how many of the rest occur a second time.
+def _joined(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
+    """``pairs`` with the ``value`` of both ends as x and y."""
+    one = table.select(F.col("id").alias("a"), F.col("fp").alias("fa"), F.col(value).alias("x"))
+    other = table.select(F.col("id").alias("b"), F.col("fp").alias("fb"), F.col(value).alias("y"))
+    return pairs.join(one, ["a", "fa"]).join(other, ["b", "fb"])
 
-    Regions whose largest group is the same, ``main``, hold much the same classes
-    and are measured together.  Their pivot is the class whose shingles are the
-    most frequent among them.  Two classes share at most the smaller ``common`` of
-    the pivot's shingles and the smaller ``other`` of the rest, which bounds their
-    similarity without comparing them.
-    """
-    members = rows.select("main", "id", "fp").distinct().checkpoint()
-    sets = _texts(docs, members.select("id", "fp").distinct()).select(
-        "id", "fp", _shingles("text").alias("s")).dropDuplicates(["id", "fp"])
-    each = members.join(sets, ["id", "fp"]).select("main", "id", "fp", F.explode("s").alias("s"))
-    often = each.groupBy("main", "s").agg(F.count(F.lit(1)).alias("d"))
-    each = each.join(often, ["main", "s"]).checkpoint()
-    pivots = (each.groupBy("main", "id", "fp").agg(F.avg("d").alias("mean"))
-              .groupBy("main").agg(F.max(F.struct("mean", "id", "fp")).alias("p"))
-              .select(F.col("main").alias("pm"), F.col("p.id").alias("pi"), F.col("p.fp").alias("pf")))
-    held = each.join(pivots, (F.col("main") == F.col("pm")) & (F.col("id") == F.col("pi")) & (F.col("fp") == F.col("pf")))
-    held = held.select(F.col("main").alias("hm"), F.col("s").alias("hs"))
-    split = each.join(held, (F.col("main") == F.col("hm")) & (F.col("s") == F.col("hs")), "left")
-    known = split.groupBy("main", "id", "fp").agg(
-        F.count("hs").alias("common"), F.count_if(F.col("hs").isNull() & (F.col("d") > 1)).alias("other"))
-    return rows.join(known, ["main", "id", "fp"])
+
+def least_agreement(similarity: int) -> int:
+    """Equal values of two signatures below which the sets are taken not to be similar enough."""
+    p = similarity / 100
+    return int(VALUES * p - DEVIATIONS * (VALUES * p * (1 - p)) ** 0.5)
+
+
+def _agreeing(similarity: int):
+    """Function of two signatures: whether enough of their values are equal."""
+    least = least_agreement(similarity)
+
+    @F.pandas_udf(T.BooleanType())
+    def agreeing(one: pd.Series, other: pd.Series) -> pd.Series:
+        if not len(one):
+            return pd.Series([], dtype="bool")
+        x, y = (np.frombuffer(b"".join(v), np.uint16).reshape(len(v), VALUES) for v in (one, other))
+        return pd.Series((x == y).sum(axis=1) >= least)
+
+    return agreeing
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity: int, tables: Tables) -> DataFrame:
+    """The pairs (a, fa, b, fb) whose full shingle sets reach the similarity, as (a, b) of (id, fp)."""
+    likely = _joined(pairs, classes, "signature").where(_agreeing(similarity)("x", "y"))
+    likely = tables.write(likely.select("a", "fa", "b", "fb"))
+    texts = _texts(docs, tables.write(_ends(likely)))
+    return (_joined(likely, texts, "text").where(_linked(similarity)("x", "y"))
+            .select(F.struct(F.col("a").alias("id"), F.col("fa").alias("fp")).alias("a"),
+                    F.struct(F.col("b").alias("id"), F.col("fb").alias("fp")).alias("b")))
 
 
 def _regions(reps: DataFrame, depth: int, similarity: int) -> DataFrame:
-    """(region, id, fp, n): the region of each class in each tree of the depth; regions of one class are left out."""
-    trees = _trees(depth, similarity)
+    """(region, rest, id, fp, n, m): the region of each class in each tree of the depth, its place in the region's order, and
+    how many classes the region has; regions of one class are left out."""
+    trees = sequences(tree_count(depth, similarity))
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
+    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("region", T.LongType()), T.StructField("rest", T.LongType())])))
     def keys(signatures: pd.Series) -> pd.Series:
-        return signatures.map(lambda x: region_keys(np.frombuffer(x, np.uint32), trees))
-
-    rows = reps.select("id", "fp", "n", F.explode(keys("signature")).alias("region"))
+        if not len(signatures):
+            return pd.Series([], dtype=object)
+        values = np.frombuffer(b"".join(signatures), np.uint16).reshape(len(signatures), VALUES)
+        key, rest = region_keys(values, trees, depth)
+        return pd.Series([[{"region": k, "rest": r} for k, r in zip(ks, rs, strict=True)]
+                          for ks, rs in zip(key.tolist(), rest.tolist(), strict=True)])
+
+    rows = reps.select("id", "fp", "n", F.explode(keys("signature")).alias("at"))
+    rows = rows.select("at.region", "at.rest", "id", "fp", "n")
     shared = rows.groupBy(F.col("region").alias("k")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    return rows.join(shared, F.col("region") == F.col("k")).select("region", "id", "fp", "n")
+    return rows.join(shared, F.col("region") == F.col("k")).drop("k")
 
 
 def _can_link(n, m, shared, similarity: int):
@@ -217,46 +245,88 @@ def _grouped(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
 def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
     """Distinct ``pairs`` (a, fa, b, fb), smaller place first, without those compared before."""
     pairs = pairs.distinct()
-    return (pairs if tried is None else pairs.join(tried, ["a", "fa", "b", "fb"], "left_anti")).checkpoint()
+    return pairs if tried is None else pairs.join(tried, ["a", "fa", "b", "fb"], "left_anti")
+
 
+def _pair(x, y) -> list:
+    """Columns (a, fa, b, fb) of two (id, fp), the smaller first."""
+    low, high = F.least(x, y), F.greatest(x, y)
+    return [low["id"].alias("a"), low["fp"].alias("fa"), high["id"].alias("b"), high["fp"].alias("fb")]
 
-def _with_first(regions: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of each class with the first class of each of its regions, if they are of two groups."""
-    first = regions.groupBy(F.col("region").alias("r")).agg(F.min(F.struct("id", "fp", "n", "g")).alias("f"))
-    return (regions.join(first, F.col("region") == F.col("r"))
-            .where((F.col("g") != F.col("f.g")) & _can_link(F.col("n"), F.col("f.n"), F.least("n", "f.n"), similarity))
-            .select(F.col("f.id").alias("a"), F.col("f.fp").alias("fa"), F.col("id").alias("b"),
-                    F.col("fp").alias("fb")))
+
+def _neighbours(regions: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of each class with the one before it in the order of each of its regions, if they are of two groups.
+
+    A region longer than ``RUN`` is cut by a salt into chains; their heads are paired with the region's first."""
+    place = F.struct("id", "fp")
+    salt = F.when(F.col("m") > RUN, F.pmod(F.xxhash64("fp", "id"), F.ceil(F.col("m") / RUN))).otherwise(F.lit(0))
+    rows = regions.withColumn("salt", salt.cast("long"))
+    before = Window.partitionBy("region", "salt").orderBy("rest", "id", "fp")
+    chained = rows.select("n", "g", place.alias("x"), F.lag(F.struct(place.alias("y"), "n", "g")).over(before).alias("p"))
+    chained = chained.select("x", F.col("p.y").alias("y"), "n", F.col("p.n").alias("pn"), "g", F.col("p.g").alias("pg"))
+    heads = (rows.where(F.col("m") > RUN).groupBy("region", "salt")
+             .agg(F.min(F.struct("rest", "id", "fp", "n", "g")).alias("h")))
+    first = heads.groupBy(F.col("region").alias("r")).agg(F.min("h").alias("f"))
+    tops = heads.join(first, F.col("region") == F.col("r")).select(
+        F.struct("h.id", "h.fp").alias("x"), F.struct("f.id", "f.fp").alias("y"), F.col("h.n").alias("n"),
+        F.col("f.n").alias("pn"), F.col("h.g").alias("g"), F.col("f.g").alias("pg"))
+    return (chained.unionByName(tops)
+            .where((F.col("g") != F.col("pg")) & _can_link(F.col("n"), F.col("pn"), F.least("n", "pn"), similarity))
+            .select(*_pair(F.col("x"), F.col("y"))))
 
 
 def _several_groups(placed: DataFrame) -> DataFrame:
     """The rows of regions that hold several groups, with ``main``, the largest
-    of them, and how many classes the region has (``members``), and outside it (``others``)."""
-    sizes = placed.groupBy("region", "g").agg(F.count(F.lit(1)).alias("m"))
-    split = (sizes.groupBy("region").agg(F.max(F.struct("m", "g")).alias("top"), F.count(F.lit(1)).alias("c"),
-                                         F.sum("m").alias("members"))
-             .where("c > 1").select(F.col("region").alias("r"), F.col("top.g").alias("main"), "members",
-                                    (F.col("members") - F.col("top.m")).alias("others")))
+    of them, and how many classes are outside it (``others``)."""
+    sizes = placed.groupBy("region", "g").agg(F.count(F.lit(1)).alias("c"))
+    split = (sizes.groupBy("region").agg(F.max(F.struct("c", "g")).alias("top"), F.count(F.lit(1)).alias("groups"),
+                                         F.sum("c").alias("members"))
+             .where("groups > 1").select(F.col("region").alias("r"), F.col("top.g").alias("main"),
+                                         (F.col("members") - F.col("top.c")).alias("others")))
     return placed.join(split, F.col("region") == F.col("r")).drop("r")
 
 
-def _across(still: DataFrame, docs: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of classes of different groups of a region that can be similar enough."""
-    crowded = still.where(F.col("members") > REGION)
-    still_open = still.where(F.col("members") <= REGION).withColumns({"common": F.col("n"), "other": F.lit(0)})
-    if not crowded.isEmpty():
-        still_open = still_open.unionByName(_against_pivots(crowded, docs).select(still_open.columns)).checkpoint()
-    rest = still_open.where("g <> main").select(
-        F.col("region").alias("r"), F.col("id").alias("b"), F.col("fp").alias("fb"), F.col("n").alias("nb"),
-        F.col("g").alias("gb"), F.col("common").alias("cb"), F.col("other").alias("ob"))
-    shared = F.least("common", "cb") + F.least("other", "ob")
-    pairs = (still_open.join(rest, (F.col("region") == F.col("r")) & (F.col("g") != F.col("gb"))
-                             & ((F.col("g") == F.col("main")) | (F.struct("id", "fp") < F.struct("b", "fb")))
-                             & _can_link(F.col("n"), F.col("nb"), shared, similarity))
-             .select(F.struct("id", "fp").alias("x"), F.struct(F.col("b").alias("id"), F.col("fb").alias("fp")).alias("y")))
-    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    return pairs.select(F.col("x.id").alias("a"), F.col("x.fp").alias("fa"), F.col("y.id").alias("b"),
-                        F.col("y.fp").alias("fb"))
+def _across_small(rows: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of classes of different groups of regions that have few classes."""
+    other = rows.select(F.col("region").alias("r"), F.struct("id", "fp").alias("y"), F.col("n").alias("ny"), F.col("g").alias("gy"))
+    return (rows.join(other, (F.col("region") == F.col("r")) & (F.col("g") != F.col("gy"))
+                      & (F.struct("id", "fp") < F.col("y"))
+                      & _can_link(F.col("n"), F.col("ny"), F.least("n", "ny"), similarity))
+            .select(*_pair(F.struct("id", "fp"), F.col("y"))))
+
+
+def _across_large(rows: DataFrame, docs: DataFrame, similarity: int, tables: Tables) -> DataFrame:
+    """Pairs of classes of different groups of large regions that can be similar enough.
+
+    Regions whose largest group is the same, ``main``, hold much the same
+    classes and are compared together.  Each class's shingles are ordered from the rarest there
+    to the most frequent; two sets at the threshold share one of the first
+    n - threshold * n + 1, and after the first they share, both have enough left.  A class of the largest group meets only classes
+    outside it.  A shingle of many classes is cut: one side is salted, the other enters every part.
+    """
+    members = tables.write(rows.select("main", "id", "fp", "g").distinct())
+    sets = _texts(docs, members.select("id", "fp").distinct()).select(
+        "id", "fp", _shingles("text").alias("s")).dropDuplicates(["id", "fp"])
+    each = tables.write(members.join(sets, ["id", "fp"]).select("main", "id", "fp", "g", F.explode("s").alias("s")))
+    often = each.groupBy("main", "s").agg(F.count(F.lit(1)).alias("d"), F.count_if(F.col("g") != F.col("main")).alias("o"))
+    often = often.select(F.col("main").alias("om"), F.col("s").alias("os"), "d", "o")
+    ordered = (each.join(often, (F.col("main") == F.col("om")) & (F.col("s") == F.col("os")))
+               .groupBy("main", "id", "fp", "g").agg(F.sort_array(F.collect_list(F.struct("d", "s", "o"))).alias("all")))
+    n = F.size("all")
+    reach = n - F.ceil(n * F.lit(similarity) / 100).cast("int") + 1
+    first = tables.write(ordered.select("main", "id", "fp", "g", n.alias("n"), F.posexplode(F.slice("all", F.lit(1), reach)).alias("at", "e"))
+                         .where("e.d > 1 and e.o > 0")
+                         .select("main", "id", "fp", "g", "n", "at", "e.s", F.ceil(F.col("e.d") / RUN).alias("parts")))
+    salted = first.where("g <> main").withColumn("part", F.pmod(F.xxhash64("id", "fp"), "parts")).select(
+        F.col("main").alias("m2"), F.col("s").alias("s2"), "part", F.struct("id", "fp").alias("y"),
+        F.col("g").alias("gy"), F.col("n").alias("ny"), F.col("at").alias("aty"))
+    spread = first.withColumn("in_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    place = F.struct("id", "fp")
+    left = F.least(F.col("n") - F.col("at"), F.col("ny") - F.col("aty"))
+    pairs = spread.join(salted, (F.col("main") == F.col("m2")) & (F.col("s") == F.col("s2")) & (F.col("in_part") == F.col("part"))
+                        & (F.col("g") != F.col("gy")) & ((F.col("g") == F.col("main")) | (place < F.col("y")))
+                        & _can_link(F.col("n"), F.col("ny"), left, similarity))
+    return pairs.select(*_pair(place, F.col("y")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -264,34 +334,45 @@ def near_dedup(spark: SparkSession, docs: DataFrame, similarity: int = SIMILARIT
     its text.  Classes of at least ``similarity`` (in hundredths) are linked."""
     ensure_checkpoint_dir(spark)
     ship(spark)
-    found = sketches(docs).checkpoint()
+    tables = Tables(spark, "near-dedup")
+    found = tables.write(sketches(docs))
     place = F.struct("id", "fp")
-    classes = (found.where("set_key is not null and id is not null").groupBy("set_key")
-               .agg(F.min(place).alias("rep"), F.first("n").alias("n"), F.first("signature").alias("signature")))
-    reps = classes.select(F.col("rep.id").alias("id"), F.col("rep.fp").alias("fp"), "n", "signature")
+    rep = (found.where("set_key is not null and id is not null").groupBy("set_key")
+           .agg(F.min(place).alias("rep")))
+    of_class = found.drop("signature").join(rep, "set_key", "left")
+    reps = classes = tables.write(
+        found.where("id is not null").join(rep.select(F.col("rep.id").alias("id"), F.col("rep.fp").alias("fp")), ["id", "fp"], "left_semi")
+        .select("id", "fp", "n", "signature").dropDuplicates(["id", "fp"]))
 
     links = groups = tried = None
     for depth in DEPTHS:
-        regions = _regions(reps, depth, similarity).checkpoint()
-        star = _untried(_with_first(_grouped(regions, groups), similarity), tried)
-        tried = star if tried is None else tried.unionByName(star)
-        new = _confirmed(star, docs, similarity).checkpoint()
+        regions = tables.write(_regions(reps, depth, similarity))
+        chain = tables.write(_untried(_neighbours(_grouped(regions, groups), similarity), tried))
+        tried = chain if tried is None else tried.unionByName(chain)
+        new = tables.write(_confirmed(chain, classes, docs, similarity, tables))
         links = new if links is None else links.unionByName(new)
-        groups = components(spark, links)
-
-        still = _several_groups(_grouped(regions, groups)).checkpoint()
-        compared = still if depth == DEPTHS[-1] else still.where(F.col("others") <= REGION)
-        across = _untried(_across(compared, docs, similarity), tried)
+        groups = tables.write(components(spark, links))
+
+        still = tables.write(_several_groups(_grouped(regions, groups)))
+        tables.drop(regions)
+        now = still if depth == DEPTHS[-1] else still.where(F.col("others") <= REGION)
+        across = _across_small(now.where(F.col("m") <= REGION), similarity)
+        large = now.where(F.col("m") > REGION)
+        if not large.isEmpty():
+            across = across.unionByName(_across_large(large, docs, similarity, tables))
+        across = tables.write(_untried(across, tried))
         tried = tried.unionByName(across)
-        links = links.unionByName(_confirmed(across, docs, similarity).checkpoint())
-        groups = components(spark, links)
+        if not across.isEmpty():
+            links = links.unionByName(tables.write(_confirmed(across, classes, docs, similarity, tables)))
+            groups = tables.write(components(spark, links))
         deeper = still.where(F.col("others") > REGION).select("id", "fp").distinct()
         if depth == DEPTHS[-1] or deeper.isEmpty():
             break
-        reps = reps.join(deeper, ["id", "fp"], "left_semi").checkpoint()
+        reps = tables.write(reps.join(deeper, ["id", "fp"], "left_semi"))
 
-    of_class = (found.join(classes.select("set_key", "rep"), "set_key", "left")
-                .join(groups, F.col("rep") == F.col("node"), "left"))
+    out = of_class.join(groups, F.col("rep") == F.col("node"), "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component.id", "rep.id", "id"))
-    return of_class.select(F.col("id").alias("doc_id"), F.col("fp").alias("__fp"), F.col("n").alias("n_shingles"),
-                           component.alias("component_id"))
+    result = tables.write(out.select(F.col("id").alias("doc_id"), F.col("fp").alias("__fp"), F.col("n").alias("n_shingles"),
+                                     component.alias("component_id")))
+    tables.drop_all_but(result)
+    return result
