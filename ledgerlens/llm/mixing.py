@@ -18,23 +18,21 @@ the others.
 Defined cases: documents without words (empty, null) are in no block; null
 is a source of its own; repeated rows are separate documents; an empty table
 gives an empty mix.  One row for each source (not each document) passes one
-task, where the targets are computed.
+task, where the targets are computed: good for some millions of sources.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.ordering import bucket_count, ranked
 from ledgerlens.llm.shipping import ship
-from ledgerlens.llm.text import WORD, mixed, null_safe, word_count
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.llm.tables import Tables
+from ledgerlens.llm.text import BLANKS, mixed, null_safe, word_count
 
 BLOCK = 128
 SHARD_SLOTS = 4096
@@ -68,15 +66,19 @@ def _permuted(index: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
     return pd.Series(permute(index.to_numpy(), n.to_numpy(), key.to_numpy()))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _slices(text: pd.Series, start: pd.Series, block: pd.Series) -> pd.Series:
-    """The text cut where the source's blocks end: from the first to the last word of each piece."""
-    word, out = re.compile(WORD), []
-    for t, s, size in zip(text, start, block, strict=True):
-        spans = [m.span() for m in word.finditer(t or "")]
-        cuts = [0, *range(int(size - s % size), len(spans), int(size)), len(spans)]
-        out.append([t[spans[a][0]:spans[b - 1][1]] for a, b in zip(cuts, cuts[1:], strict=False) if a < b])
-    return pd.Series(out)
+def _run(words: Column) -> Column:
+    """Regular expression of a run of at most ``words`` words, without backtracking."""
+    word = f"[^{BLANKS}]++"
+    return F.concat(F.lit(f"{word}(?:[{BLANKS}]++{word}){{0,"), (words - 1).cast("string"), F.lit("}+"))
+
+
+def cut_text(text: Column, start: Column, block: int) -> Column:
+    """The text cut where its source's blocks end: each piece from its first to its last word."""
+    first = F.concat(F.lit(f"^([{BLANKS}]*+"), _run(block - F.pmod(start, F.lit(block))), F.lit(")"))
+    lead = F.call_function("regexp_extract", text, first, F.lit(1))
+    rest = F.substr(text, F.length(lead) + 1)
+    return F.concat(F.array(F.regexp_replace(lead, f"^[{BLANKS}]+", "")),
+                    F.regexp_extract_all(rest, F.concat(F.lit("("), _run(F.lit(block)), F.lit(")")), F.lit(1)))
 
 
 def targets(placed: DataFrame, block: int, max_passes: int = MAX_PASSES) -> DataFrame:
@@ -111,14 +113,18 @@ def targets(placed: DataFrame, block: int, max_passes: int = MAX_PASSES) -> Data
                       F.sum("quota").over(whole).alias("slots"))
 
 
-def place(docs: DataFrame, seed: int, *more: str) -> DataFrame:
-    """Each document with its source, size and place in the source's stream
-    (``__start`` in words, ``__rank`` in documents), and the columns ``more``."""
-    n = bucket_count(docs.count())
-    rows = docs.select(F.col("doc_id"), null_safe(F.col("source")).alias("src"), word_count(F.col("text")).alias("size"),
-                       F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("h"), *more)
-    rows = rows.withColumn("bucket", F.pmod("h", F.lit(n)))
-    return ranked(rows, ["src"], "bucket", ["h", "doc_id"], "size").drop("bucket", "h")
+def _row_key(seed: int, *columns: str) -> list[Column]:
+    """Two hashes, 128 bits in all, that tell rows apart unless they are equal in all ``columns``."""
+    return [F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"), F.xxhash64(F.lit(~seed), "doc_id", "text", *columns).alias("k")]
+
+
+def place(docs: DataFrame, seed: int, tables: Tables, *keep: str) -> DataFrame:
+    """Each document with its source, size and place in the source's stream (``__start`` in words, ``__rank`` in
+    documents), and the hashes ``h`` and ``k`` that name its row (by its text and ``keep``).  The text is read once and moves nowhere."""
+    rows = tables.write(docs.select("doc_id", null_safe(F.col("source")).alias("src"), word_count(F.col("text")).alias("size"),
+                                    *_row_key(seed, *keep)))
+    rows = rows.withColumn("bucket", F.pmod("h", F.lit(bucket_count(rows.count()))))
+    return ranked(rows, ["src"], "bucket", ["h", "doc_id", "k"], "size").drop("bucket")
 
 
 def deal(sources: DataFrame, seed: int) -> DataFrame:
@@ -153,23 +159,39 @@ def mix(spark: SparkSession, docs: DataFrame, block: int = BLOCK, seed: int = 17
     source), from_word, to_word, the columns ``keep`` and, ``with_text``, the
     piece's text as ``__piece``.
     """
-    ensure_checkpoint_dir(spark)
     ship(spark)
-    placed = place(docs, seed).checkpoint()
-    sources = targets(placed, block).checkpoint()
+    tables = Tables(spark, "mixing")
+    placed = tables.write(place(docs, seed, tables, *keep))
+    sources = tables.write(targets(placed, block))
     slots = deal(sources, seed)
-    full = place(docs, seed, "text", *keep) if with_text else placed
-    full = full.where("size > 0")
     start, end = F.col("__start"), F.col("__start") + F.col("size")
     first = F.floor(start / block).cast("long")
-    if with_text:
-        cut = full.select("*", F.posexplode(_slices("text", "__start", F.lit(block))).alias("i", "__piece"))
-        cut = cut.withColumn("b", first + F.col("i")).drop("text", "i")
-    else:
-        cut = full.select("*", F.explode(F.sequence(first, F.floor((end - 1) / block).cast("long"))).alias("b"))
-    cut = cut.select(F.col("src").alias("s"), "b", "doc_id", F.col("__rank").alias("rank"),
-                     F.greatest(F.col("b") * block - start, F.lit(0)).alias("from_word"),
-                     F.least((F.col("b") + 1) * block - start, F.col("size")).alias("to_word"),
-                     *keep, *(["__piece"] if with_text else []))
+    cut = (placed.where("size > 0")
+           .select("*", F.explode(F.sequence(first, F.floor((end - 1) / block).cast("long"))).alias("b"))
+           .select(F.col("src").alias("s"), "b", "doc_id", F.col("__rank").alias("rank"), "h", "k", "__start",
+                   (F.col("b") - first).cast("int").alias("i"),
+                   F.greatest(F.col("b") * block - start, F.lit(0)).alias("from_word"),
+                   F.least((F.col("b") + 1) * block - start, F.col("size")).alias("to_word")))
     pieces = slots.join(cut, (F.col("src") == F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
-    return pieces, placed, sources
+    if with_text:
+        pieces = _with_pieces(pieces, docs, seed, block, keep)
+    return pieces.drop("h", "k", "i", "__start"), placed, sources
+
+
+def _with_pieces(pieces: DataFrame, docs: DataFrame, seed: int, block: int, keep: tuple[str, ...]) -> DataFrame:
+    """``pieces`` with the columns ``keep`` of their row and their text as ``__piece``.
+
+    What the mix takes of a row is gathered first (a row has few pieces, and each is
+    taken ``MAX_PASSES`` times at most); then the row's text, which moves once, is cut once.  Equal rows have one text."""
+    own = [c for c in pieces.columns if c not in ("src", "doc_id", "rank", "h", "k", "__start")]
+    taken = pieces.groupBy("src", "doc_id", "rank", "h", "k", "__start").agg(F.collect_list(F.struct(*own)).alias("taken"))
+    first = F.row_number().over(Window.partitionBy("h", "k").orderBy("h"))
+    texts = docs.select(*_row_key(seed, *keep), F.col("text").alias("__text"), *keep)
+    texts = texts.withColumn("__copy", first).where("__copy = 1").drop("__copy").withColumnsRenamed({"h": "h2", "k": "k2"})
+    rows = taken.join(texts, (F.col("h") == F.col("h2")) & (F.col("k") == F.col("k2")))
+    # Exploding one struct keeps the cut apart from its uses, which would else repeat it.
+    made = F.explode(F.array(F.struct("taken", cut_text(F.col("__text"), F.col("__start"), block).alias("cut")))).alias("m")
+    named = rows.select("src", "doc_id", "rank", *keep, made)
+    chosen = F.transform("m.taken", lambda t: F.struct(t.alias("t"), F.element_at(F.col("m.cut"), t["i"] + 1).alias("piece")))
+    return (named.select("src", "doc_id", "rank", *keep, F.explode(chosen).alias("c"))
+            .select("src", "doc_id", "rank", *keep, "c.t.*", F.col("c.piece").alias("__piece")))

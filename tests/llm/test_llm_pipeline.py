@@ -23,7 +23,7 @@ def test_stages_one_after_another(spark, tmp_path):
             assert sum(len(r.text) for r in rows) < sum(len(r.text) for r in before)
             assert all(r.n_chars == len(r.text) for r in rows)
         elif n == 2:
-            truth = near_components({r.doc_id: r.text for r in before})
+            truth = near_components({r.doc_id: r.text for r in before}, P.SIMILARITY)
             assert {r.doc_id for r in rows} == {i for i, (_, c) in truth.items() if i == c}
         else:
             texts = {r.doc_id: r.text for r in before}
