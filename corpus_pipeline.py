@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import line_dedup, mixing, near_dedup, segmentation, toxicity
@@ -43,14 +43,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest doc_id, of each near-duplicate
-    group.  A row equal to another in doc_id and text stays once; rows without
-    a doc_id stay."""
+    group.  Of rows equal in doc_id and text the one stays whose other columns
+    hash least; rows without a doc_id stay."""
     kept = (near_dedup.near_dedup(spark, docs, SIMILARITY)
             .where("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("__fp")).distinct())
     keyed = docs.withColumn("__text", F.xxhash64("text"))
     same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.col("__text") == F.col("__fp"))
-    named = keyed.where("doc_id is not null").join(kept, same).dropDuplicates(["__id", "__fp"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    # Repeated rows are reduced before the shuffle: row_number up to one is a limit in each group.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy("doc_id", "__text").orderBy(F.xxhash64(*others) if others else F.lit(0))
+    once = keyed.where("doc_id is not null").withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
+    return once.join(kept, same).select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
