@@ -68,6 +68,11 @@ def year_start(d) -> Column:
     return F.trunc(col_or_lit(d), "year")
 
 
+def in_year(d, year: int) -> Column:
+    """Whether a date lies in a year (F9), as a range that reaches the scan and prunes partitions."""
+    return (col_or_lit(d) >= F.lit(dt.date(year, 1, 1))) & (col_or_lit(d) < F.lit(dt.date(year + 1, 1, 1)))
+
+
 def as_date_lit(d) -> Column:
     if isinstance(d, Column):
         return d

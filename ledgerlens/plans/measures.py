@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.scalar import safe_divide
 from ledgerlens.functions.tiers import kpi_status
+from ledgerlens.plans.model import BUDGET, CUSTOMERS, DATE, SALES, SemanticModel, customer_segment_measures
 
 GRAINS = ("day", "month", "quarter", "year")
 _STEP = {"day": "INTERVAL 1 DAY", "month": "INTERVAL 1 MONTH",
@@ -54,9 +55,10 @@ def _diff_blank_as_zero(a: Column, b: Column) -> Column:
 
 # ---- D1-D8, D17, D21, D25 ---------------------------------------------------
 
-def base_measures(sales: DataFrame, by=(), filters: Column | None = None) -> DataFrame:
+def base_measures(sales: DataFrame, by=(), filters: Column | None = None, blank_ratio=0) -> DataFrame:
     """Revenue, profit, orders, units, discounts, customers, products and
-    their ratios in one aggregate."""
+    their ratios in one aggregate.  ``blank_ratio``: the value of a ratio over
+    nothing, 0 or None (blank)."""
     df = sales if filters is None else sales.filter(filters)
     by = list(by)
     agg = df.groupBy(*by).agg(
@@ -72,12 +74,12 @@ def base_measures(sales: DataFrame, by=(), filters: Column | None = None) -> Dat
     rev = F.col("total_revenue")
     return agg.select(
         *by, "total_revenue", "total_gross_profit", "total_orders", "total_units_sold",
-        safe_divide(rev, "total_orders", 0).alias("avg_order_value"),
-        safe_divide("total_gross_profit", rev, 0).alias("gross_margin_pct"),
+        safe_divide(rev, "total_orders", blank_ratio).alias("avg_order_value"),
+        safe_divide("total_gross_profit", rev, blank_ratio).alias("gross_margin_pct"),
         "total_discounts",
-        safe_divide("total_discounts", "_gross_amount", 0).alias("discount_rate_pct"),
+        safe_divide("total_discounts", "_gross_amount", blank_ratio).alias("discount_rate_pct"),
         "total_customers",
-        safe_divide(rev, "total_customers", 0).alias("revenue_per_customer"),
+        safe_divide(rev, "total_customers", blank_ratio).alias("revenue_per_customer"),
         "products_sold",
     )
 
@@ -107,9 +109,10 @@ _BACK_ONE = {"day": lambda c: F.date_sub(c, 1), "month": lambda c: F.add_months(
              "quarter": lambda c: F.add_months(c, -3), "year": lambda c: F.add_months(c, -12)}
 
 
-def last_period(sales: DataFrame, grain: str, date_col: str = "order_date") -> Column:
-    """The last period of the data, as a scalar subquery (it reads one column)."""
-    return sales.agg(F.max(_period(date_col, grain)).alias("_last")).scalar()
+def last_period(series: DataFrame) -> Column:
+    """The last period of a series, as a scalar subquery.  It asks for the
+    revenue as well, so that it is the series' own aggregate and Spark computes that once."""
+    return series.agg(F.struct(F.max("period").alias("period"), F.max("revenue").alias("revenue")).alias("s")).scalar()["period"]
 
 
 def densify(series: DataFrame, by=(), grain: str = "month", period: str = "period",
@@ -152,7 +155,8 @@ def period_to_date(sales: DataFrame, by=(), grain: str = "day") -> DataFrame:
     if grain not in ("day", "month"):
         raise ValueError("period_to_date supports grain 'day' or 'month'")
     by = list(by)
-    s = densify(period_series(sales, by, grain), by, grain, last=last_period(sales, grain))
+    series = period_series(sales, by, grain)
+    s = densify(series, by, grain, last=last_period(series))
     y, q, m = F.trunc("period", "year"), F.trunc("period", "quarter"), F.trunc("period", "month")
     run = Window.unboundedPreceding, Window.currentRow
     wy = Window.partitionBy(*by, y).orderBy("period").rowsBetween(*run)
@@ -179,7 +183,8 @@ def time_intelligence(sales: DataFrame, by=(), grain: str = "month",
     if grain not in ("day", "month", "year"):
         raise ValueError("time_intelligence supports grain 'day', 'month' or 'year'")
     by = list(by)
-    dense = densify(period_series(sales, by, grain), by, grain, last=last_period(sales, grain))
+    series = period_series(sales, by, grain)
+    dense = densify(series, by, grain, last=last_period(series))
     if grain == "day":
         return _daily_intelligence(dense, by, abs_denominator, cumulative)
     per_year = 12 if grain == "month" else 1
@@ -275,20 +280,21 @@ def customer_activity(sales: DataFrame, customers: DataFrame, by=(), grain: str
                       safe_divide("revenue", "total_customers", 0).alias("revenue_per_customer"))
 
 
-# ---- D22, D23, D28 ----------------------------------------------------------------
+# ---- A13, W6 ------------------------------------------------------------------------
+
+def repeat_ratio(sales: DataFrame, by=()) -> DataFrame:
+    """Share of the customers of ``sales`` with more than one sale."""
+    per = sales.groupBy(*by, "customer_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("customer_id").isNotNull())
+    return per.groupBy(*by).agg(F.count_if(F.col("n") > 1).alias("repeat_customers"), F.count(F.lit(1)).alias("customers")) \
+        .withColumn("repeat_ratio", safe_divide("repeat_customers", "customers", 0))
 
-def customer_segment_measures(customers: DataFrame, by=()) -> DataFrame:
-    """Measures on the customer table only (sales/date filters do not reach
-    Customers): Champions %, At Risk count, customer count."""
-    seg = F.col("customer_segment")
-    agg = customers.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("customer_count"),
-        F.count_if(seg == "Champions").alias("_champions"),
-        F.count_if(seg == "At Risk").alias("at_risk_customers"),
-    )
-    return agg.select(*by, "customer_count",
-                      safe_divide("_champions", "customer_count", 0).alias("champions_pct"),
-                      "at_risk_customers")
+
+def month_growth(sales: DataFrame, by=(), value: str = "net_revenue") -> DataFrame:
+    """Growth of ``value`` over the month before, by rows of the month series (W6): a window over at most one row per month."""
+    months = period_series(sales, by, "month", value, "amount")
+    prev = F.lag("amount").over(Window.partitionBy(*by).orderBy("period"))
+    return months.withColumn("prev_amount", prev).withColumn(
+        "growth", safe_divide(F.col("amount") - F.col("prev_amount"), "prev_amount"))
 
 
 # ---- D24 -----------------------------------------------------------------------------
@@ -346,91 +352,22 @@ def budget_measures(sales: DataFrame, budget: DataFrame, by=(), grain: str | Non
 
 # ---- generic entry point ----------------------------------------------------------------
 
-MEASURE_GROUPS = {
-    "base": ("total_revenue", "total_gross_profit", "total_orders", "total_units_sold",
-             "avg_order_value", "gross_margin_pct", "total_discounts", "discount_rate_pct",
-             "total_customers", "revenue_per_customer", "products_sold"),
-    "time": ("revenue_ytd", "revenue_pytd", "revenue_mom_growth", "revenue_yoy_growth",
-             "cumulative_revenue"),
-    "ptd": ("revenue_mtd", "revenue_qtd"),
-    "activity": ("new_customers", "returning_customers", "customer_retention_rate"),
-    "budget": ("budget_amount", "revenue_vs_budget", "revenue_target_attainment", "kpi_status"),
-    "top": ("top_product_revenue",),
-}
-
-
 def evaluate(sales: DataFrame, measures, by=(), grain: str | None = None,
              customers: DataFrame | None = None, budget: DataFrame | None = None,
-             filters: Column | None = None, dates: tuple | None = None) -> DataFrame:
+             filters: Column | None = None, dates: tuple | None = None, date_table: DataFrame | None = None,
+             customer_filters: Column | None = None, date_filters: Column | None = None,
+             blank_ratio=0) -> DataFrame:
     """Evaluate named measures for ``by`` (plus ``period`` when ``grain`` is
-    given).  Each measure group is computed at that grain on its own plan
-    and the groups meet in null-safe equi-joins on the output keys.
+    given) over the model of these tables (``plans.model``): columns of
+    Customers and Date reach Sales measures, customer measures see only what reaches Customers.
 
-    ``filters`` restricts sales by anything but dates; ``dates`` (first, last,
+    ``filters`` restricts sales by anything but dates, ``customer_filters`` and
+    ``date_filters`` their tables; ``dates`` (first, last,
     inclusive) is the date filter.  Time intelligence looks back beyond it:
     its values are computed on all dates and shown for the periods inside.
     Without a grain there is one row for each key, and time intelligence has
     the values of the last month in range.
     """
-    by = list(by)
-    illegal = [c for c in by if c not in sales.columns]
-    if illegal:
-        # Sales -> Customers is single-direction: customer attributes reach
-        # sales measures only once joined onto the sales frame.
-        raise ValueError(f"cannot group sales measures by {illegal}: not columns of the sales frame")
-    every = sales if filters is None else sales.filter(filters)
-    df = every if dates is None else every.filter(F.col("order_date").between(*[F.lit(x) for x in dates]))
-    if dates is not None and budget is not None:
-        budget = budget.filter(F.col("period_date").between(*[F.lit(x) for x in dates]))
-    wanted = list(measures)
-    keys = by + (["period"] if grain else [])
-
-    def shown(frame: DataFrame, columns: list[str]) -> DataFrame:
-        """The periods that the date filter and the grain ask for."""
-        at = grain or "month"
-        if grain is None:
-            last = last_period(df, at)
-            frame = frame.filter(F.col("period") == last)
-        elif dates is not None:
-            first, until = (F.trunc(F.lit(x).cast("date"), at) if at != "day" else F.lit(x).cast("date") for x in dates)
-            frame = frame.filter(F.col("period").between(first, until))
-        return frame.select(*keys, *columns)
-
-    parts: list[DataFrame] = []
-
-    def need(group):
-        return [m for m in wanted if m in MEASURE_GROUPS[group]]
-
-    if need("base"):
-        base = base_measures(df.withColumn("period", _period("order_date", grain)) if grain else df,
-                             keys)
-        parts.append(base.select(*keys, *need("base")))
-    if need("top"):
-        parts.append(top_product_revenue(
-            df.withColumn("period", _period("order_date", grain)) if grain else df, keys))
-    if need("time"):
-        parts.append(shown(time_intelligence(every, by, grain or "month"), need("time")))
-    if need("ptd"):
-        parts.append(shown(period_to_date(every, by, grain or "month"), need("ptd")))
-    if need("activity"):
-        if customers is None:
-            raise ValueError("customer measures need the customer table")
-        parts.append(customer_activity(df, customers, by, grain).select(*keys, *need("activity")))
-    if need("budget"):
-        if budget is None:
-            raise ValueError("budget measures need the budget table")
-        parts.append(budget_measures(df, budget, by, grain).select(*keys, *need("budget")))
-    unknown = [m for m in wanted if not any(m in v for v in MEASURE_GROUPS.values())]
-    if unknown:
-        raise ValueError(f"unknown measures {unknown}")
-
-    def combine(a: DataFrame, b: DataFrame) -> DataFrame:
-        if not keys:                         # one row on each side
-            return a.join(F.broadcast(b), how="cross")
-        j = a.alias("l").join(b.alias("r"), _null_safe_on("l", "r", keys), "full")
-        return j.select(*[F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys],
-                        *[F.col(f"l.{c}").alias(c) for c in a.columns if c not in keys],
-                        *[F.col(f"r.{c}").alias(c) for c in b.columns if c not in keys])
-
-    out = reduce(combine, parts)
-    return out.select(*keys, *wanted)
+    model = SemanticModel({SALES: sales, CUSTOMERS: customers, DATE: date_table, BUDGET: budget})
+    chosen = {SALES: filters, CUSTOMERS: customer_filters, DATE: date_filters}
+    return model.evaluate(measures, by, grain, {t: f for t, f in chosen.items() if f is not None}, dates, blank_ratio)

@@ -216,7 +216,8 @@ def q_kpi_summary(spark, sf_dir):
 
 
 def queries():
-    return {**_core_queries(), **more_queries()}
+    from ledgerlens import load_queries
+    return {**_core_queries(), **more_queries(), **load_queries.queries()}
 
 
 def _core_queries():
