@@ -17,7 +17,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     near = _both_ways(edges)
     least = near.groupBy(F.col("a").alias("k")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
     return (near.where("b > a").join(least, F.col("a") == F.col("k"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+            .select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 Documents with equal shingle sets form one class, with one MinHash signature.
 Each tree of the forest is an order: it reads the values of the signature in a
 fixed sequence of its own, and sorts the classes by them.  A region of a tree
-is a prefix, at depth 4, 6 or 8; a longer prefix of the same sequence
+is a prefix, at depth 4 or 8; the longer prefix of the same sequence
 divides it.
 
 In each region the classes stand in the tree's order, so the class before is
@@ -55,7 +55,7 @@ SIMILARITY = 85
 #: MinHash values of a class.
 VALUES = 192
 #: Values that a tree reads: crowded regions go to the next depth.
-DEPTHS = (4, 6, 8)
+DEPTHS = (4, 8)
 #: Share of the pairs at the threshold that may miss each other in all trees of a depth.
 MISS = 1e-5
 #: Classes outside the largest group of a region above which the region goes to the next depth.
@@ -213,16 +213,14 @@ def _regions(reps: DataFrame, depth: int, similarity: int) -> DataFrame:
     how many classes the region has; regions of one class are left out."""
     trees = sequences(tree_count(depth, similarity))
 
-    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("region", T.LongType()), T.StructField("rest", T.LongType())])))
-    def keys(signatures: pd.Series) -> pd.Series:
-        if not len(signatures):
-            return pd.Series([], dtype=object)
+    @F.pandas_udf(T.StructType([T.StructField("region", T.ArrayType(T.LongType())), T.StructField("rest", T.ArrayType(T.LongType()))]))
+    def keys(signatures: pd.Series) -> pd.DataFrame:
         values = np.frombuffer(b"".join(signatures), np.uint16).reshape(len(signatures), VALUES)
         key, rest = region_keys(values, trees, depth)
-        return pd.Series([[{"region": k, "rest": r} for k, r in zip(ks, rs, strict=True)]
-                          for ks, rs in zip(key.tolist(), rest.tolist(), strict=True)])
+        return pd.DataFrame({"region": list(key), "rest": list(rest)})
 
-    rows = reps.select("id", "fp", "n", F.explode(keys("signature")).alias("at"))
+    rows = reps.select("id", "fp", "n", keys("signature").alias("keys"))
+    rows = rows.select("id", "fp", "n", F.explode(F.arrays_zip("keys.region", "keys.rest")).alias("at"))
     rows = rows.select("at.region", "at.rest", "id", "fp", "n")
     shared = rows.groupBy(F.col("region").alias("k")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     return rows.join(shared, F.col("region") == F.col("k")).drop("k")
@@ -362,13 +360,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, similarity: int = SIMILARIT
             across = across.unionByName(_across_large(large, docs, similarity, tables))
         across = tables.write(_untried(across, tried))
         tried = tried.unionByName(across)
-        if not across.isEmpty():
-            links = links.unionByName(tables.write(_confirmed(across, classes, docs, similarity, tables)))
-            groups = tables.write(components(spark, links))
+        # The groups that these links join are known at the next depth, after its chains, or at the end.
+        links = links.unionByName(tables.write(_confirmed(across, classes, docs, similarity, tables)))
         deeper = still.where(F.col("others") > REGION).select("id", "fp").distinct()
         if depth == DEPTHS[-1] or deeper.isEmpty():
             break
         reps = tables.write(reps.join(deeper, ["id", "fp"], "left_semi"))
+    groups = tables.write(components(spark, links))
 
     out = of_class.join(groups, F.col("rep") == F.col("node"), "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component.id", "rep.id", "id"))
