@@ -14,8 +14,9 @@ message, never one value for a whole conversation, and ranks are found in
 buckets, so a conversation of any length is spread over tasks.
 
 Defined cases: of several calls with one id in a conversation the earliest
-(turn, then position) is the call, the others are unlinked and marked
-duplicate, and so for results; calls without a result, and results without a
+(turn, then position, then content by its hash) is the call, the others are
+unlinked and marked duplicate, and so for results; of rows equal in all of that one, whichever, is
+the call; calls without a result, and results without a
 call, stay and are unlinked; a call is valid if its arguments are a JSON object
 that fits the schema of its tool (no schema: not valid); links that form a
 circle keep turn order and are marked; null texts are left out of the JSON;
@@ -24,7 +25,7 @@ repeated rows are separate messages; null conversations are one conversation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.ordering import ranked
@@ -48,11 +49,12 @@ def parse(conversations: DataFrame) -> DataFrame:
     with ``tool_call_id`` and ``content`` is a result.
     """
     text = F.col("text")
+    opens = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")    # blanks that JSON allows
     rows = conversations.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(_NO_CONVERSATION)).alias("conv"),
         F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"), "role", "text",
-        F.when((F.col("role") == "assistant") & text.startswith("{"), F.from_json(text, _CALLS)).alias("c"),
-        F.when((F.col("role") == "tool") & text.startswith("{"), F.from_json(text, _RESULT)).alias("r"))
+        F.when((F.col("role") == "assistant") & opens, F.from_json(text, _CALLS)).alias("c"),
+        F.when((F.col("role") == "tool") & opens, F.from_json(text, _RESULT)).alias("r"))
     called = F.col("c.tool_calls")
     has_calls = F.coalesce(F.size(called) > 0, F.lit(False))
     rows = rows.select("conv", "turn", "role", "text", "r", F.posexplode(
@@ -94,13 +96,13 @@ def _node(kind: Column, call_id: Column) -> Column:
 
 def _links(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges): the first call and first result of each id, as
-    (conv, node, turn, part, h, linked), and what must come before what."""
+    (conv, node, turn, at_turn, part, h, linked), and what must come before what."""
     at = F.struct("turn", "part", "h")
     first = (messages.where("call_id is not null").groupBy("conv", "kind", "call_id").agg(F.min(at).alias("at"))
              .select("conv", "kind", "call_id", "at.*"))
     both = first.groupBy("conv", "call_id").agg(F.count(F.lit(1)).alias("sides"))
     nodes = first.join(both, ["conv", "call_id"]).select(
-        "conv", _node(F.col("kind"), F.col("call_id")).alias("node"), "turn", "part", "h",
+        "conv", _node(F.col("kind"), F.col("call_id")).alias("node"), "turn", F.col("turn").alias("at_turn"), "part", "h",
         (F.col("sides") == 2).alias("linked")).checkpoint()
     answered = nodes.where("linked and node like 'call:%'").select(
         "conv", F.col("node").alias("src"), F.concat(F.lit("result:"), F.substring("node", 6, 1 << 30)).alias("dst"))
@@ -165,7 +167,7 @@ def _effective_turns(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def format_chat(spark: SparkSession, conversations: DataFrame, schemas: DataFrame) -> DataFrame:
-    """(conv_id, position, turn, role, kind, call_id, linked, valid, circular, json) of each message.
+    """(conv_id, position, turn, role, kind, call_id, linked, duplicate, valid, circular, json) of each message.
 
     ``schemas`` has a row (name, field, type, required) for each argument of
     each tool; the types are those of JSON.  It is a registry, not data: it is
@@ -177,17 +179,22 @@ def format_chat(spark: SparkSession, conversations: DataFrame, schemas: DataFram
     messages = messages.withColumn("h", F.xxhash64("role", "kind", "call_id", "name", "arguments", "content"))
     nodes, edges = _links(messages)
     turns = _effective_turns(nodes, edges).select(
-        F.col("conv").alias("n_conv"), "node", F.col("turn").alias("effective"), "part", "h", "depth", "circular", "linked")
+        F.col("conv").alias("n_conv"), "node", F.col("turn").alias("effective"), "at_turn", "part", "h", "depth", "circular", "linked")
     own = ((F.col("m.conv") == F.col("n.n_conv")) & (_node(F.col("kind"), F.col("call_id")) == F.col("node"))
-           & (F.col("m.part") == F.col("n.part")) & (F.col("m.h") == F.col("n.h")))
+           & (F.col("m.turn") == F.col("n.at_turn")) & (F.col("m.part") == F.col("n.part")) & (F.col("m.h") == F.col("n.h")))
     rows = messages.alias("m").join(turns.alias("n"), own, "left").select(
         "m.*", F.coalesce("effective", "turn").alias("effective"), F.coalesce("depth", F.lit(0)).alias("depth"),
-        F.coalesce("circular", F.lit(False)).alias("circular"), F.coalesce("linked", F.lit(False)).alias("linked"))
+        F.coalesce("circular", F.lit(False)).alias("circular"), F.coalesce("linked", F.lit(False)).alias("linked"),
+        F.col("node").isNotNull().alias("first"))
     fields = schemas.groupBy(F.col("name").alias("tool")).agg(
         F.collect_set(F.struct("field", "type", "required")).alias("fields"))
     rows = rows.join(fields, F.col("name") == F.col("tool"), "left")
     rows = rows.withColumn("bucket", F.floor(F.col("effective") / BUCKET_TURNS).cast("long"))
-    placed = ranked(rows, ["conv"], "bucket", ["effective", "depth", "turn", "part", "h"])
+    order = ["effective", "depth", "turn", "part", "h"]
+    placed = ranked(rows, ["conv"], "bucket", order)
+    # Equal rows stand together in the order that ranked them, so this window needs no shuffle of its own.
+    copy = F.row_number().over(Window.partitionBy("conv", "bucket", *order).orderBy("__rank"))
+    placed = placed.withColumn("first", F.col("first") & (copy == 1))
     value = F.try_parse_json("arguments")
     placed = placed.withColumn("__value", value).withColumn(
         "__object", F.expr("try_cast(__value as map<string, variant>)"))
@@ -198,4 +205,6 @@ def format_chat(spark: SparkSession, conversations: DataFrame, schemas: DataFram
         F.col("__value").alias("arguments"), raw.alias("arguments_text"), "call_id", "content", "name", "role", "turn"))
     return placed.select(
         F.when(F.col("conv") != _NO_CONVERSATION, F.col("conv")).alias("conv_id"), F.col("__rank").alias("position"),
-        "turn", "role", "kind", "call_id", "linked", valid.alias("valid"), "circular", body.alias("json"))
+        "turn", "role", "kind", "call_id", (F.col("linked") & F.col("first")).alias("linked"),
+        (F.col("call_id").isNotNull() & ~F.col("first")).alias("duplicate"), valid.alias("valid"), "circular",
+        body.alias("json"))

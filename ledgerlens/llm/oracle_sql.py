@@ -48,7 +48,9 @@ WITH m AS (
            CASE role WHEN 'assistant' THEN 'c' || turn WHEN 'user' THEN 'c' || (turn - 1) END AS call_id
     FROM conversations)
 SELECT m.conv_id, row_number() OVER (PARTITION BY m.conv_id ORDER BY m.turn) - 1 AS position, m.turn, m.role, m.kind,
-       m.call_id, o.call_id IS NOT NULL AS linked, CASE WHEN m.kind = 'call' THEN m.text IS NOT NULL END AS valid,
+       m.call_id, o.call_id IS NOT NULL AS linked,
+       m.call_id IS NOT NULL AND row_number() OVER (PARTITION BY m.conv_id, m.kind, m.call_id ORDER BY m.turn) > 1 AS duplicate,
+       CASE WHEN m.kind = 'call' THEN m.text IS NOT NULL END AS valid,
        CASE m.kind
            WHEN 'call' THEN '{"arguments":{"text":' || to_json(m.text) || ',"turn":' || m.turn || '},"call_id":"'
                || m.call_id || '","name":"answer","role":"assistant","turn":' || m.turn || '}'

@@ -55,7 +55,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "name string, field string, type string, required boolean")
     rows = _tool_conversations(_read(spark, sf_dir, "conversations"))
     out = chat.format_chat(spark, rows, schemas)
-    return out.select("conv_id", "position", "turn", "role", "kind", "call_id", "linked", "valid", "json")
+    return out.select("conv_id", "position", "turn", "role", "kind", "call_id", "linked", "duplicate", "valid", "json")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,24 @@ def test_long_conversation(spark):
     df = spark.range(n).selectExpr("1L as conv_id", "id as turn", "'user' as role", "concat('m', id) as text")
     got = run(spark, [(r.conv_id, r.turn, r.role, r.text) for r in df.collect()])
     assert [r.turn for r in got] == list(range(n)) and [r.position for r in got] == list(range(n))
+
+
+def test_equal_calls_and_results_are_duplicates(spark):
+    """One id and one content at several turns, and twice in one: the earliest is the call, the others stay where they are."""
+    c, r = call(("a", "weather", {"city": "x"}, None)), result("a", "sun")
+    rows = [(1, 0, "assistant", c), (1, 1, "tool", r), (1, 2, "user", "thanks"), (1, 5, "assistant", c), (1, 6, "tool", r),
+            (1, 6, "tool", r)]
+    got = run(spark, rows)
+    assert [(x.turn, x.kind) for x in got] == [(0, "call"), (1, "result"), (2, "message"), (5, "call"), (6, "result"), (6, "result")]
+    assert [x.linked for x in got] == [True, True, False, False, False, False]
+    assert [x.duplicate for x in got] == [False, False, False, True, True, True]
+    twice = run(spark, [(1, 0, "assistant", c), (1, 0, "assistant", c), (1, 0, "assistant", c), (1, 1, "tool", r)])
+    assert sorted((x.kind, x.linked, x.duplicate) for x in twice) == [
+        ("call", False, True), ("call", False, True), ("call", True, False), ("result", True, False)]
+    alone = run(spark, [(1, 0, "assistant", c), (1, 3, "assistant", c)])
+    assert [(x.linked, x.duplicate) for x in alone] == [(False, False), (False, True)]
+
+
+def test_blanks_before_an_object(spark):
+    rows = [(1, 0, "assistant", " \n\t" + call(("a", "weather", {"city": "x"}, None))), (1, 1, "tool", "\r\n " + result("a", "sun"))]
+    assert [(x.kind, x.linked) for x in run(spark, rows)] == [("call", True), ("result", True)]
