@@ -5,22 +5,20 @@ single-partition window.
 Instead, for one or several sort keys at once:
 
 1. The keys are stacked into one narrow frame ``(id, metric, null_rank,
-   key)`` (descending keys are negated), and ``repartitionByRange`` on
-   ``(metric, null_rank, key, id)`` spreads it over P range partitions.
-   Range bounds are sampled on the whole composite, so a value shared by a
-   third of all rows is still split across partitions by ``id``.
-2. ``sortWithinPartitions`` on the same (unique) order fixes each row's
-   position inside its partition: the low 33 bits of
-   ``monotonically_increasing_id`` (documented layout: partition id in the
-   upper 31 bits, record number in the lower 33).
-3. Row counts per (partition, metric) - at most P x metrics rows - give
-   each partition's offset through two tiny windows; they are broadcast
-   back (a size bounded by the partition count, not by the data).  Both
-   branches read the same range exchange, which Spark reuses, so counts
-   and positions come from one and the same partitioning.  After a lost
-   executor, recomputed partitions hold the same rows in the same (unique)
-   sort order, so ranks are stable without a checkpoint.
+   key)`` (descending keys are negated).
+2. A bounded sample, the rows whose hashes are smallest, gives bounds of the
+   composite ``(metric, null_rank, key, id)``.  A row's bucket is the number of
+   bounds it reaches: a pure function of the row and of the bounds, so every branch of the
+   plan, and every task that runs again, puts it into the same bucket, with or
+   without exchange reuse.  As bounds hold the id, a value shared by a third
+   of all rows is still split.
+3. A window ranks the rows inside each (metric, bucket), and the counts of the
+   buckets - at most buckets + metrics rows, broadcast back - give each its
+   offset.
 4. NTILE(k) and exact quantile edges are arithmetic on (rank, count).
+
+The driver sees the sample (``SAMPLE`` rows for each bucket asked for), never the data; the buckets
+asked for are the shuffle partitions, however many.
 """
 
 from __future__ import annotations
@@ -35,20 +33,16 @@ from pyspark.sql import types as T
 
 from ledgerlens.session import ensure_checkpoint_dir
 
-_LOW_BITS = 1 << 33
-# Upper bound on range partitions, so the broadcast offsets stay small.
-MAX_RANGE_PARTITIONS = 20000
+#: Sampled rows for each bucket: the fullest of many buckets holds about twice its share.
+SAMPLE = 32
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return max(1, min(int(num_partitions), MAX_RANGE_PARTITIONS))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(n, MAX_RANGE_PARTITIONS))
+    return max(1, int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def _common_key_type(df: DataFrame, cols) -> T.DataType:
-    """Exact common numeric type for the stacked sort key."""
+def _common_key_type(df: DataFrame, cols) -> T.DataType | None:
+    """Exact common numeric type for the stacked sort keys; None if no decimal holds them all."""
     scale, int_digits = 0, 1
     for c in cols:
         t = df.schema[c].dataType
@@ -58,12 +52,39 @@ def _common_key_type(df: DataFrame, cols) -> T.DataType:
         elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             int_digits = max(int_digits, 19)
         elif isinstance(t, (T.FloatType, T.DoubleType)):
-            return T.DoubleType()
+            return T.DoubleType() if len(cols) == 1 else None
         else:
             raise TypeError(f"rank key {c!r} must be numeric, got {t.simpleString()}")
-    if int_digits + scale > 38:
-        scale = max(0, 38 - int_digits)
-    return T.DecimalType(min(38, int_digits + scale), scale)
+    return T.DecimalType(int_digits + scale, scale) if int_digits + scale <= 38 else None
+
+
+_ORDER = ("_m", "_nr", "_key", "_id")
+
+
+def _bounds(stacked: DataFrame, buckets: int) -> Column:
+    """Sorted bounds of the composite order, ``buckets`` - 1 at most, as a one-row subquery."""
+    spark = stacked.sparkSession
+    h = F.xxhash64("_m", "_id")
+    sample = stacked.orderBy(h, "_m", "_id").limit(SAMPLE * buckets).orderBy(*_ORDER).select(*_ORDER).collect()
+    step = max(1, -(-len(sample) // buckets))
+    kind = T.ArrayType(stacked.select(F.struct(*_ORDER).alias("b")).schema["b"].dataType)
+    rows = [[tuple(r) for r in sample[step::step]]]
+    return spark.createDataFrame([rows], T.StructType([T.StructField("bounds", kind)])).scalar()
+
+
+def _bucketed(stacked: DataFrame, bounds: Column) -> DataFrame:
+    """``stacked`` with ``_b``: how many bounds a row reaches, found in two steps of about the square root of their number each."""
+    return stacked.withColumn("_bounds", bounds).withColumn("_b", _bucket(F.col("_bounds"))).drop("_bounds")
+
+
+def _bucket(bounds: Column) -> Column:
+    here = F.struct(*_ORDER)
+    n = F.size(bounds)
+    width = F.ceil(F.sqrt(F.greatest(n, F.lit(1)))).cast("int")
+    coarse = F.filter(bounds, lambda b, i: (F.pmod(i, width) == 0) & (b <= here))
+    block = F.size(coarse)
+    fine = F.filter(F.slice(bounds, (block - 1) * width + 1, width), lambda b: b <= here)
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * width + F.size(fine)).cast("int")
 
 
 def global_ranks(df: DataFrame, id_col: str, specs, num_partitions: int | None = None) -> DataFrame:
@@ -73,9 +94,14 @@ def global_ranks(df: DataFrame, id_col: str, specs, num_partitions: int | None =
     must be unique in ``df``; it breaks ties (ascending).  Returns a long
     frame ``(_id, _m, _key, _rank, _n)``: one row per input row and spec,
     with the spec index ``_m``, the sign-adjusted key, the rank and the
-    spec's row count.
+    spec's row count.  Keys of several types are ranked as one decimal type that holds them
+    all; where there is none each has a pass of its own.
     """
     key_type = _common_key_type(df, [s[0] for s in specs])
+    if key_type is None:
+        alone = [global_ranks(df, id_col, [s], num_partitions).withColumn("_m", F.lit(i)) for i, s in enumerate(specs)]
+        return reduce(lambda a, b: a.unionByName(b), [r.withColumn("_key", F.col("_key").cast("double")) for r in alone]) \
+            if len(alone) > 1 else alone[0]
     entries = []
     for i, (key, asc, nulls_first) in enumerate(specs):
         k = F.col(key).cast(key_type)
@@ -85,29 +111,15 @@ def global_ranks(df: DataFrame, id_col: str, specs, num_partitions: int | None =
     # One pass over the input emits one row per spec (no union, so the
     # upstream plan is not repeated per spec).
     stacked = df.select(F.col(id_col).alias("_id"), F.inline(F.array(*entries)))
-    order = [F.col("_m"), F.col("_nr"), F.col("_key"), F.col("_id")]
-    ranged = stacked.repartitionByRange(_partitions(df, num_partitions), *order) \
-        .sortWithinPartitions(*order)
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Without exchange reuse the two branches below would sample range
-        # bounds separately; pin one partitioning in the shared checkpoint
-        # directory instead.
-        ensure_checkpoint_dir(df.sparkSession)
-        ranged = ranged.checkpoint(eager=True)
-    pid = F.spark_partition_id()
-    positioned = ranged.select(
-        "_id", "_m", "_key", pid.alias("_pid"),
-        (F.monotonically_increasing_id() - pid.cast("bigint") * F.lit(_LOW_BITS)).alias("_pos"))
-    counts = positioned.groupBy("_pid", "_m").agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.unboundedPreceding, -1
-    w_m = Window.partitionBy("_m").orderBy("_pid")
-    w_p = Window.partitionBy("_pid").orderBy("_m")
-    offsets = counts.select(
-        "_pid", "_m",
-        (F.coalesce(F.sum("_c").over(w_m.rowsBetween(*before)), F.lit(0))
-         - F.coalesce(F.sum("_c").over(w_p.rowsBetween(*before)), F.lit(0))).alias("_off"),
+    bounds = _bounds(stacked, _partitions(df, num_partitions) * len(specs))
+    placed = _bucketed(stacked, bounds)
+    inside = Window.partitionBy("_m", "_b").orderBy("_nr", "_key", "_id")
+    ranked = placed.withColumn("_pos", F.row_number().over(inside) - 1)
+    earlier = Window.partitionBy("_m").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_m", "_b").agg(F.count(F.lit(1)).alias("_c")).select(
+        "_m", "_b", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_off"),
         F.sum("_c").over(Window.partitionBy("_m")).alias("_n"))
-    j = positioned.join(F.broadcast(offsets), ["_pid", "_m"], "inner")
+    j = ranked.join(F.broadcast(offsets), ["_m", "_b"], "inner")
     return j.select("_id", "_m", "_key", (F.col("_pos") + F.col("_off")).alias("_rank"), "_n")
 
 

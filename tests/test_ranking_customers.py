@@ -109,3 +109,35 @@ def test_rfm_quantile_and_segment_counts(spark):
     counts = cust.segment_counts(rq).collect()
     assert sum(r["count"] for r in counts) == 20
     assert [r["count"] for r in counts] == sorted([r["count"] for r in counts], reverse=True)
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ranks_do_not_depend_on_exchange_reuse(spark, reuse):
+    """Half of the rows share one value; buckets are a function of the row, so both branches agree."""
+    rnd = random.Random(11)
+    rows = [(f"c{rnd.randrange(10 ** 9):09d}x{i}", 5 if i % 2 else rnd.randrange(100), Decimal(rnd.randrange(50)) / 8,
+             None if i % 7 == 0 else rnd.random()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, a bigint, b decimal(38,20), c double").repartition(5)
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        out = add_ntiles(df, "id", [("ta", "a", False, True), ("tb", "b", True, True), ("tc", "c", True, False)], 5, num_partitions=16)
+        got = {r["id"]: (r["ta"], r["tb"], r["tc"]) for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    ref = df.select("id", F.ntile(5).over(Window.orderBy(F.col("a").desc_nulls_first(), "id")).alias("ta"),
+                    F.ntile(5).over(Window.orderBy(F.col("b"), "id")).alias("tb"),
+                    F.ntile(5).over(Window.orderBy(F.col("c").asc_nulls_last(), "id")).alias("tc"))
+    assert got == {r["id"]: (r["ta"], r["tb"], r["tc"]) for r in ref.collect()}
+    assert "SinglePartition" not in plan
+
+
+def test_hot_value_is_split(spark):
+    """Rows of one value fall into many buckets, each no larger than a few shares."""
+    from ledgerlens.operators import ranking
+    df = spark.range(20_000).selectExpr("cast(id as string) as id", "if(id % 3 = 0, 7L, id) as v")
+    stacked = df.selectExpr("id as _id", "0 as _m", "1 as _nr", "v as _key")
+    placed = ranking._bucketed(stacked, ranking._bounds(stacked, 40))
+    sizes = [r["count"] for r in placed.groupBy("_b").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 4 * 20_000 / 40
+    assert placed.where("_key = 7").select("_b").distinct().count() > 8
