@@ -939,6 +939,7 @@ UNION ALL SELECT 'corrupt file', 1, 1""",
   {round_div_sql("total_amount", "quantity", 4)} AS unit_price,
   CASE WHEN channel <> 'partner' THEN ship_date END AS ship_date,
   CASE WHEN channel = 'partner' THEN 3 ELSE ship_date - order_date END AS days_to_ship FROM stg_sales"""),
+        "fct_sales_bucketed": with_base(body=f"SELECT {FCT_COLS} FROM fct_sales"),
         "sales_of_year": with_base(body="""SELECT order_month, count(*) AS sales, CAST(sum(net_revenue) AS DOUBLE) AS net_revenue
 FROM stg_sales WHERE year(order_date) = 1997 GROUP BY order_month"""),
         "measure_evaluate_customer": with_base(VW_SALES, *dim, """

@@ -18,7 +18,7 @@ LAG_ORDER = ["period_date", "channel", "customer_tier", "territory_name", "terri
 
 def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
               territories: DataFrame, run_ts=None, dim_row_bounds: dict | None = None,
-              salt_hot_keys: bool = True) -> DataFrame:
+              salt_hot_keys: bool = True, co_located: tuple[str, ...] = ()) -> DataFrame:
     """Central sales fact (M5): three left joins that never drop a sale.
 
     Only the dimension columns the fact needs are selected, so each
@@ -26,7 +26,10 @@ def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
     bounds on the rows of 'customers', 'products', 'territories') lets a
     small dimension be broadcast after a checked size; any other dimension
     stays a shuffle join, which AQE may still convert after measuring it,
-    and whose hot fact-side keys the skew-join rule splits.
+    and whose hot fact-side keys the skew-join rule splits.  ``co_located``
+    names dimensions that are bucketed by their key like the sales
+    (``sinks.write_bucketed``): they are merged bucket by bucket, and the fact
+    is not shuffled for them.
     """
     bounds = dim_row_bounds or {}
     c = customers.select("customer_id", "tier", "country", "region", "industry")
@@ -36,7 +39,9 @@ def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
                                              F.col("country").alias("territory_country")),
                           bounds.get("territories"))
 
-    def join_dim(left, dim, key, bound):
+    def join_dim(left, dim, key, bound, name):
+        if name in co_located:
+            return left.join(dim.hint("merge"), key, "left")
         # Small (checked) dimension: broadcast.  Known-large dimension: a
         # shuffle join whose hot keys (a customer with a third of all sales)
         # are salted, so no single task receives them; unknown size: left
@@ -47,8 +52,8 @@ def fct_sales(sales: DataFrame, customers: DataFrame, products: DataFrame,
             return salted_left_join(left, dim, key, "sale_id", hot=hot_keys(sales, key))
         return left.join(dim, key, "left")
 
-    j = join_dim(sales, c, "customer_id", bounds.get("customers"))
-    j = join_dim(j, p, "product_id", bounds.get("products"))
+    j = join_dim(sales, c, "customer_id", bounds.get("customers"), "customers")
+    j = join_dim(j, p, "product_id", bounds.get("products"), "products")
     j = j.join(t, "territory_id", "left")
     qty, cost, net = F.col("quantity"), F.col("cost_price"), F.col("net_revenue")
     unit_cost = qty * cost

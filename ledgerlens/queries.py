@@ -24,7 +24,6 @@ AS_OF = dt.date(2001, 12, 31)
 RUN_TS = dt.datetime(2002, 1, 1, 0, 0, 0)
 
 
-_BOUNDS: dict[tuple, dict] = {}
 _MODELS: dict[tuple, "Models"] = {}
 
 
@@ -72,12 +71,8 @@ class Models:
         """Upper bounds on dimension rows from the source tables' footers
         (the driver's tables are read-only, so once per session and folder)."""
         from ledgerlens.operators.joins import source_row_counts
-        key = (id(self.spark), self.sf_dir)
-        if key not in _BOUNDS:
-            src = {"customers": "customer", "products": "part", "territories": "nation"}
-            _BOUNDS[key] = source_row_counts(self.spark, {k: f"{self.sf_dir.rstrip('/')}/{v}.parquet"
-                                                          for k, v in src.items()})
-        return _BOUNDS[key]
+        src = {"customers": "customer", "products": "part", "territories": "nation"}
+        return source_row_counts(self.spark, {k: f"{self.sf_dir.rstrip('/')}/{v}.parquet" for k, v in src.items()})
 
     @cached_property
     def fct(self) -> DataFrame:

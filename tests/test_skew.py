@@ -100,3 +100,25 @@ def test_salted_left_join_equals_plain_join(spark, skewed):
     assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
     # the join key includes the salt, so a hot key's rows spread over join partitions
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bucketed_fact_is_not_shuffled(spark, tmp_dir):
+    """Sales and customers bucketed alike: no exchange above either scan, and the plain join's rows."""
+    from conftest import SF_SMALL
+    from ledgerlens import queries as Q
+    from ledgerlens.plans import marts
+    from ledgerlens.sources.sinks import write_bucketed
+    m = Q.Models(spark, SF_SMALL)
+    sales = write_bucketed(m.stg_sales, "b_sales", f"{tmp_dir}/s", "customer_id", 4)
+    people = write_bucketed(m.stg_customers, "b_customers", f"{tmp_dir}/c", "customer_id", 4)
+    bounds = {"products": 1000, "territories": 100}
+    try:
+        fct = marts.fct_sales(sales, people, m.stg_products, m.stg_territories, Q.RUN_TS, bounds, co_located=("customers",))
+        plan = fct._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+        assert "Exchange hashpartitioning(customer_id" not in plan and "Exchange hashpartitioning(product_id" not in plan
+        cols = ["sale_id", "customer_tier", "customer_region", "product_category", "gross_profit", "territory_region"]
+        assert fct.select(*cols).exceptAll(m.fct.select(*cols)).count() == 0 and fct.count() == m.fct.count()
+    finally:
+        spark.sql("DROP TABLE b_sales")
+        spark.sql("DROP TABLE b_customers")
