@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.llm.tables import Tables
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -29,22 +29,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.unionByName(nodes).where("a <> b").distinct()
 
 
+#: Links that one file of a round's table holds.
+FILE_LINKS = 1_000_000
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the links (a, b): the smallest
     node it can reach.  Nodes without a link to another are left out.
 
     Alternating star contractions: only (node, neighbour) pairs move, minima
-    are pre-aggregated, and each round is checkpointed to the shared folder,
+    are pre-aggregated, and each round is written to the shared folder,
     so a lost executor costs one round at most.  Stops when a round changes
     nothing.
     """
-    ensure_checkpoint_dir(spark)
-    edges = edges.where("a <> b").select("a", "b").distinct()
+    tables = Tables(spark, "components")
+    now = tables.write(edges.where("a <> b").select("a", "b").distinct())
     seen = None
     while True:
-        edges = _small_star(_large_star(edges)).checkpoint()
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == seen or not now[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        seen = now
+        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if state == seen or not state[0]:
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+                now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        # A round never has more links than twice those before it.
+        files = -(-2 * state[0] // FILE_LINKS)
+        seen, before = state, now
+        now = tables.write(_small_star(_large_star(before)).coalesce(files))
+        tables.drop(before)

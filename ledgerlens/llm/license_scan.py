@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 # Base phrases and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
-# Notices of common licences.
+# Notices of common licences and the paragraphs of the short ones, in words.
 NOTICES = [
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
@@ -44,6 +44,31 @@ NOTICES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
             "hereby granted"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge "
+            "publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is "
+            "furnished to do so subject to the following conditions"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+            "of the software"),
+    ("mit", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in "
+            "an action of contract tort or otherwise arising from out of or in connection with the software or the use or "
+            "other dealings in the software"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following "
+            "disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+            "following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is "
+               "distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied "
+            "warranty of merchantability or fitness for a particular purpose"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held "
+             "liable for any damages arising from the use of this software"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
+    ("reserved", "alle rechte vorbehalten"),
+    ("reserved", "tous droits réservés"),
+    ("reserved", "todos los derechos reservados"),
 ]
 
 GRAM = 3

@@ -30,11 +30,19 @@ from ledgerlens.llm.text import WORD
 SYMBOLS = "#*$%&|<>"
 LINE_SYMBOLS = r"[#*$%&|<>{}=~^_@\\]"
 ENDS = r"[.!?:;,)\"'…。！？]$"
-NAVIGATION = (r"^(home|menu|login|log in|sign in|sign up|register|search|share|next|previous|back to top|read more|"
-              r"click here|skip to)\b")
+# English, German, French and Spanish; a word of the latter ends before anything but a-z, as \\b knows ASCII letters only.
+NAVIGATION = (r"^((home|menu|login|log in|sign in|sign up|register|search|share|next|previous|back to top|read more|"
+              r"click here|skip to)\b|"
+              r"(startseite|anmelden|abmelden|registrieren|suche|teilen|weiterlesen|nach oben|zum inhalt|hier klicken|impressum|"
+              r"accueil|connexion|se connecter|inscription|rechercher|partager|suivant|lire la suite|haut de page|cliquez ici|"
+              r"inicio|iniciar sesi.n|registrarse|buscar|compartir|siguiente|anterior|leer m.s|volver arriba|saltar al contenido)"
+              r"([^a-z]|$))")
 BARS = r"[|»›>].*[|»›>]"
 BOILERPLATE = (r"\b(all rights reserved|privacy policy|cookie policy|terms of use|terms of service|enable javascript|"
-               r"uses cookies|lorem ipsum|subscribe to our|copyright ©)")
+               r"uses cookies|lorem ipsum|subscribe to our|copyright ©|"
+               r"alle rechte vorbehalten|datenschutzerkl|nutzungsbedingungen|verwendet cookies|newsletter abonnieren|"
+               r"tous droits r.serv|politique de confidentialit|conditions d.utilisation|utilise des cookies|"
+               r"todos los derechos reservados|pol.tica de privacidad|t.rminos de uso|utiliza cookies|aviso legal)")
 
 #: A line fails with more symbols than these hundredths of its characters.
 LINE_SYMBOL_SHARE = 15

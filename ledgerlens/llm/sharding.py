@@ -41,7 +41,7 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = 5, bucket_rows
     buckets = bucket_count(total, bucket_rows)
     rows = docs.select("doc_id", "source", src.alias("src"), (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"),
-                       F.xxhash64(F.lit(seed), F.col("doc_id"), src).alias("h"))
+                       F.xxhash64(F.lit(seed), F.col("doc_id"), src, text).alias("h"))
     rows = rows.withColumn("bucket", F.pmod("h", F.lit(buckets)))
     own = ranked(rows, ["src"], "bucket", ["h", "doc_id", "text_crc32", "size"]).withColumnRenamed("__rank", "r")
     counts = docs.groupBy(src.alias("s")).agg(F.count(F.lit(1)).alias("n"))

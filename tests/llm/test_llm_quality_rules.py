@@ -47,3 +47,15 @@ def test_defined_cases(spark):
     assert got[3].clean_text == " \n\t " and got[4].n_words == 60_000
     assert all(r.score == f"own {-1 if r.doc_id is None else r.doc_id}" for r in rows)
     assert Q.quality_rules(empty(spark)).count() == 0
+
+
+def test_line_rules_in_other_languages():
+    fails = lambda s: Q.line_fails(s, len(WORD.findall(s)))
+    for line in ("Startseite.", "Hier klicken!", "Zum Inhalt.", "Accueil.", "Lire la suite...", "Inicio.", "Leer más.",
+                 "Iniciar sesión!", "Wir weisen darauf hin, dass alle Rechte vorbehalten sind, auch die der Autoren dieses Werkes.",
+                 "Ce site utilise des cookies pour vous offrir la meilleure des visites, et rien d'autre.",
+                 "Nuestra política de privacidad explica en detalle lo que hacemos con todos esos datos."):
+        assert fails(line), line
+    for line in ("Anmeldende kamen.", "Inicios difíciles.", "Suchende fanden das alte Haus am Ende der langen Straße nicht mehr",
+                 "Le soleil brille.", "La casa es grande."):
+        assert not fails(line), line

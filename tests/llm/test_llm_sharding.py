@@ -51,3 +51,16 @@ def test_ranked_sums_in_buckets(spark):
     got = {(r.g, r.i): (r["__rank"], r["__start"]) for r in ranked(df, ["g"], "bucket", ["i"], "size").collect()}
     assert got[("k", 1)] == (0, 0)
     assert all(got[("g", i)] == (i, sum(j % 4 for j in range(i))) for i in range(95))
+
+
+def test_rows_without_an_id_are_spread(spark):
+    """A third of the rows have no id and one source: their texts tell them apart."""
+    from pyspark.sql import functions as F
+    rows = [(None if i % 3 == 0 else i, f"text {i}", "en", "s") for i in range(3000)]
+    docs = frame(spark, rows)
+    src = sharding.null_safe(F.col("source"))
+    got = sharding.interleave(docs, bucket_rows=50).collect()
+    check(got, 3000)
+    hashes = docs.select(F.xxhash64(F.lit(5), "doc_id", src, F.coalesce("text", F.lit(""))).alias("h"))
+    sizes = hashes.groupBy(F.pmod("h", F.lit(60))).count().agg(F.max("count")).first()[0]
+    assert sizes < 120
