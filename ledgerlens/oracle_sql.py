@@ -920,11 +920,11 @@ def load_oracles() -> dict[str, str]:
   count(*) AS sales, count(DISTINCT sale_id) AS keys, CAST(sum(net_revenue::DECIMAL(18,4)) AS DOUBLE) AS net_revenue
 FROM ({merged}) AS merged, (VALUES ('committed'), ('rerun')) AS phases(phase) GROUP BY ALL""",
         "load_once": f"""WITH c AS {customer}
-SELECT 'rows' AS what, count_if(NOT bad)::BIGINT AS n, count_if(NOT bad)::BIGINT AS keys FROM c
+SELECT what, n::BIGINT AS n, keys::BIGINT AS keys FROM (SELECT 'rows' AS what, count_if(NOT bad)::BIGINT AS n, count_if(NOT bad)::BIGINT AS keys FROM c
 UNION ALL SELECT 'rejected', count_if(bad), count_if(bad) FROM c
 UNION ALL SELECT 'files', 3, 3
 UNION ALL SELECT 'reported', count_if(NOT bad), count_if(bad) FROM c
-UNION ALL SELECT 'loads after the first', 0, 0""",
+UNION ALL SELECT 'loads after the first', 0, 0)""",
         "csv_mixed_headers": with_base(body="""SELECT channel,
   CASE channel WHEN 'online' THEN 'EUR' WHEN 'direct' THEN 'USD' END AS currency, count(*) AS sales,
   CAST(sum(CASE WHEN channel = 'direct' THEN 0 ELSE discount_pct END) AS DOUBLE) AS discount_pct,
@@ -936,7 +936,7 @@ UNION ALL SELECT 'malformed', NULL, count(*), count(DISTINCT c_custkey) FROM {cu
         "parquet_corrupt": """SELECT 'loaded' AS reason, count(*) AS records, count(DISTINCT c_custkey) AS keys FROM customer
 UNION ALL SELECT 'corrupt file', 1, 1""",
         "stg_sales_repaired": with_base(body=f"""SELECT sale_id,
-  {round_div_sql("total_amount", "quantity", 4)} AS unit_price,
+  CAST({round_div_sql("total_amount", "quantity", 4)} AS DOUBLE) AS unit_price,
   CASE WHEN channel <> 'partner' THEN ship_date END AS ship_date,
   CASE WHEN channel = 'partner' THEN 3 ELSE ship_date - order_date END AS days_to_ship FROM stg_sales"""),
         "fct_sales_bucketed": with_base(body=f"SELECT {FCT_COLS} FROM fct_sales"),
