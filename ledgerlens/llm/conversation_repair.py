@@ -11,25 +11,25 @@ is therefore the least cost, and of equal costs the least audit; an ordinary
 shortest path in integers decides everything.  A path's place in the audit is the
 number of its edits, so a node is (rows read, state, insertions made).
 
-The rows of a conversation come to one task in the order of their turns, sorted by Spark, and are
-read as a stream.  Of a conversation the task holds one number and one running
-hash for each open node, and one letter of audit for each row, never its
-texts.  Low digits cover ``PLACES`` places: from time to time the digits that all
-open nodes have passed are replaced by one digit, the rank of the
-audit so far, which keeps the order of all sums.  A node that costs more than
-another from which everything can be reached that it reaches is closed.  The
-contract's hash runs over a conversation's whole repaired text in order, so
-one conversation is one task's work, in bounded memory.
+The rows of a conversation come to one task in the order of their turns,
+sorted by Spark, and are read as a stream.  Of a conversation the task holds
+one number and one running hash for each open node, and one letter of audit
+for each row, never its texts.  Low digits cover ``PLACES`` places: from time
+to time the digits that all open nodes have passed are replaced by one digit,
+the rank of the audit so far, which keeps the order of all sums.  A node that
+costs more than another from which everything can be reached that it reaches
+is closed.  The contract's hash runs over a conversation's whole repaired text
+in order, so one conversation is one task's work, in bounded memory.
 
 Faults of a row, the first that holds: blank (no character but blanks),
 duplicate (role and text are those of an earlier row), truncated (the last
 character that is not blank ends no sentence).
 
 Defined cases: a null role or text is one space, and so is a null conv_id or
-turn in the damage rule; a null turn comes first; rows of one turn are in the order of role and text; rows
-of a null conv_id are one conversation; a conversation without rows after the
-damage has zeros, an empty audit and the hash of the empty text; an empty
-table gives no rows.
+turn in the damage rule; a null turn comes first; rows of one turn are in the
+order of role and text; rows of a null conv_id are one conversation; a
+conversation without rows after the damage has zeros, an empty audit and the
+hash of the empty text; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -3,29 +3,30 @@
 Documents with equal shingle sets form one class, with one MinHash signature.
 Each tree of the forest is an order: it reads the values of the signature in a
 fixed sequence of its own, and sorts the classes by them.  A region of a tree
-is a prefix, at depth 4 or 8; the longer prefix of the same sequence
-divides it.
+is a prefix, at depth 4 or 8; the longer prefix of the same sequence divides
+it.
 
 In each region the classes stand in the tree's order, so the class before is
 one with the longest common prefix; every class is compared with it, on the
-full shingle sets.  That links the near copies of a family in chains.  Long runs
-are cut by a salt into several chains, whose heads are compared
-with the region's first.  Then, in regions that still hold several groups,
-the classes of different groups are compared; links inside a group cannot
-change the result.  Where a region has more than ``REGION`` classes, the
-comparison goes through the rarest shingles: two sets at the threshold share
-one of them (prefix filter), and what is left of both sets after it must be
-large enough (position filter).  So nothing is left out, and thousands of near copies
-cost no pair each.
-
-The depth adapts to the region: one with more than ``REGION`` classes outside its
-largest group is divided by the next depth's prefix.  As two sets agree on a
-longer prefix more rarely, all classes of such a region enter that depth with more trees, as many as two
-classes at the threshold need to share a region in all but ``MISS`` of cases.  The last
-depth compares every region through the rarest shingles.
-
-Before texts are read, a pair whose signatures agree in fewer places than all but 2e-8 of the pairs at
-the threshold do is left out.
+full shingle sets.  That links the near copies of a family in chains.  Long
+runs are cut by a salt into several chains, whose heads are compared with the
+region's first.  Then, in regions that still hold several groups, the classes
+of different groups are compared; links inside a group cannot change the
+result.  Where a region has more than ``REGION`` classes, the comparison goes
+through the rarest shingles: two sets at the threshold share one of them
+(prefix filter), and what is left of both sets after it must be large enough
+(position filter).  So nothing is left out, and thousands of near copies cost
+no pair each.
+
+The depth adapts to the region: one with more than ``REGION`` classes outside
+its largest group is divided by the next depth's prefix.  As two sets agree on
+a longer prefix more rarely, all classes of such a region enter that depth
+with more trees, as many as two classes at the threshold need to share a
+region in all but ``MISS`` of cases.  The last depth compares every region
+through the rarest shingles.
+
+Before texts are read, a pair is left out whose signatures agree in fewer
+places than all but 2e-8 of the pairs at the threshold do.
 
 Defined cases: a document without words (or with null text) has no shingles
 and stands alone; a row with a null doc_id is linked with nothing and its
@@ -209,8 +210,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity
 
 
 def _regions(reps: DataFrame, depth: int, similarity: int) -> DataFrame:
-    """(region, rest, id, fp, n, m): the region of each class in each tree of the depth, its place in the region's order, and
-    how many classes the region has; regions of one class are left out."""
+    """(region, rest, id, fp, n, m): the region of each class in each tree of
+    the depth, its place in the region's order, and how many classes the region
+    has; regions of one class are left out."""
     trees = sequences(tree_count(depth, similarity))
 
     @F.pandas_udf(T.StructType([T.StructField("region", T.ArrayType(T.LongType())), T.StructField("rest", T.ArrayType(T.LongType()))]))
@@ -253,9 +255,11 @@ def _pair(x, y) -> list:
 
 
 def _neighbours(regions: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of each class with the one before it in the order of each of its regions, if they are of two groups.
+    """Pairs of each class with the one before it in the order of each of its
+    regions, if they are of two groups.
 
-    A region longer than ``RUN`` is cut by a salt into chains; their heads are paired with the region's first."""
+    A region longer than ``RUN`` is cut by a salt into chains; their heads are
+    paired with the region's first."""
     place = F.struct("id", "fp")
     salt = F.when(F.col("m") > RUN, F.pmod(F.xxhash64("fp", "id"), F.ceil(F.col("m") / RUN))).otherwise(F.lit(0))
     rows = regions.withColumn("salt", salt.cast("long"))
@@ -297,10 +301,12 @@ def _across_large(rows: DataFrame, docs: DataFrame, similarity: int, tables: Tab
     """Pairs of classes of different groups of large regions that can be similar enough.
 
     Regions whose largest group is the same, ``main``, hold much the same
-    classes and are compared together.  Each class's shingles are ordered from the rarest there
-    to the most frequent; two sets at the threshold share one of the first
-    n - threshold * n + 1, and after the first they share, both have enough left.  A class of the largest group meets only classes
-    outside it.  A shingle of many classes is cut: one side is salted, the other enters every part.
+    classes and are compared together.  Each class's shingles are ordered from
+    the rarest there to the most frequent; two sets at the threshold share one
+    of the first n - threshold * n + 1, and after the first they share, both
+    have enough left.  A class of the largest group meets only classes outside
+    it.  A shingle of many classes is cut: one side is salted, the other enters
+    every part.
     """
     members = tables.write(rows.select("main", "id", "fp", "g").distinct())
     sets = _texts(docs, members.select("id", "fp").distinct()).select(

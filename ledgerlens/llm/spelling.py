@@ -11,21 +11,22 @@ that starts right after it.
 
 The inverted lists are merged by a join on grams.  Every word stands in the
 lists of all its grams, but asks only some of them: the rarest of its grams
-that outnumber those among them which one edit can affect.  Usually two grams apart from
-each other do, of which an edit affects one at most.  Any word one edit apart holds one of
-the grams asked, at the same place, or one further where it is longer and
-the edit lies before; so place and length are part of a list's key.  Lists of
-grams that occur more than ``LIST`` times are cut by a salt of the asking
-side, and the other side stands in every cut.  A pair passes if the
-parities of its letters and letter pairs differ by no more than one edit
-allows, and if its edit distance is one.  Words without enough grams to ask are
-compared with each other, and with all shorter and longer words, through the words left by deleting one character.
+that outnumber those among them which one edit can affect.  Usually two grams
+apart from each other do, of which an edit affects one at most.  Any word one
+edit apart holds one of the grams asked, at the same place, or one further
+where it is longer and the edit lies before; so place and length are part of a
+list's key.  Lists of grams that occur more than ``LIST`` times are cut by a
+salt of the asking side, and the other side stands in every cut.  A pair
+passes if the parities of its letters and letter pairs differ by no more than
+one edit allows, and if its edit distance is one.  Words without enough grams
+to ask are compared with all words through the words left by deleting one
+character.
 
 The longest gram is about half the length of a word, so that two grams can be
 apart; words of lengths n and n + 1 meet with the longest gram of n.
 
-The dictionary is broadcast: it holds ``MAX_GRAMS`` grams at most, since the count
-above which a gram is frequent is raised until it fits.  That changes
+The dictionary is broadcast: it holds ``MAX_GRAMS`` grams at most, since the
+count above which a gram is frequent is raised until it fits.  That changes
 how long the lists are and never the result.
 
 Defined cases: null texts hold no words; a null doc_id counts as the empty text

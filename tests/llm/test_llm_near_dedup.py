@@ -20,6 +20,34 @@ def test_whole_table_equals_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def test_links_of_a_larger_table(spark):
+    """Recall of links on the next size: every component of two or more is found."""
+    folder = "/root/testdata/sf0.01"
+    truth = near_components({i: r.text for i, r in documents(spark, folder).items()})
+    got = found(queries.op3_near_dedup(spark, folder))
+    linked = {i for i, (_, c) in truth.items() if c != i}
+    assert len(linked) > 20 and sum(got[i] == truth[i] for i in linked) >= 0.99 * len(linked)
+    assert all(got[i][1] >= truth[i][1] for i in truth)
+
+
+def test_rarest_shingles_find_what_a_crowded_region_holds(spark):
+    """The comparison of large regions alone: pairs at the threshold, none inside the largest group."""
+    rnd = random.Random(8)
+    base = [f"b{i}" for i in range(100)]
+    texts = {i: " ".join(base[:rnd.randrange(60, 100)] + [f"x{rnd.randrange(6)}.{j}" for j in range(rnd.randrange(0, 40))])
+             for i in range(60)}
+    docs = frame(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    tables = near_dedup.Tables(spark, "test")
+    classes = near_dedup.sketches(docs).selectExpr("id", "fp", "n", "if(id < 25, struct(0L as id, 0L as fp), struct(id, fp)) as g")
+    rows = classes.selectExpr("*", "struct(0L as id, 0L as fp) as main")
+    got = {(r.a, r.b) for r in near_dedup._across_large(rows, docs, 85, tables).collect()}
+    sets = {i: shingles(t) for i, t in texts.items()}
+    want = {(i, j) for i in sets for j in sets if i < j and not j < 25
+            and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])}
+    assert want and want <= {(min(p), max(p)) for p in got}
+    assert not any(a < 25 and b < 25 for a, b in got)
+
+
 def test_hot_group_of_near_copies(spark):
     """More near copies than a region holds, copies of one of them, and a
     second family that shares most of a passage but is not similar enough."""
