@@ -209,10 +209,8 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, similarity
                     F.struct(F.col("b").alias("id"), F.col("fb").alias("fp")).alias("b")))
 
 
-def _regions(reps: DataFrame, depth: int, similarity: int) -> DataFrame:
-    """(region, rest, id, fp, n, m): the region of each class in each tree of
-    the depth, its place in the region's order, and how many classes the region
-    has; regions of one class are left out."""
+def _keyed(reps: DataFrame, depth: int, similarity: int) -> DataFrame:
+    """(id, fp, n, keys): the classes with their region in each tree of the depth, and their place in its order."""
     trees = sequences(tree_count(depth, similarity))
 
     @F.pandas_udf(T.StructType([T.StructField("region", T.ArrayType(T.LongType())), T.StructField("rest", T.ArrayType(T.LongType()))]))
@@ -221,10 +219,21 @@ def _regions(reps: DataFrame, depth: int, similarity: int) -> DataFrame:
         key, rest = region_keys(values, trees, depth)
         return pd.DataFrame({"region": list(key), "rest": list(rest)})
 
-    rows = reps.select("id", "fp", "n", keys("signature").alias("keys"))
-    rows = rows.select("id", "fp", "n", F.explode(F.arrays_zip("keys.region", "keys.rest")).alias("at"))
-    rows = rows.select("at.region", "at.rest", "id", "fp", "n")
-    shared = rows.groupBy(F.col("region").alias("k")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    return reps.select("id", "fp", "n", keys("signature").alias("keys"))
+
+
+def _shared(keyed: DataFrame) -> DataFrame:
+    """(k, m): the regions of several classes, and how many they have."""
+    rows = keyed.select(F.explode("keys.region").alias("k"))
+    return rows.groupBy("k").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+
+
+def _regions(keyed: DataFrame, shared: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """(region, rest, id, fp, n, g, m): each class in each of its regions that has several
+    classes, with its group.  Groups are joined to the classes, before these are dealt to regions."""
+    rows = _grouped(keyed, groups)
+    rows = rows.select("id", "fp", "n", "g", F.explode(F.arrays_zip("keys.region", "keys.rest")).alias("at"))
+    rows = rows.select("at.region", "at.rest", "id", "fp", "n", "g")
     return rows.join(shared, F.col("region") == F.col("k")).drop("k")
 
 
@@ -350,15 +359,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, similarity: int = SIMILARIT
 
     links = groups = tried = None
     for depth in DEPTHS:
-        regions = tables.write(_regions(reps, depth, similarity))
-        chain = tables.write(_untried(_neighbours(_grouped(regions, groups), similarity), tried))
+        keyed = tables.write(_keyed(reps, depth, similarity))
+        shared = tables.write(_shared(keyed))
+        chain = tables.write(_untried(_neighbours(_regions(keyed, shared, groups), similarity), tried))
         tried = chain if tried is None else tried.unionByName(chain)
         new = tables.write(_confirmed(chain, classes, docs, similarity, tables))
         links = new if links is None else links.unionByName(new)
         groups = tables.write(components(spark, links))
 
-        still = tables.write(_several_groups(_grouped(regions, groups)))
-        tables.drop(regions)
+        still = tables.write(_several_groups(_regions(keyed, shared, groups)))
+        tables.drop(keyed)
+        tables.drop(shared)
         now = still if depth == DEPTHS[-1] else still.where(F.col("others") <= REGION)
         across = _across_small(now.where(F.col("m") <= REGION), similarity)
         large = now.where(F.col("m") > REGION)
