@@ -51,7 +51,10 @@ from ledgerlens.llm.text import mixed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 0.0005
-BATCH_CHARS = 250_000
+#: Texts of about this many characters share the lattices of their words, ...
+BATCH_CHARS = 1_000_000
+#: ... and of about this many are searched at a time.
+PART_CHARS = 250_000
 BLANK = "▁"
 #: Words whose open nodes are looked at first.
 EARLY_WORDS = 6
@@ -147,33 +150,45 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
 
 
 class Lattices:
-    """The lattices of distinct words: nodes are characters, ``root[w]`` the
-    first of word w, ``root[w + 1] - 1`` its end; edges are sorted by node."""
+    """The lattices of distinct words.  Nodes are characters, numbered by their
+    distance to the end of the word and, at one distance, by the word's place
+    among all, longest first: the ends of the words come first, and what is at
+    one distance lies together.  ``root[w]`` is the first node of word w; edges
+    are sorted by node."""
 
     def __init__(self, words: list[str], voc: Vocabulary, alpha: float):
+        self.words = len(words)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        self.root = np.zeros(len(words) + 1, np.int64)
-        np.cumsum(lengths + 1, out=self.root[1:])
-        total = int(self.root[-1])
+        by_length = np.argsort(-lengths, kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[by_length] = np.arange(len(words))
+        longest = int(lengths.max(initial=0))
+        level = np.zeros(longest + 2, np.int64)  # where each distance begins
+        np.cumsum(len(words) - np.searchsorted(lengths[by_length[::-1]], np.arange(longest + 1)), out=level[1:])
+        self.root = level[lengths] + place
+        total = int(level[-1])
+        # In the order of the text: its characters, each word followed by its end.
         chars = np.frombuffer("\0".join([*words, ""]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         codes = voc.codes[chars].astype(np.int64)
+        ends = np.cumsum(lengths + 1) - 1
         final = np.zeros(total, bool)
-        final[self.root[1:] - 1] = True
+        final[ends] = True
         codes[final] = -1
+        number = level[np.repeat(ends, lengths + 1) - np.arange(total)] + np.repeat(place, lengths + 1)
         begin = np.flatnonzero(~final)
         at, node, step = begin, np.zeros(len(begin), np.int64), 0
-        tails, steps, ranks, ids = [], [], [], []
+        tails, heads, ranks, ids = [], [], [], []
         degree = np.zeros(total, np.int64)
         single = np.zeros(total, bool)
         while len(at):
             node = voc.child(node, codes[at + step]) if step else voc.start[codes[at]]
-            alive = node >= 0
+            alive = np.flatnonzero(node >= 0)
             at, node, step = at[alive], node[alive], step + 1
             piece = voc.ids[node]
-            good = piece >= 0
+            good = np.flatnonzero(piece >= 0)
             tail = at[good]
             tails.append(tail)
-            steps.append(np.full(len(tail), step))
+            heads.append(number[tail + step])
             ranks.append(degree[tail])
             ids.append(piece[good])
             degree[tail] += 1
@@ -181,41 +196,30 @@ class Lattices:
                 single[tail] = True
         bare = begin[~single[begin]]  # characters without a piece of their own
         tails.append(bare)
-        steps.append(np.ones(len(bare), np.int64))
+        heads.append(number[bare + 1])
         ranks.append(degree[bare])
         ids.append(-1 - chars[bare])  # below 0: a character's bytes
         degree[bare] += 1
-        self.first = np.concatenate([[0], np.cumsum(degree)])
-        tail = np.concatenate(tails)
-        place = self.first[tail] + np.concatenate(ranks)
-        self.tail, self.head, self.ident = (np.empty(len(tail), np.int64) for _ in range(3))
-        self.tail[place], self.head[place] = tail, tail + np.concatenate(steps)
-        self.ident[place] = np.concatenate(ids)
+        self.degree = np.empty(total, np.int64)
+        self.degree[number] = degree
+        self.first = np.concatenate([[0], np.cumsum(self.degree)])
+        at = self.first[number[np.concatenate(tails)]] + np.concatenate(ranks)
+        self.head, self.ident = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        self.head[at] = np.concatenate(heads)
+        self.ident[at] = np.concatenate(ids)
+        self.tail = np.repeat(np.arange(total), self.degree)
         weight = alpha * np.where(self.ident >= 0, voc.scores[np.maximum(self.ident, 0)], voc.worst)
         # Backward log sums, by distance to the end of the word.
-        away = np.zeros(total, np.int64)
-        away[begin] = np.repeat(self.root[1:] - 1, lengths) - begin
         self.beta = np.zeros(total)
-        longest = int(away.max(initial=0))
-        by_away = np.argsort(away.astype(np.int16 if longest < 1 << 15 else np.int64), kind="stable")
-        bounds = np.searchsorted(away[by_away], np.arange(1, longest + 2))
-        for lo, hi in zip(bounds, bounds[1:], strict=False):
-            nodes = by_away[lo:hi]
-            edges, starts, owner = _ragged(self.first[nodes], self.first[nodes + 1])
+        for lo, hi in zip(level[1:-1].tolist(), level[2:].tolist(), strict=True):
+            edges = slice(int(self.first[lo]), int(self.first[hi]))
+            starts = self.first[lo:hi] - edges.start
             value = weight[edges] + self.beta[self.head[edges]]
             top = np.maximum.reduceat(value, starts)
-            self.beta[nodes] = top + np.log(np.add.reduceat(np.exp(value - top[owner]), starts))
+            value = np.exp(value - np.repeat(top, self.degree[lo:hi]))
+            self.beta[lo:hi] = top + np.log(np.add.reduceat(value, starts))
         #: Log probability of an edge, given its node.
-        self.logp = weight + self.beta[self.head] - self.beta[self.tail]
-        self.final = final
-
-
-def _ragged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Concatenated ranges lo..hi: their members, where each begins, and the range of each member."""
-    n = hi - lo
-    starts = np.cumsum(n) - n
-    owner = np.repeat(np.arange(len(n)), n)
-    return np.arange(int(n.sum())) - starts[owner] + lo[owner], starts, owner
+        self.logp = weight + self.beta[self.head] - np.repeat(self.beta, self.degree)
 
 
 def _words(text: str) -> list[str]:
@@ -260,8 +264,7 @@ _TURN = np.uint64(0xD1B54A32D192ED03)
 
 def _edges(lat: Lattices, node: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
     """All edges of the nodes: (edge, its perturbed log probability, number of its node, where each node begins)."""
-    lo = lat.first[node]
-    n = lat.first[node + 1] - lo
+    lo, n = lat.first[node], lat.degree[node]
     starts = np.cumsum(n) - n
     owner = np.repeat(np.arange(len(n)), n)
     local = np.arange(len(owner)) - starts[owner]
@@ -280,20 +283,25 @@ def _complete(lat: Lattices, node: np.ndarray, unit: np.ndarray, key: np.ndarray
     the end of its word.  All words go one edge on at a time.
 
     Returns, in the order of the path, (unit, edge, key, greatest value, second
-    greatest value) of each node passed.
+    greatest value) of each node passed.  A node with one edge has no second
+    value, and its greatest is not needed.
     """
     parts = []
     while True:
-        alive = ~lat.final[node]
+        alive = np.flatnonzero(node >= lat.words)  # the words' ends come first
         node, unit, key = node[alive], unit[alive], key[alive]
         if not len(node):
             break
-        edges, value, owner, starts = _edges(lat, node, key)
-        top = np.maximum.reduceat(value, starts)
-        best = _best(value, top, owner)
-        taken = edges[best]
-        value[best] = -np.inf
-        parts.append((unit, taken, key, top, np.maximum.reduceat(value, starts)))
+        taken, top, second = lat.first[node], np.zeros(len(node)), np.full(len(node), -np.inf)
+        open_ = np.flatnonzero(lat.degree[node] > 1)
+        if len(open_):
+            edges, value, owner, starts = _edges(lat, node[open_], key[open_])
+            most = np.maximum.reduceat(value, starts)
+            best = _best(value, most, owner)
+            taken[open_], top[open_] = edges[best], most
+            value[best] = -np.inf
+            second[open_] = np.maximum.reduceat(value, starts)
+        parts.append((unit, taken, key, top, second))
         node, key = lat.head[taken], key + _TURN
     if not parts:
         whole = np.zeros(0, np.int64)
@@ -345,6 +353,20 @@ def sample_batch(texts: list[str], seeds: list[int], k: int, voc: Vocabulary, al
     end = np.cumsum(sizes)
     flat = np.fromiter(map(number.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
     lat = Lattices([_spelled(w) for w in number], voc, alpha)
+    out: list[list[tuple]] = []
+    begin = chars = 0
+    for i, text in enumerate(texts):
+        chars += len(text)
+        if chars >= PART_CHARS or i + 1 == len(texts):
+            part = slice(begin, i + 1)
+            out += _sample(lat, flat[int(end[begin] - sizes[begin]):int(end[i])], sizes[part], seeds[part], k, voc)
+            begin, chars = i + 1, 0
+    return out
+
+
+def _sample(lat: Lattices, flat: np.ndarray, sizes: np.ndarray, seeds: list[int], k: int, voc: Vocabulary) -> list[list[tuple]]:
+    """The samples of texts of ``sizes`` words each, given by their numbers ``flat``."""
+    end, texts = np.cumsum(sizes), range(len(sizes))
     seed = mixed(np.array(seeds, np.uint64))
     # What is expanded next: perturbed value, log probability so far, edges so far, last word, its node.
     now = [(float(g), 0.0, np.zeros(0, np.int64), int(e - n) - 1, -1)
@@ -397,31 +419,34 @@ def sample_batch(texts: list[str], seeds: list[int], k: int, voc: Vocabulary, al
             if opened[d]:
                 g, so_far, (whole, at, e), u, n = opened[d].pop(0)
                 now[d] = (g, so_far, np.append(whole[:at], e), u, n)
+    ids = iter(_ids(lat, [path for samples in found for path, _, _ in samples], voc))
     out = []
     for d, samples in enumerate(found):
         rest = now[d][0] if now[d] is not None else None
-        out.append([(_ids(lat, path, voc), p, g, None if rest is None else _log_inclusion(p - rest))
-                    for path, p, g in samples])
+        out.append([(next(ids), p, g, None if rest is None else _log_inclusion(p - rest)) for _, p, g in samples])
     return out
 
 
-def _ids(lat: Lattices, path: np.ndarray, voc: Vocabulary) -> np.ndarray:
-    """Vocabulary numbers of a path; characters without a piece become bytes."""
-    ids = lat.ident[path]
+def _ids(lat: Lattices, paths: list[np.ndarray], voc: Vocabulary) -> list[np.ndarray]:
+    """Vocabulary numbers of each path; characters without a piece become bytes."""
+    ends = np.cumsum([len(p) for p in paths])
+    ids = lat.ident[np.concatenate(paths)] if paths else np.zeros(0, np.int64)
     bare = np.flatnonzero(ids < 0)
     if len(bare):
         code = -1 - ids[bare]
         width = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
         n = np.ones(len(ids), np.int64)
         n[bare] = width
-        start = (np.cumsum(n) - n)[bare]
+        past = np.concatenate([[0], np.cumsum(n)])
+        start, ends = past[bare], past[ends]
         ids = np.repeat(ids, n)
         for size, lead in ((1, 0), (2, 0xC0), (3, 0xE0), (4, 0xF0)):
             at, c = start[width == size], code[width == size]
             ids[at] = voc.bytes[lead | (c >> 6 * (size - 1))]
             for j in range(1, size):
                 ids[at + j] = voc.bytes[0x80 | (c >> 6 * (size - 1 - j)) & 0x3F]
-    return ids.astype(np.int32)
+    ids, at = ids.astype(np.int32), [0, *ends.tolist()]
+    return [ids[lo:hi] for lo, hi in zip(at, at[1:], strict=False)]
 
 
 SCHEMA = ("doc_id long, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, "

@@ -94,3 +94,13 @@ def test_defined_cases(spark, voc):
         assert all(voc.decode(r.ids) == texts[i] for r in samples if texts[i])
     assert len(by_doc[4][0].ids) > len(LONG.split())
     assert S.encode(empty(spark)).count() == 0
+
+
+def test_lattices_are_shared_and_single_edges_draw_no_noise(voc, monkeypatch):
+    built, drawn, whole, edges = [], [], S.Lattices, S._edges
+    monkeypatch.setattr(S, "Lattices", lambda words, *rest: built.append(len(words)) or whole(words, *rest))
+    monkeypatch.setattr(S, "_edges", lambda lat, node, key: drawn.append(int(lat.degree[node].min())) or edges(lat, node, key))
+    monkeypatch.setattr(S, "PART_CHARS", 10)
+    got = S.sample_batch(["one text here", "here one text", "丁 text"], [1, 2, 3], 2, voc)
+    assert built == [4] and drawn and min(drawn) > 1     # one build for three parts
+    assert [voc.decode(x[0]) for s in got for x in s] == [t for t in ("one text here", "here one text", "丁 text") for _ in range(2)]
