@@ -74,3 +74,15 @@ def test_json_fields_are_read_once(spark, tmp_dir):
     assert [(r["customer_id"], r["email"], r["tier"]) for r in good.collect()] == [("2", None, None)]
     assert sorted(r["reason"] for r in bad.collect()) == ["malformed", "malformed", "missing key", "type:signup_date"]
     assert good._jdf.queryExecution().optimizedPlan().toString().count("map_from_entries") == 1
+
+
+def test_a_row_s_bucket_is_searched_once(spark):
+    df = spark.range(500).selectExpr("cast(id as string) as c", "cast(id % 7 as int) as a", "cast(if(id % 5 = 0, null, id % 90) as int) as b").checkpoint()
+    ranks = ranking.global_ranks(df, "c", [("a", False, False), ("b", True, True)], 4)
+    got = {(r["_id"], r["_m"]): (r["_rank"], r["_n"]) for r in ranks.collect()}
+    plan = ranks._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "isnotnull(aggregate" not in plan      # counts and ranks share the search, no filter repeats it
+    assert "1073741824" not in plan                                            # nor does it take steps beyond the bounds there are
+    rows = [(r["c"], r["a"], r["b"]) for r in df.collect()]
+    orders = (sorted(rows, key=lambda r: (-r[1], r[0])), sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[0])))
+    assert got == {(r[0], m): (i, 500) for m, rows in enumerate(orders) for i, r in enumerate(rows)}
