@@ -86,3 +86,10 @@ def test_a_row_s_bucket_is_searched_once(spark):
     rows = [(r["c"], r["a"], r["b"]) for r in df.collect()]
     orders = (sorted(rows, key=lambda r: (-r[1], r[0])), sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[0])))
     assert got == {(r[0], m): (i, 500) for m, rows in enumerate(orders) for i, r in enumerate(rows)}
+
+
+def test_quality_report_computes_the_fact_once(spark):
+    from conftest import SF_SMALL
+    from ledgerlens import queries as Q
+    plan = Q.q_quality_report(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1      # the Silver sales; the fact's two readers find it written
