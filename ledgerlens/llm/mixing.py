@@ -172,7 +172,9 @@ def mix(spark: SparkSession, docs: DataFrame, block: int = BLOCK, seed: int = 17
                    (F.col("b") - first).cast("int").alias("i"),
                    F.greatest(F.col("b") * block - start, F.lit(0)).alias("from_word"),
                    F.least((F.col("b") + 1) * block - start, F.col("size")).alias("to_word")))
-    pieces = slots.join(cut, (F.col("src") == F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
+    # Both sides are exploded, which Spark's estimate of their size leaves out: unhinted, all slots would be
+    # broadcast as soon as the few rows they come from are small.
+    pieces = slots.join(cut.hint("merge"), (F.col("src") == F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
     if with_text:
         pieces = _with_pieces(pieces, docs, seed, block, keep)
     return pieces.drop("h", "k", "i", "__start"), placed, sources

@@ -88,3 +88,12 @@ def test_defined_cases(spark):
     assert {r.doc_id for r in pieces.collect()} & {1, 2, 3} == set()
     pieces, placed, sources = mixing.mix(spark, empty(spark))
     assert pieces.count() == placed.count() == sources.count() == 0
+
+
+def test_slots_are_not_broadcast(spark):
+    """A few rows that explode to all slots look small to Spark, which would send the slots through the driver."""
+    docs = frame(spark, [(i, "word " * 700, "en", "s1") for i in range(40)])
+    pieces, _, _ = mixing.mix(spark, docs, with_text=False)
+    assert len(pieces.collect()) == sum(1 for _ in pieces.toLocalIterator()) > 200
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [src" in plan and "BroadcastHashJoin [src" not in plan
