@@ -225,7 +225,8 @@ def _regions(reps: DataFrame, depth: int, similarity: int) -> DataFrame:
     rows = rows.select("id", "fp", "n", F.explode(F.arrays_zip("keys.region", "keys.rest")).alias("at"))
     rows = rows.select("at.region", "at.rest", "id", "fp", "n")
     shared = rows.groupBy(F.col("region").alias("k")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    return rows.join(shared, F.col("region") == F.col("k")).drop("k")
+    # The estimate of the exploded rows' size leaves the trees out: unhinted, they could be broadcast.
+    return rows.join(shared.hint("merge"), F.col("region") == F.col("k")).drop("k")
 
 
 def _can_link(n, m, shared, similarity: int):

@@ -129,3 +129,13 @@ def test_components_of_chain_and_star(spark):
     got = {r.node: r.component for r in components(spark, df).collect()}
     assert got == {**{i: 0 for i in range(31)}, **{100 + i: 100 for i in range(20)}}
     assert components(spark, df.where("false")).count() == 0
+
+
+def test_regions_are_not_broadcast(spark):
+    """A class stands in a row for each tree, which Spark's estimate of the rows' size leaves out."""
+    docs = frame(spark, [(i, f"common words of a short text number {i % 3}", "en", "s1") for i in range(9)])
+    reps = near_dedup.sketches(docs).where("signature is not null")
+    regions = near_dedup._regions(reps, near_dedup.DEPTHS[0], near_dedup.SIMILARITY)
+    assert regions.count() > 0
+    plan = regions._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
