@@ -93,3 +93,48 @@ def test_quality_report_computes_the_fact_once(spark):
     from ledgerlens import queries as Q
     plan = Q.q_quality_report(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [l_orderkey") == 1      # the Silver sales; the fact's two readers find it written
+
+
+def _large_dimensions(spark):
+    from conftest import SF_SMALL
+    from ledgerlens import queries as Q
+    m = Q.Models(spark, SF_SMALL)
+    large = {"customers": 1 << 50, "products": 1 << 50, "territories": 25}
+    return m, marts.fct_sales(m.stg_sales, m.stg_customers, m.stg_products, m.stg_territories, Q.RUN_TS, large)
+
+
+def test_the_fact_s_shuffles_carry_no_derived_column(spark):
+    _, fct = _large_dimensions(spark)
+    late = ("deal_size_tier", "days_to_ship", "net_revenue", "order_quarter")
+    plan = fct.select(*late, "customer_tier", "product_category")._jdf.queryExecution().optimizedPlan().toString()
+    joins_from = plan.index("Join LeftOuter")
+    for column in late:
+        assert f"AS {column}#" in plan[:joins_from] and f"AS {column}#" not in plan[joins_from:]
+
+
+def test_hot_keys_are_found_by_sketches(spark):
+    """No exchange of a row for each key: a task forwards its sketch alone."""
+    fact = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as c", "if(id % 4 = 0, null, id) as p")
+    hot = joins.hot_key_lists(fact, ["c", "p"])
+    out = spark.range(1).select(hot["c"].alias("c"), hot["p"].alias("p"))
+    r = out.first()
+    assert (r["c"], r["p"]) == (["hot"], [])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "approx_top_k" in plan and "hashpartitioning" not in plan
+
+
+def test_monthly_kpis_move_the_rows_once(spark):
+    m, fct = _large_dimensions(spark)
+    kpis = marts.monthly_kpis(fct.drop("order_count"))
+    plan = kpis._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Exchange hashpartitioning(period_date") == 1
+    assert plan[:plan.index("Exchange hashpartitioning(period_date")].count("Exchange") == 0
+    done = fct.filter("status != 'cancelled'")
+    keys = ["order_month", "territory_id", "product_category", "channel", "customer_tier"]
+    want = done.groupBy(*keys).agg(F.count("sale_id"), F.count_distinct("customer_id"), F.count_distinct("product_id"),
+                                   F.sum("net_revenue"), F.sum("gross_profit"))
+    got = kpis.select("period_date", *keys[1:], "order_count", "unique_customers", "unique_products", "total_revenue", "total_gross_profit")
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, (tuple(r) for r in want.collect())))
+    assert got.schema["total_revenue"].dataType == want.schema["sum(net_revenue)"].dataType
+    rows = marts.monthly_kpis(fct, sale_id_unique=False)
+    assert rows.select(*kpis.columns).exceptAll(kpis).count() == 0 == kpis.exceptAll(rows.select(*kpis.columns)).count()
