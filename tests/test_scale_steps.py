@@ -138,3 +138,13 @@ def test_monthly_kpis_move_the_rows_once(spark):
     assert got.schema["total_revenue"].dataType == want.schema["sum(net_revenue)"].dataType
     rows = marts.monthly_kpis(fct, sale_id_unique=False)
     assert rows.select(*kpis.columns).exceptAll(kpis).count() == 0 == kpis.exceptAll(rows.select(*kpis.columns)).count()
+
+
+def test_queries_that_use_the_fact_twice_compute_it_once(spark):
+    from conftest import SF_SMALL
+    from ledgerlens import load_queries as L
+    from ledgerlens import queries as Q
+    # What is left reads the sales for tables of their own: the budget, raw and Silver sales.
+    for query, left in ((Q.q_kpi_summary, 0), (Q.q_measure_evaluate, 1), (L.q_measure_evaluate_customer, 0), (Q.q_quality_report_declared, 3)):
+        plan = query(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [l_orderkey") == left, query.__name__
